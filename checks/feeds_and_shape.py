@@ -210,9 +210,9 @@ check("num_clean_cast", f"""{ctes('v_dodo_text')} SELECT SAP_PAYMENT_NUMBER, TRY
 check("num_cast_int", f"""{ctes('v_dodo_text')} SELECT SAP_PAYMENT_NUMBER, TRY_CAST(split_part(SALES_STAMP, '/', 1) AS INTEGER) AS day, CAST(trunc(AMOUNT_PAID) AS INTEGER) AS paid FROM v_dodo_text""")(
     lambda spark, sf: v.dodo_text(spark, sf).select("SAP_PAYMENT_NUMBER", fx.clean_int(fx.token("SALES_STAMP", "/", 0)).alias("day"), fx.clean_int("AMOUNT_PAID").alias("paid"))
 )
-check("num_round", """SELECT o_orderkey, round(CAST(o_totalprice AS DECIMAL(18,2)), 0) AS up, round_even(o_orderkey / 4.0, 1) AS even FROM orders""")(
+check("num_round", """SELECT o_orderkey, CAST(round(CAST(o_totalprice AS DECIMAL(18,2)), 0) AS DOUBLE) AS up, round_even(o_orderkey / 4.0, 1) AS even FROM orders""")(
     lambda spark, sf: v.table(spark, sf, "orders").select(
-        "o_orderkey", fx.round_half_up(F.col("o_totalprice").cast("decimal(18,2)")).alias("up"),
+        "o_orderkey", fx.round_half_up(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("up"),
         fx.round_half_even(F.col("o_orderkey") / 4, 1).alias("even"))
 )
 check("num_arith_div", """SELECT l_orderkey, l_linenumber, l_extendedprice, round(l_quantity * 0.5 / nullif(l_discount, 0), 4) AS ratio FROM lineitem""")(

@@ -93,9 +93,9 @@ def _polarity_sql(source, key, text):
     return rf"""lex(w, s) AS (VALUES {_values(POLARITY)}), boost(b, g) AS (VALUES {_values(BOOSTERS)}),
 toks AS (SELECT {key} AS k, string_split_regex(trim(regexp_replace(lower({text}), '[^a-z]+', ' ', 'g')), '\s+') AS ws FROM {source}),
 pos AS (SELECT k, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p1, CASE WHEN i > 2 THEN ws[i - 2] END AS p2 FROM toks, unnest(range(1, len(ws) + 1)) AS u(i)),
-hit AS (SELECT k, greatest(-1.0, least(1.0, s * coalesce(g, 1.0) * CASE WHEN (CASE WHEN g IS NULL THEN p1 ELSE p2 END) IN ({_list(NEGATIONS)}) THEN -0.5 ELSE 1.0 END)) AS v
+hit AS (SELECT k, CAST(round(1000 * greatest(-1.0, least(1.0, s * coalesce(g, 1.0) * CASE WHEN (CASE WHEN g IS NULL THEN p1 ELSE p2 END) IN ({_list(NEGATIONS)}) THEN -0.5 ELSE 1.0 END))) AS BIGINT) AS v
   FROM pos JOIN lex USING (w) LEFT JOIN boost ON p1 = b),
-pol AS (SELECT k, avg(v) AS p FROM hit GROUP BY k)"""
+pol AS (SELECT k, sum(v)::DOUBLE / (1000 * count(*)) AS p FROM hit GROUP BY k)"""
 
 
 check("txt_polarity", f"""{ctes('v_tweets')}, {_polarity_sql('v_tweets', 'tweet_id', 'tweet_text')}
@@ -121,7 +121,7 @@ SELECT keywords, Total, round(round_even(Total / (SELECT sum(Total) FROM n), 2)
 
 
 def _scored(spark, sf):
-    return art.score_articles(art.explode_keywords(v.articles(spark, sf)))
+    return art.explode_keywords(art.score_articles(v.articles(spark, sf)))
 
 
 _SCORED = f"""{ctes('v_articles')}, {_EXPLODED}, {_polarity_sql('v_articles', '_id', 'body')},
@@ -175,17 +175,13 @@ FROM v_tweets LEFT JOIN pol ON tweet_id = k"""
 check("flow_tweets", f"SELECT DISTINCT * FROM ({_TWEET_TABLE})")(lambda spark, sf: sent.tweets_table(v.tweets(spark, sf)))
 
 
-def _web(spark, sf):
-    batch = sent.web_batch(v.articles(spark, sf), "2024-01-01 00:00:00", "2025-01-01 00:00:00")
-    return batch, v
-
-
-@check("flow_web", f"""{_SCORED}, pick AS (SELECT *, row_number() OVER (PARTITION BY keywords, source ORDER BY createdAt, domain, updatedAt, body) AS r FROM v_scored)
-SELECT keywords, domain AS site, source, strftime(createdAt, '%Y-%m-%d %H:%M:%S') AS createdat, strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedat,
-strftime(createdAt, '%Y-%m-%d') AS created_date, array_to_string(analyzed_words, ',') AS analyzed_words, CAST(sentiment AS VARCHAR) AS sentiment FROM pick WHERE r = 1""")
+@check("flow_web", f"""{_SCORED}, web AS (SELECT keywords, domain AS site, source, strftime(createdAt, '%Y-%m-%d %H:%M:%S') AS createdat, strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedat,
+strftime(createdAt, '%Y-%m-%d') AS created_date, array_to_string(analyzed_words, ',') AS analyzed_words, CAST(sentiment AS VARCHAR) AS sentiment FROM v_scored),
+pick AS (SELECT *, row_number() OVER (PARTITION BY keywords, source ORDER BY createdat, site, updatedat, created_date, analyzed_words, sentiment) AS r FROM web)
+SELECT * EXCLUDE (r) FROM pick WHERE r = 1""")
 def _(spark, sf):
-    batch, _ = _web(spark, sf)
-    return sent.web_contract(od.dedup_on(batch, ["keywords", "source"], ["createdat", "domain", "updatedat", "body"]))
+    batch = sent.web_batch(v.articles(spark, sf), "2024-01-01 00:00:00", "2025-01-01 00:00:00")
+    return od.dedup_on(sent.web_contract(batch), ["keywords", "source"], ["createdat"])
 
 
 # ---- forecasts ----------------------------------------------------------------------
@@ -208,8 +204,8 @@ def _points(spark, sf, name):
 
 
 def _register_series(name):
-    check(f"fct_series_{name}", f"{_SERIES[name]} SELECT station, ds, round(y, 4) AS y, w FROM pts")(
-        lambda spark, sf: _points(spark, sf, name).withColumn("y", F.round("y", 4))
+    check(f"fct_series_{name}", f"{_SERIES[name]} SELECT station, ds, round(y, 7) AS y, w FROM pts")(
+        lambda spark, sf: _points(spark, sf, name).withColumn("y", F.round("y", 7))
     )
     check(f"flow_forecast_{name}")(lambda spark, sf: plan.model_table(_features(spark, sf, name), name))
 
@@ -241,64 +237,64 @@ check("fct_interval", f"{_BASE} SELECT station, ds, round(yhat - 1.96 * sd, 3) A
 )
 check("fct_fit_predict")(lambda spark, sf: fc.forecast(_points(spark, sf, "sales")))
 check("fct_isolate_failures")(lambda spark, sf: fc.forecast(_points(spark, sf, "next_delivery"), on_error="report"))
-check("fct_attach_actuals", f"{_BASE} SELECT b.station, b.ds, round(y, 4) AS y FROM base b LEFT JOIN pts p ON p.station = b.station AND p.ds = b.ds")(
-    lambda spark, sf: fc.attach_actuals(_base(spark, sf), _points(spark, sf, "sales")).select("station", "ds", F.round("y", 4).alias("y"))
+check("fct_attach_actuals", f"{_BASE} SELECT b.station, b.ds, round(y, 7) AS y FROM base b LEFT JOIN pts p ON p.station = b.station AND p.ds = b.ds")(
+    lambda spark, sf: fc.attach_actuals(_base(spark, sf), _points(spark, sf, "sales")).select("station", "ds", F.round("y", 7).alias("y"))
 )
-check("jn_forecast_actuals", f"{_BASE} SELECT b.station, b.ds, round(y, 4) AS y FROM base b JOIN pts p ON p.station = b.station AND p.ds = b.ds")(
-    lambda spark, sf: fc.attach_actuals(_base(spark, sf), _points(spark, sf, "sales"), "inner").select("station", "ds", F.round("y", 4).alias("y"))
+check("jn_forecast_actuals", f"{_BASE} SELECT b.station, b.ds, round(y, 7) AS y FROM base b JOIN pts p ON p.station = b.station AND p.ds = b.ds")(
+    lambda spark, sf: fc.attach_actuals(_base(spark, sf), _points(spark, sf, "sales"), "inner").select("station", "ds", F.round("y", 7).alias("y"))
 )
-check("fct_rename_publish", f"""{_BASE} SELECT strftime(b.ds, '%Y-%m-%d') AS FORECASTED_SALES_DATE, round(yhat, 3) AS FORCASTED_DAILY_SALES_VOLUME, b.station AS STATION, round(y, 4) AS ACTUAL_VOLUME_SOLD
+check("fct_rename_publish", f"""{_BASE} SELECT strftime(b.ds, '%Y-%m-%d') AS FORECASTED_SALES_DATE, round(yhat, 3) AS FORCASTED_DAILY_SALES_VOLUME, b.station AS STATION, round(y, 7) AS ACTUAL_VOLUME_SOLD
 FROM base b LEFT JOIN pts p ON p.station = b.station AND p.ds = b.ds""")(
     lambda spark, sf: fc.publish_names(fc.attach_actuals(_base(spark, sf), _points(spark, sf, "sales")), fc.SALES).withColumns(
-        {"FORCASTED_DAILY_SALES_VOLUME": F.round("FORCASTED_DAILY_SALES_VOLUME", 3), "ACTUAL_VOLUME_SOLD": F.round("ACTUAL_VOLUME_SOLD", 4)})
+        {"FORCASTED_DAILY_SALES_VOLUME": F.round("FORCASTED_DAILY_SALES_VOLUME", 3), "ACTUAL_VOLUME_SOLD": F.round("ACTUAL_VOLUME_SOLD", 7)})
 )
 
 
 # The combine steps are checked on model tables built from plain aggregates of the feeds.
-def _model(spark, sf, key, ds, y, target):
-    """A model table whose forecast is the day's mean rounded to 3 digits plus a quarter."""
-    df = v.meter(spark, sf)
-    points = df.groupBy(F.concat(key, F.lit("")).alias("station"), F.col(ds).alias("ds")).agg(F.round(F.avg(y), 3).alias("y"))
+def _model(spark, sf, fold, column, target):
+    """A model table whose actual is a daily aggregate and whose forecast is a quarter above it."""
+    points = v.meter(spark, sf).groupBy(F.col("STATION").alias("station"), F.col("SALES_DATE").alias("ds")).agg(
+        fold(column).cast("double").alias("y"))
     return fc.publish_names(points.withColumns({
         "yhat": F.col("y") + 0.25, "yhat_lower": F.col("y"), "yhat_upper": F.col("y")}), target)
 
 
 def _m_sql(y):
-    return f"SELECT STATION, SALES_DATE, round(avg({y}), 3) AS y FROM v_meter GROUP BY 1, 2"
+    return f"SELECT STATION, SALES_DATE, CAST({y} AS DOUBLE) AS y FROM v_meter GROUP BY 1, 2"
 
 
-_SAP_MERGE = f"""{ctes('v_meter')}, d AS ({_m_sql('VOLUME')}), o AS ({_m_sql('CURRENT_READING')}),
+_SAP_MERGE = f"""{ctes('v_meter')}, d AS ({_m_sql('max(VOLUME)')}), o AS ({_m_sql('max(CURRENT_READING)')}),
 mrg AS (SELECT strftime(SALES_DATE, '%Y%m%d') AS FORECASTED_DATE, STATION AS DELIVERY_STATION, round(d.y + 0.25, 0) AS FORCASTED_DELIVERY_DAYS, d.y AS ACTUAL_DELIVERY_DAYS,
 o.y + 0.25 AS FORCASTED_ORDER, o.y AS ACTUAL_ORDER FROM d JOIN o USING (STATION, SALES_DATE))"""
 
 
 def _combined_sap(spark, sf):
-    return fc.combine_sap(_model(spark, sf, "STATION", "SALES_DATE", "VOLUME", fc.DELAYS),
-                          _model(spark, sf, "STATION", "SALES_DATE", "CURRENT_READING", fc.ORDERS), RUN)
+    return fc.combine_sap(_model(spark, sf, F.max, "VOLUME", fc.DELAYS),
+                          _model(spark, sf, F.max, "CURRENT_READING", fc.ORDERS), RUN)
 
 
-check("fct_combine_sap", f"{_SAP_MERGE} SELECT * REPLACE (round(FORCASTED_ORDER, 3) AS FORCASTED_ORDER), {AUDIT_SQL} FROM mrg")(
-    lambda spark, sf: _combined_sap(spark, sf).withColumn("FORCASTED_ORDER", F.round("FORCASTED_ORDER", 3))
+check("fct_combine_sap", f"{_SAP_MERGE} SELECT *, {AUDIT_SQL} FROM mrg")(
+    _combined_sap
 )
 check("jn_forecast_merge_2", f"{_SAP_MERGE} SELECT FORECASTED_DATE, DELIVERY_STATION, ACTUAL_DELIVERY_DAYS, ACTUAL_ORDER FROM mrg")(
     lambda spark, sf: _combined_sap(spark, sf).select("FORECASTED_DATE", "DELIVERY_STATION", "ACTUAL_DELIVERY_DAYS", "ACTUAL_ORDER")
 )
-_CODO_MERGE = f"""{ctes('v_meter')}, g AS ({_m_sql('DEALER_COMMISSION')}), s AS ({_m_sql('VOLUME')}), q AS ({_m_sql('CURRENT_READING')}),
+_CODO_MERGE = f"""{ctes('v_meter')}, g AS ({_m_sql('max(VOLUME)')}), s AS ({_m_sql('sum(VOLUME)')}), q AS ({_m_sql('max(CURRENT_READING)')}),
 mrg AS (SELECT STATION, SALES_DATE, strftime(SALES_DATE, '%Y-%m-%d') AS FORECASTED_SALES_DATE, round(g.y + 0.25, 0) AS FORCASTED_NEXT_DELIVERY_DAYS, g.y AS ACTUAL_NEXT_DELIVERY_DAYS,
-round(s.y + 0.25, 0) AS FORCASTED_DAILY_SALES_VOLUME, s.y AS ACTUAL_VOLUME_SOLD, round(q.y + 0.25, 3) AS FORECASTED_QUANTITY, q.y AS ACTUAL_QUANTITY
+round(s.y + 0.25, 0) AS FORCASTED_DAILY_SALES_VOLUME, s.y AS ACTUAL_VOLUME_SOLD, q.y + 0.25 AS FORECASTED_QUANTITY, q.y AS ACTUAL_QUANTITY
 FROM g JOIN s USING (STATION, SALES_DATE) JOIN q USING (STATION, SALES_DATE)),
 fin AS (SELECT * EXCLUDE (SALES_DATE), strftime(SALES_DATE + CAST(round(ACTUAL_QUANTITY * 0.5 / nullif(FORCASTED_DAILY_SALES_VOLUME, 0), 0) AS INTEGER), '%Y-%m-%d') AS NEXT_OPTIMAL_ORDER_DATE,
 'Your order likely to take: ' || CAST(FORCASTED_NEXT_DELIVERY_DAYS AS BIGINT) || ' days' AS NEXT_OPTIMAL_ORDER_DATE_REASON FROM mrg)"""
 
 
 def _three(spark, sf):
-    return (_model(spark, sf, "STATION", "SALES_DATE", "DEALER_COMMISSION", fc.NEXT_DELIVERY),
-            _model(spark, sf, "STATION", "SALES_DATE", "VOLUME", fc.SALES),
-            _model(spark, sf, "STATION", "SALES_DATE", "CURRENT_READING", fc.QUANTITY))
+    return (_model(spark, sf, F.max, "VOLUME", fc.NEXT_DELIVERY),
+            _model(spark, sf, F.sum, "VOLUME", fc.SALES),
+            _model(spark, sf, F.max, "CURRENT_READING", fc.QUANTITY))
 
 
 def _combined_codo(spark, sf):
-    return fc.combine_codo(*_three(spark, sf), RUN).withColumn("FORECASTED_QUANTITY", F.round("FORECASTED_QUANTITY", 3))
+    return fc.combine_codo(*_three(spark, sf), RUN)
 
 
 check("fct_combine_codo", f"{_CODO_MERGE} SELECT *, {AUDIT_SQL} FROM fin")(_combined_codo)

@@ -56,9 +56,10 @@ def clean_tweet(col, compat: bool = False) -> Column:
     """Cleaned lower-case tweet text."""
     if compat:
         plain = strip_links(keep_letters(strip_handles(col)), compat="tweet")
-    else:
-        plain = keep_letters(strip_handles(strip_links(col)))
-    kept = longer_than(remove_stopwords(words(plain), compat=compat), 2)
+        return F.lower(F.array_join(longer_than(remove_stopwords(words(plain), compat=True), 2), " "))
+    # One split does the letter filter; one pass over the tokens drops stop words and short pieces.
+    tokens = F.split(strip_handles(strip_links(col)), NOT_A_LETTER + "+")
+    kept = F.filter(tokens, lambda w: (F.length(w) > 2) & ~F.lower(w).isin(list(STOP_WORDS)))
     return F.lower(F.array_join(kept, " "))
 
 
@@ -66,9 +67,8 @@ def clean_article(col, compat: bool = False) -> Column:
     """Long words of an article as a token array."""
     if compat:
         plain = strip_links(keep_letters(strip_handles(col)), compat="article")
-    else:
-        plain = keep_letters(strip_handles(strip_links(col)))
-    return longer_than(words(plain), 7)
+        return longer_than(words(plain), 7)
+    return longer_than(F.split(strip_handles(strip_links(col)), NOT_A_LETTER + "+"), 7)
 
 
 def _lookup(table: dict[str, float], key: Column) -> Column:
@@ -80,28 +80,28 @@ def polarity(col, lexicon: dict[str, float] | None = None) -> Column:
 
     A booster right before a scored word scales it; a negation before the word (or before
     its booster) multiplies it by -0.5. No scored word gives 0.0, null text gives null.
-    Each word is zipped with its two predecessors, so one pass over the row is enough.
     """
     table = POLARITY if lexicon is None else lexicon
     col = _c(col)
-    tokens = words(F.regexp_replace(F.lower(col), "[^a-z]+", " "))
-    one_back = F.concat(F.array(F.lit("")), tokens)
-    two_back = F.concat(F.array(F.lit(""), F.lit("")), tokens)
-    trail = F.arrays_zip(tokens.alias("w"), one_back.alias("p1"), two_back.alias("p2"))
-    hits = F.filter(trail, lambda x: x["w"].isin(list(table)))
-
-    def score(x: Column) -> Column:
-        boosted = x["p1"].isin(list(BOOSTERS))
-        gain = F.when(boosted, _lookup(BOOSTERS, x["p1"])).otherwise(F.lit(1.0))
-        before = F.when(boosted, x["p2"]).otherwise(x["p1"])
-        sign = F.when(before.isin(list(NEGATIONS)), F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-        raw = _lookup(table, x["w"]) * gain * sign
-        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))
-
-    total = F.aggregate(
-        F.transform(hits, score),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
-        lambda acc, v: F.struct((acc["s"] + v).alias("s"), (acc["n"] + 1).alias("n")),
-        lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)),
-    )
-    return F.when(col.isNotNull(), F.bround(total, 1))
+
+    def total(tokens: Column) -> Column:
+        spots = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i).isin(list(table)))
+
+        def score(i: Column) -> Column:
+            gain = _lookup(BOOSTERS, F.get(tokens, i - 1))
+            before = F.when(gain.isNull(), F.get(tokens, i - 1)).otherwise(F.get(tokens, i - 2))
+            sign = F.when(before.isin(list(NEGATIONS)), F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+            raw = _lookup(table, F.get(tokens, i)) * F.coalesce(gain, F.lit(1.0)) * sign
+            return F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw)) * 1000).cast("bigint")
+
+        return F.aggregate(
+            F.transform(spots, score),
+            F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(0).alias("n")),
+            lambda acc, v: F.struct((acc["s"] + v).alias("s"), (acc["n"] + 1).alias("n")),
+            lambda acc: F.when(acc["n"] > 0, acc["s"] / (acc["n"] * 1000)).otherwise(F.lit(0.0)),
+        )
+
+    # Scores are summed as whole thousandths, so the mean does not depend on the order of words.
+    # Wrapping the token array binds it to a lambda variable, so the text is split only once.
+    tokens = F.split(F.lower(col), "[^a-z]+")
+    return F.when(col.isNotNull(), F.bround(F.get(F.transform(F.array(tokens), total), F.lit(0)), 1))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,11 +72,7 @@ def meter_profile(meter: DataFrame, exact: bool = True) -> DataFrame:
     if not exact:
         simple += [F.percentile_approx(F.col(c).cast("double"), 0.5).alias(n) for c, n in PROFILE_MEDIANS.items()]
         return meter.groupBy(*PROFILE_KEYS).agg(*simple)
-    base = meter.groupBy(*PROFILE_KEYS).agg(*simple)
-    mids = exact_medians(meter, PROFILE_KEYS, PROFILE_MEDIANS)
-    mids = mids.withColumnsRenamed({k: f"_{k}" for k in PROFILE_KEYS})
-    cond = reduce(lambda a, b: a & b, [base[k].eqNullSafe(F.col(f"_{k}")) for k in PROFILE_KEYS])
-    return base.join(mids, cond, "left").drop(*[f"_{k}" for k in PROFILE_KEYS])
+    return exact_medians(meter, PROFILE_KEYS, PROFILE_MEDIANS, tuple(simple))
 
 
 def daily_with_profile(daily: DataFrame, profile: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as fx
@@ -57,39 +57,47 @@ def series(df: DataFrame, target: Target, agg: str = "avg") -> DataFrame:
     )
 
 
+def _ahead(points: DataFrame, periods: int) -> DataFrame:
+    """Append the following days to each station: its last row opens into ``periods`` more."""
+    last = F.max("ds").over(Window.partitionBy("station"))
+    steps = F.when(F.col("ds") == F.col("_last"), F.lit(periods)).otherwise(F.lit(0))
+    rows = points.withColumn("_last", last).withColumn("_step", F.explode(F.sequence(F.lit(0), steps)))
+    return rows.withColumn("ds", F.date_add("ds", F.col("_step"))).drop("_last")
+
+
 def horizon(points: DataFrame, periods: int = 7) -> DataFrame:
     """History days plus the following ``periods`` days."""
-    last = points.groupBy("station").agg(F.max("ds").alias("_last"))
-    ahead = last.select("station", F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", periods))).alias("ds"))
-    return points.select("station", "ds").unionByName(ahead)
+    return _ahead(points, periods).select("station", "ds")
 
 
 def baseline(points: DataFrame, periods: int = 7, level: float = 1.96) -> DataFrame:
-    """Linear trend plus mean weekday residual as plain aggregates and joins."""
-    known = points.where(F.col("y").isNotNull())
-    t0 = known.groupBy("station").agg(F.min("ds").alias("_t0"))
+    """Linear trend plus mean weekday residual, as aggregates over one window per station.
+
+    A series has at most one row per day, so the window group is bounded by the calendar and the
+    whole model takes a single shuffle. ``y`` is carried along, null on horizon days.
+    """
+    w = Window.partitionBy("station")
     x = F.datediff("ds", "_t0").cast("double")
-    fitted = known.join(t0, "station").withColumn("_x", x)
-    trend = fitted.groupBy("station", "_t0").agg(
-        F.regr_slope("y", "_x").alias("_b"), F.regr_intercept("y", "_x").alias("_a"), F.count("y").alias("_n")
-    ).where(F.col("_n") >= 2)
-    level_of = F.coalesce(F.col("_a"), F.lit(0.0)) + F.coalesce(F.col("_b"), F.lit(0.0)) * F.col("_x")
-    rest = fitted.drop("_t0").join(trend, "station").withColumn("_r", F.col("y") - level_of)
-    week = rest.groupBy("station", F.dayofweek("ds").alias("_dow")).agg(F.avg("_r").alias("_s"))
-    spread = (
-        rest.withColumn("_dow", F.dayofweek("ds")).join(week, ["station", "_dow"])
-        .groupBy("station").agg(F.coalesce(F.stddev_pop(F.col("_r") - F.col("_s")), F.lit(0.0)).alias("_sd"))
-    )
-    grid = horizon(points, periods).join(trend, "station").join(spread, "station")
-    grid = grid.withColumns({"_x": x, "_dow": F.dayofweek("ds")}).join(week, ["station", "_dow"], "left")
-    yhat = level_of + F.coalesce(F.col("_s"), F.lit(0.0))
-    return grid.select(
+    trend = F.coalesce(F.col("_a"), F.lit(0.0)) + F.coalesce(F.col("_b"), F.lit(0.0)) * x
+    season = F.get("_week", F.dayofweek("ds") - 1)
+    df = points.withColumn("_t0", F.min(F.when(F.col("y").isNotNull(), F.col("ds"))).over(w))
+    df = df.withColumns({
+        "_b": F.regr_slope("y", x).over(w), "_a": F.regr_intercept("y", x).over(w), "_n": F.count("y").over(w),
+    }).where(F.col("_n") >= 2)
+    df = df.withColumn("_r", F.col("y") - trend)
+    df = df.withColumn("_week", F.array(*[
+        F.avg(F.when(F.dayofweek("ds") == d, F.col("_r"))).over(w) for d in range(1, 8)
+    ]))
+    df = df.withColumn("_sd", F.coalesce(F.stddev_pop(F.col("_r") - season).over(w), F.lit(0.0)))
+    df = _ahead(df, periods)
+    yhat = trend + F.coalesce(season, F.lit(0.0))
+    return df.select(
         "station", "ds", yhat.alias("yhat"), (yhat - level * F.col("_sd")).alias("yhat_lower"),
-        (yhat + level * F.col("_sd")).alias("yhat_upper"),
+        (yhat + level * F.col("_sd")).alias("yhat_upper"), F.when(F.col("_step") == 0, F.col("y")).alias("y"),
     )
 
 
-FORECAST_SCHEMA = "station string, ds date, yhat double, yhat_lower double, yhat_upper double, fit_error string"
+FORECAST_SCHEMA = "station string, ds date, yhat double, yhat_lower double, yhat_upper double, y double, fit_error string"
 
 
 def _design(t, origin: float, span: float, changepoints, yearly: bool):
@@ -138,13 +146,14 @@ def _fit_station(pdf, periods: int, z: float):
     yhat = _design(grid, origin, span, changes, yearly) @ beta * scale
     return pd.DataFrame({
         "station": station, "ds": ds, "yhat": yhat, "yhat_lower": yhat - z * sd, "yhat_upper": yhat + z * sd,
-        "fit_error": None,
+        "y": list(pdf["y"]) + [None] * periods, "fit_error": None,
     })
 
 
 def forecast(points: DataFrame, periods: int = 7, interval: float = 0.95, on_error: str = "skip") -> DataFrame:
     """Fit every station in parallel. A station whose fit fails is skipped, or reported as one row
-    with ``fit_error`` when ``on_error="report"``; the others survive either way."""
+    with ``fit_error`` when ``on_error="report"``; the others survive either way. ``y`` holds the
+    day's actual, null on horizon days."""
     from statistics import NormalDist
 
     z = NormalDist().inv_cdf(0.5 + interval / 2)
@@ -157,7 +166,7 @@ def forecast(points: DataFrame, periods: int = 7, interval: float = 0.95, on_err
         except Exception as exc:
             return pd.DataFrame([{
                 "station": pdf["station"].iloc[0], "ds": None, "yhat": None, "yhat_lower": None,
-                "yhat_upper": None, "fit_error": f"{type(exc).__name__}: {exc}",
+                "yhat_upper": None, "y": None, "fit_error": f"{type(exc).__name__}: {exc}",
             }])
 
     out = points.select("station", "ds", "y", "w").groupBy("station").applyInPandas(fit, FORECAST_SCHEMA)
@@ -167,8 +176,8 @@ def forecast(points: DataFrame, periods: int = 7, interval: float = 0.95, on_err
 
 
 def attach_actuals(fc: DataFrame, points: DataFrame, how: str = "left") -> DataFrame:
-    """Forecast rows with the day's actual; ``how="inner"`` drops the horizon."""
-    return fc.join(points.select("station", "ds", "y"), ["station", "ds"], how)
+    """Stored forecast rows with the day's actual; ``how="inner"`` drops the horizon."""
+    return fc.drop("y").join(points.select("station", "ds", "y"), ["station", "ds"], how)
 
 
 def publish_names(fc: DataFrame, target: Target) -> DataFrame:

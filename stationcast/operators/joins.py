@@ -21,11 +21,12 @@ def outer_chain(frames: list[DataFrame], on: list[str], bounded: bool = False) -
     if bounded:
         return reduce(lambda a, b: a.join(b, on, "outer"), frames)
     out = frames[0]
-    seen = out.select(*on)
+    seen = [out.select(*on).distinct()]
     for nxt in frames[1:]:
-        unmatched = nxt.join(seen.distinct(), on, "left_anti")
+        known = seen[0] if len(seen) == 1 else reduce(DataFrame.union, seen).distinct()
+        unmatched = nxt.join(known, on, "left_anti")
         out = out.join(nxt, on, "left").unionByName(unmatched, allowMissingColumns=True)
-        seen = seen.unionByName(nxt.select(*on))
+        seen.append(nxt.select(*on).distinct())
     return out
 
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLACK = 0.002
 ACCURACY = 10000
 
 
-def exact_medians(df: DataFrame, keys: list[str], medians: dict[str, str]) -> DataFrame:
-    """Exact median of each column (source -> output name) per key.
+def exact_medians(
+    df: DataFrame, keys: list[str], medians: dict[str, str], extra: tuple[Column, ...] = ()
+) -> DataFrame:
+    """Exact median of each column (source -> output name) per key, next to ``extra`` aggregates.
 
     Spark's ``median`` buffers all distinct values of a group in one task. Here a mergeable
     sketch first brackets each median between two values (rank error 1/10000, bracket twenty
@@ -22,7 +24,7 @@ def exact_medians(df: DataFrame, keys: list[str], medians: dict[str, str]) -> Da
     """
     cols = list(medians)
     ends = F.array(F.lit(0.5 - SLACK), F.lit(0.5 + SLACK))
-    sketch = df.groupBy(*keys).agg(*[
+    sketch = df.groupBy(*keys).agg(*extra, *[
         F.struct(
             F.percentile_approx(F.col(c).cast("double"), ends, ACCURACY).alias("q"),
             F.count(c).alias("n"),
@@ -69,4 +71,9 @@ def exact_medians(df: DataFrame, keys: list[str], medians: dict[str, str]) -> Da
         missed = F.col(f"_n{i}").isNotNull() & found.isNull()
         return F.when(missed, F.raise_error(F.lit("median bracket missed")).cast("double")).otherwise(found)
 
-    return picked.select(*keys, *[median(i).alias(medians[c]) for i, c in enumerate(cols)])
+    mids = picked.select(
+        *[F.col(k).alias(f"_{k}") for k in keys], *[median(i).alias(medians[c]) for i, c in enumerate(cols)]
+    )
+    base = sketch.drop(*[f"_s{i}" for i in range(len(cols))])
+    same = reduce(lambda a, b: a & b, [base[k].eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return base.join(mids, same, "left").drop(*[f"_{k}" for k in keys])

@@ -38,11 +38,12 @@ def target_points(features: DataFrame, name: str) -> DataFrame:
     return fc.series(rows, target)
 
 
-def model_table(features: DataFrame, name: str, periods: int = 7, how: str = "left") -> DataFrame:
+def model_table(features: DataFrame, name: str, periods: int = 7, keep_horizon: bool = True) -> DataFrame:
     """Forecast of one target with its actuals under the published names."""
-    points = target_points(features, name)
-    fitted = fc.forecast(points, periods)
-    return fc.publish_names(fc.attach_actuals(fitted, points, how), TARGETS[name])
+    fitted = fc.forecast(target_points(features, name), periods)
+    if not keep_horizon:
+        fitted = require(fitted, "y")
+    return fc.publish_names(fitted, TARGETS[name])
 
 
 def run_forecast(spark: SparkSession, lake: Lake, run: RunContext, name: str) -> None:

@@ -44,9 +44,10 @@ def load_exported_tweets(df: DataFrame, table: str = "default.tweets_sentiment_e
 
 
 def web_batch(raw: DataFrame, start: str, end: str, compat: bool = False) -> DataFrame:
-    """Scored articles, one row per keyword, of a createdAt range."""
+    """Scored articles, one row per keyword, of a createdAt range. Each text is scored once, before
+    its keywords multiply the rows."""
     day = docs_in_range(raw, start, end)
-    return normalize_headers(art.score_articles(art.explode_keywords(day), compat), "lower")
+    return normalize_headers(art.explode_keywords(art.score_articles(day, compat)), "lower")
 
 
 def web_contract(batch: DataFrame) -> DataFrame:
@@ -61,6 +62,6 @@ def web(
 
     Each sink compares with its own rows, so a run that died between the two can simply be repeated.
     """
-    batch = web_contract(art.dedup_on(web_batch(raw, start, end), ["keywords", "source"], ["createdat"]))
+    batch = art.dedup_on(web_contract(web_batch(raw, start, end)), ["keywords", "source"], ["createdat"])
     append_new(batch, gold_path, ["keywords", "source"], "site")
     publish(batch, table, "append", ["keywords", "source"])
