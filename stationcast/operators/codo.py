@@ -127,18 +127,18 @@ def codo_factors(deliveries: DataFrame, stock: DataFrame, meter: DataFrame) -> S
 
 
 def station_wide(*parts: DataFrame) -> DataFrame:
-    """Station-level outer join of the parts. Slice the parts first: the result is their product."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, ["STATION"], "outer")
-    return out
+    """Station-level outer join of the parts, the largest first: its hot stations can be split.
+
+    The result of detail parts is their product per station, so slice or aggregate them first.
+    """
+    return outer_chain(list(parts), ["STATION"])
 
 
 def codo_agg(factors: StationFactors, run: RunContext | None = None) -> DataFrame:
     """The 31-column wide table as a lazy join over the parts.
 
     Meant to be filtered: predicates on station, material, tank, meter or dates are pushed into
-    the part they belong to. Use the summaries below for whole-table figures.
+    the scans of the parts they belong to. Use the summaries below for whole-table figures.
     """
     wide = station_wide(factors.orders, factors.tanks, factors.meters).select(*CODO_AGG)
     wide = with_months(wide)
@@ -215,11 +215,12 @@ def station_volume_by_day(f: StationFactors) -> DataFrame:
         F.count(F.lit(1)).alias("ORDER_GROUPS"), F.sum("_no").alias("_no"), F.max("_sold").alias("_sold")
     )
     wide = station_wide(_day_groups(f), _tank_groups(f), orders)
-    return wide.select(
-        "STATION", "SALES_DATE", "TOTAL_STATION_CAPACITY", "ORDER_GROUPS",
-        (F.col("_v") * _times("_no", "_nt")).alias("TOTAL_VOLUME_SOLD"),
-        F.col("_v").alias("VOLUME_PER_ORDER_AND_TANK"),
-        F.col("_sold").alias("TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY"),
+    # Rows without a station never match each other in the join; the last grouping folds them.
+    return wide.groupBy("STATION", "SALES_DATE", "TOTAL_STATION_CAPACITY").agg(
+        F.max("ORDER_GROUPS").alias("ORDER_GROUPS"),
+        F.sum(F.col("_v") * _times("_no", "_nt")).alias("TOTAL_VOLUME_SOLD"),
+        F.sum("_v").alias("VOLUME_PER_ORDER_AND_TANK"),
+        F.max("_sold").alias("TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY"),
     )
 
 

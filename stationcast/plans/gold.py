@@ -36,19 +36,47 @@ def codo_gold(spark: SparkSession, lake: Lake, run: RunContext, start: int, end:
 
 
 def create_wide_view(spark: SparkSession, database: str = "default") -> None:
-    """The 31-column table as a view; filters on it reach the part tables."""
-    names = ", ".join(sc.CODO_AGG)
+    """The 31-column table as a view over its parts.
+
+    Written as left joins plus the unmatched rows of each part, like the library's outer join, so
+    filters on the view reach the scans of the parts.
+    """
+    names = {p: [c for c in spark.table(f"{database}.codo_agg_{p}").columns if c != "STATION"] for p in PARTS}
+    o, t, m = (f"{database}.codo_agg_{p}" for p in PARTS)
+    own = {p: [c for c in names[p] if c not in sc.AUDIT_COLUMNS] for p in PARTS}
+
+    def nulls(part: str) -> str:
+        return ", ".join(f"NULL AS {c}" for c in own[part])
+
+    def cols(part: str) -> str:
+        return ", ".join(own[part])
+
+    def stamp(*sides: str) -> str:
+        if len(sides) == 1:
+            return ", ".join(f"{sides[0]}.{c} AS {c}" for c in sc.AUDIT_COLUMNS)
+        return ", ".join(f"coalesce({', '.join(f'{s}.{c}' for s in sides)}) AS {c}" for c in sc.AUDIT_COLUMNS)
+
     spark.sql(f"""
         CREATE OR REPLACE VIEW {database}.codo_agg_feature_store AS
-        SELECT {names},
+        WITH ot AS (
+            SELECT o.STATION, {cols("orders")}, {cols("tanks")}, {stamp("o", "t")}
+            FROM {o} o LEFT JOIN {t} t ON o.STATION = t.STATION
+            UNION ALL
+            SELECT t.STATION, {nulls("orders")}, {cols("tanks")}, {stamp("t")}
+            FROM {t} t LEFT ANTI JOIN (SELECT DISTINCT STATION FROM {o}) k ON t.STATION = k.STATION
+        ), wide AS (
+            SELECT a.STATION, {cols("orders")}, {cols("tanks")}, {cols("meters")}, {stamp("a", "m")}
+            FROM ot a LEFT JOIN {m} m ON a.STATION = m.STATION
+            UNION ALL
+            SELECT m.STATION, {nulls("orders")}, {nulls("tanks")}, {cols("meters")}, {stamp("m")}
+            FROM {m} m LEFT ANTI JOIN
+                 (SELECT STATION FROM {o} UNION SELECT STATION FROM {t}) k ON m.STATION = k.STATION
+        )
+        SELECT {", ".join(sc.CODO_AGG)},
                year(SALES_DATE) * 100 + month(SALES_DATE) AS SALES_MONTH,
                year(DELIVERY_DATE) * 100 + month(DELIVERY_DATE) AS DELIVERY_MONTH,
-               coalesce(o.RUN_DATE_ID, t.RUN_DATE_ID, m.RUN_DATE_ID) AS RUN_DATE_ID,
-               coalesce(o.INSERT_LOAD_TIME_ID, t.INSERT_LOAD_TIME_ID, m.INSERT_LOAD_TIME_ID) AS INSERT_LOAD_TIME_ID,
-               coalesce(o.INSERT_LOAD_TIME, t.INSERT_LOAD_TIME, m.INSERT_LOAD_TIME) AS INSERT_LOAD_TIME
-        FROM {database}.codo_agg_orders o
-        FULL OUTER JOIN {database}.codo_agg_tanks t USING (STATION)
-        FULL OUTER JOIN {database}.codo_agg_meters m USING (STATION)
+               {", ".join(sc.AUDIT_COLUMNS)}
+        FROM wide
     """)
 
 
