@@ -2,7 +2,7 @@
 
 import pytest
 
-from checks import demand, feeds_and_shape, text_and_forecast  # noqa: F401
+from checks import demand, feeds_and_shape, layers_and_streams, text_and_forecast  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 from tools.compare import compare, connect
 
