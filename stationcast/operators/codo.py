@@ -118,11 +118,16 @@ class StationFactors:
     meters: DataFrame
 
 
-def codo_factors(deliveries: DataFrame, stock: DataFrame, meter: DataFrame) -> StationFactors:
+def codo_factors(deliveries: DataFrame, stock: DataFrame, meter: DataFrame, exact: bool = True) -> StationFactors:
+    """The parts of the wide table; ``exact=False`` replaces the medians by approximate ones.
+
+    Every scarcity row comes from the deliveries the orders are counted from, so a left join is
+    already the full outer join here.
+    """
     return StationFactors(
-        orders=scarcity_with_orders(scarcity(deliveries, meter), order_counts(deliveries)),
+        orders=order_counts(deliveries).join(scarcity(deliveries, meter), ["STATION", "MATERIAL"], "left"),
         tanks=station_tanks(stock),
-        meters=daily_with_profile(daily_sales(meter), meter_profile(meter)),
+        meters=daily_with_profile(daily_sales(meter), meter_profile(meter, exact)),
     )
 
 
@@ -134,6 +139,11 @@ def station_wide(*parts: DataFrame) -> DataFrame:
     return outer_chain(list(parts), ["STATION"])
 
 
+def _per_station(*parts: DataFrame) -> DataFrame:
+    """Outer join of frames with one row per station."""
+    return outer_chain(list(parts), ["STATION"], bounded=True)
+
+
 def codo_agg(factors: StationFactors, run: RunContext | None = None) -> DataFrame:
     """The 31-column wide table as a lazy join over the parts.
 
@@ -200,7 +210,7 @@ def station_volume_by_order(f: StationFactors) -> DataFrame:
     days = _day_groups(f).groupBy("STATION").agg(
         F.count("SALES_DATE").alias("SALES_DAYS"), F.sum("_v").alias("_v"), F.max("_v").alias("_peak")
     )
-    wide = station_wide(_order_groups(f, "CURRENT_DELIVERY_DATE"), _tank_groups(f), days)
+    wide = station_wide(_order_groups(f, "CURRENT_DELIVERY_DATE"), _per_station(_tank_groups(f), days))
     return wide.select(
         "STATION", "MATERIAL", "CURRENT_DELIVERY_DATE", "TOTAL_STATION_CAPACITY", "QUANTITY", "SALES_DAYS",
         (F.col("_v") * _times("_no", "_nt")).alias("TOTAL_VOLUME_SOLD"),
@@ -214,7 +224,7 @@ def station_volume_by_day(f: StationFactors) -> DataFrame:
     orders = _order_groups(f, "CURRENT_DELIVERY_DATE").groupBy("STATION").agg(
         F.count(F.lit(1)).alias("ORDER_GROUPS"), F.sum("_no").alias("_no"), F.max("_sold").alias("_sold")
     )
-    wide = station_wide(_day_groups(f), _tank_groups(f), orders)
+    wide = station_wide(_day_groups(f), _per_station(_tank_groups(f), orders))
     # Rows without a station never match each other in the join; the last grouping folds them.
     return wide.groupBy("STATION", "SALES_DATE", "TOTAL_STATION_CAPACITY").agg(
         F.max("ORDER_GROUPS").alias("ORDER_GROUPS"),
@@ -229,7 +239,7 @@ def station_volume_max_by_order(f: StationFactors) -> DataFrame:
     days = _day_groups(f).groupBy("STATION").agg(
         F.count("SALES_DATE").alias("SALES_DAYS"), F.max("_top").alias("_top")
     )
-    wide = station_wide(_order_groups(f, "DELIVERY_DATE"), _tank_groups(f), days)
+    wide = station_wide(_order_groups(f, "DELIVERY_DATE"), _per_station(_tank_groups(f), days))
     return wide.select(
         "STATION", "MATERIAL", "DELIVERY_DATE", "TOTAL_STATION_CAPACITY", "QUANTITY", "SALES_DAYS",
         F.col("_top").alias("TOTAL_VOLUME_SOLD"),
@@ -251,7 +261,7 @@ def station_wide_summary(f: StationFactors) -> DataFrame:
         F.min("SALES_DATE").alias("FIRST_SALES_DATE"), F.max("SALES_DATE").alias("LAST_SALES_DATE"),
         F.max("MAX_VOLUME_PRODUCT_SOLD").alias("MAX_VOLUME_PRODUCT_SOLD"),
     )
-    return station_wide(orders, tanks, meters).select(
+    return _per_station(orders, tanks, meters).select(
         "STATION", _times("_no", "_nt", "_nm").alias("WIDE_ROWS"),
         (F.col("_orders") * _times("_nt", "_nm")).alias("COUNT_OF_NEW_ORDERS"),
         (F.col("_dips") * _times("_no", "_nm")).alias("MAX_DEEP_READING"),

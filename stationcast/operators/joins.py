@@ -10,39 +10,65 @@ from pyspark.sql import functions as F
 from ..functions.columns import _c
 
 
+def _any_null(cols: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, [c.isNull() for c in cols])
+
+
+def _not_in(rows: DataFrame, keys: DataFrame, on) -> DataFrame:
+    """Anti join against distinct keys, written as a marked left join: Spark pushes an anti join
+    below projections, and then its shuffle of ``rows`` no longer equals the other join's."""
+    marked = keys.withColumn("_seen", F.lit(True))
+    return rows.join(marked, on, "left").where(F.col("_seen").isNull()).drop("_seen")
+
+
 def outer_chain(frames: list[DataFrame], on: list[str], bounded: bool = False) -> DataFrame:
     """Full outer join of several frames on the same columns, keys coalesced.
 
     Spark's full outer sort-merge join runs every hot key, and every null key, in a single task
     and AQE may not split it. So unless the caller knows the rows per key are bounded, each step
-    is written as a left join, whose hot partitions AQE does split, plus the unmatched rows of
-    the other side found by an anti join against the distinct keys seen so far.
+    is written as an inner join, which AQE splits on whichever side is hot, plus the rows of
+    either side whose key is not among the other's distinct keys. All of them read each side
+    through one reused shuffle. Rows with a null key match nothing and skip the joins.
     """
     if bounded:
         return reduce(lambda a, b: a.join(b, on, "outer"), frames)
-    out = frames[0]
-    seen = [out.select(*on).distinct()]
-    for nxt in frames[1:]:
-        known = seen[0] if len(seen) == 1 else reduce(DataFrame.union, seen).distinct()
-        unmatched = nxt.join(known, on, "left_anti")
-        out = out.join(nxt, on, "left").unionByName(unmatched, allowMissingColumns=True)
-        seen.append(nxt.select(*on).distinct())
-    return out
+    no_key = _any_null([F.col(c) for c in on])
+    # Joining on a hash as well as the keys makes sorting compare longs, and a hash recomputed per
+    # step gives it a shuffle of its own: AQE splits a join only if the next one does not rely on
+    # its partitioning.
+    hashed, mark = ["_h", *on], F.xxhash64(*on)
+    keyed = [f.where(~no_key).withColumn("_h", mark) for f in frames]
+    keys = [f.select(*hashed).distinct() for f in keyed]
+    out = keyed[0]
+    for i, nxt in enumerate(keyed[1:], 1):
+        known = keys[0] if i == 1 else reduce(DataFrame.union, keys[:i]).distinct()
+        step = _stack([out.join(nxt, hashed, "inner"), _not_in(out, keys[i], hashed), _not_in(nxt, known, hashed)])
+        out = step.drop("_h").withColumn("_h", mark)
+    return _stack([out.drop("_h"), *[f.where(no_key) for f in frames]])
+
+
+def _stack(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def outer_on(
-    left: DataFrame, right: DataFrame, lkey: Column, rkey: Column, keys_from: DataFrame | None = None
+    left: DataFrame, right: DataFrame, lkey: Column, rkey: Column,
+    left_keys: DataFrame | None = None, right_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Full outer join on one expression per side, both sides' columns kept.
+    """Full outer join on one expression per side, both sides' columns kept; see ``outer_chain``.
 
-    ``keys_from`` may name a cheaper frame with the same set of left keys.
+    ``left_keys`` and ``right_keys`` may name cheaper frames with the same sets of keys.
     """
     a = left.withColumn("_lk", lkey)
     b = right.withColumn("_rk", rkey)
     cond = F.col("_lk") == F.col("_rk")
-    keys = (left if keys_from is None else keys_from).select(lkey.alias("_lk")).distinct()
-    unmatched = b.join(keys, cond, "left_anti")
-    return a.join(b, cond, "left").unionByName(unmatched, allowMissingColumns=True).drop("_lk", "_rk")
+    ka, kb = a.where("_lk IS NOT NULL"), b.where("_rk IS NOT NULL")
+    of_left = (left if left_keys is None else left_keys).select(lkey.alias("_lk")).where("_lk IS NOT NULL").distinct()
+    of_right = (right if right_keys is None else right_keys).select(rkey.alias("_rk")).where("_rk IS NOT NULL").distinct()
+    return _stack([
+        ka.join(kb, cond, "inner"), _not_in(ka, of_right, cond).drop("_rk"), _not_in(kb, of_left, cond).drop("_lk"),
+        a.where("_lk IS NULL"), b.where("_rk IS NULL"),
+    ]).drop("_lk", "_rk")
 
 
 def anti_trim(new: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:

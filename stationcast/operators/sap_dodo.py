@@ -23,7 +23,7 @@ def sap_full_dodo(sap: DataFrame, dodo: DataFrame) -> DataFrame:
     d = dodo.drop(*AUDIT_COLUMNS).dropDuplicates()
     shared = [c for c in d.columns if c in s.columns]
     d = d.withColumnsRenamed({c: f"DODO_{c}" for c in shared})
-    return outer_on(s, d, F.trim("SALES_QUOTATION"), F.trim("SAP_QUOTATION_NUMBER"), keys_from=sap)
+    return outer_on(s, d, F.trim("SALES_QUOTATION"), F.trim("SAP_QUOTATION_NUMBER"), left_keys=sap, right_keys=dodo)
 
 
 def tolerance_band(df: DataFrame, tolerance: float = 0.05) -> DataFrame:
