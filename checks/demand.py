@@ -8,7 +8,6 @@ from stationcast import schemas as sc
 from stationcast.operators import aggregates as ag
 from stationcast.operators import codo
 from stationcast.operators import deliveries as dl
-from stationcast.operators import joins as jn
 from stationcast.operators import ordering as od
 from stationcast.operators import sap_dodo as sd
 from stationcast.plans import adhoc
@@ -160,7 +159,7 @@ def _low(df):
 def _dealer_trucks(spark, sf):
     c = v.table(spark, sf, "customer")
     o = v.table(spark, sf, "orders")
-    return o.join(c, o.o_custkey == c.c_custkey).select(F.upper(v._dealer_name()).alias("station"), F.col("o_shippriority") if "o_shippriority" in o.columns else F.lit(1).alias("quantity"))
+    return o.join(c, o.o_custkey == c.c_custkey).select(F.upper(v._dealer_name()).alias("station"), F.lit(1).alias("quantity"))
 
 
 # Counts and sums over the pairs, each side aggregated before the join.

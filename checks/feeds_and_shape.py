@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from stationcast import schemas as sc
 from stationcast.functions import columns as fx
 from stationcast.operators import aggregates as ag
-from stationcast.operators import articles as art
 from stationcast.operators import cleaning as cl
-from stationcast.operators import deliveries as dl
 from stationcast.operators import filters as fl
 from stationcast.operators import shaping as sh
 from stationcast.sources import documents as docs

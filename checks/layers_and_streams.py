@@ -11,14 +11,12 @@ from stationcast.operators import articles as art
 from stationcast.operators import cleaning as cl
 from stationcast.operators import shaping as sh
 from stationcast.plans import ingest
-from stationcast.plans import sentiment as sent
 from stationcast.plans.lake import Lake
 from stationcast.sources import feeds
 from stationcast.sources import layers as ly
 from stationcast.streaming import landing as stream
 
 from . import views as v
-from .feeds_and_shape import dodo
 from .registry import check
 from .scratch import fresh
 from .views import AUDIT_SQL, RUN, ctes

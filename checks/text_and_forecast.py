@@ -13,7 +13,6 @@ from stationcast.operators import joins as jn
 from stationcast.operators import ordering as od
 from stationcast.plans import forecasts as plan
 from stationcast.plans import sentiment as sent
-from stationcast import schemas as sc
 
 from . import views as v
 from .demand import DAILY_PRODUCT_SQL, RAW_SQL, SAP_DODO_SQL, codo_raw, sap_dodo_features

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLACK = 0.002
-ACCURACY = 10000
+SLACK = 0.003
+ACCURACY = 4000
 
 
 def exact_medians(
@@ -17,9 +17,9 @@ def exact_medians(
     """Exact median of each column (source -> output name) per key, next to ``extra`` aggregates.
 
     Spark's ``median`` buffers all distinct values of a group in one task. Here a mergeable
-    sketch first brackets each median between two values (rank error 1/10000, bracket twenty
+    sketch first brackets each median between two values (rank error 1/4000, bracket twelve
     times wider). Values below the bracket collapse into one counted row and values above are
-    dropped, both map-side; only the distinct values inside the bracket, about 0.4 % of a group,
+    dropped, both map-side; only the distinct values inside the bracket, about 0.6 % of a group,
     are ranked. A bracket that misses its median would fail the job rather than answer wrongly.
     """
     cols = list(medians)

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas as sc
 from ..operators.cleaning import (

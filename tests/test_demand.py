@@ -1,6 +1,5 @@
 from datetime import date, timedelta
 
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

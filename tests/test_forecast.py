@@ -3,7 +3,6 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from stationcast.operators import forecast as fc
 from stationcast.run import at
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from stationcast import schemas as sc
-from stationcast.operators.shaping import with_audit
 from stationcast.plans import ingest
 from stationcast.run import at
 from stationcast.sources.layers import write_replace
