@@ -2,7 +2,8 @@
 
 Bronze keeps the day's text under normalised headers; silver applies the typed contract. Both are
 partitioned by business date and replace exactly the dates a batch contains, so late files and
-replays are handled by running their day again. Rows without a business date share one partition.
+replays are handled by running their day again. Rows without a business date share one partition,
+in which a file only replaces its own rows.
 """
 
 from __future__ import annotations
@@ -86,9 +87,9 @@ def load_feed(spark: SparkSession, lake: Lake, feed: sc.Feed, run: RunContext, s
     bronze = to_bronze(read_landing(spark, feed, lake.landing(), start, end), feed, run)
     if bronze.isEmpty():
         return False
-    write_replace(bronze, lake.bronze(feed.name), feed.date_column)
+    write_replace(bronze, lake.bronze(feed.name), feed.date_column, "FILE_NAME")
     loaded = read_layer(spark, lake.bronze(feed.name), run_date=run.run_date_id)
-    write_replace(to_silver(loaded, feed, run), lake.silver(feed.name), feed.date_column)
+    write_replace(to_silver(loaded, feed, run), lake.silver(feed.name), feed.date_column, "FILE_NAME")
     return True
 
 

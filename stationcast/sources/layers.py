@@ -60,11 +60,26 @@ def write_full(df: DataFrame, path: str, by: str | None = None) -> None:
     _writer(df, by).option("partitionOverwriteMode", "static").mode("overwrite").parquet(path)
 
 
-def write_replace(df: DataFrame, path: str, by: str) -> None:
-    """Replace only the partitions present in this batch; running a day again changes nothing."""
+def write_replace(df: DataFrame, path: str, by: str, lineage: str | None = None) -> None:
+    """Replace only the partitions present in this batch; running a day again changes nothing.
+
+    Rows without a business date share one partition. With ``lineage``, the column naming each
+    row's file, that partition keeps the rows of files that are not part of this batch.
+    """
+    if lineage is not None:
+        df = _keep_undated(df, path, by, lineage)
     _writer(df, by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
+def _keep_undated(df: DataFrame, path: str, by: str, lineage: str) -> DataFrame:
+    table = read_layer_or_none(df.sparkSession, path)
+    if table is None:
+        return df
+    undated = table.where(F.col(by).isNull()).withColumn(by, F.lit(None).cast(df.schema[by].dataType))
+    others = undated.join(df.select(lineage).distinct(), lineage, "left_anti")
+    return df.unionByName(others.select(*df.columns))
+
+
 def append_new(df: DataFrame, gold_path: str, keys: list[str], by: str | None = None) -> None:
     """Append rows whose keys the table does not hold yet."""
     gold = read_layer_or_none(df.sparkSession, gold_path)

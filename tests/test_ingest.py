@@ -63,6 +63,13 @@ def test_trucks_twice_and_partitions(spark, lake):
     assert ingest.codo_trucks(spark, lake, RUN2, date(2023, 1, 8), date(2023, 1, 8))
     assert sorted(r.RECORD_ID for r in silver().collect()) == ["1", "2", "3", "5"]
 
+    # Undated rows of another file join the ones already there, and replays do not repeat them.
+    put(landing(lake, sc.CODO_TRUCKS, "20230109"), sc.CODO_TRUCKS.headers, ["6,New,PMS,7,OK,,08/01/2023 10:00"])
+    for _ in range(2):
+        assert ingest.codo_trucks(spark, lake, RUN2, date(2023, 1, 9), date(2023, 1, 9))
+    assert sorted(r.RECORD_ID for r in silver().collect()) == ["1", "2", "3", "5", "6"]
+    assert silver().where("DELIVERY_DATE IS NULL").count() == 2
+
 
 def test_no_files_is_no_op(spark, lake):
     Path(lake.landing(sc.PDO_LOADING.name)).mkdir(parents=True)
