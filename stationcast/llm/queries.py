@@ -137,3 +137,57 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.url_rules import judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS MATERIALIZED (SELECT *, regexp_extract_all(text, '{WORD_SQL}') AS words,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD_SQL}')) AS lines FROM d),
+grams AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram FROM w, LATERAL (SELECT unnest(range(1, len(words) - 1)) AS i)),
+hot AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM hot, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+m AS MATERIALIZED (SELECT w.doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
+r AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  coalesce(n_symbols::DOUBLE / nullif(n_words, 0), 0) AS r1, coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0) AS r2, coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0) AS r3,
+  coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0) AS r4, coalesce(n_upper::DOUBLE / nullif(word_chars, 0), 0) AS r5 FROM m),
+long AS (SELECT lang, source, unnest([1, 2, 3, 4, 5]) AS k, unnest([r1, r2, r3, r4, r5]) AS v FROM r WHERE NOT base_failed),
+q AS (SELECT k, lang, source, grouping(lang) AS gl, grouping(source) AS gs, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
+  FROM long GROUP BY GROUPING SETS ((k, lang, source), (k, lang), (k))),
+f AS (SELECT k, lang, source, gl, gs, n, q1, q3, greatest(q3 - q1, [0.05::DOUBLE, 0.5, 0.1, 0.05, 0.05][k]) * 3 AS wide FROM q),
+cut AS (SELECT own.k, own.lang, own.source, CASE WHEN own.n >= 100 THEN own.q1 - own.wide WHEN l.n >= 100 THEN l.q1 - l.wide ELSE a.q1 - a.wide END AS low,
+  CASE WHEN own.n >= 100 THEN own.q3 + own.wide WHEN l.n >= 100 THEN l.q3 + l.wide ELSE a.q3 + a.wide END AS high
+  FROM f own JOIN f l ON own.k = l.k AND own.lang IS NOT DISTINCT FROM l.lang JOIN f a ON own.k = a.k
+  WHERE own.gl = 0 AND own.gs = 0 AND l.gl = 0 AND l.gs = 1 AND a.gl = 1 AND a.gs = 1),
+bad AS (SELECT DISTINCT doc_id FROM r JOIN cut ON r.lang IS NOT DISTINCT FROM cut.lang AND r.source IS NOT DISTINCT FROM cut.source
+  WHERE [r1, r2, r3, r4, r5][k] > high OR (k = 2 AND r2 < low))
+SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
+FROM r LEFT JOIN bad ON r.doc_id = bad.doc_id
+"""
+
+
+@query("op2_quality_rules", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.quality import judge
+
+    found = judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op6_toxic_passages")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm import toxicity as X
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = X.learn(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    rows = X.scored(docs, model, keep=("doc_id",))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return rows.select("doc_id", X.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"), "evidence", "passages")
+
+
+@query("op9_main_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.density import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
