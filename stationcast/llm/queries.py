@@ -191,3 +191,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.density import extract_main_text
 
     return extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query("op4_bit_sliced_top_k", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.bitsliced import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
