@@ -206,3 +206,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.bitsliced import top_k
 
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
