@@ -213,3 +213,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP5_SQL = rf"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '{WORD_SQL}'),
+  lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(gram) AS h FROM (
+  SELECT doc_id, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram FROM w, LATERAL (SELECT unnest(range(1, len(words) - 1)) AS i) WHERE len(words) >= 3
+  UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 2)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))),
+reach AS (SELECT doc_id AS u, doc_id AS label FROM w UNION SELECT link.v, reach.label FROM reach JOIN link ON link.u = reach.u)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(label) FROM reach WHERE reach.u = w.doc_id) AS component_id,
+  (SELECT count(*) FROM link WHERE link.u = w.doc_id)::BIGINT AS n_links FROM w LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op5_similar_documents", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.jaccard import similarity_join
+
+    return similarity_join(table(spark, sf_dir, "documents", "doc_id", "text")).drop("component")
