@@ -2,7 +2,7 @@
 
 1. A document's set is its distinct k-word shingles, as 64-bit hashes. Equal sets are one class.
 2. Shingles are ordered rarest first, by the counts of a fixed-size sketch over all documents, then by hash. Two similar
-   sets share `SHARED` shingles within their prefixes. Classes with equal prefix and size are one group, so the join
+   sets share `SHARED` shingles (or all that sets so small can share) within their prefixes. Classes with equal prefix and size are one group, so the join
    below works on groups.
 3. Groups that share enough shingles of their prefixes, sizes allowing, are candidates. Where few groups share a
    shingle, their pairs are counted; where many do, all of them are tied to the smallest, without pairs.
@@ -166,7 +166,9 @@ def families(groups: DataFrame, percent: int) -> DataFrame:
     few = entries.filter(F.col("sharing") <= PAIRED).select("token", "gid", "n")
     other = few.select("token", F.col("gid").alias("gid2"), F.col("n").alias("n2"))
     fits = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.col("gid") < F.col("gid2"))
-    pairs = few.join(other, "token").filter(fits).groupBy("gid", "gid2").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= SHARED)
+    larger = F.greatest("n", "n2")
+    enough = F.least(F.lit(SHARED), F.ceil(larger * percent / 100))  # sets so small that they cannot share more
+    pairs = few.join(other, "token").filter(fits).groupBy("gid", "gid2").agg(F.count(F.lit(1)).alias("c"), F.max(enough).alias("enough")).filter("c >= enough")
     stars = entries.filter((F.col("sharing") > PAIRED) & (F.col("gid") > F.col("leader"))).select("gid", "leader").distinct()
     edges = pairs.select(F.col("gid").alias("u"), F.col("gid2").alias("v")).unionByName(stars.select(F.col("gid").alias("u"), F.col("leader").alias("v")))
     return components(edges).select(F.col("node").alias("gid"), F.col("label").alias("family"))

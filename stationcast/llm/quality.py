@@ -87,10 +87,10 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text", prefix: str =
 
 def ratios(prefix: str = "") -> dict[str, Column]:
     c = lambda name: F.col(prefix + name).cast("double")
-    words, lines = F.nullif(c("n_words"), F.lit(0.0)), F.nullif(c("n_lines"), F.lit(0.0))
+    words, lines, chars = (F.nullif(c(name), F.lit(0.0)) for name in ("n_words", "n_lines", "word_chars"))
     found = {
         "symbol_rate": c("n_symbols") / words, "word_length": c("word_chars") / words, "dup_line_rate": c("n_dup_lines") / lines,
-        "repeat_rate": c("n_repeat_words") / words, "upper_rate": c("n_upper") / c("word_chars"),
+        "repeat_rate": c("n_repeat_words") / words, "upper_rate": c("n_upper") / chars,
     }
     return {k: F.coalesce(v, F.lit(0.0)) for k, v in found.items()}
 

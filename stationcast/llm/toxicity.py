@@ -1,12 +1,12 @@
 """Toxic passages as maximum-scoring segments, and a toxicity score per document.
 
 Learning, on a bounded sample of labelled rows (`sample` rows at most, the same on each run; never a held-out row):
-copies are thinned to one row per smallest shingle hash, then each feature (a word, or its first 4 to 7 bytes if it
-words) is counted in toxic and clean texts. Its weight is the difference of the log-odds with a Dirichlet prior
+copies are thinned to one row per smallest shingle hash, then each feature (a word, or the first 4 to 7 bytes of
+longer ones) is counted in toxic and clean texts. Its weight is the difference of the log-odds with a Dirichlet prior
 proportional to the feature's overall rate. Only features whose surplus in toxic texts is no chance finding among
 all features count (Chernoff bound below `chance` divided by the number of features); any other word costs `gap`.
 
-Scoring, on every whole text in its row: the maximal-scoring segments of the sequence of word weights (Ruzzo and
+Scoring, on every whole text in its row (the n-th occurrence of a word weighs 1 / n^2 of the first): the maximal-scoring segments of the sequence of word weights (Ruzzo and
 Tompa's linear scan) are the passages. By extreme-value theory a passage of score S in a text of n words has
 E = n exp(-lambda S), lambda being the solution of sum p exp(lambda s) = 1 over the clean word rates. Passages with
 E below `significant` are reported. A text's evidence is the tail probability of the sum of their normalised scores,
@@ -40,8 +40,8 @@ GAP = 0.02
 SIGNIFICANT = 0.01
 STEMS = (4, 5, 6, 7)
 
-#: Bytes that end a word: ASCII other than letters, the apostrophe excepted. Letters beyond ASCII stay.
-_BREAK = bytes(c if c >= 128 or chr(c).isalpha() or c == 39 else 32 for c in range(256))
+#: Bytes that end a word: ASCII other than letters, digits and the apostrophe. Characters beyond ASCII stay.
+_BREAK = bytes(c if c >= 128 or chr(c).isalnum() or c == 39 else 32 for c in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -97,13 +97,14 @@ class Model:
     def passages(self, text: str | None, known: dict[bytes, float]) -> tuple[int, list[tuple[int, int, float, float]]]:
         """(words, significant passages as first word, end, score, E). known: weights of words seen before, 0 for none."""
         words = words_of(text)
-        hits = []
+        hits, times = [], {}
         for i, w in enumerate(words):
             s = known.get(w)
             if s is None:
                 s = known[w] = self.weight(w)
             if s:
-                hits.append((i, s))
+                n = times[w] = times.get(w, 0) + 1
+                hits.append((i, s / (n * n)))  # a text that repeats itself says a thing once
         if not hits:
             return len(words), []
         scores, places = [], []
@@ -136,17 +137,11 @@ class Model:
 # ---------------------------------------------------------------- learning
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, toxic, words) once per text, from (toxic, text)."""
+    """(feature, toxic) once per text, from (toxic, text)."""
     for batch in batches:
         for toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
-            counts: dict[bytes, int] = {}
-            for w in words_of(text):
-                for f in (w, *stems_of(w)):
-                    counts[f] = counts.get(f, 0) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()), pa.array([toxic] * len(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())],
-                ["feature", "toxic", "words"],
-            )
+            found = {f for w in set(words_of(text)) for f in (w, *stems_of(w))}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([toxic] * len(found), pa.int32())], ["feature", "toxic"])
 
 
 def _shingle_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,10 +156,27 @@ def _shingle_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], ["key", "toxic", "text"])
 
 
-def _decay(weights: dict[bytes, float], rates: dict[bytes, float], gap: float) -> float:
-    """The positive solution of sum p exp(lambda s) = 1."""
-    s = np.array([*weights.values(), -gap])
-    p = np.array([*(rates[f] for f in weights), 0.0])
+def _tally(model: Model):
+    """(toxic, weight, words) from (toxic, text): how many words of the texts have which weight, 0 being all others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[int, float], int] = {}
+        for batch in batches:
+            for toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for w in words_of(text):
+                    key = toxic, model.weight(w)
+                    counts[key] = counts.get(key, 0) + 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([t for t, _ in counts], pa.int32()), pa.array([w for _, w in counts], pa.float64()), pa.array(list(counts.values()), pa.int64())],
+            ["toxic", "weight", "words"],
+        )
+
+    return run
+
+
+def _decay(rates: dict[float, float], gap: float) -> float:
+    """The positive solution of sum p exp(lambda s) = 1, for the rates p of the weights s; all other words score -gap."""
+    s, p = np.array([*rates, -gap]), np.array([*rates.values(), 0.0])
     p[-1] = max(1.0 - p.sum(), 1e-9)
     if (p * s).sum() >= 0:
         return 1e-3
@@ -205,27 +217,32 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, prior: fl
     n1, n0 = rows.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not n1 or not n0:
         return Model(curve=(math.log((n1 + 0.5) / (n0 + 0.5)) if n1 + n0 else -1.0, 0.0), gap=gap)
-    counted = map_arrow(rows, _features, "feature binary, toxic int, words long").groupBy("feature").agg(
-        F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"),
-        F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("words"))), F.lit(0)).alias("clean_words"),
+    counted = map_arrow(rows, _features, "feature binary, toxic int").groupBy("feature").agg(
+        F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")
     )
     counted = written(counted, "toxicity-features")
-    features, clean_words = counted.agg(F.count(F.lit(1)), F.sum(F.when(~F.endswith("feature", F.lit(b"*")), F.col("clean_words")))).first()
+    features = counted.count()
     share, a, b = n1 / (n1 + n0), F.col("a").cast("double"), F.col("b").cast("double")
     surplus = a * F.ln(a / ((a + b) * share)) + F.when(b > 0, b * F.ln(b / ((a + b) * (1 - share)))).otherwise(0.0)
     significant = counted.filter((a > (a + b) * share) & (surplus >= math.log(features / chance)))
-    weights, rates = {}, {}
+    weights = {}
     for r in significant.collect():  # a subset of the sample's features
         extra = prior * (r.a + r.b) / (n1 + n0)
         odds = lambda x, n: math.log((x + extra) / max(n + prior - x - extra, 0.5))
         weights[bytes(r.feature)] = odds(r.a, n1) - odds(r.b, n0)
-        rates[bytes(r.feature)] = (r.clean_words + extra) / ((clean_words or 0) + prior)
-    weights = {f: w for f, w in weights.items() if w > 0}
-    if not weights:
+    model = Model({f: w for f, w in weights.items() if w > 0}, gap=gap)
+    if not model.weights:
         return Model(curve=(math.log((n1 + 0.5) / (n0 + 0.5)), 0.0), gap=gap)
-    model = Model(weights, _decay(weights, {f: rates[f] for f in weights}, gap), gap=gap)
+    tally = map_arrow(rows, _tally(model), "toxic int, weight double, words long").groupBy("toxic", "weight").agg(F.sum("words").alias("words"))
+    words: tuple[dict, dict] = ({}, {})
+    for r in tally.collect():  # a row per class and weight
+        words[r.toxic][r.weight] = r.words
+    clean, toxic = (max(sum(x.values()), 1) for x in words)
+    # the clean rate of a weight, with the prior spread as toxic texts have it
+    rates = {w: (words[0].get(w, 0) + prior * words[1].get(w, 0) / toxic) / (clean + prior) for w in {*words[0], *words[1]} if w > 0}
+    model = Model(model.weights, _decay(rates, gap), gap=gap)
     pairs = np.array([tuple(r) for r in scored(rows, model, keep=("toxic",)).select("evidence", "toxic").collect()], float).reshape(-1, 2)
-    return Model(weights, model.decay, _curve(pairs[:, 0], pairs[:, 1]), gap)
+    return Model(model.weights, model.decay, _curve(pairs[:, 0], pairs[:, 1]), gap)
 
 
 # ---------------------------------------------------------------- scoring

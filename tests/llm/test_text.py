@@ -1,0 +1,228 @@
+"""Quality rules, toxicity, main text and URL rules."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from helpers import awkward, empty, frame, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stationcast.llm import density, quality, toxicity, url_rules
+from stationcast.llm.support import WORD, map_arrow
+
+
+def test_batches_are_bounded(spark):
+    df = spark.range(40).selectExpr("id", "repeat('x', 1000000) AS text").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    found = [r.n for r in map_arrow(df, sizes, "n long").collect()]
+    assert sum(found) == 40 and max(found) <= 6
+
+
+# ---------------------------------------------------------------- quality
+
+def brute_measures(text):
+    text = text or ""
+    w = re.findall(WORD, text)
+    grams = Counter(zip(w, w[1:], w[2:]))
+    hit = {i + j for i, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for j in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(WORD, line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab \n\t\x0b\x0c\r\x1c\x85\xa0 #é😀A", max_size=60))
+def test_measures(text):
+    assert quality.measure(text)[:5] == brute_measures(text)
+
+
+def test_quality_verdicts(spark):
+    rng = random.Random(2)
+    rows = [(i, words(rng, 80, 9000), "en" if i % 2 else "de", f"s{i % 4}", 0, 0, 0.0, "k") for i in range(300)]
+    junk = [(1000, " ".join(f"w{i}###" for i in range(90))), (1001, "same words again here\n" * 40), (1002, words(rng, 49, 9000)), (1003, " ".join("x" * 40 + str(i) for i in range(80)))]
+    rows += [(i, t, "en", "s1", 0, 0, 0.0, "k") for i, t in junk]
+    lone = [(2000, words(rng, 80, 9000), None, "only", 0, 0, 0.0, "k"), (2001, None, None, None, 0, 0, 0.0, "k")]
+    got = {r.doc_id: r for r in quality.judge(frame(spark, rows + lone)).collect()}
+    assert not any(got[i].kept for i in (1000, 1001, 1002, 1003, 2001)) and got[1001].base_failed and got[1002].base_failed and not got[1000].base_failed
+    assert all(got[i].kept for i in range(300)) and got[2000].kept
+    kept = quality.kept_documents(frame(spark, rows + lone))
+    assert kept.columns == frame(spark).columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
+    assert quality.judge(empty(spark)).count() == 0 and quality.kept_documents(empty(spark)).count() == 0
+    again = quality.judge(frame(spark, rows[:50] + [(1, None, None, None, 0, 0, 0.0, "k")] * 2))
+    assert again.count() == 52
+    assert quality.judge(frame(spark)).count() == len(awkward())
+
+
+# ---------------------------------------------------------------- toxicity
+
+def brute_segments(scores):
+    """Ruzzo and Tompa's definition: the best segment, then the same left and right of it."""
+    if not scores:
+        return []
+    best, span = 0.0, None
+    for a in range(len(scores)):
+        for b in range(a + 1, len(scores) + 1):
+            s = sum(scores[a:b])
+            if s > best + 1e-9:
+                best, span = s, (a, b)
+    if span is None:
+        return []
+    a, b = span
+    left = brute_segments(scores[:a])
+    right = [(x + b, y + b) for x, y in brute_segments(scores[b:])]
+    return left + [span] + right
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([-3.7, -2.1, -1.3, -0.4, 0.9, 1.6, 2.3, 4.1]), max_size=12))
+def test_maximal_segments(scores):
+    got = toxicity.maximal_segments(scores)
+    assert [round(s, 6) for *_, s in got] == [round(sum(scores[a:b]), 6) for a, b, _ in got]
+    want = brute_segments(scores)
+    assert len(got) == len(want) and sorted(round(sum(scores[a:b]), 6) for a, b in want) == sorted(round(s, 6) for *_, s in got)
+
+
+def labelled(seed=1, n=600):
+    rng, docs, labels = random.Random(seed), [], []
+    for i in range(n):
+        w, toxic = words(rng, rng.randrange(40, 120), 3000).split(), i % 8 == 0
+        if toxic:
+            at = rng.randrange(len(w))
+            w[at:at] = rng.sample(["grubble,", "SNARKY", "vexor", "Grubble", "blarg"], rng.randrange(3, 6))
+        docs.append((i, " ".join(w), "en", "s", 0, 0, 0.0, "k"))
+        if i % 2 == 0:
+            labels.append((i, int(toxic)))
+    return docs, labels
+
+
+def test_toxic_passages_are_found_on_unseen_rows(spark):
+    docs, labels = labelled()
+    docs += [(9000, None, "en", "s", 0, 0, 0.0, "k"), (9001, "", "en", "s", 0, 0, 0.0, "k"), (None, "a grubble vexor snarky", None, None, 0, 0, 0.0, "k")]
+    labels += labels[:20] + [(77777, 1), (None, 1), (5, None)]
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.learn(frame(spark, docs), table)
+    assert {b"grubble", b"snarky", b"vexor"} <= set(model.weights)
+    got = {r.doc_id: r for r in toxicity.scored(frame(spark, docs), model, keep=("doc_id",)).collect()}
+    for i, text, *_ in docs[:600]:
+        assert (got[i].score >= 0.5) == (i % 8 == 0) and 0 <= got[i].score <= 1
+    first = got[8].passages[0]
+    span = toxicity.words_of(docs[8][1])[first["first"] : first["last"]]
+    assert span[0] in model.weights and span[-1] in model.weights
+    assert got[9000].score == got[9001].score < 0.5 and got[None].score >= 0.5
+    clean = toxicity.clean_documents(frame(spark, docs), table)
+    assert clean.columns == frame(spark).columns and {r.doc_id for r in clean.collect()} == {i for i, r in got.items() if r.score < 0.5}
+
+
+def test_held_out_rows_are_not_learnt_from(spark):
+    import zlib
+
+    docs, labels = labelled()
+    held = {i for i, *_ in docs if zlib.crc32(str(i).encode()) % 5 == 0}
+    got = {r.doc_id for r in frame(spark, docs).filter(toxicity.held_out(F.col("doc_id"))).collect()}
+    assert got == held
+    flipped = [(i, 1 - y if i in held else y) for i, y in labels]
+    a, b = (toxicity.learn(frame(spark, docs), spark.createDataFrame(x, "doc_id long, toxic int")) for x in (labels, flipped))
+    assert a == b
+
+
+def test_toxicity_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.learn(frame(spark), none)
+    assert all(r.score < 0.5 for r in toxicity.scored(frame(spark), model, keep=("doc_id",)).collect())
+    assert toxicity.scored(empty(spark), model, keep=("doc_id",)).count() == 0
+    assert toxicity.clean_documents(empty(spark), none).count() == 0
+    one = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    assert all(r.score < 0.5 for r in toxicity.scored(frame(spark), toxicity.learn(frame(spark), one), keep=("doc_id",)).collect())
+
+
+def test_decay_solves_its_equation():
+    rates = {5.0: 1e-4, 2.0: 1e-3}
+    x = toxicity._decay(rates, 0.1)
+    assert sum(p * math.exp(x * s) for s, p in rates.items()) + (1 - 1.1e-3) * math.exp(-0.1 * x) == pytest.approx(1, abs=1e-6)
+
+
+# ---------------------------------------------------------------- main text
+
+ARTICLE = "<h1>Tit&eacute;l</h1><p>First  para\n graph &amp; more.</p><p>Second <b>bold</b> words<br>here.<p>Third &lt;tag&gt; one"
+TEXT = "Titél\nFirst para graph & more.\nSecond bold words here.\nThird <tag> one"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><body><nav><ul><li><a href=x>menu</a></ul></nav><article>{ARTICLE}</article><footer>foot</footer></body></html>",
+    f"<body><div class='ad'>Buy now, this is a long advert with many words in it.</div><main>{ARTICLE}</main><aside>side bar text</aside>",
+    f"<div id=cookie-notice>We use cookies</div><header><a href=/>Site</a></header><article>{ARTICLE}<section class=comments><p>reader says hi</p></section></article>",
+    f"<script>if (a</b>) '<p>'</script><style>p{{}}</style><!-- <p>no</p> --><article>{ARTICLE}<form><input><p>join</p></form></article><noscript>x</noscript>",
+    f"<ARTICLE><ul class='share-buttons'><li>share</li></ul>{ARTICLE}</ARTICLE><div role=\"complementary\">more</div></p></b></div>",
+    f"<body><article><header>{ARTICLE.split('<p>')[0]}</header>{ARTICLE[ARTICLE.index('<p>'):]}</article><div hidden>gone</div>",
+])
+def test_main_text(page):
+    assert density.main_text(page) == TEXT
+
+
+def test_main_text_without_semantic_tags():
+    links = "".join(f"<li><a href='/{i}'>link number {i}</a></li>" for i in range(30))
+    paras = "".join(f"<p>{'long sentence of running text ' * 12}{i}.</p>" for i in range(6))
+    page = f"<html><body><div><ul>{links}</ul></div><div><div>{paras}</div></div><div><ul>{links}</ul></div></body></html>"
+    got = density.main_text(page)
+    assert got.count("\n") == 5 and got.startswith("long sentence") and "link number" not in got
+
+
+def test_main_text_of_odd_pages(spark):
+    assert [density.main_text(x) for x in (None, "", "<p>", "<!-- ", "<script>x")] == [""] * 5
+    assert density.main_text("plain < words & more") == "plain < words & more"
+    assert density.main_text("<div>" * 20000 + "deep" + "</div>" * 20000) == "deep"
+    assert density.main_text("<p a='" + "x" * 300000) == "<p a='" + "x" * 300000
+    assert len(density.main_text("<article>" + "<p>word</p>" * 50000)) == 50000 * 5 - 1
+    rows = [(1, "u", f"<article>{ARTICLE}</article>", "t", 3), (1, "u", f"<article>{ARTICLE}</article>", "t", 3), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = [tuple(r) for r in density.extract_main_text(df).collect()]
+    assert got == [(1, "u", TEXT, len(TEXT))] * 2 + [(None, None, "", 0)]
+    assert density.extract_main_text(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- URL rules
+
+def brute_judge(url, rules, default):
+    host, path = url_rules.split_url(url)
+    fit = [(len(r), -i, r, v) for i, (v, r) in enumerate(rules)
+           for h, p in [(r[: r.index("/")], r[r.index("/") :])] if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (max(fit)[2], max(fit)[3]) if fit else (None, default)
+
+
+URLS = ["http://Example.ORG/es/x", "https://a.example.org/en/12?q#f", "http://example.org", "x", None, "", "http://notexample.org/es/", "ftp://com/fr/", "http://a.com/de/",
+        "http://a.com/DE/", "http://.org/", "://org/x", "a://b://org/", "http://com/x.org/es/", "http://example.org/en/1", "http://user@example.org:80/es/", "http://é.org/é", "http://x.org/" + "y" * 100000]
+
+
+def test_url_rules(spark):
+    rules = url_rules.RULES + (("block", "org/"), ("allow", "net/a*b?"))
+    df = spark.createDataFrame([(i, u, "h", 1) for i, u in enumerate(URLS + URLS[:3])], "page_id long, url string, host string, verdict int")
+    got = {r.page_id: r for r in url_rules.judge_urls(df, rules=url_rules.RULES, default="block", batch_chars=50).collect()}
+    assert len(got) == len(URLS) + 3
+    for i, u in enumerate(URLS + URLS[:3]):
+        assert (got[i].host, got[i].path) == url_rules.split_url(u) and (got[i].rule, got[i].verdict) == brute_judge(u, url_rules.RULES, "block"), u
+    assert brute_judge("http://b.org/", rules, "x") == ("org/", "allow")
+    assert url_rules.judge_urls(df.limit(0)).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab/.*?", max_size=7), min_size=1, max_size=30), st.lists(st.text(alphabet="ab/.é", max_size=9), min_size=1, max_size=12))
+def test_globs_match_like_patterns(globs, urls):
+    def pattern(glob):
+        return re.compile("".join({"**": "(?s:.*)", "*": "[^/]*", "?": "[^/]"}.get(p, re.escape(p)) for p in re.findall(r"\*\*|.", glob)) + r"\Z")
+
+    globs = [re.sub(r"\*{3,}", "**", g) for g in globs]
+    got = url_rules.first_rule(url_rules.compiled([(g, i) for i, g in enumerate(globs)]), urls, len(globs)).tolist()
+    want = [next((i for i, g in enumerate(globs) if pattern(g).match(u)), len(globs)) for u in urls]
+    assert got == want
