@@ -12,24 +12,31 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from stationcast.llm.support import per_process, runs
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Distinct pieces that a worker remembers; the memory is emptied when it is full.
+#: Distinct words that a worker remembers, and half as many with punctuation; a memory is emptied when it is full.
 REMEMBERED = 1_000_000
 
+#: Pieces that are encoded as one text.
+JOINED = 1024
+#: How a byte-level vocabulary writes the blank.
+BLANK = "\u0120"
+
 _ODD = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 _RARE = re.compile(f"[{_ODD}]")
 _CUT = re.compile(rf"(?<=[^\s{_ODD}]) (?=[^\s{_ODD}])")
+#: Letters, then punctuation that is no apostrophe.
+_WORD_END = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)\Z")
 _BESIDE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 
 
-def pieces_of(text: str) -> list[str]:
-    """The text without the blanks at which it may be cut."""
-    if text[:1] == " " or text[-1:] == " " or any(x in text for x in _BESIDE) or _RARE.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
+def cut_at_blanks(text: str) -> bool:
+    """Whether the text may be cut at each of its blanks."""
+    return not (text[:1] == " " or text[-1:] == " " or any(x in text for x in _BESIDE) or _RARE.search(text))
 
 
 def default_path() -> str:
@@ -52,29 +59,87 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"u{self.width}")
         self.code = "H" if self.width == 2 else "I"
+        self.tokenizer.model._resize_cache(0)  # every piece comes once
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.leads = np.array([(name or "").startswith(BLANK) for name in names])
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        new = list(pieces)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found = self.tokenizer.encode_batch_fast([lead + p for p in part], add_special_tokens=False)
-            known.update((p, array(self.code, e.ids).tobytes()) for p, e in zip(part, found))
+        self.ends: dict[str, bytes] = {}
+        self.joined: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces after a blank. A run of letters and the punctuation after it are tokens apart, so only
+        new runs of letters are left to encode."""
+        if len(self.inner) > REMEMBERED or len(self.ends) > REMEMBERED:
+            self.inner, self.ends = {}, {}
+        if len(self.joined) > REMEMBERED // 2:
+            self.joined = {}
+        inner, ends, joined = self.inner, self.ends, self.joined
+        out = [inner.get(p) or joined.get(p) for p in pieces]
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        parts = [(i, *m.groups()) if (m := _WORD_END.match(pieces[i])) else (i, pieces[i], "") for i in missing]
+        self._learn({w for _, w, _ in parts if w not in inner})
+        ends.update((e, self._ids(e)) for e in {e for *_, e in parts} - ends.keys())
+        for i, word, end in parts:
+            out[i] = inner[word] + ends[end]
+            if end:
+                joined[pieces[i]] = out[i]
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Many pieces are encoded as one text, whose ids are cut again before those that begin with a blank."""
+        plain = [p for p in pieces if p and " " not in p and not p[-1].isspace() and not _RARE.search(p)]
+        for i in range(0, len(plain), JOINED):
+            part = plain[i : i + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            starts = np.flatnonzero(self.leads[ids])
+            if len(starts) != len(part):
+                continue
+            data, cuts = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
+            self.inner.update((p, data[a:b]) for p, a, b in zip(part, cuts, cuts[1:]))
+        self.inner.update((p, self._ids(" " + p)) for p in pieces if p not in self.inner)
+
+    def _first(self, piece: str) -> bytes:
+        if len(self.first) > REMEMBERED:
+            self.first = {}
+        if piece not in self.first:
+            self.first[piece] = self._ids(piece)
+        return self.first[piece]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, in the texts' order."""
-        if len(self.inner) > REMEMBERED or len(self.first) > REMEMBERED:
-            self.inner, self.first = {}, {}
-        first, get = self.first, self.inner.get
-        cut = [pieces_of(t) for t in texts]
-        self._learn(first, {pieces[0] for pieces in cut} - first.keys(), "")
-        ids = [list(map(get, pieces[1:])) for pieces in cut]
-        short = [i for i, known in enumerate(ids) if None in known]
-        self._learn(self.inner, {p for i in short for p, known in zip(cut[i][1:], ids[i]) if known is None}, " ")
-        for i in short:
-            ids[i] = list(map(get, cut[i][1:]))
-        return [first[pieces[0]] + b"".join(known) for pieces, known in zip(cut, ids)]
+        whole = [cut_at_blanks(t) for t in texts]
+        lists = pc.split_pattern(pa.array([t if w else None for t, w in zip(texts, whole)], pa.large_string()), " ")
+        if not all(whole):
+            lists = pa.array([x if w else _CUT.split(t) for x, w, t in zip(lists.to_pylist(), whole, texts)], pa.large_list(pa.large_string()))
+        if not len(lists):
+            return []
+        offsets, pieces = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+        codes, distinct = pieces.indices.to_numpy(), pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        starts = offsets[:-1]
+        # the first piece of a text has no blank before it: its ids stand behind those of the other pieces
+        inside = np.ones(len(codes), bool)
+        inside[starts] = False
+        used = np.zeros(len(distinct), bool)
+        used[codes[inside]] = True
+        ids = [b""] * len(distinct)
+        wanted = np.flatnonzero(used).tolist()
+        for i, found in zip(wanted, self._of([distinct[i] for i in wanted])):
+            ids[i] = found
+        ids += [self._first(distinct[i]) for i in codes[starts].tolist()]
+        codes = codes.astype(np.int64)
+        codes[starts] = len(distinct) + np.arange(len(starts))
+        store = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        places = np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        ends = np.cumsum(counts)
+        out = store[np.repeat(places[codes] - (ends - counts), counts) + np.arange(ends[-1])]
+        bounds = [0, *ends[offsets[1:] - 1].tolist()]
+        return [out[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -83,7 +148,7 @@ def encoder(path: str) -> Encoder:
 
 def encoded(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
     """Ids of each text in turn; null is empty."""
-    for run in runs(texts):
+    for run in runs(texts, 1 << 22):
         yield from encoder(path).encode(run)
 
 
