@@ -17,12 +17,12 @@ def explode_keywords(df: DataFrame, column: str = "keywords") -> DataFrame:
 
 
 def keyword_share(articles: DataFrame) -> DataFrame:
-    """Articles per keyword and their share in percent; the total is a scalar subquery."""
+    """Articles per keyword, most first, and their share in percent; the total is a scalar subquery."""
     counts = articles.where(F.col("keywords").isNotNull()).groupBy("keywords").agg(
         F.count(F.lit(1)).alias("Total")
     )
     total = counts.agg(F.sum("Total")).scalar()
-    return counts.withColumn("df_pct", F.bround(F.col("Total") / total, 2) * 100)
+    return counts.withColumn("df_pct", F.bround(F.col("Total") / total, 2) * 100).orderBy(F.desc("Total"), "keywords")
 
 
 def split_location(df: DataFrame, column: str = "location") -> DataFrame:

@@ -46,6 +46,28 @@ def codo_raw(deliveries: DataFrame, stock: DataFrame, meter: DataFrame, run: Run
     return with_audit(with_months(combine_codo(sales_days(deliveries), stock, meter)), run)
 
 
+def daily_station_product(deliveries: DataFrame, stock: DataFrame, meter: DataFrame) -> DataFrame:
+    """Volume per station, product, day and delivery, as ``aggregates.daily_station_product`` over the combined rows,
+    without producing them.
+
+    The combined table holds each meter row once for every delivery and tank row of its day. So each feed
+    is folded to its keys first, and the sum of a volume over the combinations is its own sum times
+    the row counts of the others; a feed without rows of a key counts once.
+    """
+    d = sales_days(deliveries).groupBy("STATION", F.col("MATERIAL").alias("PRODUCT"), "SALES_DATE", "QUANTITY", "NEXT_DELIVERY_DAYS").agg(
+        F.count(F.lit(1)).alias("_d")
+    )
+    s = stock.groupBy(*DAY_KEYS).agg(F.count(F.lit(1)).alias("_s"))
+    m = meter.groupBy(*DAY_KEYS).agg(F.sum("VOLUME").alias("_sum"), F.count("VOLUME").alias("_n"))
+    # one row per key and feed (for deliveries: per quantity and gap), so the joins are bounded
+    both = outer_chain([d, s, m], DAY_KEYS, bounded=True)
+    times = F.coalesce("_d", F.lit(1)) * F.coalesce("_s", F.lit(1))
+    return both.groupBy(*DAY_KEYS, "QUANTITY", "NEXT_DELIVERY_DAYS").agg(
+        F.sum(F.col("_sum") * times).alias("TOTAL_VOLUME_SOLD"),
+        F.round(F.sum(F.col("_sum") * times) / F.nullif(F.sum(F.col("_n") * times), F.lit(0)), 2).alias("AVG_VOLUME_SOLD_PER_DAY"),
+    )
+
+
 # ---- volume sold after the latest delivery -----------------------------------
 
 def sales_after(joined: DataFrame, delivery: str = "DELIVERY_DATE", sales: str = "SALES_DATE", kind: str = "TYPE") -> DataFrame:

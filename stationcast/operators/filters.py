@@ -41,4 +41,5 @@ def negative(df: DataFrame, column: str = "sentiment") -> DataFrame:
 
 
 def is_empty(df: DataFrame) -> bool:
+    """Whether a batch has no row; sinks skip it then."""
     return df.isEmpty()

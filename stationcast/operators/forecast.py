@@ -7,9 +7,11 @@ fit over the raw rows. All stations are fitted in parallel.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,8 +116,8 @@ def _design(t, origin: float, span: float, changepoints, yearly: bool):
     return np.stack(parts, axis=1)
 
 
-def _fit_station(pdf, periods: int, z: float):
-    """Piecewise-linear trend with weekly and, from two years on, yearly terms; ridge fit."""
+def _fit_station(pdf, periods: int, z: float, changepoints: int, yearly_from: int):
+    """Piecewise-linear trend with weekly and, for long series, yearly terms; ridge fit."""
     import numpy as np
     import pandas as pd
 
@@ -128,9 +130,9 @@ def _fit_station(pdf, periods: int, z: float):
     y = known["y"].to_numpy(dtype=float)
     w = known["w"].to_numpy(dtype=float)
     origin, span = day[0], max(day[-1] - day[0], 1.0)
-    n_change = min(25, max(len(known) // 3 - 1, 0))
+    n_change = min(changepoints, max(len(known) // 3 - 1, 0))
     changes = np.linspace(0, 0.8, n_change + 1)[1:]
-    yearly = span >= 730
+    yearly = span >= yearly_from
     x = _design(day, origin, span, changes, yearly)
     scale = float(np.abs(y).max()) or 1.0
     penalty = np.full(x.shape[1], 0.01)
@@ -150,19 +152,28 @@ def _fit_station(pdf, periods: int, z: float):
     })
 
 
-def forecast(points: DataFrame, periods: int = 7, interval: float = 0.95, on_error: str = "skip") -> DataFrame:
+def forecast(
+    points: DataFrame, periods: int = 7, interval: float = 0.95, on_error: str = "skip", changepoints: int = 25,
+    yearly_from: int = 730,
+) -> DataFrame:
     """Fit every station in parallel. A station whose fit fails is skipped, or reported as one row
     with ``fit_error`` when ``on_error="report"``; the others survive either way. ``y`` holds the
-    day's actual, null on horizon days."""
+    day's actual, null on horizon days.
+
+    The trend may bend at up to ``changepoints`` days spread over the first 80 % of the series, one for
+    each three points at most; yearly terms are fitted to series of ``yearly_from`` days or more.
+    The fit is shipped by value: workers need numpy and pandas, not this package."""
     from statistics import NormalDist
 
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
     z = NormalDist().inv_cdf(0.5 + interval / 2)
 
     def fit(pdf):
         import pandas as pd
 
         try:
-            return _fit_station(pdf, periods, z)
+            return _fit_station(pdf, periods, z, changepoints, yearly_from)
         except Exception as exc:
             return pd.DataFrame([{
                 "station": pdf["station"].iloc[0], "ds": None, "yhat": None, "yhat_lower": None,

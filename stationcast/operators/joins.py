@@ -71,9 +71,9 @@ def outer_on(
 
 
 def anti_trim(new: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose trimmed keys are not in ``gold``."""
+    """Rows of ``new`` whose trimmed keys are not in ``gold``; a null key equals a null key."""
     seen = gold.select(*[F.trim(k).alias(f"_g_{k}") for k in keys]).distinct()
-    cond = reduce(lambda a, b: a & b, [F.trim(new[k]) == F.col(f"_g_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [F.trim(new[k]).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
     return new.join(seen, cond, "left_anti")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,8 +34,14 @@ def negative_count(df: DataFrame) -> DataFrame:
     return df.where(F.col("sentiment") < 0).agg(F.count(F.lit(1)).alias("negative_rows"))
 
 
-def head(df: DataFrame, n: int) -> DataFrame:
-    return df.limit(n)
+def head(df: DataFrame, n: int, *by: str) -> DataFrame:
+    """The first n rows; without an order any n."""
+    return (df.orderBy(*by) if by else df).limit(n)
+
+
+def numbered(df: DataFrame, name: str = "POSITION") -> DataFrame:
+    """Adds each row's place in a sorted frame. All rows meet in one task: for reports, not for tables."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).withColumn(name, F.row_number().over(Window.orderBy("_at"))).drop("_at")
 
 
 def dedup(df: DataFrame) -> DataFrame:

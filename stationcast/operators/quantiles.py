@@ -23,11 +23,13 @@ def exact_medians(
     are ranked. A bracket that misses its median would fail the job rather than answer wrongly.
     """
     cols = list(medians)
+    # NaN, as a feed's text may spell it, is a missing value to sketch and ranking alike
+    number = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     ends = F.array(F.lit(0.5 - SLACK), F.lit(0.5 + SLACK))
     sketch = df.groupBy(*keys).agg(*extra, *[
         F.struct(
-            F.percentile_approx(F.col(c).cast("double"), ends, ACCURACY).alias("q"),
-            F.count(c).alias("n"),
+            F.percentile_approx(number[c], ends, ACCURACY).alias("q"),
+            F.count(number[c]).alias("n"),
         ).alias(f"_s{i}")
         for i, c in enumerate(cols)
     ])
@@ -39,7 +41,7 @@ def exact_medians(
         F.col("_s.n").alias("_n"),
     )
     values = df.select(
-        *keys, F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("_m", "_v")
+        *keys, F.posexplode(F.array(*[number[c] for c in cols])).alias("_m", "_v")
     ).where(F.col("_v").isNotNull())
     cond = reduce(
         lambda a, b: a & b,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast as fc
-from ..operators.aggregates import daily_station_product
 from ..operators.cleaning import strip_apostrophes
 from ..operators.filters import require
 from ..operators.shaping import with_audit
@@ -27,32 +26,44 @@ TARGETS = {
 
 
 def target_points(features: DataFrame, name: str) -> DataFrame:
-    """Series of one target from its gold feature table."""
+    """Series of one target from its gold table: sap_dodo features, or daily station products."""
     target = TARGETS[name]
     if name == "orders":
         rows = require(strip_apostrophes(features), "SALES_DATE", "DELIVERY_DATE")
     elif name == "delays":
         rows = require(strip_apostrophes(features), "DELIVERY_DAYS", "DELIVERY_DATE")
     else:
-        rows = daily_station_product(require(features, "SALES_DATE"))
+        rows = require(features, "SALES_DATE")
     return fc.series(rows, target)
 
 
 def model_table(features: DataFrame, name: str, periods: int = 7, keep_horizon: bool = True) -> DataFrame:
     """Forecast of one target with its actuals under the published names."""
-    fitted = fc.forecast(target_points(features, name), periods)
-    if not keep_horizon:
-        fitted = require(fitted, "y")
-    return fc.publish_names(fitted, TARGETS[name])
+    return _named(fc.forecast(target_points(features, name), periods), name, keep_horizon)
+
+
+def _named(fitted: DataFrame, name: str, keep_horizon: bool = True) -> DataFrame:
+    return fc.publish_names(fitted if keep_horizon else require(fitted, "y"), TARGETS[name])
+
+
+def failures(fitted: DataFrame) -> DataFrame:
+    """Stations whose fit failed, and why."""
+    return fitted.where("fit_error IS NOT NULL").select("station", "fit_error")
 
 
 def run_forecast(spark: SparkSession, lake: Lake, run: RunContext, name: str) -> None:
-    """Fit one target on the run's gold rows and write its model table."""
+    """Fit one target on the run's gold rows and write its model table; stations that could not be fitted
+    are in the table's ``_errors`` neighbour."""
     sap_side = name in ("orders", "delays")
-    gold = "sap_dodo_feature_store" if sap_side else "codo_raw_features"
+    gold = "sap_dodo_feature_store" if sap_side else "codo_daily_station_product"
     features = read_layer(spark, lake.gold(gold), run_date=run.run_date_id)
-    table = with_audit(model_table(features, name), run)
     path = lake.gold(MODEL_TABLES[name])
+    # fitted once, written, and read back for the two tables
+    fitted = fc.forecast(target_points(features, name), on_error="report")
+    write_full(fitted, f"{path}_fits")
+    fitted = read_layer(spark, f"{path}_fits")
+    write_full(with_audit(failures(fitted), run), f"{path}_errors")
+    table = with_audit(_named(fitted.where("fit_error IS NULL"), name), run)
     if sap_side:
         write_full(table, path, TARGETS[name].date_name)
     else:

@@ -9,7 +9,7 @@ from ..operators import codo
 from ..operators.sap_dodo import sap_dodo
 from ..operators.shaping import with_audit
 from ..run import RunContext
-from ..sources.layers import publish, read_layer, write_full
+from ..sources.layers import publish_path, read_layer, write_full
 from .lake import Lake
 
 PARTS = ("orders", "tanks", "meters")
@@ -25,13 +25,16 @@ def codo_gold(spark: SparkSession, lake: Lake, run: RunContext, start: int, end:
         for f in (sc.CODO_TRUCKS, sc.CODO_STOCK, sc.CODO_METER)
     )
     write_full(codo.codo_raw(trucks, stock, meter, run), lake.gold("codo_raw_features"), "SALES_DATE")
-    publish(read_layer(spark, lake.gold("codo_raw_features")), f"{database}.codo_raw_features")
+    publish_path(spark, lake.gold("codo_raw_features"), f"{database}.codo_raw_features")
+    daily = with_audit(codo.daily_station_product(trucks, stock, meter), run)
+    write_full(daily, lake.gold("codo_daily_station_product"), "SALES_DATE")
+    publish_path(spark, lake.gold("codo_daily_station_product"), f"{database}.codo_daily_station_product")
 
     factors = codo.codo_factors(trucks, stock, meter)
     for part in PARTS:
         path = lake.gold(f"codo_agg_feature_store/{part}")
         write_full(with_audit(getattr(factors, part), run), path)
-        publish(read_layer(spark, path), f"{database}.codo_agg_{part}")
+        publish_path(spark, path, f"{database}.codo_agg_{part}")
     create_wide_view(spark, database)
 
 
@@ -99,4 +102,4 @@ def sap_dodo_gold(spark: SparkSession, lake: Lake, run: RunContext, database: st
     dodo = read_layer(spark, lake.silver(sc.DODO_ORDERS.name))
     path = lake.gold("sap_dodo_feature_store")
     write_full(sap_dodo(sap, dodo, run), path, "SALES_DATE")
-    publish(read_layer(spark, path), f"{database}.sap_dodo_feature_store")
+    publish_path(spark, path, f"{database}.sap_dodo_feature_store")

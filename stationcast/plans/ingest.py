@@ -1,9 +1,9 @@
 """Landing to bronze to silver for every feed.
 
 Bronze keeps the day's text under normalised headers; silver applies the typed contract. Both are
-partitioned by business date and replace exactly the dates a batch contains, so late files and
-replays are handled by running their day again. Rows without a business date share one partition,
-in which a file only replaces its own rows.
+partitioned by business date. A batch replaces its own files' rows in the dates it contains and keeps
+those of other files, so replays change nothing and late rows join their day. Silver reads back only
+the dates of the batch.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ..operators.cleaning import (
 from ..operators.shaping import apply_contract, fix_unnamed, normalize_headers, rename, with_audit
 from ..run import RunContext
 from ..sources.feeds import day_range, read_dated_headers, read_landing, with_lineage
-from ..sources.layers import read_layer, read_tagged, write_full, write_replace
+from ..sources.layers import of_dates, read_layer, read_tagged, touched_dates, write_full, write_replace
 from .lake import Lake
 
 
@@ -88,7 +88,9 @@ def load_feed(spark: SparkSession, lake: Lake, feed: sc.Feed, run: RunContext, s
     if bronze.isEmpty():
         return False
     write_replace(bronze, lake.bronze(feed.name), feed.date_column, "FILE_NAME")
-    loaded = read_layer(spark, lake.bronze(feed.name), run_date=run.run_date_id)
+    loaded = of_dates(
+        read_layer(spark, lake.bronze(feed.name), run_date=run.run_date_id), feed.date_column, touched_dates(bronze, feed.date_column)
+    )
     write_replace(to_silver(loaded, feed, run), lake.silver(feed.name), feed.date_column, "FILE_NAME")
     return True
 
@@ -138,12 +140,12 @@ def book_stock(
             first="S/N", date_stem="OPENING_PMS_BALANCE",
         )
         if df is not None:
-            write_replace(with_audit(df, run), lake.bronze(f"book_stock_of_products/{depot}"), "BOOK_STOCK_DATE")
+            write_replace(with_audit(df, run), lake.bronze(f"book_stock_of_products/{depot}"), "BOOK_STOCK_DATE", "FILE_NAME")
     tables = {d: lake.bronze(f"book_stock_of_products/{d}") for d in depots}
     merged = read_tagged(spark, tables, "STATION", run_date=run.run_date_id)
     if merged is None or merged.isEmpty():
         return False
     merged = clean_quantities(merged, sc.BOOK_STOCK_STEMS, sentinel=None)
     silver = apply_contract(merged, [("S/N", "SERIAL_NO"), *sc.BOOK_STOCK_SILVER[1:]])
-    write_replace(with_audit(silver, run), lake.silver("book_stock_of_products"), "BOOK_STOCK_DATE")
+    write_replace(with_audit(silver, run), lake.silver("book_stock_of_products"), "BOOK_STOCK_DATE", "FILE_NAME")
     return True

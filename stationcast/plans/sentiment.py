@@ -11,7 +11,7 @@ from ..operators.ordering import dedup, oldest
 from ..operators.shaping import normalize_headers, stringify
 from ..schemas import TWEETS_EXPORT, TWEETS_SENTIMENT, WEB_SENTIMENT
 from ..sources.documents import docs_in_range, docs_of_day
-from ..sources.layers import append_new, publish
+from ..sources.layers import append_new, publish, publish_path, read_layer_or_none
 
 
 def prepare_tweets(raw: DataFrame, n: int | None = None) -> DataFrame:
@@ -58,10 +58,10 @@ def web_contract(batch: DataFrame) -> DataFrame:
 def web(
     spark: SparkSession, raw: DataFrame, gold_path: str, start: str, end: str, table: str = "default.web_sentiment"
 ) -> None:
-    """New articles of the range appended to gold and to the warehouse.
-
-    Each sink compares with its own rows, so a run that died between the two can simply be repeated.
+    """New articles of the range appended to gold; the warehouse table is one over gold's files, so every
+    text is cleaned, scored and written once. A run can simply be repeated.
     """
     batch = art.dedup_on(web_contract(web_batch(raw, start, end)), ["keywords", "source"], ["createdat"])
     append_new(batch, gold_path, ["keywords", "source"], "site")
-    publish(batch, table, "append", ["keywords", "source"])
+    if read_layer_or_none(spark, gold_path) is not None:
+        publish_path(spark, gold_path, table)

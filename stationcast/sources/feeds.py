@@ -66,37 +66,44 @@ def write_landing_csv(df: DataFrame, path: str, by: list[str]) -> None:
 
 def read_dated_headers(
     spark: SparkSession, root: str, days: list[str], file: str, stems: list[str], first: str,
-    date_stem: str, date_pos: int = 3, date_format: str = "dd-MMMM-yy", width: int = 32,
+    date_stem: str, date_pos: int = 3, date_format: str = "dd-MMMM-yy",
 ) -> DataFrame | None:
-    """Files whose header cells carry a date, all in one scan.
+    """Files whose header cells carry a date, however many cells they have.
 
     The header row of a file is data here: it is found by its first cell, gives the position of
-    every stem and the file's day, and is joined back to the file's rows by path. Returns the first
-    two columns, the stems, BOOK_STOCK_DATE and FILE_NAME.
+    every stem and the file's day, and is joined back to the file's rows by path. A file with rows
+    but without such a header row is an error that names it. Returns the first two columns, the
+    stems, BOOK_STOCK_DATE and FILE_NAME.
     """
-    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    place = day_glob(root, days, file)
     try:
-        raw = spark.read.schema(cells).csv(day_glob(root, days, file))
+        commas = F.length("value") - F.length(F.replace("value", F.lit(",")))
+        width = spark.read.text(place).agg(F.max(commas)).first()[0]
+        cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range((width or 0) + 1)])
+        raw = spark.read.schema(cells).csv(place)
     except AnalysisException as exc:
         if path_missing(exc):
             return None
         raise
+    width = len(cells)
     rows = with_lineage(raw).select("FILE_NAME", F.array(*[f"_c{i}" for i in range(width)]).alias("cells"))
-    is_header = F.upper(F.trim(F.col("cells")[0])) == first
+    is_header = F.upper(F.trim(F.get("cells", F.lit(0)))) == first
     names = F.transform("cells", lambda c: F.upper(F.replace(F.trim(c), F.lit(" "), F.lit("_"))))
 
-    def place(stem: str):
+    def position(stem: str):
         has = F.transform(names, lambda n: F.coalesce(F.contains(n, F.lit(stem)), F.lit(False)))
         return F.array_position(has, True).cast("int")
 
-    spot = place(date_stem)
-    day_text = F.get(F.split(F.element_at(names, spot), "_"), F.lit(date_pos))
+    spot = position(date_stem)
+    day_text = F.get(F.split(F.get(names, spot - 1), "_"), F.lit(date_pos))
     header = rows.where(is_header).select(
         F.col("FILE_NAME").alias("_file"),
         F.try_to_timestamp(F.initcap(F.lower(F.regexp_replace(day_text, "-", " "))), F.lit(date_format.replace("-", " "))).cast("date").alias("BOOK_STOCK_DATE"),
-        *[place(s).alias(f"_p_{s}") for s in stems],
+        *[position(s).alias(f"_p_{s}") for s in stems],
     )
-    data = rows.where(~F.coalesce(is_header, F.lit(False))).join(header, F.col("FILE_NAME") == F.col("_file"), "inner")
+    data = rows.where(~F.coalesce(is_header, F.lit(False))).join(header, F.col("FILE_NAME") == F.col("_file"), "left")
+    headless = F.raise_error(F.concat(F.lit(f"no header row that starts with {first} in "), F.col("FILE_NAME")))
+    data = data.withColumn("FILE_NAME", F.when(F.col("_file").isNull(), headless.cast("string")).otherwise(F.col("FILE_NAME")))
 
     def pick(stem: str):
         p = F.col(f"_p_{stem}")
@@ -104,6 +111,6 @@ def read_dated_headers(
         return F.when(p > 0, F.get("cells", p - 1)).otherwise(missing).alias(stem)
 
     return data.select(
-        F.col("cells")[0].alias("S/N"), F.col("cells")[1].alias("DEPOT_NAME"), *[pick(s) for s in stems],
+        F.get("cells", F.lit(0)).alias("S/N"), F.get("cells", F.lit(1)).alias("DEPOT_NAME"), *[pick(s) for s in stems],
         "BOOK_STOCK_DATE", "FILE_NAME",
     )

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.filters import is_empty
 from ..operators.joins import anti_trim
 from ..operators.shaping import union_all, with_tag
 
@@ -17,17 +18,33 @@ from ..operators.shaping import union_all, with_tag
 def read_layer(
     spark: SparkSession, path: str, run_date: int | None = None, start: int | None = None, end: int | None = None
 ) -> DataFrame:
-    """Whole layer, one run, or an inclusive range of runs; the predicate reaches the scan."""
-    df = spark.read.parquet(path)
+    """Whole layer, one run, or an inclusive range of runs, open where an end is not given; the predicate
+    reaches the scan."""
+    df, run = spark.read.parquet(path), F.col("RUN_DATE_ID")
     if run_date is not None:
-        return df.where(F.col("RUN_DATE_ID") == run_date)
-    if start is not None or end is not None:
-        return df.where(F.col("RUN_DATE_ID").between(start, end))
+        df = df.where(run == run_date)
+    if start is not None:
+        df = df.where(run >= start)
+    if end is not None:
+        df = df.where(run <= end)
     return df
 
 
+def of_dates(df: DataFrame, by: str, dates: list[str | None]) -> DataFrame:
+    """Only the given partitions; the predicate is on the partition column alone, so others are not listed."""
+    known = [d for d in dates if d is not None]
+    keep = F.col(by).cast("string").isin(known) if known else F.lit(False)
+    return df.where(keep | F.col(by).isNull() if None in dates else keep)
+
+
+def touched_dates(df: DataFrame, by: str) -> list[str | None]:
+    """The partition values of a batch as text: business dates, so their number is bounded by the calendar."""
+    return [r[0] for r in df.select(F.col(by).cast("string")).distinct().collect()]
+
+
 def path_missing(exc: AnalysisException) -> bool:
-    return exc.getCondition() == "PATH_NOT_FOUND"
+    """No folder yet, or one without any file."""
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_layer_or_none(spark: SparkSession, path: str, **kw) -> DataFrame | None:
@@ -63,25 +80,29 @@ def write_full(df: DataFrame, path: str, by: str | None = None) -> None:
 def write_replace(df: DataFrame, path: str, by: str, lineage: str | None = None) -> None:
     """Replace only the partitions present in this batch; running a day again changes nothing.
 
-    Rows without a business date share one partition. With ``lineage``, the column naming each
-    row's file, that partition keeps the rows of files that are not part of this batch.
+    With ``lineage``, the column naming each row's file, a partition keeps the rows of files that
+    are not part of this batch: a later file with a late row of an earlier day, or another depot's
+    file of the same day, adds to that day. Rows without a business date share one partition.
     """
     if lineage is not None:
-        df = _keep_undated(df, path, by, lineage)
+        df = _keep_other_files(df, path, by, lineage)
     _writer(df, by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
-def _keep_undated(df: DataFrame, path: str, by: str, lineage: str) -> DataFrame:
+def _keep_other_files(df: DataFrame, path: str, by: str, lineage: str) -> DataFrame:
     table = read_layer_or_none(df.sparkSession, path)
     if table is None:
         return df
-    undated = table.where(F.col(by).isNull()).withColumn(by, F.lit(None).cast(df.schema[by].dataType))
-    others = undated.join(df.select(lineage).distinct(), lineage, "left_anti")
-    return df.unionByName(others.select(*df.columns))
+    held = of_dates(table, by, touched_dates(df, by))
+    files = df.select(F.col(lineage).alias("_file")).distinct()
+    others = held.join(files, F.col(lineage).eqNullSafe(F.col("_file")), "left_anti")
+    return df.unionByName(others.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in df.columns]))
 
 
 def append_new(df: DataFrame, gold_path: str, keys: list[str], by: str | None = None) -> None:
-    """Append rows whose keys the table does not hold yet."""
+    """Append rows whose keys the table does not hold yet; an empty batch leaves no trace."""
+    if is_empty(df):
+        return
     gold = read_layer_or_none(df.sparkSession, gold_path)
     fresh = df if gold is None else anti_trim(df, gold, keys)
     _writer(fresh, by).mode("append").parquet(gold_path)
@@ -96,6 +117,17 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite", keys: list[str]
     """Publish to a catalog table. Appends first drop rows whose keys are already there, so a
     replay adds nothing."""
     spark = df.sparkSession
+    if mode == "append" and is_empty(df):
+        return
     if mode == "append" and keys and spark.catalog.tableExists(table):
         df = anti_trim(df, spark.table(table), keys)
     df.write.mode(mode).format("parquet").saveAsTable(table)
+
+
+def publish_path(spark: SparkSession, path: str, table: str) -> None:
+    """A catalog table over a layer's own files: nothing is written twice. Call it after each write, as
+    it also makes new partitions known."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=path, source="parquet")
+    if spark.catalog.listColumns(table) and any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)

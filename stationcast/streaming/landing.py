@@ -14,10 +14,11 @@ from ..sources.feeds import with_lineage
 def stream_landing(
     spark: SparkSession, feed: Feed, directory: str, checkpoint: str, sink: Callable[[DataFrame, int], None]
 ) -> None:
-    """Hand only the landing files not seen before to the sink, each exactly once per checkpoint."""
+    """Hand only the landing files not seen before to the sink. A batch whose sink died is handed over
+    again, so a sink must be repeatable; a header that differs from the contract is an error."""
     source = (
-        spark.readStream.schema(feed.schema).option("header", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").csv(directory)
+        spark.readStream.schema(feed.schema).option("header", True).option("enforceSchema", False)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(directory)
     )
     query = (
         with_lineage(source).writeStream.foreachBatch(sink)
@@ -39,3 +40,21 @@ def daily_totals(events: DataFrame, lateness: str = "2 days") -> DataFrame:
 def first_seen(articles: DataFrame, keys: list[str], lateness: str = "7 days", at: str = "createdAt") -> DataFrame:
     """First article per key within the lateness bound."""
     return articles.withWatermark(at, lateness).dropDuplicatesWithinWatermark(keys)
+
+
+def upsert_totals(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink of an update-mode aggregate: each batch's changed rows in a folder of its own, so a batch that is
+    handed over again replaces itself. ``latest_totals`` reads them back."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return sink
+
+
+def latest_totals(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last state of each key; the choice is a map-side maximum."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    last = F.max_by(F.struct(*values), "batch")
+    return rows.groupBy(*keys).agg(last.alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])

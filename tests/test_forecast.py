@@ -93,3 +93,25 @@ def test_combine_codo(spark):
 def test_zero_volume_gives_no_date(spark):
     df = spark.createDataFrame([("2023-01-01", 5.0, 0.0)], "FORECASTED_SALES_DATE string, ACTUAL_QUANTITY double, FORCASTED_DAILY_SALES_VOLUME double")
     assert fc.next_order_date(df).first()["NEXT_OPTIMAL_ORDER_DATE"] is None
+
+
+def test_fit_runs_on_workers_without_the_package(tmp_path):
+    """A driver elsewhere, which alone knows where the library is."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(f'''
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from stationcast.operators.forecast import forecast
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+points = spark.sql("SELECT 's' AS station, date_add(DATE'2024-01-01', CAST(id AS INT)) AS ds, CAST(id AS DOUBLE) AS y, 1L AS w FROM range(20)")
+print("ROWS", forecast(points).count())
+''')
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "ROWS 27" in done.stdout, done.stderr[-2000:]

@@ -227,3 +227,48 @@ def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
 def test_day_helpers():
     assert feeds.day_range(date(2023, 1, 30), date(2023, 2, 1)) == ["20230130", "20230131", "20230201"]
     assert feeds.reformat_day("050123", "%d%m%y", "%Y%m%d") == "20230105"
+
+
+def test_range_open_at_either_end(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    spark.range(10).selectExpr("id", "CAST(id AS INT) AS RUN_DATE_ID").write.parquet(path)
+    n = lambda **kw: ly.read_layer(spark, path, **kw).count()
+    assert (n(), n(start=3), n(end=3), n(start=3, end=5), n(run_date=4)) == (10, 7, 4, 3, 1)
+
+
+def test_replay_reads_only_its_dates(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    df = spark.createDataFrame([("20240101", "a", 1), ("20240102", "a", 2), (None, "b", 3)], "d string, FILE_NAME string, v int")
+    ly.write_full(df, path, "d")
+    dates = ly.touched_dates(df.where("v <> 2"), "d")
+    assert set(dates) == {"20240101", None}
+    held = ly.of_dates(ly.read_layer(spark, path), "d", dates)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
+    assert sorted(r.v for r in held.collect()) == [1, 3]
+
+
+def test_later_file_adds_to_an_earlier_day(spark, tmp_path):
+    path, schema = str(tmp_path / "late"), "d string, FILE_NAME string, v int"
+    first = spark.createDataFrame([("20240101", "a", 1), ("20240102", "a", 2)], schema)
+    late = spark.createDataFrame([("20240101", "b", 3)], schema)
+    for batch in (first, late, first, late):
+        ly.write_replace(batch, path, "d", "FILE_NAME")
+        assert spark.read.parquet(path).count() in (2, 3)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_book_stock_without_header_row_is_an_error(spark, tmp_path):
+    root = tmp_path / "book"
+    for depot, first in (("A", "S/N"), ("B", "No.")):
+        folder = root / "20240201"
+        folder.mkdir(parents=True, exist_ok=True)
+        cells = [first, "Depot", "OPENING PMS BALANCE 01-February-24", *[f"c{i}" for i in range(50)]]
+        (folder / f"{depot}_x.csv").write_text(",".join(cells) + "\n" + ",".join(["1", depot, '"1,5"', *["z"] * 50]) + "\n")
+
+    def read(file):
+        return feeds.read_dated_headers(spark, str(root), ["20240201"], file, ["OPENING_PMS_BALANCE", "C49"], "S/N", "OPENING_PMS_BALANCE")
+
+    assert [tuple(r)[:4] for r in read("A_*.csv").collect()] == [("1", "A", "1,5", "z")]
+    with pytest.raises(Exception, match="no header row.*B_x.csv"):
+        read("*.csv").collect()

@@ -150,3 +150,25 @@ def test_adhoc_joins(spark):
     assert adhoc.sap_dodo_by_name(sap, dodo).count() == 1
     assert adhoc.meter_stock_by_record(meter, stock).count() == 1
     assert adhoc.meter_sap_by_document(meter, sap).count() == 1
+
+
+def test_web_replays_add_nothing(spark, tmp_path):
+    """Articles without a keyword too; a range without articles leaves no table."""
+    from stationcast.plans import sentiment
+
+    raw = spark.sql("""SELECT 1L AS _id, 'd' AS domain, 'http://a' AS source, 'good words' AS body, array('k') AS keywords,
+        TIMESTAMP'2024-01-02 00:00:00' AS createdAt, TIMESTAMP'2024-01-02 00:00:00' AS updatedAt
+        UNION ALL SELECT 2L, 'd', 'http://b', 'bad words', CAST(array() AS array<string>), TIMESTAMP'2024-01-02 00:00:00', TIMESTAMP'2024-01-02 00:00:00'""")
+    path = str(tmp_path / "web")
+    sentiment.web(spark, raw, path, "2023-01-01 00:00:00", "2023-02-01 00:00:00", "default.web_replayed")
+    assert not spark.catalog.tableExists("default.web_replayed")
+    for _ in range(3):
+        sentiment.web(spark, raw, path, "2024-01-01 00:00:00", "2024-02-01 00:00:00", "default.web_replayed")
+        assert spark.read.parquet(path).count() == 2 and spark.table("default.web_replayed").count() == 2
+
+
+def test_medians_take_nan_as_missing(spark):
+    from stationcast.operators.quantiles import exact_medians
+
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", float("nan")), ("a", 3.0), ("b", float("nan"))], "k string, v double")
+    assert sorted(tuple(r) for r in exact_medians(df, ["k"], {"v": "m"}).collect()) == [("a", 2.0), ("b", None)]
