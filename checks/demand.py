@@ -131,10 +131,14 @@ def codo_raw(spark, sf):
     return codo.codo_raw(v.deliveries(spark, sf), v.stock(spark, sf), v.meter(spark, sf), RUN)
 
 
+def daily_product(spark, sf):
+    return codo.daily_station_product(v.deliveries(spark, sf), v.stock(spark, sf), v.meter(spark, sf))
+
+
 check("feat_codo_raw", f"{_RAW} SELECT *, {_MONTHS}, {AUDIT_SQL} FROM v_raw")(codo_raw)
 _DAILY_PRODUCT = """SELECT STATION, PRODUCT, SALES_DATE, QUANTITY, NEXT_DELIVERY_DAYS, sum(VOLUME) AS TOTAL_VOLUME_SOLD,
 round(avg(VOLUME), 2) AS AVG_VOLUME_SOLD_PER_DAY FROM v_raw GROUP BY 1, 2, 3, 4, 5"""
-check("agg_daily_station_product", f"{_RAW} {_DAILY_PRODUCT}")(lambda spark, sf: ag.daily_station_product(codo_raw(spark, sf)))
+check("agg_daily_station_product", f"{_RAW} {_DAILY_PRODUCT}")(lambda spark, sf: daily_product(spark, sf))
 
 check("jn_inner_record_id", f"""{ctes('v_meter', 'v_stock')} SELECT m.RECORD_ID AS record_id, METER_DESCRIPTION AS meter_description, TANK_DESCRIPTION AS tank_description, VOLUME AS volume, DIP_READING AS dip_reading
 FROM v_meter m JOIN v_stock s ON m.RECORD_ID = s.RECORD_ID""")(
@@ -321,13 +325,15 @@ DAILY_PRODUCT_SQL = _DAILY_PRODUCT
 
 # ---- ordering ---------------------------------------------------------------------------
 
-check("srt_desc_metric", f"{ctes('v_stock')}, {_TANKS} SELECT * FROM v_cap ORDER BY TOTAL_STATION_CAPACITY DESC")(
-    lambda spark, sf: od.order_desc(ag.capacity(ag.tank_max(v.stock(spark, sf))), "TOTAL_STATION_CAPACITY")
+check("srt_desc_metric", f"{ctes('v_stock')}, {_TANKS} SELECT *, CAST(row_number() OVER (ORDER BY TOTAL_STATION_CAPACITY DESC) AS INTEGER) AS POSITION FROM v_cap")(
+    lambda spark, sf: od.numbered(od.order_desc(ag.capacity(ag.tank_max(v.stock(spark, sf))), "TOTAL_STATION_CAPACITY"))
 )
-check("srt_multi_mixed", f"{ctes('v_deliveries')}, {_COUNTS} SELECT * FROM v_counts ORDER BY STATION, DELIVERY_DATE DESC, MATERIAL")(
-    lambda spark, sf: od.order(dl.order_counts(v.deliveries(spark, sf)), [("STATION", True), ("DELIVERY_DATE", False), ("MATERIAL", True)])
+check("srt_multi_mixed", f"{ctes('v_deliveries')}, {_COUNTS} SELECT *, CAST(row_number() OVER (ORDER BY STATION, DELIVERY_DATE DESC, MATERIAL, QUANTITY) AS INTEGER) AS POSITION FROM v_counts")(
+    lambda spark, sf: od.numbered(od.order(dl.order_counts(v.deliveries(spark, sf)), [("STATION", True), ("DELIVERY_DATE", False), ("MATERIAL", True), ("QUANTITY", True)]))
 )
 check("srt_topk_oldest", f"{ctes('v_tweets')} SELECT tweet_id, author, tweet_date FROM v_tweets ORDER BY tweet_date, tweet_id LIMIT 100")(
     lambda spark, sf: od.oldest(v.tweets(spark, sf), 100).select("tweet_id", "author", "tweet_date")
 )
-check("srt_head")(lambda spark, sf: od.head(v.tweets(spark, sf).select("tweet_id", "author"), 5))
+check("srt_head", f"{ctes('v_tweets')} SELECT tweet_id, author FROM v_tweets ORDER BY tweet_id LIMIT 5")(
+    lambda spark, sf: od.head(v.tweets(spark, sf).select("tweet_id", "author"), 5, "tweet_id")
+)

@@ -11,9 +11,11 @@ from stationcast.operators import cleaning as cl
 from stationcast.operators import filters as fl
 from stationcast.operators import shaping as sh
 from stationcast.sources import documents as docs
+from stationcast.sources import layers as ly
 
 from . import views as v
 from .registry import check
+from .scratch import fresh
 from .views import AUDIT_SQL, RUN, ctes
 
 
@@ -34,19 +36,37 @@ UNION ALL SELECT RECORD_ID, TANK_DESCRIPTION, CAST(DIP_READING AS DOUBLE), 'STOC
 def _(spark, sf):
     a = v.meter(spark, sf).select("RECORD_ID", F.col("METER_DESCRIPTION").alias("NAME"), F.col("VOLUME").alias("READING"))
     b = v.stock(spark, sf).select("RECORD_ID", F.col("TANK_DESCRIPTION").alias("NAME"), F.col("DIP_READING").cast("double").alias("READING"))
-    return sh.union_all(sh.with_tag(a, "STATION_FEED", "METER"), sh.with_tag(b, "STATION_FEED", "STOCK"))
+    paths = {name: fresh(spark, name) for name in ("METER", "STOCK", "NOT_WRITTEN_YET")}
+    ly.write_full(a, paths["METER"])
+    ly.write_full(b, paths["STOCK"])
+    return ly.read_tagged(spark, paths, "STATION_FEED")
+
+
+def _layer(spark, sf, **runs):
+    """Meter rows written as a layer of many runs, partitioned like the layers, and read back."""
+    path = fresh(spark, "runs")
+    ly.write_full(_runs(v.meter(spark, sf)).select("RECORD_ID", "STATION", "VOLUME", "RUN_DATE_ID"), path, "STATION")
+    return ly.read_layer(spark, path, **runs).select("RECORD_ID", "STATION", "VOLUME", "RUN_DATE_ID")
 
 
 @check("src_layer_run_eq", f"""{ctes('v_meter')} SELECT RECORD_ID, STATION, VOLUME, {_RUN_ID} AS RUN_DATE_ID FROM v_meter
 WHERE {_RUN_ID} = 19980105""")
 def _(spark, sf):
-    return fl.by_run(_runs(v.meter(spark, sf)), 19980105).select("RECORD_ID", "STATION", "VOLUME", "RUN_DATE_ID")
+    return _layer(spark, sf, run_date=19980105)
 
 
 @check("src_layer_run_between", f"""{ctes('v_meter')} SELECT RECORD_ID, STATION, VOLUME, {_RUN_ID} AS RUN_DATE_ID FROM v_meter
 WHERE {_RUN_ID} BETWEEN 19980101 AND 19980331""")
 def _(spark, sf):
-    return fl.by_run_range(_runs(v.meter(spark, sf)), 19980101, 19980331).select("RECORD_ID", "STATION", "VOLUME", "RUN_DATE_ID")
+    return _layer(spark, sf, start=19980101, end=19980331)
+
+
+check("src_layer_run_from", f"{ctes('v_meter')} SELECT RECORD_ID, STATION, VOLUME, {_RUN_ID} AS RUN_DATE_ID FROM v_meter WHERE {_RUN_ID} >= 19980301")(
+    lambda spark, sf: _layer(spark, sf, start=19980301)
+)
+check("src_layer_run_to", f"{ctes('v_meter')} SELECT RECORD_ID, STATION, VOLUME, {_RUN_ID} AS RUN_DATE_ID FROM v_meter WHERE {_RUN_ID} <= 19980301")(
+    lambda spark, sf: _layer(spark, sf, end=19980301)
+)
 
 
 check("flt_run_date", f"""{ctes('v_meter')} SELECT STATION, count(*) AS n, sum(VOLUME) AS volume FROM v_meter
@@ -55,10 +75,12 @@ WHERE {_RUN_ID} BETWEEN 19970101 AND 19971231 GROUP BY STATION""")(
     .groupBy("STATION").agg(F.count("*").alias("n"), F.sum("VOLUME").alias("volume"))
 )
 
-check("src_layer_full", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")(
-    lambda spark, sf: v.table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-)
+@check("src_layer_full", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+def _(spark, sf):
+    path, columns = fresh(spark, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    for _ in range(2):
+        ly.write_full(v.table(spark, sf, "orders").select(*columns), path)
+    return ly.read_layer(spark, path)
 
 
 @check("src_docs_eq", f"""{ctes('v_tweets')} SELECT author, tweet_text, load_date FROM v_tweets WHERE load_date = '2024-01-31'""")
@@ -244,8 +266,8 @@ check("dt_date_add", """SELECT o_orderkey, CAST(o_orderdate AS DATE) + CAST(trun
 check("dt_month_key", """SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month_key, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS day_key FROM orders""")(
     lambda spark, sf: v.table(spark, sf, "orders").select("o_orderkey", fx.month_key("o_orderdate").alias("month_key"), fx.day_key("o_orderdate").alias("day_key"))
 )
-check("dt_sequence", f"""{ctes('v_sap')} SELECT DISPATCH_NUMBER, CAST(DELIVERY_DATE - DISPATCH_DATE + 1 AS INTEGER) AS n FROM v_sap WHERE DELIVERY_DATE IS NOT NULL""")(
-    lambda spark, sf: v.sap(spark, sf).where("DELIVERY_DATE IS NOT NULL").select("DISPATCH_NUMBER", F.size(fx.days("DISPATCH_DATE", "DELIVERY_DATE")).alias("n"))
+check("dt_sequence", f"""{ctes('v_sap')} SELECT DISPATCH_NUMBER, CAST(DELIVERY_DATE - DISPATCH_DATE + 1 AS INTEGER) AS n FROM v_sap """)(
+    lambda spark, sf: v.sap(spark, sf).select("DISPATCH_NUMBER", F.size(fx.days("DISPATCH_DATE", "DELIVERY_DATE")).alias("n"))
 )
 check("py_to_datetime", f"""{ctes('v_tweets')} SELECT tweet_id, CAST(CAST(tweet_date AS TIMESTAMP) AS DATE) AS day, strftime(CAST(tweet_date AS TIMESTAMP), '%H:%M:%S') AS clock FROM v_tweets""")(
     lambda spark, sf: v.tweets(spark, sf).select("tweet_id", fx.date_part("tweet_date").alias("day"), fx.time_part("tweet_date").alias("clock"))

@@ -25,10 +25,7 @@ LOAD_DAY = date(2024, 2, 1)
 
 
 def _land(spark, lake, feed, df):
-    """One landing day of a feed: every value as text under the feed's headers. Business dates are
-    moved to the first of their month, as one day's batch does not hold thousands of dates."""
-    if dict(df.dtypes)[feed.date_column] == "date":
-        df = df.withColumn(feed.date_column, F.trunc(feed.date_column, "month"))
+    """One landing day of a feed: every value as text under the feed's headers."""
     text = df.select(*[F.col(c).cast("string") for c in df.columns]).toDF(*feed.headers)
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     text.write.options(header=True, emptyValue="", **blanks).csv(f"{lake.landing(feed.name)}/20240201/{feed.file}")
@@ -41,35 +38,30 @@ def _through(spark, feed, df, load):
     return ly.read_layer(spark, lake.silver(feed.name), run_date=RUN.run_date_id)
 
 
-def _month(column):
-    return f"CAST(date_trunc('month', {column}) AS DATE) AS {column}"
-
-
 def _text_created(view):
     return f"strftime(strptime({view}.DATE_CREATED, '%d/%m/%Y %H:%M'), '%Y-%m-%d %H:%M') AS DATE_CREATED"
 
 
-check("feed_codo_trucks", f"""{ctes('v_deliveries')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, MATERIAL, QUANTITY, STATUS, {_month('DELIVERY_DATE')},
+check("feed_codo_trucks", f"""{ctes('v_deliveries')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, MATERIAL, QUANTITY, STATUS, DELIVERY_DATE,
 {_text_created('v_deliveries')}, {AUDIT_SQL} FROM v_deliveries""")(
     lambda spark, sf: _through(spark, sc.CODO_TRUCKS, v.deliveries(spark, sf).select(*sc.TRUCK_COLUMNS), ingest.codo_trucks).drop("FILE_NAME")
 )
-check("feed_codo_stock", f"""{ctes('v_stock')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, TANK_DESCRIPTION, PRODUCT, DIP_READING, STATUS, {_month('SALES_DATE')},
+check("feed_codo_stock", f"""{ctes('v_stock')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, TANK_DESCRIPTION, PRODUCT, DIP_READING, STATUS, SALES_DATE,
 {_text_created('v_stock')}, {AUDIT_SQL} FROM v_stock""")(
     lambda spark, sf: _through(spark, sc.CODO_STOCK, v.stock(spark, sf).select(*sc.STOCK_COLUMNS), ingest.codo_stock).drop("FILE_NAME")
 )
 check("feed_codo_meter", f"""{ctes('v_meter')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, METER_DESCRIPTION, PRODUCT, PREVIOUS_READING, CURRENT_READING, VOLUME, TYPE, UNIT_PRICE,
-SALES_VALUE, DEALER_COMMISSION, DEALER_COMMISSION_AMOUNT, STATUS, {_month('SALES_DATE')}, {_text_created('v_meter')}, {AUDIT_SQL} FROM v_meter""")(
+SALES_VALUE, DEALER_COMMISSION, DEALER_COMMISSION_AMOUNT, STATUS, SALES_DATE, {_text_created('v_meter')}, {AUDIT_SQL} FROM v_meter""")(
     lambda spark, sf: _through(spark, sc.CODO_METER, v.meter(spark, sf).select(*sc.METER_COLUMNS), ingest.codo_meter).drop("FILE_NAME")
 )
-check("feed_sap_loading", f"{ctes('v_sap')} SELECT * REPLACE (CAST(date_trunc('month', LOADING_DATE) AS DATE) AS LOADING_DATE), {AUDIT_SQL} FROM v_sap")(
+check("feed_sap_loading", f"{ctes('v_sap')} SELECT *, {AUDIT_SQL} FROM v_sap")(
     lambda spark, sf: _through(spark, sc.SAP_LOADING, v.sap(spark, sf).select(*sc.SAP_COLUMNS), ingest.sap_loading).drop("FILE_NAME")
 )
 
 
-@check("feed_dodo_orders", f"{ctes('v_dodo')} SELECT * REPLACE (CAST(date_trunc('month', SALES_DATE) AS DATE) AS SALES_DATE), {AUDIT_SQL} FROM v_dodo")
+@check("feed_dodo_orders", f"{ctes('v_dodo')} SELECT *, {AUDIT_SQL} FROM v_dodo")
 def _(spark, sf):
-    first = F.concat(F.lit("01"), F.substring("SALES_STAMP", 3, 20))
-    raw = v.dodo_text(spark, sf).withColumn("SALES_DATE", first)
+    raw = v.dodo_text(spark, sf).withColumn("SALES_DATE", F.col("SALES_STAMP"))
     order = [c for c in sc.DODO_COLUMNS if c not in ("FILE_NAME", "SALES_TIME")]
     return _through(spark, sc.DODO_ORDERS, raw.select(*order), ingest.dodo_orders).drop("FILE_NAME")
 
@@ -98,12 +90,12 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
-@check("snk_site_replace", f"""{ctes('v_articles')} SELECT DISTINCT keywords, source, domain AS site FROM (SELECT domain, source, unnest(keywords) AS keywords FROM v_articles)""")
+@check("snk_site_replace", f"""{ctes('v_articles')} SELECT DISTINCT keywords, source, domain AS site FROM (SELECT domain, source, unnest(CASE WHEN len(keywords) > 0 THEN keywords ELSE [NULL] END) AS keywords FROM v_articles)""")
 def _(spark, sf):
-    """Two overlapping batches appended: published rows stay, known ones are not repeated."""
+    """Two overlapping batches appended: published rows stay, known ones, also without a keyword, are not repeated."""
     path = fresh(spark, "web")
-    rows = art.explode_keywords(v.articles(spark, sf)).where("keywords IS NOT NULL").select("keywords", "source", F.col("domain").alias("site")).distinct()
-    ly.append_new(rows.where(F.col("keywords").contains(" ")), path, ["keywords", "source"], "site")
+    rows = art.explode_keywords(v.articles(spark, sf)).select("keywords", "source", F.col("domain").alias("site")).distinct()
+    ly.append_new(rows.where("keywords IS NULL OR keywords LIKE '% %'"), path, ["keywords", "source"], "site")
     ly.append_new(rows, path, ["keywords", "source"], "site")
     ly.append_new(rows, path, ["keywords", "source"], "site")
     return spark.read.parquet(path)
@@ -132,7 +124,7 @@ def _(spark, sf):
 
 # ---- streams ----------------------------------------------------------------------
 
-@check("strm_incremental_landing", f"""{ctes('v_deliveries')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, MATERIAL, QUANTITY, {_month('DELIVERY_DATE')} FROM v_deliveries""")
+@check("strm_incremental_landing", f"""{ctes('v_deliveries')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, MATERIAL, QUANTITY, DELIVERY_DATE FROM v_deliveries""")
 def _(spark, sf):
     """Landing files picked up by a stream; a second run over the same files adds nothing."""
     lake = Lake(fresh(spark, "stream"))
@@ -147,11 +139,11 @@ def _(spark, sf):
     return spark.read.parquet(lake.bronze("trucks")).select("RECORD_ID", "STATION", "MATERIAL", "QUANTITY", "DELIVERY_DATE")
 
 
-def _drain(spark, df, name, mode):
+def _drain(spark, df, name):
     out = fresh(spark, name)
     query = (
-        df.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/progress").trigger(availableNow=True)
-        .foreachBatch(lambda b, i: b.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{out}/data")).start()
+        df.writeStream.outputMode("append").option("checkpointLocation", f"{out}/progress").trigger(availableNow=True)
+        .foreachBatch(lambda b, i: b.write.mode("append").parquet(f"{out}/data")).start()
     )
     query.awaitTermination()
     return spark.read.parquet(f"{out}/data")
@@ -159,21 +151,27 @@ def _drain(spark, df, name, mode):
 
 @check("strm_daily_rollup", f"""{ctes('v_meter')} SELECT STATION, SALES_DATE, sum(VOLUME) AS TOTAL_VOLUME_SOLD, round(sum(SALES_VALUE), 2) AS TOTAL_SALES_VALUE FROM v_meter GROUP BY 1, 2""")
 def _(spark, sf):
-    src = fresh(spark, "sales")
-    sales = v.meter(spark, sf).select("STATION", F.col("SALES_DATE").cast("timestamp").alias("SALES_TS"), "VOLUME", "SALES_VALUE")
-    sales.write.parquet(src)
-    events = spark.readStream.schema(sales.schema).parquet(src)
-    return _drain(spark, stream.daily_totals(events), "daily", "complete").withColumn("TOTAL_SALES_VALUE", F.round("TOTAL_SALES_VALUE", 2))
-
-
-@check("strm_keyword_dedup", f"""{ctes('v_articles')} SELECT DISTINCT keywords, source FROM (SELECT source, unnest(keywords) AS keywords FROM v_articles)""")
+    """Two runs of the stream: the second brings late rows of days that already have a total."""
+    src, out = fresh(spark, "sales"), fresh(spark, "daily")
+    sales = v.meter(spark, sf).select("RECORD_ID", "STATION", F.col("SALES_DATE").cast("timestamp").alias("SALES_TS"), "VOLUME", "SALES_VALUE")
+    late = F.pmod(F.xxhash64("RECORD_ID"), F.lit(7)) == 0
+    for part in (~late, late):
+        sales.where(part).drop("RECORD_ID").write.mode("append").parquet(src)
+        events = spark.readStream.schema(sales.drop("RECORD_ID").schema).parquet(src)
+        totals = stream.daily_totals(events, "4000 days").writeStream.outputMode("update").foreachBatch(stream.upsert_totals(f"{out}/data"))
+        totals.option("checkpointLocation", f"{out}/progress").trigger(availableNow=True).start().awaitTermination()
+    found = stream.latest_totals(spark, f"{out}/data", ["STATION", "SALES_DATE"])
+    return found.withColumn("TOTAL_SALES_VALUE", F.round("TOTAL_SALES_VALUE", 2))
+
+
+@check("strm_keyword_dedup", f"""{ctes('v_articles')} SELECT DISTINCT keywords, source FROM (SELECT source, unnest(CASE WHEN len(keywords) > 0 THEN keywords ELSE [NULL] END) AS keywords FROM v_articles)""")
 def _(spark, sf):
     src = fresh(spark, "articles")
-    rows = art.explode_keywords(v.articles(spark, sf)).where("keywords IS NOT NULL").select("keywords", "source", "createdAt")
+    rows = art.explode_keywords(v.articles(spark, sf)).select("keywords", "source", "createdAt")
     rows.write.parquet(src)
     articles = spark.readStream.schema(rows.schema).parquet(src)
     seen = stream.first_seen(articles, ["keywords", "source"], "60 days")
-    return _drain(spark, seen, "seen", "append").select("keywords", "source")
+    return _drain(spark, seen, "seen").select("keywords", "source")
 
 
 _STEMS = ", ".join(f"round(s_acctbal + {i}, 2) AS {s}" for i, s in enumerate(sc.BOOK_STOCK_STEMS))

@@ -15,7 +15,7 @@ from stationcast.plans import forecasts as plan
 from stationcast.plans import sentiment as sent
 
 from . import views as v
-from .demand import DAILY_PRODUCT_SQL, RAW_SQL, SAP_DODO_SQL, codo_raw, sap_dodo_features
+from .demand import DAILY_PRODUCT_SQL, RAW_SQL, SAP_DODO_SQL, daily_product, sap_dodo_features
 from .registry import check
 from .views import AUDIT_SQL, RUN, ctes
 
@@ -174,10 +174,13 @@ FROM v_tweets LEFT JOIN pol ON tweet_id = k"""
 check("flow_tweets", f"SELECT DISTINCT * FROM ({_TWEET_TABLE})")(lambda spark, sf: sent.tweets_table(v.tweets(spark, sf)))
 
 
-@check("flow_web", f"""{_SCORED}, web AS (SELECT keywords, domain AS site, source, strftime(createdAt, '%Y-%m-%d %H:%M:%S') AS createdat, strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedat,
+_WEB = f"""{_SCORED}, web AS (SELECT keywords, domain AS site, source, strftime(createdAt, '%Y-%m-%d %H:%M:%S') AS createdat, strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedat,
 strftime(createdAt, '%Y-%m-%d') AS created_date, array_to_string(analyzed_words, ',') AS analyzed_words, CAST(sentiment AS VARCHAR) AS sentiment FROM v_scored),
-pick AS (SELECT *, row_number() OVER (PARTITION BY keywords, source ORDER BY createdat, site, updatedat, created_date, analyzed_words, sentiment) AS r FROM web)
-SELECT * EXCLUDE (r) FROM pick WHERE r = 1""")
+pick AS (SELECT *, row_number() OVER (PARTITION BY keywords, source ORDER BY createdat, site, updatedat, created_date, analyzed_words, sentiment) AS r FROM web)"""
+WEB_SQL = f"{_WEB} SELECT keywords, source, site FROM pick WHERE r = 1"
+
+
+@check("flow_web", f"{_WEB} SELECT * EXCLUDE (r) FROM pick WHERE r = 1")
 def _(spark, sf):
     batch = sent.web_batch(v.articles(spark, sf), "2024-01-01 00:00:00", "2025-01-01 00:00:00")
     return od.dedup_on(sent.web_contract(batch), ["keywords", "source"], ["createdat"])
@@ -195,7 +198,7 @@ for _name, _y in (("sales", "TOTAL_VOLUME_SOLD"), ("quantity", "QUANTITY"), ("ne
 
 
 def _features(spark, sf, name):
-    return sap_dodo_features(spark, sf) if name in ("orders", "delays") else codo_raw(spark, sf)
+    return sap_dodo_features(spark, sf) if name in ("orders", "delays") else daily_product(spark, sf)
 
 
 def _points(spark, sf, name):
@@ -206,7 +209,18 @@ def _register_series(name):
     check(f"fct_series_{name}", f"{_SERIES[name]} SELECT station, ds, round(y, 7) AS y, w FROM pts")(
         lambda spark, sf: _points(spark, sf, name).withColumn("y", F.round("y", 7))
     )
-    check(f"flow_forecast_{name}")(lambda spark, sf: plan.model_table(_features(spark, sf, name), name))
+    t, day = plan.TARGETS[name], "%Y%m%d" if plan.TARGETS[name].date_format == "yyyyMMdd" else "%Y-%m-%d"
+
+    def flow(spark, sf):
+        """The published table: every day of a station with two points or more, and the seven days after."""
+        table = plan.model_table(_features(spark, sf, name), name)
+        low, high = (F.col(f"{end}_{t.forecast_name}") if t.interval else F.col(t.forecast_name) for end in ("LOWER", "UPPER"))
+        fits = F.col(t.forecast_name).between(low, high) & ~F.isnan(t.forecast_name)
+        return table.select(t.key, t.date_name, F.round(t.actual_name, 7).alias(t.actual_name), F.coalesce(fits, F.lit(False)).alias("has_forecast"))
+
+    check(f"flow_forecast_{name}", f"""{_SERIES[name]}, fit AS (SELECT station, max(ds) AS d FROM pts GROUP BY 1 HAVING count(y) >= 2),
+days AS (SELECT station, ds, y FROM pts SEMI JOIN fit USING (station) UNION ALL SELECT station, CAST(d + CAST(i AS INTEGER) AS DATE), NULL FROM fit, range(1, 8) AS u(i))
+SELECT station AS {t.key}, strftime(ds, '{day}') AS {t.date_name}, round(y, 7) AS {t.actual_name}, true AS has_forecast FROM days""")(flow)
 
 
 for _name in _SERIES:
@@ -234,8 +248,33 @@ check("fct_baseline_sql", f"{_BASE} SELECT station, ds, round(yhat, 3) AS yhat F
 check("fct_interval", f"{_BASE} SELECT station, ds, round(yhat - 1.96 * sd, 3) AS yhat_lower, round(yhat + 1.96 * sd, 3) AS yhat_upper FROM base")(
     lambda spark, sf: _base(spark, sf).select("station", "ds", F.round("yhat_lower", 3).alias("yhat_lower"), F.round("yhat_upper", 3).alias("yhat_upper"))
 )
-check("fct_fit_predict")(lambda spark, sf: fc.forecast(_points(spark, sf, "sales")))
-check("fct_isolate_failures")(lambda spark, sf: fc.forecast(_points(spark, sf, "next_delivery"), on_error="report"))
+_LINE = "5 + 0.25 * CAST(ds - DATE '1995-01-01' AS DOUBLE) + CAST(substr(station, 4) AS DOUBLE)"
+
+
+@check("fct_fit_predict", f"""{ctes('v_meter')}, days AS (SELECT DISTINCT STATION AS station, SALES_DATE AS ds FROM v_meter),
+far AS (SELECT * FROM days UNION ALL SELECT station, CAST(max(ds) + CAST(i AS INTEGER) AS DATE) FROM days, range(1, 8) AS u(i) GROUP BY station, i)
+SELECT station, ds, round({_LINE}, 2) AS yhat FROM far""")
+def _(spark, sf):
+    """Stations whose values lie on a line: the fit and its horizon are that line."""
+    days = v.meter(spark, sf).select(F.col("STATION").alias("station"), F.col("SALES_DATE").alias("ds")).distinct()
+    line = 5 + 0.25 * F.datediff("ds", F.lit("1995-01-01")) + F.substring("station", 4, 9).cast("double")
+    fitted = fc.forecast(days.withColumns({"y": line, "w": F.lit(1).cast("long")}))
+    return fitted.select("station", "ds", F.round("yhat", 2).alias("yhat"))
+
+
+@check("fct_isolate_failures", """WITH pts AS (SELECT 'C' || o_custkey AS station, CAST(o_orderdate AS DATE) AS ds,
+max(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END) AS y FROM orders GROUP BY 1, 2)
+SELECT station, CASE WHEN count(y) >= 2 THEN count(*) + 7 ELSE 1 END AS n, count(y) < 2 AS failed FROM pts GROUP BY 1""")
+def _(spark, sf):
+    """Customers as stations: many have one usable day or none, and only those fail."""
+    orders = v.table(spark, sf, "orders").select(
+        F.concat(F.lit("C"), "o_custkey").alias("station"), F.to_date("o_orderdate").alias("ds"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("v"))
+    points = orders.groupBy("station", "ds").agg(F.max("v").alias("y"), F.count("v").alias("w"))
+    report = fc.forecast(points, on_error="report")
+    return report.groupBy("station").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("fit_error").isNotNull()).alias("failed"))
+
+
 check("fct_attach_actuals", f"{_BASE} SELECT b.station, b.ds, round(y, 7) AS y FROM base b LEFT JOIN pts p ON p.station = b.station AND p.ds = b.ds")(
     lambda spark, sf: fc.attach_actuals(_base(spark, sf), _points(spark, sf, "sales")).select("station", "ds", F.round("y", 7).alias("y"))
 )

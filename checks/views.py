@@ -159,7 +159,7 @@ def tweets(spark, sf):
         F.col("source").alias("userdesc"), F.lit("web").alias("device"), F.lit(None).cast("string").alias("timezone"),
         F.col("lang").alias("language"), F.lit("False").alias("following"), F.lit("False").alias("follow_request_sent"),
         F.lit("p").alias("profile"), F.col("n_chars").alias("statuses_count"), place.alias("location"),
-        F.col("lang").alias("filter_col"), F.lit("2024-01-31").alias("load_date"),
+        F.col("lang").alias("filter_col"), F.when(i % 4 == 0, "2024-01-30").otherwise("2024-01-31").alias("load_date"),
     )
 
 
@@ -273,7 +273,7 @@ SELECT doc_id AS tweet_id, 'user_' || (doc_id % 97) AS author,
        'False' AS follow_request_sent, 'p' AS profile, n_chars AS statuses_count,
        CASE doc_id % 5 WHEN 0 THEN 'Lagos, Nigeria' WHEN 1 THEN 'Abuja Nigeria' WHEN 2 THEN 'Kano' WHEN 3 THEN NULL
             ELSE lang || ' X, ' || source END AS location,
-       lang AS filter_col, '2024-01-31' AS load_date
+       lang AS filter_col, CASE WHEN doc_id % 4 = 0 THEN '2024-01-30' ELSE '2024-01-31' END AS load_date
 FROM documents""",
     "v_articles": """
 SELECT doc_id AS _id, d.source AS domain, 'http://' || d.source || '/' || (doc_id // 2) AS source,
