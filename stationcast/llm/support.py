@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 #: A word of the contracts: a run of anything but blanks and the five ASCII line and tab controls.
 WORD = r"[^\x20\x09-\x0D]+"
-ARROW_BYTES = 32 << 20
+ARROW_BYTES = 4 << 20
 
 
 def session(df: DataFrame) -> SparkSession:

@@ -247,7 +247,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, prior: fl
 
 # ---------------------------------------------------------------- scoring
 
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 PASSAGES = "array<struct<first:int,last:int,score:double,expected:double>>"
 
 
