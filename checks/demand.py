@@ -247,11 +247,12 @@ FROM o FULL JOIN t USING (STATION) FULL JOIN m USING (STATION)""")(
     lambda spark, sf: codo.station_wide_summary(_factors(spark, sf))
 )
 check("feat_codo_agg_orders", f"{_ORDERS} SELECT * FROM v_orders")(lambda spark, sf: _factors(spark, sf).orders)
-check("agg_station_volume", f"""{_PARTS}, o AS (SELECT STATION, MATERIAL, CURRENT_DELIVERY_DATE, QUANTITY, count(*) AS no, max(TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY_DATE) AS sold FROM v_orders GROUP BY 1, 2, 3, 4),
+_VOLUME = f"""{_PARTS}, o AS (SELECT STATION, MATERIAL, CURRENT_DELIVERY_DATE, QUANTITY, count(*) AS no, max(TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY_DATE) AS sold FROM v_orders GROUP BY 1, 2, 3, 4),
 d AS (SELECT STATION, SALES_DATE, sum(V) AS v FROM v_meters GROUP BY 1, 2), s AS (SELECT STATION, count(SALES_DATE) AS n, sum(v) AS v, max(v) AS peak FROM d GROUP BY 1)
 SELECT STATION, MATERIAL, CURRENT_DELIVERY_DATE, cap AS TOTAL_STATION_CAPACITY, QUANTITY, n AS SALES_DAYS, v * coalesce(no, 1) * coalesce(nt, 1) AS TOTAL_VOLUME_SOLD,
 peak * coalesce(no, 1) * coalesce(nt, 1) AS PEAK_DAY_VOLUME_SOLD, sold AS TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY
-FROM o FULL JOIN t USING (STATION) FULL JOIN s USING (STATION)""")(
+FROM o FULL JOIN t USING (STATION) FULL JOIN s USING (STATION)"""
+check("agg_station_volume", _VOLUME)(
     lambda spark, sf: codo.station_volume_by_order(_factors(spark, sf))
 )
 check("agg_station_volume_days", f"""{_PARTS}, o AS (SELECT STATION, count(*) AS no, count(DISTINCT (MATERIAL, CURRENT_DELIVERY_DATE, QUANTITY)) AS groups, max(TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY_DATE) AS sold FROM v_orders GROUP BY 1),

@@ -6,16 +6,21 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from stationcast import schemas as sc
 from stationcast.functions.columns import month_key
 from stationcast.operators import articles as art
+from stationcast.operators.shaping import with_audit
+from stationcast.plans import gold
 from stationcast.plans import sentiment as sent
+from stationcast.plans.lake import Lake
 from stationcast.sources import layers as ly
 
 from . import views as v
+from .demand import DAILY_PRODUCT_SQL, RAW_SQL, SAP_DODO_SQL, dodo
 from .registry import check
 from .scratch import fresh
 from .text_and_forecast import WEB_SQL
-from .views import ctes
+from .views import AUDIT_SQL, RUN, ctes
 
 
 def _name(stem: str) -> str:
@@ -94,3 +99,37 @@ def _(spark, sf):
     for start, end in (("2024-01-01 00:00:00", middle), ("2024-01-01 00:00:00", "2025-01-01 00:00:00")) * 2:
         sent.web(spark, raw, path, start, end, name)
     return spark.table(name).select("keywords", "source", "site")
+
+
+@check("pipe_tweets", f"{ctes('v_tweets')} SELECT DISTINCT author, tweet_text, load_date FROM v_tweets")
+def _(spark, sf):
+    """Both load dates, each of them twice."""
+    name, raw = _name("tweets"), v.tweets(spark, sf)
+    for day in ("2024-01-30", "2024-01-31") * 2:
+        sent.tweets(spark, raw, day, name)
+    return spark.table(name).select("author", "tweet_text", "load_date").distinct()
+
+
+def _codo_gold(spark, sf):
+    """Silver layers of the three station feeds through the gold plan."""
+    lake, database = Lake(fresh(spark, "codo")), f"gold_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake.root}/{database}'")
+    for feed, rows in ((sc.CODO_TRUCKS, v.deliveries(spark, sf)), (sc.CODO_STOCK, v.stock(spark, sf)), (sc.CODO_METER, v.meter(spark, sf))):
+        ly.write_full(with_audit(rows.withColumn("FILE_NAME", F.lit("f")), RUN), lake.silver(feed.name))
+    gold.codo_gold(spark, lake, RUN, RUN.run_date_id, RUN.run_date_id, database)
+    return database
+
+
+check("pipe_codo_gold", f"{RAW_SQL}, dsp AS ({DAILY_PRODUCT_SQL}), n AS (SELECT count(*) AS n FROM v_raw) SELECT dsp.*, n AS RAW_ROWS FROM dsp, n WHERE SALES_DATE IS NOT NULL")(
+    lambda spark, sf: (lambda db: spark.table(f"{db}.codo_daily_station_product").drop(*sc.AUDIT_COLUMNS).where("SALES_DATE IS NOT NULL")
+                       .withColumn("RAW_ROWS", spark.table(f"{db}.codo_raw_features").agg(F.count(F.lit(1))).scalar()))(_codo_gold(spark, sf))
+)
+
+@check("pipe_sap_dodo_gold", f"{SAP_DODO_SQL} SELECT {', '.join(sc.SAP_DODO)}, {AUDIT_SQL} FROM v_flag")
+def _(spark, sf):
+    lake, database = Lake(fresh(spark, "sap")), f"gold_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake.root}/{database}'")
+    for feed, rows in ((sc.SAP_LOADING, v.sap(spark, sf)), (sc.DODO_ORDERS, dodo(spark, sf))):
+        ly.write_full(with_audit(rows, RUN), lake.silver(feed.name))
+    gold.sap_dodo_gold(spark, lake, RUN, database)
+    return spark.table(f"{database}.sap_dodo_feature_store")

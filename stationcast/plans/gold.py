@@ -27,7 +27,7 @@ def codo_gold(spark: SparkSession, lake: Lake, run: RunContext, start: int, end:
     write_full(codo.codo_raw(trucks, stock, meter, run), lake.gold("codo_raw_features"), "SALES_DATE")
     publish_path(spark, lake.gold("codo_raw_features"), f"{database}.codo_raw_features")
     daily = with_audit(codo.daily_station_product(trucks, stock, meter), run)
-    write_full(daily, lake.gold("codo_daily_station_product"), "SALES_DATE")
+    write_full(daily, lake.gold("codo_daily_station_product"))
     publish_path(spark, lake.gold("codo_daily_station_product"), f"{database}.codo_daily_station_product")
 
     factors = codo.codo_factors(trucks, stock, meter)
@@ -92,9 +92,10 @@ def load_factors(spark: SparkSession, lake: Lake, run_date: int | None = None) -
 
 
 def codo_agg_view(spark: SparkSession, lake: Lake, run: RunContext) -> tuple[DataFrame, DataFrame]:
-    """The two volume summaries of the run's wide table."""
+    """The two volume summaries of the run's wide table, one row per order group: sums over its sales days, and the
+    largest single figure. ``codo.station_volume`` has every pair of order group and day, for a few stations."""
     f = load_factors(spark, lake, run.run_date_id)
-    return codo.station_volume(f), codo.station_volume_max(f)
+    return codo.station_volume_by_order(f), codo.station_volume_max_by_order(f)
 
 
 def sap_dodo_gold(spark: SparkSession, lake: Lake, run: RunContext, database: str = "default") -> None:
