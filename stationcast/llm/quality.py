@@ -27,8 +27,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Ratio -> (least spread, side that is tested: both, or high values only).
 RATIOS = {
-    "symbol_rate": (0.05, "high"), "word_length": (0.5, "both"), "dup_line_rate": (0.1, "high"),
-    "repeat_rate": (0.05, "high"), "upper_rate": (0.05, "high"),
+    "symbol_rate": (0.05, "high"), "word_length": (0.5, "both"), "dup_line_rate": (0.2, "high"),
+    "repeat_rate": (0.15, "high"), "upper_rate": (0.05, "high"),
 }
 REACH = 3.0
 FEW = 100

@@ -155,7 +155,7 @@ r AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words
 long AS (SELECT lang, source, unnest([1, 2, 3, 4, 5]) AS k, unnest([r1, r2, r3, r4, r5]) AS v FROM r WHERE NOT base_failed),
 q AS (SELECT k, lang, source, grouping(lang) AS gl, grouping(source) AS gs, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
   FROM long GROUP BY GROUPING SETS ((k, lang, source), (k, lang), (k))),
-f AS (SELECT k, lang, source, gl, gs, n, q1, q3, greatest(q3 - q1, [0.05::DOUBLE, 0.5, 0.1, 0.05, 0.05][k]) * 3 AS wide FROM q),
+f AS (SELECT k, lang, source, gl, gs, n, q1, q3, greatest(q3 - q1, [0.05::DOUBLE, 0.5, 0.2, 0.15, 0.05][k]) * 3 AS wide FROM q),
 cut AS (SELECT own.k, own.lang, own.source, CASE WHEN own.n >= 100 THEN own.q1 - own.wide WHEN l.n >= 100 THEN l.q1 - l.wide ELSE a.q1 - a.wide END AS low,
   CASE WHEN own.n >= 100 THEN own.q3 + own.wide WHEN l.n >= 100 THEN l.q3 + l.wide ELSE a.q3 + a.wide END AS high
   FROM f own JOIN f l ON own.k = l.k AND own.lang IS NOT DISTINCT FROM l.lang JOIN f a ON own.k = a.k
