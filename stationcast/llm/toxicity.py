@@ -3,14 +3,17 @@
 Learning, on a bounded sample of labelled rows (`sample` rows at most, the same on each run; never a held-out row):
 copies are thinned to one row per smallest shingle hash, then each feature (a word, or the first 4 to 7 bytes of
 longer ones) is counted in toxic and clean texts. Its weight is the difference of the log-odds with a Dirichlet prior
-proportional to the feature's overall rate. Only features whose surplus in toxic texts is no chance finding among
-all features count (Chernoff bound below `chance` divided by the number of features); any other word costs `gap`.
-
-Scoring, on every whole text in its row (the n-th occurrence of a word weighs 1 / n^2 of the first): the maximal-scoring segments of the sequence of word weights (Ruzzo and
-Tompa's linear scan) are the passages. By extreme-value theory a passage of score S in a text of n words has
-E = n exp(-lambda S), lambda being the solution of sum p exp(lambda s) = 1 over the clean word rates. Passages with
-E below `significant` are reported. A text's evidence is the tail probability of the sum of their normalised scores,
-and a logistic curve fitted on the sample turns its logarithm into the score.
+proportional to the feature's overall rate, above zero or below. Features count whose surplus in toxic texts is no
+chance finding among all features (Chernoff bound below `chance` divided by the number of features), and those whose
+surplus in clean texts is none by itself (bound below `doubt`: a word that counts as clean by chance reports nothing);
+of several in a word the one farthest from zero does. A word of which the sample tells neither costs `gap`.
+
+Scoring, on every whole text in its row: the maximal-scoring segments of the sequence of word weights (Ruzzo and
+Tompa's linear scan) are the passages; each occurrence of a word has its full weight. By extreme-value theory a passage
+of score S in a text of n words has E = n exp(-lambda S), lambda being the solution of sum p exp(lambda s) = 1 over the
+clean word rates. Passages with E below `significant` are reported. A text's evidence is the tail probability of the sum
+of their normalised scores, for which the n-th use of a word within the text's passages weighs 1 / n^2 of the first (a
+text that repeats itself says a thing once), and a logistic curve fitted on the sample turns its logarithm into the score.
 
 Inputs of a score are the text's words alone. Defined results: null and empty texts have no passage and get the
 score of texts without evidence; equal texts get equal scores; labels without a text are ignored; of repeated label
@@ -36,6 +39,7 @@ SAMPLE = 20_000
 FOLDS = 5
 PRIOR = 10.0
 CHANCE = 0.01
+DOUBT = 0.05
 GAP = 0.02
 SIGNIFICANT = 0.01
 STEMS = (4, 5, 6, 7)
@@ -92,26 +96,27 @@ class Model:
 
     def weight(self, word: bytes) -> float:
         found = [self.weights[f] for f in (word, *stems_of(word)) if f in self.weights]
-        return max(found) if found else 0.0
+        return max(found, key=lambda x: (abs(x), x)) if found else 0.0
+
+    def _learnt(self, word: bytes, known: dict[bytes, float]) -> float:
+        known[word] = self.weight(word) or -self.gap
+        return known[word]
 
     def passages(self, text: str | None, known: dict[bytes, float]) -> tuple[int, list[tuple[int, int, float, float]]]:
-        """(words, significant passages as first word, end, score, E). known: weights of words seen before, 0 for none."""
+        """(words, significant passages as first word, end, score, E). known: scores of words seen before."""
         words = words_of(text)
-        hits, times = [], {}
+        scores, places, cost = [], [], 0.0
         for i, w in enumerate(words):
             s = known.get(w)
             if s is None:
-                s = known[w] = self.weight(w)
-            if s:
-                n = times[w] = times.get(w, 0) + 1
-                hits.append((i, s / (n * n)))  # a text that repeats itself says a thing once
-        if not hits:
-            return len(words), []
-        scores, places = [], []
-        for k, (i, s) in enumerate(hits):
-            if k and i > hits[k - 1][0] + 1:  # the words between cost as much as one by one
-                scores.append(-self.gap * (i - hits[k - 1][0] - 1))
+                s = self._learnt(w, known)
+            if s <= 0:
+                cost += s
+                continue
+            if cost and scores:  # what the words between cost together
+                scores.append(cost)
                 places.append(i)
+            cost = 0.0
             scores.append(s)
             places.append(i)
         n, out = len(words), []
@@ -121,12 +126,26 @@ class Model:
                 out.append((places[a], places[b - 1] + 1, score, expected))
         return n, out
 
+    def tempered(self, text: str | None, passages: list[tuple[int, int, float, float]], known: dict[bytes, float]) -> list[tuple[int, int, float, float]]:
+        """The passages with the score of their best part when the n-th use of a word in them weighs 1 / n^2."""
+        words, times, out = words_of(text) if passages else [], {}, []
+        for first, last, _, expected in passages:
+            scores = []
+            for w in words[first:last]:
+                s = known[w] if w in known else self._learnt(w, known)
+                if s > 0:
+                    n = times[w] = times.get(w, 0) + 1
+                    s /= n * n
+                scores.append(s)
+            out.append((first, last, max(s for *_, s in maximal_segments(scores)), expected))
+        return out
+
     def evidence(self, n: int, passages: list[tuple[int, int, float, float]]) -> float:
         """-log10 of the probability that a clean text's r best passages sum up to this."""
-        if not passages:
+        parts = [x for x in (self.decay * s - math.log(n) for _, _, s, _ in passages) if x > 0]
+        if not parts:
             return 0.0
-        r = len(passages)
-        total = sum(self.decay * s - math.log(n) for _, _, s, _ in passages)
+        r, total = len(parts), sum(parts)
         tail = -total + (r - 1) * math.log(max(total, 1.0)) - math.lgamma(r + 1) - math.lgamma(r)
         return max(0.0, -tail / math.log(10))
 
@@ -175,7 +194,7 @@ def _tally(model: Model):
 
 
 def _decay(rates: dict[float, float], gap: float) -> float:
-    """The positive solution of sum p exp(lambda s) = 1, for the rates p of the weights s; all other words score -gap."""
+    """The positive solution of sum p exp(lambda s) = 1, for the rates p of the weights s of either sign; all other words score -gap."""
     s, p = np.array([*rates, -gap]), np.array([*rates.values(), 0.0])
     p[-1] = max(1.0 - p.sum(), 1e-9)
     if (p * s).sum() >= 0:
@@ -210,7 +229,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return rows
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, prior: float = PRIOR, chance: float = CHANCE, gap: float = GAP) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, prior: float = PRIOR, chance: float = CHANCE, doubt: float = DOUBT, gap: float = GAP) -> Model:
     """Fits the model; what reaches the driver is bounded by the sample."""
     rows = map_arrow(training_rows(docs, labels, sample), _shingle_key, "key long, toxic int, text string")
     rows = written(rows.groupBy("key", "toxic").agg(F.min("text").alias("text")).select("toxic", "text"), "toxicity-sample")
@@ -223,15 +242,15 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, prior: fl
     counted = written(counted, "toxicity-features")
     features = counted.count()
     share, a, b = n1 / (n1 + n0), F.col("a").cast("double"), F.col("b").cast("double")
-    surplus = a * F.ln(a / ((a + b) * share)) + F.when(b > 0, b * F.ln(b / ((a + b) * (1 - share)))).otherwise(0.0)
-    significant = counted.filter((a > (a + b) * share) & (surplus >= math.log(features / chance)))
+    surplus = sum(F.when(x > 0, x * F.ln(x / ((a + b) * part))).otherwise(0.0) for x, part in ((a, share), (b, 1 - share)))
+    significant = counted.filter(surplus >= F.when(a > (a + b) * share, math.log(features / chance)).otherwise(-math.log(doubt)))
     weights = {}
     for r in significant.collect():  # a subset of the sample's features
         extra = prior * (r.a + r.b) / (n1 + n0)
         odds = lambda x, n: math.log((x + extra) / max(n + prior - x - extra, 0.5))
         weights[bytes(r.feature)] = odds(r.a, n1) - odds(r.b, n0)
-    model = Model({f: w for f, w in weights.items() if w > 0}, gap=gap)
-    if not model.weights:
+    model = Model(weights, gap=gap)
+    if not any(w > 0 for w in weights.values()):
         return Model(curve=(math.log((n1 + 0.5) / (n0 + 0.5)), 0.0), gap=gap)
     tally = map_arrow(rows, _tally(model), "toxic int, weight double, words long").groupBy("toxic", "weight").agg(F.sum("words").alias("words"))
     words: tuple[dict, dict] = ({}, {})
@@ -239,7 +258,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, prior: fl
         words[r.toxic][r.weight] = r.words
     clean, toxic = (max(sum(x.values()), 1) for x in words)
     # the clean rate of a weight, with the prior spread as toxic texts have it
-    rates = {w: (words[0].get(w, 0) + prior * words[1].get(w, 0) / toxic) / (clean + prior) for w in {*words[0], *words[1]} if w > 0}
+    rates = {w: (words[0].get(w, 0) + prior * words[1].get(w, 0) / toxic) / (clean + prior) for w in {*words[0], *words[1]} if w}
     model = Model(model.weights, _decay(rates, gap), gap=gap)
     pairs = np.array([tuple(r) for r in scored(rows, model, keep=("toxic",)).select("evidence", "toxic").collect()], float).reshape(-1, 2)
     return Model(model.weights, model.decay, _curve(pairs[:, 0], pairs[:, 1]), gap)
@@ -263,7 +282,7 @@ def scored(docs: DataFrame, model: Model, *, keep: tuple[str, ...], text: str =
             for t in batch.column(len(keep)).to_pylist():
                 n, found = model.passages(t, known)
                 spans.append([{"first": a, "last": b, "score": s, "expected": e} for a, b, s, e in found])
-                evidence.append(model.evidence(n, found))
+                evidence.append(model.evidence(n, model.tempered(t, found, known)))
             kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(spans, kind), pa.array(evidence, pa.float64()),

@@ -153,6 +153,31 @@ def test_decay_solves_its_equation():
     assert sum(p * math.exp(x * s) for s, p in rates.items()) + (1 - 1.1e-3) * math.exp(-0.1 * x) == pytest.approx(1, abs=1e-6)
 
 
+def test_each_toxic_passage_of_a_long_text_is_reported():
+    bad = [b"grubble", b"snarky", b"vexor", b"blarg", b"crux"]
+    model = toxicity.Model({**{w: 8.0 for w in bad}, b"calm": -3.0}, decay=1.0)
+    insult = b" ".join(bad).decode()
+    plain = [f"w{i}" for i in range(4000)]
+    n, found = model.passages(" ".join([*plain[:200], insult, *plain[200:3200], insult, *plain[3200:]]), {})
+    assert n == 4010 and [(a, b) for a, b, *_ in found] == [(200, 205), (3205, 3210)]
+    assert found[0][2:] == pytest.approx(found[1][2:])
+    # single uses before it take nothing from a passage
+    n, found = model.passages(" ".join([x for w in bad for x in (w.decode(), *(["calm"] * 9))] + plain[:500] + [insult] + plain[500:]), {})
+    assert (550, 555) in [(a, b) for a, b, *_ in found] and max(s for *_, s, _ in found) == pytest.approx(40)
+    # a word of clean texts ends a passage, and repeats weigh less as evidence than new words
+    assert [(a, b) for a, b, *_ in model.passages("grubble calm calm calm grubble", {})[1]] == [(0, 1), (4, 5)]
+    once, many = insult, " ".join([insult] * 3)
+    weigh = lambda t: model.evidence(1000, model.tempered(t, model.passages(t, {})[1], {}))
+    assert weigh(once) < weigh(many) < 2 * weigh(once)
+
+
+def test_clean_words_count_against_a_passage(spark):
+    docs, labels = labelled()
+    docs = [(i, t + " sunny meadow" if i % 8 else t, *rest) for i, t, *rest in docs]
+    model = toxicity.learn(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.weights[b"sunny"] < -1 and model.weights[b"meadow"] < -1 and model.weights[b"grubble"] > 0
+
+
 # ---------------------------------------------------------------- main text
 
 ARTICLE = "<h1>Tit&eacute;l</h1><p>First  para\n graph &amp; more.</p><p>Second <b>bold</b> words<br>here.<p>Third &lt;tag&gt; one"
