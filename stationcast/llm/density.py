@@ -1,8 +1,15 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree of elements. What names itself as something else than the article (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments, by element, role, class or id) is
-cut off. Each remaining node has a composite density: characters per tag, lowered where many of the characters
+A page is read into a tree of elements. Scripts, styles, controls and the like hold no text. What names itself as
+something else than the article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, what is
+hidden, by element, role, class or id) is cut off where its place or its density agrees with the name: outside the main
+article always (the `article` or `main` with most text outside links, or else the core found without named blocks), and
+inside it where links make up a third of the block or it has fewer characters per tag than half of the article's or,
+for names in OTHER, fewer than the article. There, and in an article that no `article` or `main` bounds, a named block
+before or after all other text goes too, and what is hidden always. A name borne by most of the article's
+text tells nothing (a form round the whole page, widgets that hold the paragraphs), nor does one round the article.
+
+Each remaining node has a composite density: characters per tag, lowered where many of the characters
 and tags belong to links. A node's density sum is that of its children. The node with the largest sum is the core of
 the article, widened to the `article` or `main` element round it. Beside the path from the body to the core, subtrees
 whose density reaches the least density on that path are part of the article too.
@@ -32,7 +39,8 @@ _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>",
     re.S,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: Attributes one after another, so that a value is never read as a name.
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s"'>]+))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,9 +56,10 @@ ENDS = {
 }
 CONTAINERS = frozenset("ul ol dl table select body html article section main div".split())
 CUT_TAGS = frozenset(
-    "head nav header footer aside form script style noscript template iframe svg canvas object button select textarea dialog "
+    "head script style noscript template iframe svg canvas object button select textarea dialog "
     "title menu noembed noframes audio video map".split()
 )
+NAMED_TAGS = frozenset("nav header footer aside form".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CUT_NAMES = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads advert adverts advertisement advertising sponsor "
@@ -58,23 +67,36 @@ CUT_NAMES = frozenset(
     "comment comments commentlist reply replies respond disqus discussion share sharing social related recommended breadcrumb "
     "breadcrumbs pagination pager search toolbar widget skip".split()
 )
-KEEP = frozenset(("html", "body", "main", "article"))
+#: Names that articles' own parts seldom have.
+OTHER = frozenset(
+    "hidden nav navbar navigation masthead footer contentinfo complementary dialog alertdialog menubar sidebar aside ad ads "
+    "advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr popup modal newsletter signup "
+    "login comment comments commentlist replies disqus sharing social breadcrumb breadcrumbs pagination pager toolbar skip".split()
+)
+MAIN = frozenset(("article", "main"))
+LINKED = 1 / 3
+#: A name tells nothing where it covers more than this of the text, for names in OTHER more than the second.
+MOST, NEARLY_ALL = 0.5, 0.95
+#: An `article` or `main` counts as the page's from this share of the text without names.
+LEAST_MAIN = 0.25
 
 
-def _cut_by_name(tag: str, attrs: str) -> bool:
+def _names(tag: str, attrs: str) -> frozenset[str]:
+    """The words by which an element names itself as something else than the article."""
+    found = {tag} if tag in NAMED_TAGS else set()
     if "=" not in attrs and "hidden" not in attrs.lower():
-        return False
+        return frozenset(found)
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name == "role" and value.lower() in CUT_ROLES:
-            return True
-        if name in ("class", "id") and any(w.lower() in CUT_NAMES for w in _WORDS.findall(value)):
-            return True
-    return False
+            found.add("hidden")
+        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            found.add("hidden")
+        elif name == "role" and value.lower() in CUT_ROLES:
+            found.add(value.lower())
+        elif name in ("class", "id"):
+            found.update(w for w in map(str.lower, _WORDS.findall(value)) if w in CUT_NAMES)
+    return frozenset(found)
 
 
 class Page:
@@ -82,7 +104,7 @@ class Page:
     block borders, (node, None)."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.cut, self.first, self.last, self.strong = ["html"], [-1], [False], [0], [0], [False]
+        self.tag, self.parent, self.first, self.last, self.names = ["html"], [-1], [0], [0], [frozenset()]
         self.events: list[tuple[int, str | None]] = []
         self._read(source)
 
@@ -136,8 +158,7 @@ class Page:
             node = len(self.tag)
             self.tag.append(tag)
             self.parent.append(stack[-1])
-            self.strong.append(tag in CUT_TAGS)
-            self.cut.append(tag in CUT_TAGS or _cut_by_name(tag, attrs))
+            self.names.append(frozenset() if tag in ("html", "body") else _names(tag, attrs))
             if tag not in INLINE or tag == "br":
                 self.events.append((node, " " if tag == "br" else None))
             self.first.append(len(self.events))
@@ -150,20 +171,9 @@ class Page:
         close(1)
         self.last[0] = len(self.events)
 
-    def main_text(self) -> str:
+    def _measures(self, gone: list[bool]) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Characters, those in links, tags and link tags of each subtree, without what is gone."""
         n = len(self.tag)
-        has_main, has_title = [t in KEEP for t in self.tag], [t in ("h1", "h2", "h3") for t in self.tag]
-        for i in range(n - 1, 0, -1):
-            has_main[self.parent[i]] |= has_main[i]
-            has_title[self.parent[i]] |= has_title[i]
-        inside, gone = [False] * n, [False] * n
-        for i in range(1, n):
-            p = self.parent[i]
-            inside[i] = inside[p] or self.tag[p] in ("article", "main")
-            cut = self.cut[i] and not (has_main[i] and self.tag[i] != "head")
-            if self.tag[i] == "header" and inside[i] and has_title[i]:
-                cut = False
-            gone[i] = gone[p] or cut
         chars, links, tags, link_tags = [0] * n, [0] * n, [1] * n, [0] * n
         in_link = [False] * n
         for i in range(1, n):
@@ -179,6 +189,96 @@ class Page:
                 p = self.parent[i]
                 for of in (chars, links, tags, link_tags):
                     of[p] += of[i]
+        return chars, links, tags, link_tags
+
+    def _with_ancestors(self, node: int) -> set[int]:
+        out = set()
+        while node >= 0:
+            out.add(node)
+            node = self.parent[node]
+        return out
+
+    def _gone(self) -> list[bool]:
+        """What is no part of the article by its element, or by its name where place or density agrees."""
+        n, tag, parent, names = len(self.tag), self.tag, self.parent, self.names
+        never = [False] * n
+        for i in range(1, n):
+            never[i] = never[parent[i]] or tag[i] in CUT_TAGS
+        if not any(names):
+            return never
+        chars, links, tags, _ = self._measures(never)
+        plain = [c - lc for c, lc in zip(chars, links)]
+        under = [False] * n  # a named block
+        for i in range(1, n):
+            under[i] = under[parent[i]] or bool(names[i])
+        out = [x or y for x, y in zip(never, under)]
+        chars_out, links_out, *_ = self._measures(out)
+        unnamed = chars_out[0] - links_out[0]
+        scope, best = 0, 0
+        for i in range(1, n):
+            if tag[i] in MAIN and not never[i]:
+                # inside a named block only one with more text than all that has no name
+                size = plain[i] if not under[i] or plain[i] > unnamed else 0
+                if size > best:
+                    scope, best = i, size
+        if scope and not under[scope] and plain[scope] < LEAST_MAIN * unnamed:
+            scope = 0
+        covers: dict[str, int] = {}
+        active: list[frozenset[str]] = [frozenset()] * n
+        inside = [i == scope for i in range(n)]
+        for i in range(1, n):
+            inside[i] = inside[i] or inside[parent[i]]
+            active[i] = active[parent[i]]
+            if inside[i] and names[i] and not never[i]:
+                for w in names[i] - active[i]:
+                    covers[w] = covers.get(w, 0) + plain[i]
+                active[i] |= names[i]
+        telling = {w for w, size in covers.items() if size <= (NEARLY_ALL if w in OTHER else MOST) * max(plain[scope], 1)}
+        named = [names[i] & telling if inside[i] else names[i] for i in range(n)]
+        if not scope:
+            gone = list(never)
+            for i in range(1, n):
+                gone[i] = gone[i] or gone[parent[i]] or bool(named[i])
+            scope = self._core(gone)[0]
+        spared = self._with_ancestors(scope)
+        has_title = [t in ("h1", "h2", "h3") for t in tag]
+        for i in range(n - 1, 0, -1):
+            has_title[parent[i]] |= has_title[i]
+        inside, free, in_main = [i == scope for i in range(n)], [not x for x in never], [False] * n
+        for i in range(1, n):
+            inside[i] = inside[i] or inside[parent[i]]
+            in_main[i] = in_main[parent[i]] or tag[parent[i]] in MAIN
+            if tag[i] == "header" and in_main[i] and has_title[i]:
+                named[i] -= {"header"}
+            free[i] = free[i] and free[parent[i]] and (i in spared or not named[i])
+        # the article's own text: how dense, and from where to where
+        own, start, end = 0, len(self.events), 0
+        for k in range(self.first[scope], self.last[scope]):
+            node, text = self.events[k]
+            if text and free[node] and not text.isspace():
+                own += len(text) - text.count(" ") - text.count("\n")
+                start, end = min(start, k), k
+        own /= max(sum(free[i] and inside[i] for i in range(n)), 1)
+        gone = list(never)
+        for i in range(1, n):
+            cut = False
+            if named[i] and i not in spared and not never[i]:
+                dense = chars[i] / tags[i]
+                edge = self.last[i] <= start or self.first[i] > end
+                other = bool(named[i] & OTHER)
+                cut = not inside[i] or "hidden" in named[i] or links[i] >= LINKED * chars[i] or dense < (own if other else own / 2)
+                cut = cut or (edge and (other or tag[scope] not in MAIN))
+            gone[i] = gone[i] or gone[parent[i]] or cut
+        return gone
+
+    def main_text(self) -> str:
+        gone = self._gone()
+        return self._text_of(self._core(gone)[1], gone)
+
+    def _core(self, gone: list[bool]) -> tuple[int, list[int]]:
+        """The core of the article, and the nodes that make up the article with it in page order."""
+        n = len(self.tag)
+        chars, links, tags, link_tags = self._measures(gone)
         body = next((i for i in range(n) if self.tag[i] == "body" and not gone[i]), 0)
         share = links[body] / max(chars[body], 1)
         density, sums = [0.0] * n, [0.0] * n
@@ -208,7 +308,7 @@ class Page:
             i for i in range(n)
             if self.parent[i] in on_path and self.parent[i] != core and i not in on_path and not gone[i] and chars[i] and density[i] >= least
         ]
-        return self._text_of(sorted(chosen), gone)
+        return core, sorted(chosen)
 
     def _text_of(self, chosen: list[int], gone: list[bool]) -> str:
         blocks, line, upto = [], [], 0

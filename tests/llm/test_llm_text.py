@@ -204,6 +204,43 @@ def test_main_text_without_semantic_tags():
     assert got.count("\n") == 5 and got.startswith("long sentence") and "link number" not in got
 
 
+PARAS = [f"Paragraph {i} of running text that goes on for a while, as in any story that is told at length {i}." for i in range(6)]
+
+
+@pytest.mark.parametrize("wrap", [
+    '<p class="notice">{}</p>', '<div class="header"><p>{}</p></div>', '<div id="search"><p>{}</p></div>', '<div class="related"><p>{}</p></div>', "<form><p>{}</p></form>",
+])
+def test_names_alone_cut_no_running_text(wrap):
+    paras = [f"<p>{x}</p>" for x in PARAS]
+    paras[3] = wrap.format(PARAS[3])
+    assert density.main_text(f"<body><nav><a href=x>menu</a></nav><article>{''.join(paras)}</article></body>") == "\n".join(PARAS)
+    assert density.main_text(f"<body><nav><a href=x>menu</a></nav><div>{''.join(paras)}</div><footer>foot</footer></body>") == "\n".join(PARAS)
+
+
+def test_names_that_cover_the_article_tell_nothing():
+    widgets = "".join(f'<div class="elementor-widget elementor-widget-text-editor"><div class="elementor-widget-container"><p>{x}</p></div></div>' for x in PARAS)
+    share = '<div class="elementor-widget elementor-widget-share-buttons"><a href=f>share</a></div>'
+    for page in (f"<article>{widgets}{share}</article>", f"<body><div>{widgets}</div>{share}<footer>foot</footer></body>"):
+        assert density.main_text(page) == "\n".join(PARAS)
+    body = "".join(f"<p>{x}</p>" for x in PARAS)
+    assert density.main_text(f"<body><form id=aspnetForm><div><a href=/>Site</a></div><div>{body}</div><div class=footer>foot</div></form></body>") == "\n".join(PARAS)
+
+
+@pytest.mark.parametrize("attrs", ['href="/hidden-figures-review"', 'title="a hidden gem"', 'href="/p?id=related"', 'data-hidden="false"', "href=/p?class=ad", 'data-class="ad"'])
+def test_values_are_not_read_as_attributes(attrs):
+    assert density.main_text(f"<article><p>Words and <a {attrs}>words inside</a> sentences that stay whole, however they are linked.</p></article>") == \
+        "Words and words inside sentences that stay whole, however they are linked."
+
+
+def test_only_the_main_article_is_spared():
+    body = "".join(f"<p>{x}</p>" for x in PARAS)
+    teasers = "".join(f"<article><h3>Teaser {i}</h3><p>A few words on another story, number {i}, long enough to look like text.</p></article>" for i in range(3))
+    for name in ("div class=related", "aside", "section id=comments"):
+        assert density.main_text(f"<body><div class='page has-sidebar'><main>{body}</main><{name}>{teasers}</{name.split()[0]}></div></body>") == "\n".join(PARAS)
+        assert density.main_text(f"<body><article>{body}<{name}>{teasers}</{name.split()[0]}></article></body>") == "\n".join(PARAS)
+    assert density.main_text(f"<article>{body}<div hidden><p>{PARAS[0]}</p></div><p>End of it.</p></article>") == "\n".join([*PARAS, "End of it."])
+
+
 def test_main_text_of_odd_pages(spark):
     assert [density.main_text(x) for x in (None, "", "<p>", "<!-- ", "<script>x")] == [""] * 5
     assert density.main_text("plain < words & more") == "plain < words & more"
