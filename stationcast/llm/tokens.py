@@ -2,7 +2,8 @@
 
 A byte-level BPE of this family never lets a token span a single blank that stands between two other
 characters, so a text may be cut before such blanks and the ids of the pieces joined. The pieces repeat, so
-most are looked up. `tests/llm` compares this with the tokenizer's own result on whole texts.
+most are looked up. Added tokens (`<|endoftext|>`) have their own ids wherever a text holds them, as in the
+tokenizer's plain call; the text is cut round them. `tests/llm` compares this with the tokenizer's own result on whole texts.
 """
 
 from __future__ import annotations
@@ -55,13 +56,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"u{self.width}")
         self.code = "H" if self.width == 2 else "I"
         self.tokenizer.model._resize_cache(0)  # every piece comes once
         names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.leads = np.array([(name or "").startswith(BLANK) for name in names])
+        added = {t.content: t for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = sorted(added, key=len, reverse=True)
+        self.around = re.compile(f"({'|'.join(map(re.escape, self.added))})")
+        self.separate = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {}
@@ -111,6 +115,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, in the texts' order."""
+        holds = [any(a in t for a in self.added) for t in texts]
+        if not any(holds):
+            return self._encode(texts)
+        if not self.separate:  # added tokens that take or need something beside them
+            found = iter(self._encode([t for t, h in zip(texts, holds) if not h]))
+            return [self._ids(t) if h else next(found) for t, h in zip(texts, holds)]
+        parts = [self.around.split(t) if h else [t] for t, h in zip(texts, holds)]
+        found = iter(self._encode([x for part in parts for x in part[::2]]))
+        return [b"".join(self._first(x) if k % 2 else next(found) for k, x in enumerate(part)) for part in parts]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """`encode` of texts without added tokens."""
         whole = [cut_at_blanks(t) for t in texts]
         lists = pc.split_pattern(pa.array([t if w else None for t, w in zip(texts, whole)], pa.large_string()), " ")
         if not all(whole):

@@ -24,6 +24,13 @@ def tokenizer():
     return t
 
 
+def library():
+    """The plain call of the library, without any flag."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.default_path())
+
+
 def ids_of(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
@@ -39,6 +46,25 @@ def test_pieces_give_the_tokenizers_ids(text):
     assert np.frombuffer(enc.encode([text])[0], enc.dtype).tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", " ", "\n", "a", "b1", "'s", "<|", "|>", "é", "\xa0", "."]), max_size=12).map("".join), max_size=4))
+def test_added_tokens_have_the_librarys_ids(texts):
+    enc, plain = tokens.encoder(tokens.default_path()), library()
+    got = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_added_tokens_in_the_store_and_the_packing(spark):
+    texts = ["one<|endoftext|>two", " <|endoftext|> <|endoftext|>x ", "<|endoftext|>", "none at all"]
+    want = [library().encode(t, add_special_tokens=False).ids for t in texts]
+    assert [i.count(50256) for i in want] == [1, 2, 1, 0]
+    df = frame(spark, [(i, t, "en", "s", 0, 0, 0.0, "k") for i, t in enumerate(texts)])
+    store = token_store.write_store(df, scratch(spark, "t"))
+    rows = token_store.read_digests(store, token_store.lookup(store, token_store.open_keys(spark, store))).collect()
+    assert sorted((r.key, r.n_tokens, r.ids_crc32) for r in rows) == [(i, len(x) + 1, crc([*x, 0])) for i, x in enumerate(want)]
+    assert sum(r.length for r in packing.pack(df.select("doc_id", "text")).collect()) == sum(len(x) + 1 for x in want)
+
+
 def test_perfect_hash_is_minimal_and_knows_strangers():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(0, 2**63, 20000, dtype=np.uint64))
