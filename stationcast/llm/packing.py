@@ -8,10 +8,11 @@ corpus. Over it:
 2. non-negative least squares (coordinate descent from zero, so that the solution stays sparse) finds how often to
    repeat each of them to use up the histogram;
 3. repeat counts are rounded down to what the histogram holds;
-4. the rest is packed greedily, largest length first, where that fills a window exactly, and what is left after that
+4. of what that leaves, every triple of lengths that fills the window is tried, those with most documents left first;
+5. the rest is packed greedily, largest length first, where that fills a window exactly, and what is left after that
    is laid end to end and cut at the windows. The last, shorter stretch is cut into powers of two.
 
-So no sequence is padded. Only documents of step 4's last part are cut within their remainder.
+So no sequence is padded. Only documents of step 5's last part are cut within their remainder.
 
 The plan is a few thousand lines: for each length, which ranks go to which sequences. A document's rank among the
 remainders of its length is its rank in its task plus a running total over the tasks, so no task or group sees all
@@ -37,7 +38,8 @@ from stationcast.llm.support import map_arrow, written
 
 WINDOW = 2048
 END_ID = 1
-#: Of all triples of lengths, those whose two smaller lengths sum up to a multiple of this are tried.
+#: Of all triples of lengths, those whose two smaller lengths sum up to a multiple of this are in the least squares; the
+#: others are tried on its rest.
 TRIPLE_STEP = 16
 SWEEPS = 30
 
@@ -90,6 +92,29 @@ def least_squares(combos: list[tuple[tuple[int, int], ...]], histogram: dict[int
     return x
 
 
+def triple_fill(left: dict[int, int], window: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """Triples of different lengths that fill a window, most documents left first, with how often; takes them out of
+    `left`, so that no such triple can be formed afterwards."""
+    count = np.zeros(window + 1, np.int64)
+    for k, v in left.items():
+        count[k] = v
+    have = np.flatnonzero(count).astype(np.int32)
+    last = window - have[:, None] - have[None, :]
+    i, j = np.nonzero((have[None, :] > have[:, None]) & (last > have[None, :]))
+    a, b, c = have[i], have[j], last[i, j]
+    full = count[c] > 0
+    a, b, c = a[full], b[full], c[full]
+    by_gain = np.argsort(-(count[a] + count[b] + count[c]), kind="stable")
+    out = []
+    for x, y, z in zip(a[by_gain].tolist(), b[by_gain].tolist(), c[by_gain].tolist()):
+        times = min(left[x], left[y], left[z])
+        if times:
+            for k in (x, y, z):
+                left[k] -= times
+            out.append((((x, 1), (y, 1), (z, 1)), times))
+    return out
+
+
 def greedy_fill(left: dict[int, int], window: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
     """Combinations that fill a window exactly, largest length first, with how often; takes them out of `left`."""
     out, open_ = [], sorted((k for k, v in left.items() if v), reverse=True)
@@ -149,6 +174,7 @@ def make_plan(histogram: dict[int, int], full: int, window: int = WINDOW) -> Pla
             packed.append((combos[i], times))
             for k, m in combos[i]:
                 left[k] -= m * times
+    packed += triple_fill(left, window)
     packed += greedy_fill(left, window)
     lines, ranks, sequence = [], dict.fromkeys(histogram, 0), full
     for combo, times in packed:

@@ -178,6 +178,23 @@ def test_least_squares_solves_what_can_be_solved():
     assert sum(x) == pytest.approx(35, abs=0.1)
 
 
+def test_every_triple_that_fills_a_window_is_packed():
+    plan = packing.make_plan({101: 5, 200: 5, 250: 5, 1747: 5}, 0)
+    for length in (101, 200, 1747):
+        assert [[n for *_, n in plan.place(length, r)] for r in range(5)] == [[length]] * 5
+    assert len({plan.place(n, r)[0][0] for n in (101, 200, 1747) for r in range(5)}) == 5
+    left = {k: 1 + k * 7 % 3 for k in range(1, 2048)}
+    before, packed = dict(left), packing.triple_fill(left, 2048)
+    used = dict.fromkeys(left, 0)
+    for combo, times in packed:
+        assert sum(k * m for k, m in combo) == 2048 and times > 0
+        for k, m in combo:
+            used[k] += m * times
+    assert {k: left[k] + used[k] for k in left} == before and min(left.values()) >= 0
+    open_ = {k for k, v in left.items() if v}
+    assert not any(2048 - a - b in open_ for a in open_ for b in open_ if a < b < 2048 - a - b)
+
+
 def test_packing_round_trip(spark, tokenizer):
     rows = awkward()
     pieces = packing.pack(frame(spark, rows), window=256, with_ids=True).persist()
