@@ -236,3 +236,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.jaccard import similarity_join
 
     return similarity_join(table(spark, sf_dir, "documents", "doc_id", "text")).drop("component")
+
+
+@query("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
