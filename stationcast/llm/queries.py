@@ -243,3 +243,43 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))), 4294967295::BIGINT), 4294967295) % 20 AS fault FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+  CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM given WHERE fault <> 0),
+placed AS (SELECT coalesce(conv_id::VARCHAR, '') AS c, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM damaged),
+faults AS MATERIALIZED (SELECT *, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before, trimmed = '' AS blank, trimmed <> '' AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS duplicate FROM placed),
+f AS MATERIALIZED (SELECT *, NOT blank AND NOT duplicate AND right(trimmed, 1) NOT IN ('.', '!', '?') AS truncated, blank OR duplicate AS gone, count(*) OVER (PARTITION BY c) AS n FROM faults),
+sweep AS (SELECT DISTINCT c, n + 1 AS i, {'c': 0, 'a': ''} AS h0, {'c': 10, 'a': 'II'} AS h1, {'c': 5, 'a': 'I'} AS h2, {'c': 0, 'a': ''} AS h3 FROM f
+  UNION ALL SELECT c, i, list_min([b0, {'c': 5 + x2.c, 'a': 'I' || x2.a}]), list_min([b1, {'c': 5 + x2.c, 'a': 'I' || x2.a}]), x2, x3 FROM (
+    SELECT c, i, b0, b1, list_min([b2, {'c': 5 + b3.c, 'a': 'I' || b3.a}]) AS x2, list_min([b3, {'c': 5 + b2.c, 'a': 'I' || b2.a}]) AS x3 FROM (
+      SELECT f.c, f.i,
+        list_min([{'c': 2 + h0.c, 'a': 'D' || h0.a}] || CASE WHEN gone THEN [] ELSE [{'c': 1 + 5 * truncated::INT + h2.c, 'a': 'R' || h2.a}] || CASE r WHEN 'u' THEN [{'c': 5 * truncated::INT + h2.c, 'a': 'K' || h2.a}] WHEN 's' THEN [{'c': 5 * truncated::INT + h1.c, 'a': 'K' || h1.a}] ELSE [] END END) AS b0,
+        list_min([{'c': 2 + h1.c, 'a': 'D' || h1.a}] || CASE WHEN gone THEN [] ELSE [{'c': 1 + 5 * truncated::INT + h2.c, 'a': 'R' || h2.a}] || CASE WHEN r = 'u' THEN [{'c': 5 * truncated::INT + h2.c, 'a': 'K' || h2.a}] ELSE [] END END) AS b1,
+        list_min([{'c': 2 + h2.c, 'a': 'D' || h2.a}] || CASE WHEN gone THEN [] ELSE [{'c': 1 + 5 * truncated::INT + h3.c, 'a': 'R' || h3.a}] || CASE WHEN r = 'a' THEN [{'c': 5 * truncated::INT + h3.c, 'a': 'K' || h3.a}] ELSE [] END END) AS b2,
+        list_min([{'c': 2 + h3.c, 'a': 'D' || h3.a}] || CASE WHEN gone THEN [] ELSE [{'c': 1 + 5 * truncated::INT + h2.c, 'a': 'R' || h2.a}] || CASE WHEN r = 'u' THEN [{'c': 5 * truncated::INT + h2.c, 'a': 'K' || h2.a}] ELSE [] END END) AS b3
+      FROM sweep JOIN f ON f.c = sweep.c AND f.i = sweep.i - 1))),
+best AS MATERIALIZED (SELECT c, h0.c AS cost, h0.a AS audit FROM sweep WHERE i = 1),
+letters AS (SELECT c, p, audit[p] AS edit, count(*) FILTER (audit[p] <> 'I') OVER (PARTITION BY c ORDER BY p) AS i FROM best, LATERAL (SELECT unnest(range(1, length(audit) + 1)) AS p)),
+kept AS (SELECT l.c, l.p, l.edit, f.role, CASE WHEN l.edit = 'I' THEN '' ELSE f.text END AS text, row_number() OVER (PARTITION BY l.c ORDER BY l.p) AS o
+  FROM letters l LEFT JOIN f ON f.c = l.c AND f.i = l.i AND l.edit <> 'I' WHERE l.edit <> 'D'),
+opened AS (SELECT *, max((o = 1 AND edit = 'K' AND left(role, 1) = 's')::INT) OVER (PARTITION BY c) AS s FROM kept),
+repaired AS (SELECT c, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY o)) AS h FROM opened GROUP BY c),
+sums AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+  count(*) FILTER (i > 1 AND (before || r) NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY c)
+SELECT g.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN sums s ON s.c = coalesce(g.conv_id::VARCHAR, '') LEFT JOIN best b ON b.c = s.c LEFT JOIN repaired r ON r.c = s.c
+"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.conversations import audit_damaged
+
+    return audit_damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
