@@ -283,3 +283,30 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm.conversations import audit_damaged
 
     return audit_damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD_SQL}') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS MATERIALIZED (SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+  100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 5 * length(d.t), regexp_matches(d.t, '[#$%&*|]'), coalesce(d.doc_id > first, false)] AS x
+  FROM d JOIN firsts ON d.t = firsts.t LEFT JOIN marks ON d.doc_id = marks.doc_id),
+counts AS MATERIALIZED (SELECT part, x, good, bad, count(*) AS n, list_sum(list_transform(x, lambda y: y::INT)) AS fails FROM f GROUP BY ALL),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a JOIN l b ON a.i <> b.i JOIN l c ON c.i NOT IN (a.i, b.i) JOIN l d ON d.i NOT IN (a.i, b.i, c.i) JOIN l e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+steps AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+m AS (SELECT part, o, step, n, good, bad, fails, x[o[step]] AS hit, len(list_filter(o[1:step - 1], lambda i: x[i])) > 0 AS before FROM counts, steps)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step::INT AS step,
+  coalesce(sum(n) FILTER (NOT hit AND NOT before), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (hit AND NOT before), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (hit AND before), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (hit AND fails = 1), 0)::BIGINT AS unique_fails, coalesce(sum(n) FILTER (hit AND NOT before AND good), 0)::BIGINT AS good_lost,
+  coalesce(sum(n) FILTER (hit AND NOT before AND bad), 0)::BIGINT AS toxic_lost, coalesce(sum(n * 120 // nullif(fails, 0)) FILTER (hit), 0)::BIGINT AS shapley
+FROM m GROUP BY part, o, step
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationcast.llm.term_matrix import audit
+
+    return audit(table(spark, sf_dir, "documents", "doc_id", "text", "source"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
