@@ -38,10 +38,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here and every reader sees the same rows."""
     path = scratch(session(df), name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return session(df).read.schema(df.schema).parquet(path)
 
 

@@ -4,11 +4,12 @@
 dictionary for all documents, in three passes:
 1. A task encodes its documents' words by a dictionary of its own, shard by shard (about `SHARD_WORDS` words each), and
    writes each shard as compressed sparse rows to a file: per document the terms in it and how often each occurs.
-   Only the shard's distinct words leave the task.
-2. These words are dealt by word, so that equal ones meet; each task numbers its distinct words, and the tasks' counts give
-   every word a dense global number.
-3. The numbers go back to the shards. A task per shard reads its file, renames the terms and gives the rows with terms in
-   ascending order; Spark writes them as the matrix. No document's words are ever shuffled.
+   Only the shard's distinct words leave the task, as one row for each bucket of words (by a hash) that it has any of.
+2. A bucket's words from all shards meet; the bucket numbers its distinct words, and the buckets' counts give every word a
+   dense global number. There are `BUCKETS` buckets for each partition of the input, so that a bucket stays small.
+3. The numbers go back to the shards, again as one row for each shard and bucket. A task per shard reads its file, renames
+   the terms and gives the rows with terms in ascending order; Spark writes them as the matrix. No document's words are ever
+   shuffled.
 In a column of arrays, the array's offsets and values are those of a CSR shard: `terms` holds the columns of a row's nonzeros,
 `counts` their values. A row's sum is the number of words and its number of nonzeros that of distinct words.
 
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -41,7 +43,9 @@ from pyspark.sql import functions as F
 from stationcast.llm.support import file_system, map_arrow, open_file, scratch, with_prefix_sums, written
 
 SHARD_WORDS = 1 << 22
-PIECE = 1 << 20
+#: Buckets of words for each partition of the input.
+BUCKETS = 4
+PIECE = 1 << 21
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
 
 
@@ -70,10 +74,17 @@ class Shard:
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         place = np.repeat(row, np.diff(lists.offsets.to_numpy()))
         coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        known = self.known
-        local = np.fromiter((known.setdefault(w, len(known)) if w else -1 for w in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-        here = local >= 0  # beside blanks at either end the split gives empty words
+        distinct, known = coded.dictionary.to_pylist(), self.known
+        numbers = np.fromiter(map(known.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(numbers < 0)
+        words = [distinct[i] for i in new.tolist()]
+        if "" in words:  # beside blanks at either end the split gives empty words
+            at = words.index("")
+            new, words = np.delete(new, at), words[:at] + words[at + 1 :]
+        numbers[new] = np.arange(len(known), len(known) + len(new))
+        known.update(zip(words, range(len(known), len(known) + len(new))))
+        local = numbers[coded.indices.to_numpy()]
+        here = local >= 0
         cells, counts = np.unique(place[here] << 32 | local[here], return_counts=True)
         self.cells.append((cells, counts))
         self.words += int(here.sum())
@@ -89,41 +100,47 @@ class Shard:
         return offsets, cells & 0xFFFFFFFF, counts
 
 
-def _csr_columns(offsets, terms, counts) -> list[pa.Array]:
-    return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, t)) for x, t in ((terms, pa.int64()), (counts, pa.int32()))]
+def _csr_columns(offsets, terms, counts, kind: pa.DataType) -> list[pa.Array]:
+    return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, t)) for x, t in ((terms, kind), (counts, pa.int32()))]
 
 
-_WORDS = pa.schema({"shard": pa.string(), "file": pa.string(), "term": pa.int64(), "word": pa.string(), "documents": pa.int64(), "uses": pa.int64()})
+def bucket_of(words: list[str], buckets: int) -> np.ndarray:
+    """The same on every machine."""
+    return (pd.util.hash_array(np.array(words, object), categorize=False) % np.uint64(buckets)).astype(np.int64)
 
 
-def _shards(folder: str, shard_words: int):
-    """Documents (carried columns, text last) to the words of their shards; a row without a word names the shard itself."""
+_WORDS = pa.schema({"bucket": pa.int64(), "shard": pa.string(), "words": pa.string(), "terms": pa.binary()})
+
+
+def _shards(folder: str, shard_words: int, buckets: int):
+    """Documents (carried columns, text last) to the words of their shards by bucket, joined by line ends, with their terms.
+    A shard without words has a row in bucket 0 all the same."""
     def close(shard: Shard, carried: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        offsets, terms, counts = shard.csr()
-        table = pa.Table.from_batches(carried)
-        for name, column in zip(("_terms", "_counts"), _csr_columns(offsets, terms, counts)):
-            table = table.append_column(name, column)
-        name = uuid.uuid4().hex
+        table, name = pa.Table.from_batches(carried), uuid.uuid4().hex
+        for column, values in zip(("_terms", "_counts"), _csr_columns(*shard.csr(), pa.int32())):
+            table = table.append_column(column, values)
         fs, path = file_system(f"{folder}/{name}.arrow")
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         with fs.open_output_stream(path, compression=None) as out, pa.ipc.new_file(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
-            file.write_table(table)
-        n = len(shard.known)
-        documents, uses = np.bincount(terms, minlength=n), np.bincount(terms, counts, minlength=n).astype(np.int64)
-        yield pa.RecordBatch.from_pylist([{"shard": name, "file": f"{name}.arrow"}], schema=_WORDS)
-        words = iter(shard.known)
-        for a in range(0, n, 1 << 15):
-            some = list(itertools.islice(words, 1 << 15))
-            b = a + len(some)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * (b - a)), pa.nulls(b - a, pa.string()), pa.array(np.arange(a, b)), pa.array(some), pa.array(documents[a:b]), pa.array(uses[a:b])], schema=_WORDS)
+            file.write_table(table, max_chunksize=4096)
+        words = list(shard.known)
+        if not words:
+            yield pa.RecordBatch.from_pylist([{"bucket": 0, "shard": name, "words": "", "terms": b""}], schema=_WORDS)
+            return
+        of = bucket_of(words, buckets)
+        order = np.argsort(of, kind="stable")
+        ordered, of, terms = np.array(words, object)[order].tolist(), of[order], order.astype(np.int32)
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        rows = [{"bucket": int(of[a]), "shard": name, "words": "\n".join(ordered[a:b]), "terms": terms[a:b].tobytes()} for a, b in zip(cuts, cuts[1:])]
+        for i in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=_WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, carried = Shard(), []
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             rest = batch.select(range(batch.num_columns - 1))
-            begun, part, size = 0, [], 0
-            rows: list[int] = []
+            begun, part, rows, size = 0, [], [], 0
             for i in range(batch.num_rows):
                 for piece in pieces(texts[i].as_py() or ""):
                     part.append(piece)
@@ -147,102 +164,100 @@ def _shards(folder: str, shard_words: int):
     return run
 
 
-_NUMBERED = pa.schema({"shard": pa.string(), "term": pa.int64(), "part": pa.int64(), "number": pa.int64(), "word": pa.string(), "documents": pa.int64(), "uses": pa.int64()})
+_NUMBERED = pa.schema({"bucket": pa.int64(), "shard": pa.string(), "terms": pa.binary(), "numbers": pa.binary(), "words": pa.list_(pa.string()), "n": pa.int64()})
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words in order to numbers within this task."""
-    from pyspark import TaskContext
-
-    part, last, number = TaskContext.get().partitionId(), None, -1
+    """Rows of _WORDS, bucket by bucket, to the number of each term within its bucket, and to the bucket's words."""
+    def close(bucket: int, shards: list[str], words: list[str], terms: list[bytes]) -> Iterator[pa.RecordBatch]:
+        sizes = [len(t) // 4 for t in terms]
+        full = pa.array([w for w, n in zip(words, sizes) if n], pa.large_string())
+        coded = pc.split_pattern(full, "\n").flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy().astype(np.int32)
+        ends = np.cumsum(sizes)
+        rows = [{"bucket": bucket, "shard": s, "terms": t, "numbers": numbers[b - n : b].tobytes()} for s, t, n, b in zip(shards, terms, sizes, ends.tolist())]
+        rows.append({"bucket": bucket, "words": coded.dictionary.to_pylist(), "n": len(coded.dictionary)})
+        for i in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=_NUMBERED)
+
+    last, held = None, ([], [], [])
     for batch in batches:
-        words = batch.column(1)
-        same = pc.equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False) if len(words) > 1 else np.empty(0, bool)
-        new = np.ones(len(words), np.int64)
-        new[1:] -= same
-        if len(words):
-            new[0] = words[0].as_py() != last
-            numbers = number + np.cumsum(new)
-            last, number = words[-1].as_py(), int(numbers[-1])
-            once = pc.if_else(pa.array(new == 1), words, pa.nulls(len(words), words.type))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.full(len(words), part)), pa.array(numbers), once, batch.column(3), batch.column(4)], schema=_NUMBERED)
+        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if bucket != last:
+                if last is not None:
+                    yield from close(last, *held)
+                last, held = bucket, ([], [], [])
+            for column, value in zip(held, row):
+                column.append(value)
+    if last is not None:
+        yield from close(last, *held)
 
 
 def _renamed(folder: str, names: list[str]):
-    """A shard's words (shard, file, term, global number), its file first, to its rows with global terms."""
-    def rows(file: str, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
-        with open_file(f"{folder}/{file}") as source:
-            table = pa.ipc.open_file(source).read_all()
-        for batch in table.combine_chunks().to_batches(max_chunksize=4096):
-            terms, counts = batch.column("_terms"), batch.column("_counts")
-            offsets = terms.offsets.to_numpy() - terms.offsets[0].as_py()
-            own, values = numbers[terms.flatten().to_numpy()], counts.flatten().to_numpy()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            order = np.lexsort((own, row))
-            carried = [c for c, f in zip(batch.columns, batch.schema) if f.name not in ("_terms", "_counts")]
-            yield pa.RecordBatch.from_arrays([*carried, *_csr_columns(offsets, own[order], values[order])], names=names)
+    """Rows (shard, base, terms, numbers), shard by shard, to the shard's rows with global terms."""
+    def rows(shard: str, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        numbers = np.empty(sum(len(t) // 4 for _, t, _ in held), np.int64)
+        for base, terms, own in held:
+            numbers[np.frombuffer(terms, np.int32)] = base + np.frombuffer(own, np.int32).astype(np.int64)
+        with open_file(f"{folder}/{shard}.arrow") as source:
+            file = pa.ipc.open_file(source)
+            for i in range(file.num_record_batches):
+                batch = file.get_batch(i)
+                terms, counts = batch.column("_terms"), batch.column("_counts")
+                own, values = numbers[terms.flatten().to_numpy()], counts.flatten().to_numpy()
+                offsets = terms.offsets.to_numpy() - terms.offsets[0].as_py()
+                order = np.argsort(np.repeat(np.arange(batch.num_rows), np.diff(offsets)) << 44 | own)
+                carried = [c for c, f in zip(batch.columns, batch.schema) if f.name not in ("_terms", "_counts")]
+                yield pa.RecordBatch.from_arrays([*carried, *_csr_columns(offsets, own[order], values[order], pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = file = None
-        numbers: list[np.ndarray] = []
-        terms: list[np.ndarray] = []
-
-        def close():
-            out = np.empty(sum(map(len, terms)), np.int64)
-            if len(out):
-                out[np.concatenate(terms)] = np.concatenate(numbers)
-            yield from rows(file, out)
-
+        last, held = None, []
         for batch in batches:
-            shards = batch.column(0).to_pylist()
-            cuts = [0, *(i for i in range(1, len(shards)) if shards[i] != shards[i - 1]), len(shards)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if shards[a] != shard:
-                    if shard is not None:
-                        yield from close()
-                    shard, numbers, terms = shards[a], [], []
-                    file, a = batch.column(1)[a].as_py(), a + 1
-                terms.append(batch.column(2).slice(a, b - a).to_numpy())
-                numbers.append(batch.column(3).slice(a, b - a).to_numpy())
-        if shard is not None:
-            yield from close()
+            for shard, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != last:
+                    if last is not None:
+                        yield from rows(last, held)
+                    last, held = shard, []
+                held.append(row)
+        if last is not None:
+            yield from rows(last, held)
 
     return run
 
 
 class TermMatrix(NamedTuple):
-    """rows: the carried columns, terms (ascending), counts. words: term, word, documents and uses in the corpus."""
+    """rows: the carried columns, terms (ascending), counts. words: term, word."""
 
     rows: DataFrame
     words: DataFrame
 
 
-def build(docs: DataFrame, *, text: str = "text", shard_words: int = SHARD_WORDS) -> TermMatrix:
+def build(docs: DataFrame, *, text: str = "text", shard_words: int = SHARD_WORDS, buckets: int | None = None) -> TermMatrix:
     """The matrix of all documents. Columns of `docs` beside the text are carried along; `terms` and `counts` are added last
     (a carried column of such a name is called `terms_` or `counts_`)."""
-    spark = docs.sparkSession
     carried = [c for c in docs.columns if c != text]
     names = [f"{c}_" if c in ("terms", "counts") else c for c in carried]
     kinds = [docs.schema[c].dataType.simpleString() for c in carried]
-    folder = scratch(spark, "term-shards")
-    numbered_names = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)]
-    rows = docs.select(*numbered_names, F.col(f"`{text}`").cast("string").alias("text"))
-    words = written(map_arrow(rows, _shards(folder, shard_words), "shard string, file string, term long, word string, documents long, uses long"), "term-words")
-    dealt = words.filter("word IS NOT NULL").select("shard", "word", "term", "documents", "uses").repartition("word").sortWithinPartitions("word")
-    numbered = written(map_arrow(dealt, _numbered, "shard string, term long, part long, number long, word string, documents long, uses long"), "term-numbers")
-    parts = with_prefix_sums(numbered.groupBy("part").agg((F.max("number") + 1).alias("n")), "part", {"base": "n"}).select("part", "base")
-    number = (F.col("number") + F.col("base")).alias("number")
-    named = numbered.join(parts, "part").select("shard", F.lit(None).cast("string").alias("file"), "term", number)
-    heads = words.filter("word IS NULL").select("shard", "file", F.lit(-1).cast("long").alias("term"), F.lit(-1).cast("long").alias("number"))
-    # the shard's file comes before its words
-    shards = heads.unionByName(named).repartition("shard").sortWithinPartitions("shard", "term")
+    folder = scratch(docs.sparkSession, "term-shards")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)], F.col(f"`{text}`").cast("string").alias("text"))
+    buckets = buckets or BUCKETS * max(1, rows.rdd.getNumPartitions())
+    words = written(map_arrow(rows, _shards(folder, shard_words, buckets), "bucket long, shard string, words string, terms binary"), "term-words")
+    dealt = words.repartition("bucket").sortWithinPartitions("bucket")
+    numbered = written(map_arrow(dealt, _numbered, "bucket long, shard string, terms binary, numbers binary, words array<string>, n long"), "term-numbers")
+    counts = numbered.filter("shard IS NULL").select("bucket", "n")
+    bases = with_prefix_sums(counts, "bucket", {"base": "n"}).select("bucket", "base")
+    shards = numbered.filter("shard IS NOT NULL").join(bases, "bucket").select("shard", "base", "terms", "numbers")
+    shards = shards.repartition("shard").sortWithinPartitions("shard")
     ddl = ", ".join([*(f"c{i} {k}" for i, k in enumerate(kinds)), "terms array<long>", "counts array<int>"])
-    matrix = written(map_arrow(shards, _renamed(folder, [*(f"c{i}" for i in range(len(kinds))), "terms", "counts"]), ddl), "term-matrix")
-    totals = numbered.groupBy("part", "number").agg(F.max("word").alias("word"), F.sum("documents").alias("documents"), F.sum("uses").alias("uses"))
-    vocabulary = totals.join(parts, "part").select(number.alias("term"), "word", "documents", "uses")
-    return TermMatrix(matrix.toDF(*names, "terms", "counts"), vocabulary)
+    matrix = written(map_arrow(shards, _renamed(folder, [*(f"c{i}" for i in range(len(kinds))), "terms", "counts"]), ddl), "term-matrix", compression="zstd")
+    vocabulary = numbered.filter("shard IS NULL").join(bases, "bucket").select("base", F.posexplode("words").alias("k", "word"))
+    return TermMatrix(matrix.toDF(*names, "terms", "counts"), vocabulary.select((F.col("base") + F.col("k")).alias("term"), "word"))
+
+
+def term_totals(matrix: TermMatrix) -> DataFrame:
+    """term, documents that hold it, uses."""
+    cells = matrix.rows.select(F.explode(F.arrays_zip("terms", "counts")).alias("c"))
+    return cells.groupBy(F.col("c.terms").alias("term")).agg(F.count(F.lit(1)).alias("documents"), F.sum("c.counts").alias("uses"))
 
 
 def row_totals(matrix: TermMatrix) -> DataFrame:
@@ -262,7 +277,7 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents per part, failed filters (a bit each, A the lowest) and label: part, failed, good, toxic, documents.
     `docs` has doc_id, text and source, `labels` doc_id, quality and toxic."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    upper = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    upper = F.regexp_count(text, F.lit("[A-Z]"))
     flags = docs.select(
         "doc_id", F.coalesce(F.col("source"), F.lit("")).alias("part"), (100 * upper > 5 * F.length(text)).alias("c"),
         text.rlike(r"[#$%&*|]").alias("d"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"),

@@ -19,7 +19,8 @@ def test_matrix_holds_every_word(spark, monkeypatch, shard_words, piece):
     rows = [*awkward(), (300, "\x1cno\x85split\xa0here  A a A\x0bb\x0c", "en", "s1", 0, 0, 0.0, "k")]
     docs = frame(spark, rows).withColumnRenamed("key", "terms").repartition(3)
     matrix = M.build(docs, shard_words=shard_words)
-    words = {r.term: r for r in matrix.words.collect()}
+    words = {r.term: r for r in matrix.words.join(M.term_totals(matrix), "term").collect()}
+    assert matrix.words.count() == len(words)
     want, used = Counter(), Counter()
     for _, t, *_ in rows:
         own = Counter(WORD.findall(t or ""))
