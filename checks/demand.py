@@ -15,6 +15,7 @@ from stationcast.plans import adhoc
 from . import views as v
 from .feeds_and_shape import dodo
 from .registry import check
+from .scratch import fresh
 from .views import AUDIT_SQL, RUN, ctes
 
 
@@ -326,11 +327,11 @@ DAILY_PRODUCT_SQL = _DAILY_PRODUCT
 
 # ---- ordering ---------------------------------------------------------------------------
 
-check("srt_desc_metric", f"{ctes('v_stock')}, {_TANKS} SELECT *, CAST(row_number() OVER (ORDER BY TOTAL_STATION_CAPACITY DESC) AS INTEGER) AS POSITION FROM v_cap")(
-    lambda spark, sf: od.numbered(od.order_desc(ag.capacity(ag.tank_max(v.stock(spark, sf))), "TOTAL_STATION_CAPACITY"))
+check("srt_desc_metric", f"{ctes('v_stock')}, {_TANKS} SELECT *, CAST(row_number() OVER (ORDER BY TOTAL_STATION_CAPACITY DESC NULLS LAST, STATION NULLS FIRST) AS BIGINT) AS POSITION FROM v_cap")(
+    lambda spark, sf: od.numbered(ag.capacity(ag.tank_max(v.stock(spark, sf))), [("TOTAL_STATION_CAPACITY", False), ("STATION", True)], fresh(spark, "numbered"))
 )
-check("srt_multi_mixed", f"{ctes('v_deliveries')}, {_COUNTS} SELECT *, CAST(row_number() OVER (ORDER BY STATION, DELIVERY_DATE DESC, MATERIAL, QUANTITY) AS INTEGER) AS POSITION FROM v_counts")(
-    lambda spark, sf: od.numbered(od.order(dl.order_counts(v.deliveries(spark, sf)), [("STATION", True), ("DELIVERY_DATE", False), ("MATERIAL", True), ("QUANTITY", True)]))
+check("srt_multi_mixed", f"{ctes('v_deliveries')}, {_COUNTS} SELECT *, CAST(row_number() OVER (ORDER BY STATION NULLS FIRST, DELIVERY_DATE DESC NULLS LAST, MATERIAL NULLS FIRST, QUANTITY NULLS FIRST) AS BIGINT) AS POSITION FROM v_counts")(
+    lambda spark, sf: od.numbered(dl.order_counts(v.deliveries(spark, sf)), [("STATION", True), ("DELIVERY_DATE", False), ("MATERIAL", True), ("QUANTITY", True)], fresh(spark, "numbered"))
 )
 check("srt_topk_oldest", f"{ctes('v_tweets')} SELECT tweet_id, author, tweet_date FROM v_tweets ORDER BY tweet_date, tweet_id LIMIT 100")(
     lambda spark, sf: od.oldest(v.tweets(spark, sf), 100).select("tweet_id", "author", "tweet_date")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from stationcast.functions import columns as fx
@@ -211,14 +213,21 @@ def _register_series(name):
     )
     t, day = plan.TARGETS[name], "%Y%m%d" if plan.TARGETS[name].date_format == "yyyyMMdd" else "%Y-%m-%d"
 
+    # no SQL: tests/test_forecast.py holds the fit against a second one in plain numpy
+    @check(f"flow_forecast_{name}")
+    def values(spark, sf):
+        """Forecast and bounds of every day of a station with two points or more, and the seven days after."""
+        fitted = fc.forecast(_points(spark, sf, name)).withColumns({c: F.round(c, 3) for c in ("yhat", "yhat_lower", "yhat_upper", "y")})
+        return fc.publish_names(fitted, replace(t, interval=True))
+
     def flow(spark, sf):
-        """The published table: every day of a station with two points or more, and the seven days after."""
+        """The days and actuals of the published table."""
         table = plan.model_table(_features(spark, sf, name), name)
         low, high = (F.col(f"{end}_{t.forecast_name}") if t.interval else F.col(t.forecast_name) for end in ("LOWER", "UPPER"))
         fits = F.col(t.forecast_name).between(low, high) & ~F.isnan(t.forecast_name)
         return table.select(t.key, t.date_name, F.round(t.actual_name, 7).alias(t.actual_name), F.coalesce(fits, F.lit(False)).alias("has_forecast"))
 
-    check(f"flow_forecast_{name}", f"""{_SERIES[name]}, fit AS (SELECT station, max(ds) AS d FROM pts GROUP BY 1 HAVING count(y) >= 2),
+    check(f"flow_forecast_{name}_days", f"""{_SERIES[name]}, fit AS (SELECT station, max(ds) AS d FROM pts GROUP BY 1 HAVING count(y) >= 2),
 days AS (SELECT station, ds, y FROM pts SEMI JOIN fit USING (station) UNION ALL SELECT station, CAST(d + CAST(i AS INTEGER) AS DATE), NULL FROM fit, range(1, 8) AS u(i))
 SELECT station AS {t.key}, strftime(ds, '{day}') AS {t.date_name}, round(y, 7) AS {t.actual_name}, true AS has_forecast FROM days""")(flow)
 
@@ -251,7 +260,7 @@ check("fct_interval", f"{_BASE} SELECT station, ds, round(yhat - 1.96 * sd, 3) A
 _LINE = "5 + 0.25 * CAST(ds - DATE '1995-01-01' AS DOUBLE) + CAST(substr(station, 4) AS DOUBLE)"
 
 
-@check("fct_fit_predict", f"""{ctes('v_meter')}, days AS (SELECT DISTINCT STATION AS station, SALES_DATE AS ds FROM v_meter),
+@check("fct_line_fit", f"""{ctes('v_meter')}, days AS (SELECT DISTINCT STATION AS station, SALES_DATE AS ds FROM v_meter),
 far AS (SELECT * FROM days UNION ALL SELECT station, CAST(max(ds) + CAST(i AS INTEGER) AS DATE) FROM days, range(1, 8) AS u(i) GROUP BY station, i)
 SELECT station, ds, round({_LINE}, 2) AS yhat FROM far""")
 def _(spark, sf):
@@ -262,6 +271,19 @@ def _(spark, sf):
     return fitted.select("station", "ds", F.round("yhat", 2).alias("yhat"))
 
 
+@check("fct_fit_predict")
+def _(spark, sf):
+    """Forecast and interval of the sales series; tested against a second fit in plain numpy."""
+    fitted = fc.forecast(_points(spark, sf, "sales"))
+    return fitted.withColumns({c: F.round(c, 3) for c in ("yhat", "yhat_lower", "yhat_upper", "y")})
+
+
+@check("fct_holdout")
+def _(spark, sf):
+    """Each station's last seven days, forecast from the days before."""
+    return fc.holdout(_points(spark, sf, "sales"))
+
+
 @check("fct_isolate_failures", """WITH pts AS (SELECT 'C' || o_custkey AS station, CAST(o_orderdate AS DATE) AS ds,
 max(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END) AS y FROM orders GROUP BY 1, 2)
 SELECT station, CASE WHEN count(y) >= 2 THEN count(*) + 7 ELSE 1 END AS n, count(y) < 2 AS failed FROM pts GROUP BY 1""")

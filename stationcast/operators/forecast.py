@@ -102,12 +102,12 @@ def baseline(points: DataFrame, periods: int = 7, level: float = 1.96) -> DataFr
 FORECAST_SCHEMA = "station string, ds date, yhat double, yhat_lower double, yhat_upper double, y double, fit_error string"
 
 
-def _design(t, origin: float, span: float, changepoints, yearly: bool):
+def _smooth(t, origin: float, span: float, yearly: bool):
+    """Level, slope, week and, for long series, year, one row per day."""
     import numpy as np
 
     scaled = (t - origin) / span
     parts = [np.ones_like(scaled), scaled]
-    parts += [np.clip(scaled - c, 0, None) for c in changepoints]
     for k in range(1, 4):
         parts += [np.sin(2 * np.pi * k * t / 7.0), np.cos(2 * np.pi * k * t / 7.0)]
     if yearly:
@@ -116,8 +116,94 @@ def _design(t, origin: float, span: float, changepoints, yearly: bool):
     return np.stack(parts, axis=1)
 
 
-def _fit_station(pdf, periods: int, z: float, changepoints: int, yearly_from: int):
-    """Piecewise-linear trend with weekly and, for long series, yearly terms; ridge fit."""
+def _bends(t, origin: float, span: float, changes):
+    """What a unit change of slope at each of the places adds."""
+    import numpy as np
+
+    return np.clip(((t - origin) / span)[:, None] - changes[None, :], 0, None)
+
+
+def _sparse(gram, target, penalty: float, start, sweeps: int = 2000, tol: float = 1e-10):
+    """Minimises x'Gx / 2 - c'x + penalty * |x|_1 by coordinate descent from ``start``."""
+    import numpy as np
+
+    x, grad = start.copy(), target - gram @ start
+    for _ in range(sweeps):
+        moved = 0.0
+        for k in range(len(x)):
+            own = gram[k, k]
+            if own <= 1e-14:
+                continue
+            rho = grad[k] + own * x[k]
+            new = np.sign(rho) * max(abs(rho) - penalty, 0.0) / own
+            if new != x[k]:
+                grad -= gram[:, k] * (new - x[k])
+                moved = max(moved, abs(new - x[k]))
+                x[k] = new
+        if moved < tol:
+            break
+    # given which are not zero and their signs, the minimum is a linear system
+    on = np.flatnonzero(x)
+    if len(on):
+        exact, *_ = np.linalg.lstsq(gram[np.ix_(on, on)], target[on] - penalty * np.sign(x[on]), rcond=None)
+        if (np.sign(exact) == np.sign(x[on])).all():
+            x[on] = exact
+    return x
+
+
+def _fit(t, y, w, origin: float, span: float, changes, yearly: bool, bend_scale: float, rounds: int = 4):
+    """Weighted fit of smooth terms (ridge) and bends (L1). The smooth terms are solved for exactly given the bends, so
+    that coordinate descent runs over the bends alone. The penalty of a bend is the noise variance over ``bend_scale``,
+    as for a Laplace prior of that scale; the variance comes from the fit before. ``w`` has mean one.
+
+    Returns the smooth coefficients, the bends, the noise deviation, the inverse of the smooth terms' matrix, and the mean
+    size of a bend; that is at least what one bend, too small to show against the penalty, would make it."""
+    import numpy as np
+
+    s, h = _smooth(t, origin, span, yearly), _bends(t, origin, span, changes)
+    ridge = np.full(s.shape[1], 0.01)
+    ridge[:2] = 1e-8
+    sw, hw = s.T * w, h.T * w
+    inverse = np.linalg.inv(sw @ s + np.diag(ridge))
+    cross, sy, hy = sw @ h, sw @ y, hw @ y
+    gram, target = hw @ h - cross.T @ inverse @ cross, hy - cross.T @ inverse @ sy
+    free = s.shape[1] - float(ridge @ np.diag(inverse))
+    bends = np.zeros(h.shape[1])
+    for k in range(rounds + 1):
+        smooth = inverse @ (sy - cross @ bends)
+        left = y - s @ smooth - h @ bends
+        variance = float(w @ left**2) / max(len(y) - free - np.count_nonzero(bends), 1.0)
+        if k == rounds or not len(bends):
+            break
+        bends = _sparse(gram, target, variance / bend_scale, bends)
+    if not len(bends):
+        return smooth, bends, variance**0.5, inverse, 0.0
+    hidden = np.median(variance / bend_scale / np.maximum(np.diag(gram), 1e-14)) / len(bends)
+    return smooth, bends, variance**0.5, inverse, max(float(np.abs(bends).mean()), float(hidden))
+
+
+def _spread(deviations, places: int, size: float, span: float, tail: float, draws: int, seed: int):
+    """Lower and upper distance from the forecast on each day ahead: noise, and bends drawn as often and as large as those
+    of the history. Draws share their noise between days and are a function of the seed alone."""
+    from statistics import NormalDist
+
+    import numpy as np
+
+    rng, days = np.random.default_rng(seed), len(deviations)
+    noise = rng.permutation([NormalDist().inv_cdf((i + 0.5) / draws) for i in range(draws)])
+    paths = np.zeros((draws, days))
+    if size > 0:
+        happens = rng.random((draws, days)) < min(places / span, 1.0)
+        turns = np.where(happens, rng.laplace(0.0, size, (draws, days)), 0.0)
+        paths = np.cumsum(np.cumsum(turns, axis=1), axis=1) / span
+    return np.quantile(paths + noise[:, None] * deviations[None, :], [tail, 1 - tail], axis=0)
+
+
+def _fit_station(pdf, periods: int, interval: float, changepoints: int, yearly_from: int, bend_scale: float, draws: int):
+    """Forecast of one station: its days, and ``periods`` more."""
+    import zlib
+    from statistics import NormalDist
+
     import numpy as np
     import pandas as pd
 
@@ -127,53 +213,48 @@ def _fit_station(pdf, periods: int, z: float, changepoints: int, yearly_from: in
     if len(known) < 2:
         raise ValueError("fewer than two points")
     day = pd.to_datetime(known["ds"]).map(pd.Timestamp.toordinal).to_numpy(dtype=float)
-    y = known["y"].to_numpy(dtype=float)
-    w = known["w"].to_numpy(dtype=float)
+    y, w = known["y"].to_numpy(dtype=float), known["w"].to_numpy(dtype=float)
     origin, span = day[0], max(day[-1] - day[0], 1.0)
-    n_change = min(changepoints, max(len(known) // 3 - 1, 0))
-    changes = np.linspace(0, 0.8, n_change + 1)[1:]
-    yearly = span >= yearly_from
-    x = _design(day, origin, span, changes, yearly)
-    scale = float(np.abs(y).max()) or 1.0
-    penalty = np.full(x.shape[1], 0.01)
-    penalty[:2] = 1e-8
-    penalty[2:2 + n_change] = 1.0
-    wx = x * w[:, None]
-    beta = np.linalg.lstsq(wx.T @ x + np.diag(penalty), wx.T @ (y / scale), rcond=None)[0]
-    resid = y / scale - x @ beta
-    sd = float(np.sqrt((w * resid**2).sum() / w.sum())) * scale
+    changes = np.linspace(0, 0.8, min(changepoints, max(len(known) // 3 - 1, 0)) + 1)[1:]
+    yearly, scale = span >= yearly_from, float(np.abs(y).max()) or 1.0
+    smooth, bends, noise, inverse, size = _fit(day, y / scale, w / w.mean(), origin, span, changes, yearly, bend_scale)
     ds = list(pd.to_datetime(pdf["ds"]).dt.date)
     ds += [ds[-1] + timedelta(days=i) for i in range(1, periods + 1)]
     grid = np.array([d.toordinal() for d in ds], dtype=float)
-    yhat = _design(grid, origin, span, changes, yearly) @ beta * scale
+    x = _smooth(grid, origin, span, yearly)
+    yhat = x @ smooth + _bends(grid, origin, span, changes) @ bends
+    # noise of a day, and what is not known of the smooth terms
+    deviation = noise * np.sqrt(1 + np.einsum("ij,jk,ik->i", x, inverse, x))
+    tail, past = (1 - interval) / 2, len(ds) - periods
+    low = NormalDist().inv_cdf(tail) * deviation
+    low, high = low, -low
+    low[past:], high[past:] = _spread(deviation[past:], len(bends), size, span, tail, draws, zlib.crc32(str(station).encode()))
     return pd.DataFrame({
-        "station": station, "ds": ds, "yhat": yhat, "yhat_lower": yhat - z * sd, "yhat_upper": yhat + z * sd,
+        "station": station, "ds": ds, "yhat": yhat * scale, "yhat_lower": (yhat + low) * scale, "yhat_upper": (yhat + high) * scale,
         "y": list(pdf["y"]) + [None] * periods, "fit_error": None,
     })
 
 
 def forecast(
     points: DataFrame, periods: int = 7, interval: float = 0.95, on_error: str = "skip", changepoints: int = 25,
-    yearly_from: int = 730,
+    yearly_from: int = 730, bend_scale: float = 0.05, draws: int = 1000,
 ) -> DataFrame:
     """Fit every station in parallel. A station whose fit fails is skipped, or reported as one row
     with ``fit_error`` when ``on_error="report"``; the others survive either way. ``y`` holds the
     day's actual, null on horizon days.
 
-    The trend may bend at up to ``changepoints`` days spread over the first 80 % of the series, one for
-    each three points at most; yearly terms are fitted to series of ``yearly_from`` days or more.
+    The trend may bend at ``changepoints`` days spread over the first 80 % of the series, one for each three points
+    at most; an L1 penalty leaves most of them straight, fewer the larger ``bend_scale``. Yearly terms are fitted to
+    series of ``yearly_from`` days or more. Beyond the history the interval widens: ``draws`` futures, seeded by the
+    station's name, go on bending as often and as sharply as the history did.
     The fit is shipped by value: workers need numpy and pandas, not this package."""
-    from statistics import NormalDist
-
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-    z = NormalDist().inv_cdf(0.5 + interval / 2)
-
     def fit(pdf):
         import pandas as pd
 
         try:
-            return _fit_station(pdf, periods, z, changepoints, yearly_from)
+            return _fit_station(pdf, periods, interval, changepoints, yearly_from, bend_scale, draws)
         except Exception as exc:
             return pd.DataFrame([{
                 "station": pdf["station"].iloc[0], "ds": None, "yhat": None, "yhat_lower": None,
@@ -186,6 +267,20 @@ def forecast(
     return out.where(F.col("fit_error").isNull()).drop("fit_error")
 
 
+def holdout(points: DataFrame, periods: int = 7, **settings) -> DataFrame:
+    """How the forecast does on days it has not seen: each station is fitted without its last ``periods`` days, which are
+    then compared: station, days (with an actual), covered (actual within the interval), mae, width (mean)."""
+    last = F.max("ds").over(Window.partitionBy("station"))
+    rows = points.withColumn("_held", F.col("ds") > F.date_sub(last, periods))
+    fitted = forecast(rows.where("NOT _held"), periods, **settings).where("y IS NULL").drop("y")
+    held = rows.where("_held AND y IS NOT NULL").select("station", "ds", "y")
+    both = fitted.join(held, ["station", "ds"])
+    return both.groupBy("station").agg(
+        F.count(F.lit(1)).alias("days"), F.count_if(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))).alias("covered"),
+        F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"), F.avg(F.col("yhat_upper") - F.col("yhat_lower")).alias("width"),
+    )
+
+
 def attach_actuals(fc: DataFrame, points: DataFrame, how: str = "left") -> DataFrame:
     """Stored forecast rows with the day's actual; ``how="inner"`` drops the horizon."""
     return fc.drop("y").join(points.select("station", "ds", "y"), ["station", "ds"], how)

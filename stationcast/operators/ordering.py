@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def order(df: DataFrame, by: list[tuple[str, bool]]) -> DataFrame:
@@ -39,9 +42,21 @@ def head(df: DataFrame, n: int, *by: str) -> DataFrame:
     return (df.orderBy(*by) if by else df).limit(n)
 
 
-def numbered(df: DataFrame, name: str = "POSITION") -> DataFrame:
-    """Adds each row's place in a sorted frame. All rows meet in one task: for reports, not for tables."""
-    return df.withColumn("_at", F.monotonically_increasing_id()).withColumn(name, F.row_number().over(Window.orderBy("_at"))).drop("_at")
+def numbered(df: DataFrame, by: list[tuple[str, bool]], path: str, name: str = "POSITION") -> DataFrame:
+    """Each row's place, from 1, in the order ``by``; ties get places in any order, so end ``by`` with a key.
+
+    The rows are dealt by range, sorted, and written to ``path`` with their place within their partition. The only
+    thing that crosses partitions is one row count of each; their running totals turn the places into global ones.
+    """
+    spark, at = df.sparkSession, F.monotonically_increasing_id()  # partition in the upper 31 bits, row in the lower 33
+    order(df, by).withColumn("_at", at).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])).parquet(path)
+    part = F.shiftrightunsigned("_at", 33)
+    counts = sorted(map(tuple, rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1))).collect()))
+    before = accumulate((n for _, n in counts), initial=0)
+    bases = spark.createDataFrame([(p, n) for (p, _), n in zip(counts, before)], "_part long, _base long")
+    place = F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    return rows.withColumn("_part", part).join(F.broadcast(bases), "_part").withColumn(name, place).drop("_part", "_at", "_base")
 
 
 def dedup(df: DataFrame) -> DataFrame:
