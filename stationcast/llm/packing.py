@@ -16,7 +16,8 @@ So no sequence is padded. Only documents of step 5's last part are cut within th
 
 The plan is a few thousand lines: for each length, which ranks go to which sequences. A document's rank among the
 remainders of its length is its rank in its task plus a running total over the tasks, so no task or group sees all
-documents of a length. Ids are written once, as a table in the shared folder, and read once.
+documents of a length. Each task's totals are a file of at most `window` lines, which the task that reads its ids opens.
+Ids are written once, as a table in the shared folder, and read once; nothing but the plan is sent to the tasks.
 
 Defined results: a null or empty text is its end id alone; rows with the same document id are packed separately; a null
 id is kept; an empty table gives no rows; other columns are not read.
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm import tokens
-from stationcast.llm.support import map_arrow, written
+from stationcast.llm.support import file_system, map_arrow, scratch, with_prefix_sums, written
 
 WINDOW = 2048
 END_ID = 1
@@ -242,22 +243,32 @@ def pack(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window:
     histogram = {r.short: r.n for r in counts.groupBy("short").agg(F.sum("n").alias("n")).collect()}  # at most `window` rows
     full = counts.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0]
     plan = make_plan(histogram, full, window)
-    # what the tasks before hold of this length, and of whole windows
+    # what the tasks before hold of this length, and of whole windows: a file for each task's rows, read by whoever reads those
     before = Window.partitionBy("short").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = counts.groupBy("part").agg(F.sum("windows").alias("w"))
-    parts = parts.withColumn("window_base", F.coalesce(F.sum("w").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    parts = with_prefix_sums(counts.groupBy("part").agg(F.sum("windows").alias("w")), "part", {"window_base": "w"})
     bases = counts.withColumn("rank_base", F.coalesce(F.sum("n").over(before), F.lit(0))).join(parts.select("part", "window_base"), "part")
-    placed = rows.join(bases.select("part", "short", "rank_base", "window_base"), ["part", "short"]).select(
-        "doc_id", "doc_tokens", "short", (F.col("rank") + F.col("rank_base")).alias("rank"),
-        (F.col("windows") + F.col("window_base")).alias("windows"), "width", "ids",
-    )
+    folder = scratch(docs.sparkSession, "packing-bases")
+    bases.select("part", "short", "rank_base", "window_base").repartition("part").write.partitionBy("part").parquet(folder)
+
+    def bases_of(part: int) -> tuple[list[int], int]:
+        from pyarrow import dataset
+
+        fs, path = file_system(f"{folder}/part={part}")
+        table = dataset.dataset(path, filesystem=fs, format="parquet").to_table().to_pydict()
+        ranks = [0] * window
+        for short, base in zip(table["short"], table["rank_base"]):
+            ranks[short] = base
+        return ranks, table["window_base"][0]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
             at, out = [], [[] for _ in range(7)]
-            for r, (n, short, rank, first, width, ids) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+            for r, (part, n, short, rank, first, width, ids) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                if part != last:
+                    (ranks, windows), last = bases_of(part), part
                 ids, start = np.frombuffer(ids, f"u{width}"), 0
-                spots = [(first + w, 0, window) for w in range(n // window)] + (plan.place(short, rank) if short else [])
+                spots = [(windows + first + w, 0, window) for w in range(n // window)] + (plan.place(short, rank + ranks[short]) if short else [])
                 for sequence, offset, length in spots:
                     piece = ids[start : start + length]
                     at.append(r)
@@ -269,7 +280,7 @@ def pack(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window:
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return map_arrow(placed, pieces, schema + ", ids binary" * with_ids)
+    return map_arrow(rows, pieces, schema + ", ids binary" * with_ids)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
