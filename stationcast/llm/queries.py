@@ -30,7 +30,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationcast.llm import token_store as S
 
     store = S.write_store(table(spark, sf_dir, "documents", "doc_id", "text"), scratch(spark, "token-store"))
-    found = S.read_digests(store, S.lookup(store, S.open_keys(spark, store)))
+    found = S.read_digests(store, S.lookup(store, S.open_keys(spark, store)), complete=True)
     return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 

@@ -129,7 +129,8 @@ def index_lookup(data: bytes, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class TokenStore:
-    """A written store. entries: key, ordinal, h, bucket, shard; manifest: a row per shard; index: a row per bucket."""
+    """A written store. entries: key, ordinal, shard; manifest: a row per shard; index: a row per bucket that has keys,
+    each with the number of buckets."""
 
     folder: str
     entries: DataFrame
@@ -214,10 +215,10 @@ def write_store(
         h = group["h"].to_numpy().view(np.uint64)
         name = f"index/{bucket:07d}-{uuid.uuid4().hex}.mph"
         write_file(f"{folder}/{name}", [index_bytes(h, *(group[c].to_numpy() for c in ("shard", "offset", "length")))])
-        return pd.DataFrame({"bucket": [bucket], "index_file": [name], "keys": [len(h)]})
+        return pd.DataFrame({"bucket": [bucket], "index_file": [name], "keys": [len(h)], "buckets": [buckets]})
 
     index = named.select("bucket", "h", "shard", "offset", "length").groupBy("bucket").applyInPandas(
-        build, "bucket long, index_file string, keys long"
+        build, "bucket long, index_file string, keys long, buckets long"
     )
     return TokenStore(folder, named.select("key", "ordinal", "shard"), manifest, written(index, "token-index"))
 
@@ -227,12 +228,12 @@ def write_store(
 def lookup(store: TokenStore, wanted: DataFrame) -> DataFrame:
     """Places of the wanted (key, ordinal) rows through the index: key, ordinal, shard, offset, length. Keys that
     the store lacks give no row."""
-    folder, buckets = store.folder, store.index.count()
+    folder = store.folder
     kind = wanted.schema["key"].dataType.simpleString()
-    # hash buckets without any key have no index file, so the number of buckets comes from the largest one
-    top = store.index.agg(F.max("bucket")).first()[0] if buckets else None
+    # hash buckets without any key have no index file, so each file's line has the number of buckets
+    buckets = store.index.agg(F.max("buckets")).first()[0] or 1
     asked = wanted.select("key", "ordinal").withColumn("h", F.xxhash64("key", F.col("ordinal").cast("long")))
-    asked = asked.withColumn("bucket", F.pmod(F.col("h"), F.lit((top or 0) + 1))).join(store.index, "bucket")
+    asked = asked.withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets))).join(store.index, "bucket")
 
     def find(group: pd.DataFrame) -> pd.DataFrame:
         with open_file(f"{folder}/{group['index_file'].iloc[0]}") as file:
@@ -248,20 +249,23 @@ def lookup(store: TokenStore, wanted: DataFrame) -> DataFrame:
     )
 
 
-def read_digests(store: TokenStore, places: DataFrame) -> DataFrame:
+def read_digests(store: TokenStore, places: DataFrame, complete: bool = False) -> DataFrame:
     """Reads the ids at the places from the raw files: key, ordinal, start (ids of the store before it), n_tokens,
-    ids_crc32. A shard's documents are read in one task, one after another."""
+    ids_crc32. A shard's documents are read in one task, one after another. `complete` places are those of the whole
+    store: a shard of which some are missing is an error then."""
     folder = store.folder
     kind = places.schema["key"].dataType.simpleString()
 
     def read(group: pd.DataFrame) -> pd.DataFrame:
         group, sums = group.sort_values("offset"), []
+        if complete and (found := int(group["length"].notna().sum())) != (all_ := int(group["documents"].iloc[0])):
+            raise ValueError(f"the index finds {found} of the {all_} documents of {group['file'].iloc[0]}")
         with open_file(f"{folder}/{group['file'].iloc[0]}") as file:
             head = file.read(HEADER)
             if head[:8] != MAGIC:
                 raise ValueError("not a file of token ids")
             dtype = np.dtype(f"u{int.from_bytes(head[8:], 'little')}")
-            for offset, length in zip(group["offset"].tolist(), group["length"].tolist()):
+            for offset, length in zip(map(int, group["offset"]), map(int, group["length"])):
                 if file.tell() != HEADER + offset * dtype.itemsize:
                     file.seek(HEADER + offset * dtype.itemsize)
                 sums.append(tokens.crc_of_ids(np.frombuffer(file.read(length * dtype.itemsize), dtype)))
@@ -270,7 +274,7 @@ def read_digests(store: TokenStore, places: DataFrame) -> DataFrame:
             "n_tokens": group["length"], "ids_crc32": sums,
         })
 
-    rows = places.join(store.manifest.select("shard", "file", "start"), "shard")
+    rows = store.manifest.select("shard", "file", "start", "documents").join(places, "shard", "left" if complete else "inner")
     return rows.groupBy("shard").applyInPandas(read, f"key {kind}, ordinal long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -25,6 +25,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +36,8 @@ from stationcast.llm.support import file_system, map_arrow, open_file, written
 #: Decompressed bytes of a frame before it is closed; a longer record has a frame of its own.
 FRAME_BYTES = 1 << 20
 LEVEL = 3
+#: Most tasks that read an archive back.
+READERS = 4096
 # fixed values of the seekable format
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "2024-01-01T00:00:00Z"
@@ -183,54 +186,61 @@ def write_archive(
     return Archive(folder, written(index, "warc-index"))
 
 
-def read_archive(archive: Archive) -> DataFrame:
-    """Every record read back from the bundles and checked against the index: key, payload_bytes, payload_digest,
-    record_type, refers_to. A response's digest is computed from the payload read. A task reads whole bundles,
-    a frame at a time."""
+def read_archive(archive: Archive, readers: int = READERS) -> DataFrame:
+    """Every record read back through the index: key, payload_bytes, payload_digest, record_type, refers_to, and its place.
+    The index says in which frame of which bundle and where in the frame a record begins, the seek table where the frame
+    is. A record that is not there, has another identifier or does not end where the next one begins is an error, and so
+    is a frame or an end of a bundle that the index does not know. A response's digest is computed from the payload read.
+
+    Bundles are dealt over as many tasks as there are bundles, `readers` at most; a task holds one frame at a time."""
     folder = archive.folder
     kind = archive.index.schema["key"].dataType
-    bundles = archive.index.groupBy("bundle").agg(F.count(F.lit(1)).alias("records"))
+    id_type = pa.int64() if kind.typeName() == "long" else pa.int32() if kind.typeName() == "integer" else pa.string()
 
     def number(name: str):
         name = name.strip("<>").removeprefix("urn:record:")
-        return None if name == "none" else int(name) if kind.typeName() in ("long", "integer") else name
+        return None if name == "none" else int(name) if id_type != pa.string() else name
+
+    def checked(bundle: BundleReader, name: str, frame: int, places: list[tuple]) -> Iterator[tuple]:
+        """The records of a frame, whose keys and offsets in the index are `places`."""
+        data, at = bundle.frame(frame), 0
+        for key, offset in places:
+            if offset != at:
+                raise ValueError(f"the index of {name} has a record at {offset} of frame {frame}, which begins at {at}")
+            head, block, at = parse_record(data, offset)
+            if str(number(head["warc-record-id"])) != str(key):
+                raise ValueError(f"{name} holds {head['warc-record-id']} where the index has {key}")
+            http, _, payload = bytes(block).partition(b"\r\n\r\n")
+            length = int(http.rpartition(b"Content-Length: ")[2])
+            digest = head["warc-payload-digest"].removeprefix("sha1:")
+            if head["warc-type"] == "response" and (len(payload) != length or payload_digest(payload) != digest):
+                raise ValueError(f"damaged record in {name}")
+            to = head.get("warc-refers-to")
+            yield key, length, digest, head["warc-type"], to and number(to), frame, offset, name
+        if at != len(data):
+            raise ValueError(f"{name} holds more records in frame {frame} than its index")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, records in zip(*(c.to_pylist() for c in batch.columns)):
-                seen = 0
-                with open_file(f"{folder}/{name}") as file:
-                    bundle, rows = BundleReader(file), []
-                    for k in range(len(bundle.frames)):
-                        data, at = bundle.frame(k), 0
-                        while at < len(data):
-                            begin = at
-                            head, block, at = parse_record(data, at)
-                            http, _, payload = bytes(block).partition(b"\r\n\r\n")
-                            length = int(http.rpartition(b"Content-Length: ")[2])
-                            digest = head["warc-payload-digest"].removeprefix("sha1:")
-                            if head["warc-type"] == "response" and (len(payload) != length or payload_digest(payload) != digest):
-                                raise ValueError(f"damaged record in {name}")
-                            to = head.get("warc-refers-to")
-                            rows.append((number(head["warc-record-id"]), length, digest, head["warc-type"], to and number(to), k, begin))
-                        seen += len(rows)
-                        yield _table(rows, name)
-                        rows = []
-                if seen != records:
-                    raise ValueError(f"{name} holds {seen} records, its index {records}")
-
-    def _table(rows: list[tuple], name: str) -> pa.RecordBatch:
-        cols = list(zip(*rows)) or [()] * 7
-        id_type = pa.int64() if kind.typeName() == "long" else pa.int32() if kind.typeName() == "integer" else pa.string()
-        types = [id_type, pa.int64(), pa.string(), pa.string(), id_type, pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(c, t) for c, t in zip(cols, types)), pa.array([name] * len(rows), pa.string())],
-            ["key", "payload_bytes", "payload_digest", "record_type", "refers_to", "frame", "offset", "bundle"],
-        )
-
+        places = ((r["bundle"], r["frame"], r["key"], r["offset"]) for batch in batches for r in batch.to_pylist())
+        for name, frames in groupby(places, key=lambda p: p[0]):
+            with open_file(f"{folder}/{name}") as file:
+                bundle, seen = BundleReader(file), 0
+                for frame, rows in groupby(frames, key=lambda p: p[1]):
+                    if frame != seen or frame >= len(bundle.frames):
+                        raise ValueError(f"the index of {name} has frame {frame} after {seen} of {len(bundle.frames)}")
+                    seen += 1
+                    columns = zip(*checked(bundle, name, frame, [p[2:] for p in rows]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+                if seen != len(bundle.frames):
+                    raise ValueError(f"{name} has {len(bundle.frames)} frames, its index {seen}")
+
+    types = [id_type, pa.int64(), pa.string(), pa.string(), id_type, pa.int64(), pa.int64(), pa.string()]
+    names = ["key", "payload_bytes", "payload_digest", "record_type", "refers_to", "frame", "offset", "bundle"]
     k = kind.simpleString()
+    bundles = max(1, min(readers, archive.index.select("bundle").distinct().count()))
+    dealt = archive.index.repartitionByRange(bundles, "bundle").sortWithinPartitions("bundle", "frame", "offset")
     return map_arrow(
-        bundles.repartition("bundle"), read,
+        dealt.select("bundle", "frame", "key", "offset"), read,
         f"key {k}, payload_bytes long, payload_digest string, record_type string, refers_to {k}, frame long, offset long, bundle string",
     )
 

@@ -10,6 +10,7 @@ import pytest
 from helpers import awkward, empty, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stationcast.llm import packing, token_store, tokens, warc
 from stationcast.llm.support import scratch
@@ -19,9 +20,7 @@ from stationcast.llm.support import scratch
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokens.default_path())
 
 
 def library():
@@ -144,6 +143,31 @@ def test_warc_round_trip(spark, least, frame_bytes):
     assert [r.key for r in one] == [102] and bytes(one[0].block).endswith("é \r\n\r\nWARC/1.1\r\n".encode())
 
 
+def test_archive_is_read_through_its_index(spark):
+    """As many tasks as bundles, and an index that is wrong in any place is an error."""
+    rows = [(i, "u", f"<p>{i}</p>" * 30, "k", "d") for i in range(200)]
+    frame = spark.createDataFrame(rows, PAGES)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        archive = warc.write_archive(frame, scratch(spark, "w"), frame_bytes=2000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    bundles = archive.index.select("bundle").distinct().count()
+    assert bundles > 4 and warc.read_archive(archive).rdd.getNumPartitions() == bundles and warc.read_archive(archive, readers=2).rdd.getNumPartitions() == 2
+    at = F.col("key") == archive.index.filter("frame > 0 AND offset > 0").first().key
+    wrong = [
+        archive.index.withColumn("offset", F.when(at, F.col("offset") + 1).otherwise(F.col("offset"))),
+        archive.index.withColumn("frame", F.when(at, F.col("frame") - 1).otherwise(F.col("frame"))),
+        archive.index.withColumn("key", F.when(at, -5).otherwise(F.col("key")).cast("long")),
+        archive.index.filter(~at),
+        archive.index.filter("frame > 0"),
+        archive.index.join(archive.index.groupBy("bundle").agg(F.max("frame").alias("last")), "bundle").filter("frame < last").drop("last"),
+    ]
+    for index in wrong:
+        with pytest.raises(Exception, match="index|WARC"):
+            warc.read_archive(warc.Archive(archive.folder, index)).collect()
+
+
 def test_warc_of_nothing(spark):
     archive = warc.write_archive(spark.createDataFrame([], PAGES), scratch(spark, "w"))
     assert warc.read_archive(archive).count() == 0
@@ -195,6 +219,20 @@ def test_every_triple_that_fills_a_window_is_packed():
     assert not any(2048 - a - b in open_ for a in open_ for b in open_ if a < b < 2048 - a - b)
 
 
+def test_lookup_with_a_key_a_bucket(spark):
+    """Buckets without keys, the highest among them, lose nothing."""
+    for n in (1, 2, 3, 5, 9, 17, 50):
+        docs = spark.createDataFrame([(i, f"text {i}") for i in range(n)], "doc_id long, text string")
+        store = token_store.write_store(docs, scratch(spark, "t"), bucket_keys=1)
+        keys = token_store.open_keys(spark, store)
+        places = token_store.lookup(store, keys)
+        assert sorted(r.key for r in token_store.read_digests(store, places, complete=True).collect()) == list(range(n))
+        absent = spark.createDataFrame([(n + 7, 0)], "key long, ordinal long")
+        assert token_store.lookup(store, keys.unionByName(absent)).count() == n
+    with pytest.raises(Exception, match="the index finds 49 of the 50"):
+        token_store.read_digests(store, places.filter("key <> 3").coalesce(1), complete=True).collect()
+
+
 def test_packing_round_trip(spark, tokenizer):
     rows = awkward()
     pieces = packing.pack(frame(spark, rows), window=256, with_ids=True).persist()
