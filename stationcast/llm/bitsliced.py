@@ -8,40 +8,64 @@ is the score's own bit slices. From the most significant slice downward the rows
 ones until `k` are certain; the boundary's ties go to the smaller identifier, and the rows found get their score
 from their stored components, exactly.
 
-Blocks and query blocks are rows of tables joined on their numbers, so a task holds one block of the index and one block
-of queries. Each pair gives `k` rows a query, and the last step ranks those. All queries meet all rows.
+A block of the index is written once, in the shared folder, and stays there: a task is given the number of a block and that
+of a group of queries, opens the one, and streams the others past it. There are as many groups as keep the cluster busy; with
+many blocks that is one, so that the index is read once. Each task gives `k` rows a query, and the last step ranks those.
+All queries meet all rows.
 
-Defined results: vectors that are null, or hold null, NaN, infinite or (quantised) over 2^26 components, take no
-part; shorter vectors count as filled up with zeros; rows with equal identifier and vector are copies, each a candidate
+Vectors with a component of 2^26 or more, once quantised, would make slices of hundreds of bits. They take a side path that
+multiplies in integers of any length: as queries against all rows, as candidates against all queries, streamed the same way.
+Both paths' rows are ranked together. A score beyond 64 bits is ranked by its exact value and given as the nearest long.
+
+Defined results: vectors that are null, or hold null, NaN or infinite components, take no part; shorter vectors count as
+filled up with zeros; rows with equal identifier and quantised vector are copies, each a candidate
 of its own, and answer as one query, which leaves out one copy of itself; a null identifier is no query and comes last
 in ties; other columns are not read; an empty table, or one without queries, gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.support import map_arrow, written
+from stationcast.llm.support import file_system, map_arrow, scratch, written
 
 SCALE = 256
 LARGEST = 1 << 26
 #: Rows of an index block, and queries of a query block.
 BLOCK_ROWS = 1 << 16
-QUERY_ROWS = 256
+QUERY_ROWS = 64
+#: Rows of any length that meet a batch of queries at once.
+LONG_ROWS = 256
 NO_ID = np.iinfo(np.int64).max
 
 
-def quantised(rows: DataFrame, vector: str, scale: int = SCALE) -> DataFrame:
-    """The rows with column v, array<long>, in place of the vector; those that take no part are left out."""
-    values = F.transform(vector, lambda x: F.floor(x.cast("double") * float(scale)))
-    fit = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) * float(scale) < float(LARGEST)), F.lit(False)))
-    return rows.filter(F.col(vector).isNotNull() & fit).withColumn("v", values)
+def taking_part(vector: str) -> Column:
+    return F.col(vector).isNotNull() & F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
+
+
+def is_short(vector: str, scale: int) -> Column:
+    """Whether the quantised components fit the index."""
+    return F.forall(vector, lambda x: F.abs(x.cast("double")) * float(scale) < float(LARGEST))
+
+
+def exact_component(x: float, scale: int) -> int:
+    """floor(scale * x), also where the product is beyond a double's range."""
+    return math.floor(x * scale) if abs(x) < 2.0**53 else int(x) * scale
+
+
+def sort_key(score: Column) -> Column:
+    """A text that sorts as the integer, given as text, does."""
+    digits = F.regexp_replace(score, "^-", "")
+    up = F.concat(F.lit("1"), F.lpad(F.length(digits).cast("string"), 6, "0"), digits)
+    down = F.concat(F.lit("0"), F.lpad((999_999 - F.length(digits)).cast("string"), 6, "0"), F.translate(digits, "0123456789", "9876543210"))
+    return F.when(score.startswith("-"), down).otherwise(up)
 
 
 # ---------------------------------------------------------------- bitmaps
@@ -160,12 +184,79 @@ def build_index(rows: DataFrame, dims: int, bits: int, blocks: int) -> DataFrame
     return dealt.groupBy("block").applyInPandas(build, "block long, ids binary, copies binary, values binary, bitmaps binary")
 
 
+def _stored(path: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of a table, or of one partition of it, that Spark has written; none where there is no such partition."""
+    from pyarrow import dataset, fs
+
+    files, at = file_system(path)
+    if files.get_file_info(at).type != fs.FileType.NotFound:
+        yield from dataset.dataset(at, filesystem=files, format="parquet").to_batches(columns=columns)
+
+
+def _short_answers(blocks: int, bits: int, dims: int, index: str, queries: str, k: int):
+    kind = np.int16 if bits <= 16 else np.int32
+
+    def answer(block: int, group: int) -> Iterator[pa.RecordBatch]:
+        for stored in _stored(f"{index}/block={block}", ["ids", "copies", "values", "bitmaps"]):
+            ids, copies, values, bitmaps = (memoryview(c[0].as_buffer()) for c in stored.columns)
+            ids, copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
+            values = np.frombuffer(values, kind).reshape(len(ids), dims)
+            slices = np.frombuffer(bitmaps, np.uint64).reshape(dims, bits, -1)
+            for some in _stored(f"{queries}/part={group}", ["qids", "qrows", "queries"]):
+                for r in range(some.num_rows):
+                    qids, qrows, asked = (np.frombuffer(c[r].as_buffer(), np.int64) for c in some.columns)
+                    out = [[], [], [], [], []]
+                    for q, qid, qrow in zip(asked.reshape(len(qids), dims), qids, qrows):
+                        found, scores, own = block_top(values, slices, ids, copies, q, int(qid), k)
+                        n = copies[found] - np.isin(found, own)
+                        for part, x in zip(out, (np.full(len(found), qid), np.full(len(found), qrow), ids[found], scores, np.minimum(n, k))):
+                            part.append(x)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["query_id", "qrow", "vec_id", "score", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pair in batch.column(0).to_pylist():
+                yield from answer(pair % blocks, pair // blocks)
+
+    return run
+
+
+def _long_answers(queries: str, k: int):
+    """Candidates (vec_id, w: integers as texts, copies) to the `k` best of each of their blocks for every stored query."""
+    def matrix(vectors: list[list[str]]) -> list[list[int]]:
+        return [list(map(int, v)) for v in vectors]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, LONG_ROWS):
+                batch = whole.slice(i, LONG_ROWS)
+                ids, rows, copies = batch.column(0).to_pylist(), matrix(batch.column(1).to_pylist()), batch.column(2).to_pylist()
+                for some in _stored(queries, ["vec_id", "qrow", "w"]):
+                    out = []
+                    for qid, qrow, q in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), matrix(some.column(2).to_pylist())):
+                        scored = []
+                        for key, v, n in zip(ids, rows, copies):
+                            n -= key == qid and v == q
+                            if n:
+                                scored.append((-sum(map(int.__mul__, q, v)), key is None, key or 0, min(n, k)))
+                        for score, none, key, n in sorted(scored)[:k]:
+                            out.append({"query_id": qid, "qrow": qrow, "vec_id": int(NO_ID) if none else key, "exact": str(-score), "n": n})
+                    yield pa.RecordBatch.from_pylist(out, schema=_LONG)
+
+    return run
+
+
+_LONG = pa.schema([("query_id", pa.int64()), ("qrow", pa.int64()), ("vec_id", pa.int64()), ("exact", pa.string()), ("n", pa.int64())])
+
+
 def top_k(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, scale: int = SCALE,
           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose key is divisible by `every`, the `k` other rows with the largest
     inner products."""
-    rows = quantised(vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("__v")), "__v", scale)
-    rows = written(rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies")), "topk-rows")
+    spark = vectors.sparkSession
+    given = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("x")).filter(taking_part("x"))
+    short = given.filter(is_short("x", scale)).select("vec_id", F.transform("x", lambda x: F.floor(x.cast("double") * float(scale))).alias("v"))
+    rows = written(short.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies")), "topk-rows")
     asked = F.col("vec_id") % every == 0
     count, queries, dims, largest = rows.agg(
         F.count(F.lit(1)), F.count_if(asked), F.coalesce(F.max(F.size("v")), F.lit(0)),
@@ -173,42 +264,47 @@ def top_k(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
     ).first()
     dims, bits = max(dims, 1), int(largest).bit_length() + 1
     blocks, query_blocks = max(1, -(-count // block_rows)), max(1, -(-queries // query_rows))
-    index = written(build_index(rows, dims, bits, blocks), "topk-index")
+    parts = min(query_blocks, max(1, -(-2 * spark.sparkContext.defaultParallelism // blocks)))
+    index_path, query_path = scratch(spark, "topk-index"), scratch(spark, "topk-queries")
+    build_index(rows, dims, bits, blocks).write.partitionBy("block").parquet(index_path)
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([{
-            "qblock": int(group["qblock"].iloc[0]), "qids": group["vec_id"].to_numpy(np.int64).tobytes(),
+            "part": int(group["qblock"].iloc[0]) % parts, "qids": group["vec_id"].to_numpy(np.int64).tobytes(),
             "qrows": group["qrow"].to_numpy(np.int64).tobytes(), "queries": _matrix(group["v"], dims).tobytes(),
         }])
 
     wanted = rows.filter(asked).withColumn("qrow", F.xxhash64("vec_id", "v"))
-    wanted = wanted.withColumn("qblock", F.pmod(F.col("qrow"), F.lit(query_blocks)))
-    wanted = wanted.groupBy("qblock").applyInPandas(gather, "qblock long, qids binary, qrows binary, queries binary")
-    wanted = written(wanted, "topk-queries")
-    pairs = index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>"))).join(
-        wanted.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))), ["block", "qblock"]
-    ).select("ids", "copies", "values", "bitmaps", "qids", "qrows", "queries")
-    kind = np.int16 if bits <= 16 else np.int32
+    dealt = wanted.withColumn("qblock", F.pmod("qrow", F.lit(query_blocks)))
+    dealt.groupBy("qblock").applyInPandas(gather, "part long, qids binary, qrows binary, queries binary").write.partitionBy("part").parquet(query_path)
+    pairs = spark.range(0, blocks * parts, 1, min(blocks * parts, 1 << 16))
+    found = map_arrow(pairs, _short_answers(blocks, bits, dims, index_path, query_path, k), "query_id long, qrow long, vec_id long, score long, n long")
+    best = [F.col("score").desc(), "vec_id"]
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def as_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                ids, copies, values, bitmaps, qids, qrows, queries = (memoryview(c[r].as_buffer()) for c in batch.columns)
-                ids, copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
-                values = np.frombuffer(values, kind).reshape(len(ids), dims)
-                slices = np.frombuffer(bitmaps, np.uint64).reshape(dims, bits, -1)
-                qids, qrows = np.frombuffer(qids, np.int64), np.frombuffer(qrows, np.int64)
-                queries = np.frombuffer(queries, np.int64).reshape(len(qids), dims)
-                out = [[], [], [], [], []]
-                for q, qid, qrow in zip(queries, qids, qrows):
-                    found, scores, own = block_top(values, slices, ids, copies, q, int(qid), k)
-                    n = copies[found] - np.isin(found, own)
-                    for part, x in zip(out, (np.full(len(found), qid), np.full(len(found), qrow), ids[found], scores, np.minimum(n, k))):
-                        part.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["query_id", "qrow", "vec_id", "score", "n"])
-
-    found = map_arrow(pairs, answer, "query_id long, qrow long, vec_id long, score long, n long")
+            texts = [[str(exact_component(x, scale)) for x in v] for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.list_(pa.string()))], ["vec_id", "w"])
+
+    long = given.filter(~is_short("x", scale)).select("vec_id", F.transform("x", lambda x: x.cast("double")).alias("x"))
+    long = written(map_arrow(long, as_texts, "vec_id long, w array<string>").groupBy("vec_id", "w").agg(F.count(F.lit(1)).alias("copies")), "topk-long")
+    if not long.isEmpty():
+        same = rows.select("vec_id", F.transform("v", lambda x: x.cast("string")).alias("w"), "copies")
+        # components that are not there are zeros: all vectors get the same number of them
+        width = max(dims, long.agg(F.max(F.size("w"))).first()[0])
+        filled = F.concat("w", F.array_repeat(F.lit("0"), F.lit(width) - F.size("w")))
+        long_asked, short_asked = scratch(spark, "topk-asked"), scratch(spark, "topk-asked")
+        long.filter(asked).select("vec_id", F.xxhash64("vec_id", "w").alias("qrow"), filled.alias("w")).write.parquet(long_asked)
+        wanted.select("vec_id", "qrow", F.transform("v", lambda x: x.cast("string")).alias("w")).withColumn("w", filled).write.parquet(short_asked)
+        ddl = "query_id long, qrow long, vec_id long, exact string, n long"
+        candidates = [long.withColumn("w", filled), same.withColumn("w", filled)]
+        beyond = [map_arrow(c, _long_answers(p, k), ddl) for c, p in ((candidates[0], long_asked), (candidates[1], long_asked), (candidates[0], short_asked))]
+        found = found.withColumn("exact", F.col("score").cast("string")).drop("score")
+        for more in beyond:
+            found = found.unionByName(more)
+        nearest = F.when(F.col("exact").startswith("-"), -(2**63)).otherwise(2**63 - 1)
+        found = found.withColumn("score", F.coalesce(F.expr("try_cast(exact AS long)"), nearest))
+        best = [sort_key(F.col("exact")).desc(), "vec_id"]
     found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    order = Window.partitionBy("query_id", "qrow").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "qrow").orderBy(*best))).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(int(NO_ID))).alias("vec_id"), "score")

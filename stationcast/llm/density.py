@@ -12,11 +12,13 @@ text tells nothing (a form round the whole page, widgets that hold the paragraph
 Each remaining node has a composite density: characters per tag, lowered where many of the characters
 and tags belong to links. A node's density sum is that of its children. The node with the largest sum is the core of
 the article, widened to the `article` or `main` element round it. Beside the path from the body to the core, subtrees
-whose density reaches the least density on that path are part of the article too.
+whose density reaches the least density on that path are part of the article too, and so are headings before the core and
+beside its block.
 
 Text is given block by block in page order: character references are decoded, white space within a block is one
 space, blocks are joined by a line break. Whole pages are read, whatever their length or depth; a page's cost is
-linear in it. Malformed markup (missing end tags, stray end tags, cut-off pages) is read as far as it goes.
+linear in it. Malformed markup (missing end tags, stray end tags, cut-off pages) is read as far as it goes; behind a
+quoted value that never closes, tags end at the first `>`. A closing slash counts inside svg and math alone.
 
 Defined results: a null or empty page, or one without text outside boilerplate, gives an empty text; equal pages give
 equal texts; of equal density sums the first in page order wins; an empty table gives no rows.
@@ -27,6 +29,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,12 +38,13 @@ from pyspark.sql import functions as F
 
 from stationcast.llm.support import map_arrow
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>",
-    re.S,
-)
+_OPEN = re.compile(r"<(?:(?P<comment>!--)|(?P<other>[!?])|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*))")
+#: The rest of a tag. A quote opens a value only behind an equals sign.
+_REST = re.compile(r"""(?P<attrs>(?:[^=>]|=\s*"[^"]*"|=\s*'[^']*'|=(?!\s*["']))*+)>""")
+#: A slash that is no part of an unquoted value.
+_CLOSED = re.compile(r"""(?:^|[\s"'])/\Z""")
 #: Attributes one after another, so that a value is never read as a name.
-_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s"'>]+))?""")
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s"'>][^\s>]*))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +53,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
+FOREIGN = frozenset(("svg", "math"))
 #: An open element of the value's names ends where the key begins, unless a container of it lies between.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -73,6 +78,7 @@ OTHER = frozenset(
     "advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr popup modal newsletter signup "
     "login comment comments commentlist replies disqus sharing social breadcrumb breadcrumbs pagination pager toolbar skip".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(("article", "main"))
 LINKED = 1 / 3
 #: A name tells nothing where it covers more than this of the text, for names in OTHER more than the second.
@@ -114,29 +120,41 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack, at, end = [0], 0, len(source)
+        open_tags: Counter[str] = Counter()
 
         def close(depth: int) -> None:
             while len(stack) > depth:
                 node = stack.pop()
+                open_tags[self.tag[node]] -= 1
                 if self.tag[node] not in INLINE:
                     self.events.append((node, None))
                 self.last[node] = len(self.events)
 
+        # beyond the last > nothing is a tag
+        last, quotes = source.rfind(">"), True
         while at < end:
-            m = _TOKEN.search(source, at)
-            if not m:
+            m = _OPEN.search(source, at)
+            if not m or (not m["comment"] and m.end() > last):
                 self._text(stack[-1], source[at:])
                 break
-            if m.start() > at:
-                self._text(stack[-1], source[at : m.start()])
-            at = m.end()
-            tag = m["tag"] or m["tag2"]
-            if not tag:
+            self._text(stack[-1], source[at : m.start()])
+            if m["comment"]:
+                at = source.find("-->", m.end())
+                at = at + 3 if at >= 0 else end
+                continue
+            rest = _REST.match(source, m.end()) if quotes and not m["other"] else None
+            if rest:
+                attrs, at = rest["attrs"], rest.end()
+            else:  # a value without its closing quote; from here on quotes tell nothing
+                quotes = quotes and bool(m["other"])
+                at = source.index(">", m.end()) + 1
+                attrs = source[m.end() : at - 1]
+            if m["other"]:
                 continue
-            tag, closing, attrs = tag.lower(), m["end"] or m["end2"], m["attrs"] or m["attrs2"] or ""
+            tag, closing = m["tag"].lower(), m["end"]
             if closing:
                 inline = tag in INLINE
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                     name = self.tag[stack[depth]]
                     if name == tag:
                         close(depth)
@@ -147,7 +165,8 @@ class Page:
             if tag in ("html", "body") and tag in (self.tag[n] for n in stack[:3]):
                 continue
             ends = ENDS.get(tag, ())
-            for depth in range(len(stack) - 1, 0, -1):
+            may_end = (tag not in INLINE and open_tags["p"]) or any(open_tags[x] for x in ends)
+            for depth in range(len(stack) - 1, 0, -1) if may_end else ():
                 name = self.tag[stack[depth]]
                 if name in ends or (name == "p" and tag not in INLINE):
                     close(depth)
@@ -166,8 +185,9 @@ class Page:
             if tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
                 at = stop.end() if stop else end
-            elif tag not in VOID and not attrs.endswith("/"):
+            elif tag not in VOID and not (attrs.endswith("/") and _CLOSED.search(attrs) and (tag in FOREIGN or any(open_tags[x] for x in FOREIGN))):
                 stack.append(node)
+                open_tags[tag] += 1
         close(1)
         self.last[0] = len(self.events)
 
@@ -304,9 +324,12 @@ class Page:
         if named:
             core = named[-1]
         on_path = set(path[path.index(core) :])
+        # the block that holds the core, whose headings stand before it
+        block = next((i for i in path[path.index(core) :] if self.tag[i] not in INLINE), core)
         chosen = [core] + [
             i for i in range(n)
-            if self.parent[i] in on_path and self.parent[i] != core and i not in on_path and not gone[i] and chars[i] and density[i] >= least
+            if self.parent[i] in on_path and self.parent[i] != core and i not in on_path and not gone[i] and chars[i]
+            and (density[i] >= least or (i < core and self.tag[i] in HEADINGS and self.parent[i] == self.parent[block]))
         ]
         return core, sorted(chosen)
 

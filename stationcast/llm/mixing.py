@@ -148,9 +148,12 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     row for each whole pass and one for each partial pass that holds some of its words. A partial pass over all of a
     document is its text; over some words it is those words, joined by blanks. Rows alike in doc_id, source and text
     are told apart by a running number."""
+    # the documents' columns go by number, whatever their names
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    doc_id, text, source = (F.col(at[c]) for c in ("doc_id", "text", "source"))
+    rows = docs.toDF(*at.values()).withColumn("_th", F.xxhash64(text))
     alike = Window.partitionBy("doc_id", "source", "_th")
-    rows = docs.withColumn("_th", F.xxhash64("text"))
-    sizes = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), "_th")
+    sizes = rows.select(doc_id.alias("doc_id"), source.alias("source"), word_count(text).alias("size"), "_th")
     sizes = sizes.withColumn("_nth", F.row_number().over(alike.orderBy("size")))
     takes = mix_sizes(written(sizes, "mix-sizes"), **settings).filter("taken > 0")
     part = lambda kind, lo, hi: F.when(hi > lo, F.struct(F.lit(kind).alias("kind"), lo.alias("lo"), hi.alias("hi")))
@@ -163,13 +166,14 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     takes = takes.select(
         *[F.col(c).alias(f"_k_{c}") for c in ("doc_id", "source", "_th", "_nth")], "size", passes.alias("_passes")
     )
-    rows = rows.withColumn("_nth", F.row_number().over(alike.orderBy(F.lit(0))))
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in ("doc_id", "source", "_th", "_nth")]
-    out = rows.join(takes, same).select(*docs.columns, "size", F.explode("_passes").alias("_p"))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(doc_id, source, "_th").orderBy(F.lit(0))))
+    same = [c.eqNullSafe(F.col(f"_k_{k}")) for k, c in (("doc_id", doc_id), ("source", source), ("_th", F.col("_th")), ("_nth", F.col("_nth")))]
+    out = rows.join(takes, same).select(*at.values(), "size", F.explode("_passes").alias("_p"))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     cut = F.array_join(F.slice(words, (F.col("_p.lo") + 1).cast("int"), (F.col("_p.hi") - F.col("_p.lo")).cast("int")), " ")
     entire = (F.col("_p.lo") == 0) & (F.col("_p.hi") == F.col("size"))
-    out = out.withColumns({"text": F.when(entire, F.col("text")).otherwise(cut), "_entire": entire})
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_entire"), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = out.withColumns({at["text"]: F.when(entire, text).otherwise(cut), "_entire": entire})
+    if "n_chars" in at:
+        n_chars = F.col(at["n_chars"])
+        out = out.withColumn(at["n_chars"], F.when(F.col("_entire"), n_chars).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(k).alias(c) for c, k in at.items()])

@@ -126,20 +126,20 @@ def cut_offs(rows: DataFrame, prefix: str = "", few: int = FEW, reach: float = R
     # every (language, source) of the rows gets a line, also one whose rows all fail the base rules
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang"))).withColumn("_one", F.lit(1)).join(by_all.withColumn("_one", F.lit(1)), "_one")
     chosen = F.when(F.col("n_own") >= few, F.col("own")).when(F.col("n_by_lang") >= few, F.col("by_lang")).otherwise(F.col("by_all"))
-    return written(joined.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), chosen.alias("_fences")), "quality-cut-offs")
+    return written(joined.select(F.col("lang").alias("__cut_lang"), F.col("source").alias("__cut_source"), chosen.alias("__cut_fences")), "quality-cut-offs")
 
 
 def verdicts(rows: DataFrame, fences: DataFrame, prefix: str = "") -> DataFrame:
     """The rows with the columns base_failed and kept, under the prefix."""
-    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
+    same = F.col("lang").eqNullSafe(F.col("__cut_lang")) & F.col("source").eqNullSafe(F.col("__cut_source"))
     inside = F.lit(True)
     for i, value in enumerate(ratios(prefix).values()):
-        inside = inside & (value >= F.col("_fences")[i]["low"]) & (value <= F.col("_fences")[i]["high"])
+        inside = inside & (value >= F.col("__cut_fences")[i]["low"]) & (value <= F.col("__cut_fences")[i]["high"])
     failed = base_failed(prefix)
     joined = rows.join(fences, same, "left")
     return joined.withColumns({
         f"{prefix}base_failed": failed, f"{prefix}kept": ~failed & F.coalesce(inside, F.lit(False)),
-    }).drop("_lang", "_source", "_fences")
+    }).drop("__cut_lang", "__cut_source", "__cut_fences")
 
 
 def judge(docs: DataFrame) -> DataFrame:

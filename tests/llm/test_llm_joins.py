@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from helpers import awkward, empty, frame, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stationcast.llm import bitsliced, jaccard, mixing
 from stationcast.llm.components import components
@@ -111,14 +113,14 @@ def test_one_of_each_keeps_the_smallest(spark):
 def brute_top(rows, k=5, every=50):
     found = []
     for i, v in rows:
-        if v is not None and all(x is not None and math.isfinite(x) and abs(x) * 256 < 2**26 for x in v):
-            found.append((i, tuple(math.floor(256 * x) for x in v)))
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            found.append((i, tuple(math.floor(256 * Fraction(x)) for x in [*v, *[0.0] * (8 - len(v))])))
     out = []
     for q, v in set((i, v) for i, v in found if i is not None and i % every == 0):
         rest = list(found)
         rest.remove((q, v))
         scored = sorted(((-sum(a * b for a, b in zip(v, w)), i is None, i or 0) for i, w in rest))[:k]
-        out += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(scored)]
+        out += [(q, r + 1, None if none else i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, none, i) in enumerate(scored)]
     return sorted(out, key=str)
 
 
@@ -136,6 +138,25 @@ def test_top_k_matches_brute_force(spark, block_rows, query_rows):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_top(rows)
 
 
+@pytest.mark.parametrize("spread", [1, 1e6, 1e15, 1e300])
+def test_top_k_of_large_components(spark, spread):
+    """Vectors on both sides of what the index holds, as queries and as candidates, up to the ends of a double."""
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * rng.choice([1, 1000, spread]) for _ in range(rng.randrange(1, 9))]) for i in range(150)]
+    rows += [(200, [300000.0, 1.0]), (250, [1.0, 2.0]), (250, [1.0, 2.0]), (300, [1e30] * 8), (300, [1e30] * 8), (350, [-1e30, 0.5]), (351, [1.7e308, -1.7e308])]
+    rows += [(400, [262143.99]), (401, [262144.0]), (450, [-262144.0]), (None, [1e9, 1e9]), (None, [2.0])]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], VECTORS.replace("float", "double"))
+    got = bitsliced.top_k(df.repartition(4), block_rows=32, query_rows=3)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_top(rows)
+
+
+def test_the_index_is_shuffled_once(spark):
+    """Tasks get numbers of blocks and of queries: behind the index there is no shuffle of it."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0], 1, 2, 3) for i in range(300)], VECTORS)
+    plan = bitsliced.top_k(df, block_rows=20, query_rows=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" in plan and "bitmaps" not in plan and "Join" not in plan
+
+
 def test_top_k_of_nothing(spark):
     assert bitsliced.top_k(spark.createDataFrame([], VECTORS)).count() == 0
     assert bitsliced.top_k(spark.createDataFrame([(1, [1.0], 0, 0, 0)], VECTORS)).count() == 0
@@ -218,3 +239,7 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert {k: taken.get(k) for k in unique} == {k: want[k] for k in unique}
     assert sum(taken.values()) == sum(want.values())
     assert mixing.mixed_documents(empty(spark)).count() == 0
+    # columns named as helper columns are
+    odd = docs.withColumnsRenamed({"key": "size", "n_words": "_p", "score": "_th"}).withColumn("_k_doc_id", F.lit(1)).withColumn("_entire", F.lit("x"))
+    again = mixing.mixed_documents(odd, block=4, shard_words=2000)
+    assert again.columns == odd.columns and again.count() == got.count() and {r["size"] for r in again.collect()} == {"k"}

@@ -60,6 +60,8 @@ def test_quality_verdicts(spark):
     kept = quality.kept_documents(frame(spark, rows + lone))
     assert kept.columns == frame(spark).columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
     assert quality.judge(empty(spark)).count() == 0 and quality.kept_documents(empty(spark)).count() == 0
+    odd = frame(spark, rows + lone).withColumnsRenamed({"key": "_lang", "n_words": "_source", "score": "_fences"}).withColumn("_one", F.lit(1))
+    assert quality.kept_documents(odd).columns == odd.columns and quality.kept_documents(odd).count() == kept.count()
     again = quality.judge(frame(spark, rows[:50] + [(1, None, None, None, 0, 0, 0.0, "k")] * 2))
     assert again.count() == 52
     assert quality.judge(frame(spark)).count() == len(awkward())
@@ -241,6 +243,44 @@ def test_only_the_main_article_is_spared():
     assert density.main_text(f"<article>{body}<div hidden><p>{PARAS[0]}</p></div><p>End of it.</p></article>") == "\n".join([*PARAS, "End of it."])
 
 
+def test_slash_of_an_unquoted_value_closes_nothing():
+    links = "".join(f"<li><a href=/section{i}/>Section number {i}</a></li>" for i in range(20))
+    body = "".join(f"<p>{p}</p>" for p in PARAS)
+    for page in (f"<nav><ul>{links}</ul></nav><article>{body}</article>", f"<body><div class=top><ul>{links}</ul></div><div>{body}</div></body>"):
+        assert density.main_text(page) == "\n".join(PARAS)
+    assert density.main_text("<article><p>One<br/>two <b/>three</b></p><svg><path d=M0/><g/><text>x</text></svg><p>four</p></article>") == "One two three\nfour"
+
+
+def test_quotes_open_values_only_behind_an_equals_sign():
+    assert density.main_text("<p title=don't>First text here</p><p>It isn't > lost words</p>") == "First text here\nIt isn't > lost words"
+    assert density.main_text("<article><p it's>One</p><p a = 'x > y' b=\"'>\">two</p><p =>three</p></article>") == "One\ntwo\nthree"
+    assert density.main_text("<article><p>a</p><p title=\"open>b</p><p>c</p></article>") == "a\nb\nc"
+
+
+@pytest.mark.parametrize("unit,end", [("<p it's ", ""), ("<p it's ", ">"), ("<a =\"x>y\" ", ""), ("<p a=\"", ""), ("<!x ", ""), ("<b/ c='", "x>"), ("<p ", "<p>x</p>")])
+def test_broken_tags_take_linear_time(unit, end):
+    import time
+
+    density.main_text(unit * 100 + end)
+    began = time.process_time()
+    density.main_text(unit * 40_000 + end)
+    assert time.process_time() - began < 1
+
+
+def test_density_finds_the_article_without_its_element(spark):
+    """The given pages, their `<article>` replaced by a plain element."""
+    import html as entities
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    wrong = 0
+    for r in rows:
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = (" ".join(entities.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", inner))
+        plain = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        wrong += density.main_text(plain) != "\n".join(b for b in blocks if b)
+    assert wrong <= len(rows) // 50, wrong
+
+
 def test_main_text_of_odd_pages(spark):
     assert [density.main_text(x) for x in (None, "", "<p>", "<!-- ", "<script>x")] == [""] * 5
     assert density.main_text("plain < words & more") == "plain < words & more"
