@@ -87,7 +87,7 @@ def _(spark, sf):
     again = df.where(F.year("DELIVERY_DATE") == 1998).withColumn("QUANTITY", -F.col("QUANTITY")).drop("DELIVERY_DATE")
     for _ in range(2):
         ly.write_replace(again, path, "MONTH_KEY")
-    return spark.read.parquet(path)
+    return ly.read_layer(spark, path)
 
 
 @check("snk_site_replace", f"""{ctes('v_articles')} SELECT DISTINCT keywords, source, domain AS site FROM (SELECT domain, source, unnest(CASE WHEN len(keywords) > 0 THEN keywords ELSE [NULL] END) AS keywords FROM v_articles)""")
@@ -98,7 +98,7 @@ def _(spark, sf):
     ly.append_new(rows.where("keywords IS NULL OR keywords LIKE '% %'"), path, ["keywords", "source"], "site")
     ly.append_new(rows, path, ["keywords", "source"], "site")
     ly.append_new(rows, path, ["keywords", "source"], "site")
-    return spark.read.parquet(path)
+    return ly.read_layer(spark, path)
 
 
 @check("snk_csv_landing", "SELECT s_suppkey, s_acctbal, 'DEPOT_' || s_nationkey AS depot FROM supplier")
@@ -136,7 +136,7 @@ def _(spark, sf):
 
     for _ in range(2):
         stream.stream_landing(spark, sc.CODO_TRUCKS, lake.landing(sc.CODO_TRUCKS.name), f"{lake.root}/progress", sink)
-    return spark.read.parquet(lake.bronze("trucks")).select("RECORD_ID", "STATION", "MATERIAL", "QUANTITY", "DELIVERY_DATE")
+    return ly.read_layer(spark, lake.bronze("trucks")).select("RECORD_ID", "STATION", "MATERIAL", "QUANTITY", "DELIVERY_DATE")
 
 
 def _drain(spark, df, name):

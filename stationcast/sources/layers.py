@@ -2,10 +2,13 @@
 
 Writes rebalance on the partition column first: AQE then sizes the files, splitting a hot date over
 several tasks and packing small ones, so a partition never becomes one task or a thousand tiny files.
+Layers are written in batches with a manifest (``versions``); catalog tables move to a new folder in one step.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,20 +16,23 @@ from pyspark.sql import functions as F
 from ..operators.filters import is_empty
 from ..operators.joins import anti_trim
 from ..operators.shaping import union_all, with_tag
+from .versions import RUN, current, location, path_missing, read_current, write_batch
 
 
 def read_layer(
     spark: SparkSession, path: str, run_date: int | None = None, start: int | None = None, end: int | None = None
 ) -> DataFrame:
-    """Whole layer, one run, or an inclusive range of runs, open where an end is not given; the predicate
-    reaches the scan."""
-    df, run = spark.read.parquet(path), F.col("RUN_DATE_ID")
+    """Whole layer, one run, or an inclusive range of runs, open where an end is not given. Partitions that hold
+    none of the runs are not opened."""
     if run_date is not None:
-        df = df.where(run == run_date)
+        start = run_date if start is None else max(start, run_date)
+        end = run_date if end is None else min(end, run_date)
+    lines = current(spark, path)
+    df = spark.read.parquet(path) if lines is None else read_current(spark, path, lines, start, end)
     if start is not None:
-        df = df.where(run >= start)
+        df = df.where(F.col(RUN) >= start)
     if end is not None:
-        df = df.where(run <= end)
+        df = df.where(F.col(RUN) <= end)
     return df
 
 
@@ -42,11 +48,6 @@ def touched_dates(df: DataFrame, by: str) -> list[str | None]:
     return [r[0] for r in df.select(F.col(by).cast("string")).distinct().collect()]
 
 
-def path_missing(exc: AnalysisException) -> bool:
-    """No folder yet, or one without any file."""
-    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
 def read_layer_or_none(spark: SparkSession, path: str, **kw) -> DataFrame | None:
     try:
         return read_layer(spark, path, **kw)
@@ -73,12 +74,13 @@ def _writer(df: DataFrame, by: str | None):
 
 
 def write_full(df: DataFrame, path: str, by: str | None = None) -> None:
-    """Replace the whole table."""
-    _writer(df, by).option("partitionOverwriteMode", "static").mode("overwrite").parquet(path)
+    """Replace the whole table, in one step once all is written."""
+    write_batch(df, path, by, True, lambda rows: _writer(rows, by))
 
 
 def write_replace(df: DataFrame, path: str, by: str, lineage: str | None = None) -> None:
-    """Replace only the partitions present in this batch; running a day again changes nothing.
+    """Replace only the partitions present in this batch, all of them in one step; running a day again changes
+    nothing.
 
     With ``lineage``, the column naming each row's file, a partition keeps the rows of files that
     are not part of this batch: a later file with a late row of an earlier day, or another depot's
@@ -86,7 +88,7 @@ def write_replace(df: DataFrame, path: str, by: str, lineage: str | None = None)
     """
     if lineage is not None:
         df = _keep_other_files(df, path, by, lineage)
-    _writer(df, by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    write_batch(df, path, by, False, lambda rows: _writer(rows, by))
 
 
 def _keep_other_files(df: DataFrame, path: str, by: str, lineage: str) -> DataFrame:
@@ -113,21 +115,49 @@ def append_raw(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def _move(spark: SparkSession, table: str, folder: str) -> None:
+    """Makes the folder the table's, in one step of the catalog if the table is there and its columns are the same. Its
+    partitions are found in the folder, not kept in the catalog, so that there is only the one thing to change."""
+    if spark.catalog.tableExists(table):
+        want, have = spark.read.parquet(folder).schema, spark.table(table).schema
+        if {(f.name, f.dataType) for f in want} == {(f.name, f.dataType) for f in have}:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")  # other columns: another table
+    tracked = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(tracked)
+    spark.conf.set(tracked, "false")
+    try:
+        spark.catalog.createTable(table, path=folder, source="parquet")
+    finally:
+        spark.conf.set(tracked, before)
+
+
+def _folder_of(spark: SparkSession, table: str) -> str:
+    """A new folder beside the table's database."""
+    name, _, database = table[::-1].partition(".")
+    home = spark.catalog.getDatabase(database[::-1] or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{name[::-1]}.batches/{uuid.uuid4().hex}"
+
+
 def publish(df: DataFrame, table: str, mode: str = "overwrite", keys: list[str] | None = None) -> None:
-    """Publish to a catalog table. Appends first drop rows whose keys are already there, so a
-    replay adds nothing."""
+    """Publish to a catalog table. An overwrite fills a new folder and then moves the table there: a write that
+    fails leaves the table as it was, and no reader meets it missing. Appends first drop rows whose keys are already
+    there, so a replay adds nothing."""
     spark = df.sparkSession
-    if mode == "append" and is_empty(df):
+    if mode == "overwrite":
+        folder = _folder_of(spark, table)
+        df.write.parquet(folder)
+        _move(spark, table, folder)
+        return
+    if is_empty(df):
         return
-    if mode == "append" and keys and spark.catalog.tableExists(table):
+    if keys and spark.catalog.tableExists(table):
         df = anti_trim(df, spark.table(table), keys)
     df.write.mode(mode).format("parquet").saveAsTable(table)
 
 
 def publish_path(spark: SparkSession, path: str, table: str) -> None:
-    """A catalog table over a layer's own files: nothing is written twice. Call it after each write, as
-    it also makes new partitions known."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
-    if spark.catalog.listColumns(table) and any(c.isPartition for c in spark.catalog.listColumns(table)):
-        spark.catalog.recoverPartitions(table)
+    """A catalog table over a layer's own files: nothing is written twice. Call it after each write."""
+    _move(spark, table, location(spark, path))

@@ -1,5 +1,6 @@
 """Landing trees with the awkward rows every feed brings, loaded twice."""
 
+import re
 from datetime import date
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from stationcast.operators import shaping as sh
 from stationcast.plans import ingest
 from stationcast.plans.lake import Lake
 from stationcast.run import at
-from stationcast.sources import feeds
+from stationcast.sources import feeds, versions
 from stationcast.sources import layers as ly
 
 RUN = at("2023-02-01", "2023-02-01T05:00:00")
@@ -189,9 +190,9 @@ def test_sinks(spark, tmp_path):
     path = str(tmp_path / "t")
     ly.write_full(spark.createDataFrame([(1, "a"), (2, "b")], "x int, d string"), path, "d")
     ly.write_replace(spark.createDataFrame([(3, "b"), (4, "c")], "x int, d string"), path, "d")
-    assert rows(spark.read.parquet(path)) == [(1, "a"), (3, "b"), (4, "c")]
+    assert rows(ly.read_layer(spark, path)) == [(1, "a"), (3, "b"), (4, "c")]
     ly.write_full(spark.createDataFrame([(9, "z")], "x int, d string"), path, "d")
-    assert rows(spark.read.parquet(path)) == [(9, "z")]
+    assert rows(ly.read_layer(spark, path)) == [(9, "z")]
 
     raw = str(tmp_path / "raw")
     ly.append_raw(spark.range(2), raw)
@@ -221,7 +222,7 @@ def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
         ly.write_full(df.repartition(8), str(tmp_path / "hot"), "d")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((tmp_path / "hot" / "d=2023-01-01").glob("*.parquet"))) > 1
+    assert len(list((tmp_path / "hot").glob("*/d=2023-01-01/*.parquet"))) > 1
 
 
 def test_day_helpers():
@@ -254,8 +255,8 @@ def test_later_file_adds_to_an_earlier_day(spark, tmp_path):
     late = spark.createDataFrame([("20240101", "b", 3)], schema)
     for batch in (first, late, first, late):
         ly.write_replace(batch, path, "d", "FILE_NAME")
-        assert spark.read.parquet(path).count() in (2, 3)
-    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+        assert ly.read_layer(spark, path).count() in (2, 3)
+    assert sorted(r.v for r in ly.read_layer(spark, path).collect()) == [1, 2, 3]
 
 
 def test_book_stock_without_header_row_is_an_error(spark, tmp_path):
@@ -272,3 +273,102 @@ def test_book_stock_without_header_row_is_an_error(spark, tmp_path):
     assert [tuple(r)[:4] for r in read("A_*.csv").collect()] == [("1", "A", "1,5", "z")]
     with pytest.raises(Exception, match="no header row.*B_x.csv"):
         read("*.csv").collect()
+
+
+def _runs(spark, path, days=6):
+    """A layer of one run a day, each with two business dates; the last run brings a late row of the first date."""
+    for k in range(days):
+        rows = [(f"2023-01-{d + 1:02d}", k, 20230101 + k, f"f{k}") for d in ((k, k + 1) if k < days - 1 else (0, k))]
+        ly.write_replace(spark.createDataFrame(rows, "d string, v int, RUN_DATE_ID int, FILE_NAME string"), path, "d", "FILE_NAME")
+
+
+def test_a_run_opens_only_its_own_dates(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    _runs(spark, path)
+    whole = ly.read_layer(spark, path)
+    assert whole.count() == 12 and dict(whole.dtypes)["d"] == "string"
+    for run, dates in ((20230102, {"2023-01-02", "2023-01-03"}), (20230106, {"2023-01-01", "2023-01-06"})):
+        one = ly.read_layer(spark, path, run_date=run)
+        opened = {re.search(r"/d=([^/]+)/", f)[1] for f in one.inputFiles()}
+        held = {r.d for r in one.collect()}
+        assert held == dates
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]+d#", plan) and "2023-01-04" not in plan.split("PushedFilters")[0].split("PartitionFilters")[1]
+        # the files read, not the files of the batches that are listed
+        read = {re.search(r"/d=([^/]+)/", r[0])[1] for r in one.select(F.input_file_name()).distinct().collect()}
+        assert read == dates and opened >= dates
+    spans = ly.read_layer(spark, path, start=20230103, end=20230104)
+    assert {r.v for r in spans.collect()} == {2, 3}
+    assert ly.read_layer(spark, path, start=20240101).count() == 0 and ly.read_layer(spark, path, start=20230105, run_date=20230102).count() == 0
+
+
+def test_a_write_that_fails_leaves_the_rows_before(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    _runs(spark, path)
+    before = rows(ly.read_layer(spark, path))
+    bad = spark.createDataFrame([("2023-01-01", 9, 20230109, "x"), ("2023-01-02", 0, 20230109, "x")], "d string, v int, RUN_DATE_ID int, FILE_NAME string")
+    good = bad.where("v = 9")
+    bad = bad.repartition(2, "d").withColumn("v", F.when(F.col("v") == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("v")).cast("int"))
+    for write in (lambda: ly.write_full(bad, path, "d"), lambda: ly.write_replace(bad, path, "d", "FILE_NAME"), lambda: ly.write_full(bad, path)):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert rows(ly.read_layer(spark, path)) == before
+    # a reader that began before a write ends as it began
+    held = ly.read_layer(spark, path)
+    ly.write_full(good, path, "d")
+    assert rows(held) == before and ly.read_layer(spark, path).count() == 1
+    assert versions.clean(spark, path) >= 6 and ly.read_layer(spark, path).count() == 1 and versions.clean(spark, path) == 0
+
+
+def test_partitions_keep_their_values(spark, tmp_path):
+    """Texts that look like numbers or dates, blanks and nulls, over several batches; then a new column."""
+    path = str(tmp_path / "layer")
+    values = ["01", "1", "2023-01-01", "a b:c/d", None, "é"]
+    for k, some in enumerate((values[:3], values[2:], values[:1])):
+        ly.write_replace(spark.createDataFrame([(v, k) for v in some], "d string, v int"), path, "d")
+    got = {r.d: r.v for r in ly.read_layer(spark, path).collect()}
+    assert got == {"01": 2, "1": 0, "2023-01-01": 1, "a b:c/d": 1, None: 1, "é": 1}
+    ly.write_replace(spark.createDataFrame([("1", 7, 0.5)], "d string, v int, w double"), path, "d")
+    got = {r.d: (r.v, r.w) for r in ly.read_layer(spark, path).collect()}
+    assert got["1"] == (7, 0.5) and got["01"] == (2, None)
+    ly.write_full(spark.createDataFrame([], "d string, v int"), path, "d")
+    assert ly.read_layer(spark, path).count() == 0 and ly.read_layer(spark, path).columns == ["d", "v"]
+
+
+def test_no_reader_meets_a_missing_table(spark, tmp_path):
+    """A thread reads the table while it is published again and again, by rows and over a layer's files."""
+    import threading
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS moved")
+    path, seen, wrong, over = str(tmp_path / "layer"), set(), [], threading.Event()
+    frame = lambda k: spark.range(4).select("id", F.lit(k).alias("v"), (F.col("id") % 2).alias("d"))
+
+    def put(k):
+        ly.publish(frame(k), "moved.rows")
+        ly.write_full(frame(k), path, "d")
+        ly.publish_path(spark, path, "moved.files")
+
+    def read():
+        while not over.is_set():
+            for name in ("moved.rows", "moved.files"):
+                try:
+                    got = [tuple(r) for r in spark.table(name).groupBy("v").count().collect()]
+                    if len(got) != 1 or got[0][1] != 4:
+                        wrong.append(got)
+                    seen.add(got[0][0])
+                except Exception as exc:  # noqa: BLE001
+                    wrong.append(str(exc)[:300])
+
+    put(0)
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 8):
+        put(k)
+    over.set()
+    reader.join()
+    assert not wrong and len(seen) > 1 and {r.v for r in spark.table("moved.files").collect()} == {7}
+    assert spark.table("moved.files").where("d = 1").count() == 2
+    # a failing publication leaves the table
+    with pytest.raises(Exception, match="lost"):
+        ly.publish(frame(9).withColumn("v", F.raise_error(F.lit("lost")).cast("int")), "moved.rows")
+    assert spark.table("moved.rows").count() == 4

@@ -6,7 +6,7 @@ from conftest import rows
 from stationcast import schemas as sc
 from stationcast.plans import ingest
 from stationcast.run import at
-from stationcast.sources.layers import write_replace
+from stationcast.sources.layers import read_layer, write_replace
 from stationcast.streaming.landing import daily_totals, first_seen, stream_landing
 from test_ingest import put
 
@@ -28,7 +28,7 @@ def test_landing_picks_up_new_files_once(spark, tmp_path):
     assert seen == [1]
     put(root / "20230106" / f.file, f.headers, ["2,A,PMS,1,OK,2023-01-06,06/01/2023 7:05"])
     run()
-    assert seen == [1, 1] and spark.read.parquet(out).count() == 2
+    assert seen == [1, 1] and read_layer(spark, out).count() == 2
 
 
 def _drain(df, name, mode):
