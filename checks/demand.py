@@ -253,6 +253,7 @@ d AS (SELECT STATION, SALES_DATE, sum(V) AS v FROM v_meters GROUP BY 1, 2), s AS
 SELECT STATION, MATERIAL, CURRENT_DELIVERY_DATE, cap AS TOTAL_STATION_CAPACITY, QUANTITY, n AS SALES_DAYS, v * coalesce(no, 1) * coalesce(nt, 1) AS TOTAL_VOLUME_SOLD,
 peak * coalesce(no, 1) * coalesce(nt, 1) AS PEAK_DAY_VOLUME_SOLD, sold AS TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY
 FROM o FULL JOIN t USING (STATION) FULL JOIN s USING (STATION)"""
+VOLUME_SQL = _VOLUME
 check("agg_station_volume", _VOLUME)(
     lambda spark, sf: codo.station_volume_by_order(_factors(spark, sf))
 )
@@ -262,9 +263,10 @@ SELECT STATION, SALES_DATE, cap AS TOTAL_STATION_CAPACITY, groups AS ORDER_GROUP
 sold AS TOTAL_VOLUME_SOLD_POST_CURRENT_DELIVERY FROM d FULL JOIN t USING (STATION) FULL JOIN o USING (STATION)""")(
     lambda spark, sf: codo.station_volume_by_day(_factors(spark, sf))
 )
-check("agg_station_volume_max", f"""{_PARTS}, o AS (SELECT DISTINCT STATION, MATERIAL, DELIVERY_DATE, QUANTITY FROM v_orders),
+VOLUME_MAX_SQL = f"""{_PARTS}, o AS (SELECT DISTINCT STATION, MATERIAL, DELIVERY_DATE, QUANTITY FROM v_orders),
 s AS (SELECT STATION, count(DISTINCT SALES_DATE) AS n, max(V) AS top FROM v_meters GROUP BY 1)
-SELECT STATION, MATERIAL, DELIVERY_DATE, cap AS TOTAL_STATION_CAPACITY, QUANTITY, n AS SALES_DAYS, top AS TOTAL_VOLUME_SOLD FROM o FULL JOIN t USING (STATION) FULL JOIN s USING (STATION)""")(
+SELECT STATION, MATERIAL, DELIVERY_DATE, cap AS TOTAL_STATION_CAPACITY, QUANTITY, n AS SALES_DAYS, top AS TOTAL_VOLUME_SOLD FROM o FULL JOIN t USING (STATION) FULL JOIN s USING (STATION)"""
+check("agg_station_volume_max", VOLUME_MAX_SQL)(
     lambda spark, sf: codo.station_volume_max_by_order(_factors(spark, sf))
 )
 check("jn_outer_station_nm", f"""{_PARTS}, o AS (SELECT STATION, count(*) AS n, sum(COUNT_OF_NEW_ORDERS) AS c FROM v_orders GROUP BY 1)

@@ -31,7 +31,7 @@ def _land(spark, lake, feed, df):
     text.write.options(header=True, emptyValue="", **blanks).csv(f"{lake.landing(feed.name)}/20240201/{feed.file}")
 
 
-def _through(spark, feed, df, load):
+def through(spark, feed, df, load):
     lake = Lake(fresh(spark, feed.name))
     _land(spark, lake, feed, df)
     load(spark, lake, RUN, LOAD_DAY, LOAD_DAY)
@@ -44,18 +44,18 @@ def _text_created(view):
 
 check("feed_codo_trucks", f"""{ctes('v_deliveries')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, MATERIAL, QUANTITY, STATUS, DELIVERY_DATE,
 {_text_created('v_deliveries')}, {AUDIT_SQL} FROM v_deliveries""")(
-    lambda spark, sf: _through(spark, sc.CODO_TRUCKS, v.deliveries(spark, sf).select(*sc.TRUCK_COLUMNS), ingest.codo_trucks).drop("FILE_NAME")
+    lambda spark, sf: through(spark, sc.CODO_TRUCKS, v.deliveries(spark, sf).select(*sc.TRUCK_COLUMNS), ingest.codo_trucks).drop("FILE_NAME")
 )
 check("feed_codo_stock", f"""{ctes('v_stock')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, TANK_DESCRIPTION, PRODUCT, DIP_READING, STATUS, SALES_DATE,
 {_text_created('v_stock')}, {AUDIT_SQL} FROM v_stock""")(
-    lambda spark, sf: _through(spark, sc.CODO_STOCK, v.stock(spark, sf).select(*sc.STOCK_COLUMNS), ingest.codo_stock).drop("FILE_NAME")
+    lambda spark, sf: through(spark, sc.CODO_STOCK, v.stock(spark, sf).select(*sc.STOCK_COLUMNS), ingest.codo_stock).drop("FILE_NAME")
 )
 check("feed_codo_meter", f"""{ctes('v_meter')} SELECT CAST(RECORD_ID AS VARCHAR) AS RECORD_ID, STATION, METER_DESCRIPTION, PRODUCT, PREVIOUS_READING, CURRENT_READING, VOLUME, TYPE, UNIT_PRICE,
 SALES_VALUE, DEALER_COMMISSION, DEALER_COMMISSION_AMOUNT, STATUS, SALES_DATE, {_text_created('v_meter')}, {AUDIT_SQL} FROM v_meter""")(
-    lambda spark, sf: _through(spark, sc.CODO_METER, v.meter(spark, sf).select(*sc.METER_COLUMNS), ingest.codo_meter).drop("FILE_NAME")
+    lambda spark, sf: through(spark, sc.CODO_METER, v.meter(spark, sf).select(*sc.METER_COLUMNS), ingest.codo_meter).drop("FILE_NAME")
 )
 check("feed_sap_loading", f"{ctes('v_sap')} SELECT *, {AUDIT_SQL} FROM v_sap")(
-    lambda spark, sf: _through(spark, sc.SAP_LOADING, v.sap(spark, sf).select(*sc.SAP_COLUMNS), ingest.sap_loading).drop("FILE_NAME")
+    lambda spark, sf: through(spark, sc.SAP_LOADING, v.sap(spark, sf).select(*sc.SAP_COLUMNS), ingest.sap_loading).drop("FILE_NAME")
 )
 
 
@@ -63,7 +63,7 @@ check("feed_sap_loading", f"{ctes('v_sap')} SELECT *, {AUDIT_SQL} FROM v_sap")(
 def _(spark, sf):
     raw = v.dodo_text(spark, sf).withColumn("SALES_DATE", F.col("SALES_STAMP"))
     order = [c for c in sc.DODO_COLUMNS if c not in ("FILE_NAME", "SALES_TIME")]
-    return _through(spark, sc.DODO_ORDERS, raw.select(*order), ingest.dodo_orders).drop("FILE_NAME")
+    return through(spark, sc.DODO_ORDERS, raw.select(*order), ingest.dodo_orders).drop("FILE_NAME")
 
 
 @check("feed_state_mapping", f"""{ctes('v_states')} SELECT CAST(SNO AS VARCHAR) AS STATE_ID, upper(split_part(STATE, ' ', 1)) AS STATE_NAME, upper(LOCAL_GOVERNMENT_AREA) AS LOCAL_GOVERNMENT_AREA, {AUDIT_SQL} FROM v_states""")
@@ -158,7 +158,7 @@ def _(spark, sf):
     for part in (~late, late):
         sales.where(part).drop("RECORD_ID").write.mode("append").parquet(src)
         events = spark.readStream.schema(sales.drop("RECORD_ID").schema).parquet(src)
-        totals = stream.daily_totals(events, "4000 days").writeStream.outputMode("update").foreachBatch(stream.upsert_totals(f"{out}/data"))
+        totals = stream.daily_totals(events, "4000 days").writeStream.outputMode("update").foreachBatch(stream.upsert_totals(f"{out}/data", ["STATION", "SALES_DATE"]))
         totals.option("checkpointLocation", f"{out}/progress").trigger(availableNow=True).start().awaitTermination()
     found = stream.latest_totals(spark, f"{out}/data", ["STATION", "SALES_DATE"])
     return found.withColumn("TOTAL_SALES_VALUE", F.round("TOTAL_SALES_VALUE", 2))

@@ -19,7 +19,7 @@ from . import views as v
 from .demand import DAILY_PRODUCT_SQL, RAW_SQL, SAP_DODO_SQL, dodo
 from .registry import check
 from .scratch import fresh
-from .text_and_forecast import WEB_SQL
+from .text_and_forecast import TWEET_TABLE, WEB_SQL
 from .views import AUDIT_SQL, RUN, ctes
 
 
@@ -101,29 +101,32 @@ def _(spark, sf):
     return spark.table(name).select("keywords", "source", "site")
 
 
-@check("pipe_tweets", f"{ctes('v_tweets')} SELECT DISTINCT author, tweet_text, load_date FROM v_tweets")
+@check("pipe_tweets", f"SELECT author, tweet_date, tweet_time, tweet_text, sentiment, load_date FROM (SELECT DISTINCT * FROM ({TWEET_TABLE}))")
 def _(spark, sf):
     """Both load dates, each of them twice."""
     name, raw = _name("tweets"), v.tweets(spark, sf)
     for day in ("2024-01-30", "2024-01-31") * 2:
         sent.tweets(spark, raw, day, name)
-    return spark.table(name).select("author", "tweet_text", "load_date").distinct()
+    return spark.table(name).select("author", "tweet_date", "tweet_time", "tweet_text", "sentiment", "load_date")
 
 
-def _codo_gold(spark, sf):
-    """Silver layers of the three station feeds through the gold plan."""
+def codo_silver(spark, sf):
+    """Silver layers of the three station feeds through the gold plan: the lake and its database."""
     lake, database = Lake(fresh(spark, "codo")), f"gold_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{lake.root}/{database}'")
     for feed, rows in ((sc.CODO_TRUCKS, v.deliveries(spark, sf)), (sc.CODO_STOCK, v.stock(spark, sf)), (sc.CODO_METER, v.meter(spark, sf))):
         ly.write_full(with_audit(rows.withColumn("FILE_NAME", F.lit("f")), RUN), lake.silver(feed.name))
     gold.codo_gold(spark, lake, RUN, RUN.run_date_id, RUN.run_date_id, database)
-    return database
+    return lake, database
 
 
-check("pipe_codo_gold", f"{RAW_SQL}, dsp AS ({DAILY_PRODUCT_SQL}), n AS (SELECT count(*) AS n FROM v_raw) SELECT dsp.*, n AS RAW_ROWS FROM dsp, n WHERE SALES_DATE IS NOT NULL")(
-    lambda spark, sf: (lambda db: spark.table(f"{db}.codo_daily_station_product").drop(*sc.AUDIT_COLUMNS).where("SALES_DATE IS NOT NULL")
-                       .withColumn("RAW_ROWS", spark.table(f"{db}.codo_raw_features").agg(F.count(F.lit(1))).scalar()))(_codo_gold(spark, sf))
-)
+@check("pipe_codo_gold", f"{RAW_SQL}, dsp AS ({DAILY_PRODUCT_SQL}), n AS (SELECT count(*) AS n FROM v_raw) SELECT dsp.*, n AS RAW_ROWS FROM dsp, n")
+def _(spark, sf):
+    """All rows of the daily table, those without a sales date included, with the number of raw rows."""
+    _, database = codo_silver(spark, sf)
+    raw = spark.table(f"{database}.codo_raw_features").agg(F.count(F.lit(1)))
+    return spark.table(f"{database}.codo_daily_station_product").drop(*sc.AUDIT_COLUMNS).withColumn("RAW_ROWS", raw.scalar())
+
 
 @check("pipe_sap_dodo_gold", f"{SAP_DODO_SQL} SELECT {', '.join(sc.SAP_DODO)}, {AUDIT_SQL} FROM v_flag")
 def _(spark, sf):

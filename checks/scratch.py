@@ -1,26 +1,3 @@
-"""Folder for tables a check writes on its way: the cluster's shared checkpoint folder."""
+"""Folder for tables a check writes on its way."""
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a local session may do without one: on a cluster the
-    executors could not see a folder of the driver."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stationcast-"))
-    return sc.getCheckpointDir().rstrip("/")
-
-
-def fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+from stationcast.sources.scratch import fresh, shared_folder  # noqa: F401

@@ -173,6 +173,7 @@ tweet_text, userdesc, device, timezone, language AS tweet_language, following, f
 {_PLACE}, filter_col, right(tweet_date, 8) AS tweet_time, {_tweet_clean('tweet_text')} AS df_tweet,
 CAST(coalesce(favorite_count, 0) + coalesce(retweets, 0) AS VARCHAR) AS longeractions, CAST((round_even(coalesce(p, 0.0), 1) + 0.0) AS VARCHAR) AS sentiment, load_date
 FROM v_tweets LEFT JOIN pol ON tweet_id = k"""
+TWEET_TABLE = _TWEET_TABLE
 check("flow_tweets", f"SELECT DISTINCT * FROM ({_TWEET_TABLE})")(lambda spark, sf: sent.tweets_table(v.tweets(spark, sf)))
 
 
@@ -328,9 +329,15 @@ mrg AS (SELECT strftime(SALES_DATE, '%Y%m%d') AS FORECASTED_DATE, STATION AS DEL
 o.y + 0.25 AS FORCASTED_ORDER, o.y AS ACTUAL_ORDER FROM d JOIN o USING (STATION, SALES_DATE))"""
 
 
+SAP_MERGE = _SAP_MERGE
+
+
+def sap_models(spark, sf):
+    return _model(spark, sf, F.max, "VOLUME", fc.DELAYS), _model(spark, sf, F.max, "CURRENT_READING", fc.ORDERS)
+
+
 def _combined_sap(spark, sf):
-    return fc.combine_sap(_model(spark, sf, F.max, "VOLUME", fc.DELAYS),
-                          _model(spark, sf, F.max, "CURRENT_READING", fc.ORDERS), RUN)
+    return fc.combine_sap(*sap_models(spark, sf), RUN)
 
 
 check("fct_combine_sap", f"{_SAP_MERGE} SELECT *, {AUDIT_SQL} FROM mrg")(
@@ -347,19 +354,22 @@ fin AS (SELECT * EXCLUDE (SALES_DATE), strftime(SALES_DATE + CAST(round(ACTUAL_Q
 'Your order likely to take: ' || CAST(FORCASTED_NEXT_DELIVERY_DAYS AS BIGINT) || ' days' AS NEXT_OPTIMAL_ORDER_DATE_REASON FROM mrg)"""
 
 
-def _three(spark, sf):
+CODO_MERGE = _CODO_MERGE
+
+
+def codo_models(spark, sf):
     return (_model(spark, sf, F.max, "VOLUME", fc.NEXT_DELIVERY),
             _model(spark, sf, F.sum, "VOLUME", fc.SALES),
             _model(spark, sf, F.max, "CURRENT_READING", fc.QUANTITY))
 
 
 def _combined_codo(spark, sf):
-    return fc.combine_codo(*_three(spark, sf), RUN)
+    return fc.combine_codo(*codo_models(spark, sf), RUN)
 
 
 check("fct_combine_codo", f"{_CODO_MERGE} SELECT *, {AUDIT_SQL} FROM fin")(_combined_codo)
 check("jn_forecast_merge_3", f"{_CODO_MERGE} SELECT STATION, FORECASTED_SALES_DATE, ACTUAL_NEXT_DELIVERY_DAYS, ACTUAL_VOLUME_SOLD, ACTUAL_QUANTITY FROM mrg")(
-    lambda spark, sf: fc.merge_codo(*_three(spark, sf)).select("STATION", "FORECASTED_SALES_DATE", "ACTUAL_NEXT_DELIVERY_DAYS", "ACTUAL_VOLUME_SOLD", "ACTUAL_QUANTITY")
+    lambda spark, sf: fc.merge_codo(*codo_models(spark, sf)).select("STATION", "FORECASTED_SALES_DATE", "ACTUAL_NEXT_DELIVERY_DAYS", "ACTUAL_VOLUME_SOLD", "ACTUAL_QUANTITY")
 )
 check("fct_next_order_date", f"{_CODO_MERGE} SELECT STATION, FORECASTED_SALES_DATE, NEXT_OPTIMAL_ORDER_DATE FROM fin")(
     lambda spark, sf: _combined_codo(spark, sf).select("STATION", "FORECASTED_SALES_DATE", "NEXT_OPTIMAL_ORDER_DATE")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from itertools import chain
 
 from pyspark.sql import Column
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from .columns import _c, words
 from .lexicon import BOOSTERS, NEGATION_FACTOR, NEGATIONS, POLARITY, STOP_WORDS
 
-# The patterns the cleaning chains remove.
+# Own patterns of what the cleaning chains remove.
 HANDLE = "@[\\p{L}\\p{N}_]*"
 NOT_A_LETTER = "[^a-zA-Z#]"
 LINK = "https?://\\S+"
@@ -72,7 +74,16 @@ def clean_article(col, compat: bool = False) -> Column:
 
 
 def _lookup(table: dict[str, float], key: Column) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for x in chain(*table.items())]), key)
+    """The table's value for a token, null if it has none. A literal map is searched entry by entry, so a large table
+    is an array of maps of about two words each, chosen by the token's CRC-32; it is one literal of the plan."""
+    count = 1 << max(len(table) // 2 - 1, 0).bit_length()
+    if count <= 4:
+        return F.element_at(F.create_map(*[F.lit(x) for x in chain(*table.items())]), key)
+    parts: list[dict[str, float]] = [{} for _ in range(count)]
+    for word, value in table.items():
+        parts[zlib.crc32(word.encode()) % count][word] = value
+    maps = F.from_json(F.lit(json.dumps(parts)), "array<map<string,double>>")
+    return F.element_at(F.get(maps, (F.crc32(key) % count).cast("int")), key)
 
 
 def polarity(col, lexicon: dict[str, float] | None = None) -> Column:
@@ -85,7 +96,7 @@ def polarity(col, lexicon: dict[str, float] | None = None) -> Column:
     col = _c(col)
 
     def total(tokens: Column) -> Column:
-        spots = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i).isin(list(table)))
+        spots = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: _lookup(table, F.get(tokens, i)).isNotNull())
 
         def score(i: Column) -> Column:
             gain = _lookup(BOOSTERS, F.get(tokens, i - 1))

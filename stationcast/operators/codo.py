@@ -156,9 +156,9 @@ def codo_factors(deliveries: DataFrame, stock: DataFrame, meter: DataFrame, exac
 def station_wide(*parts: DataFrame) -> DataFrame:
     """Station-level outer join of the parts, the largest first: its hot stations can be split.
 
-    The result of detail parts is their product per station, so slice or aggregate them first.
+    The result of detail parts is their product per station, so slice or aggregate them first; filters reach the parts.
     """
-    return outer_chain(list(parts), ["STATION"])
+    return outer_chain(list(parts), ["STATION"], heavy_rows=0)
 
 
 def _per_station(*parts: DataFrame) -> DataFrame:

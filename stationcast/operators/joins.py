@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a key from which on it counts as heavy, and how many such keys of a frame are joined apart.
+HEAVY_ROWS, HEAVY_KEYS = 100_000, 256
+
 
 def _any_null(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, [c.isNull() for c in cols])
@@ -20,30 +23,51 @@ def _not_in(rows: DataFrame, keys: DataFrame, on) -> DataFrame:
     return rows.join(marked, on, "left").where(F.col("_seen").isNull()).drop("_seen")
 
 
-def outer_chain(frames: list[DataFrame], on: list[str], bounded: bool = False) -> DataFrame:
+def heavy_keys(df: DataFrame, on: list[str], rows: int = HEAVY_ROWS, most: int = HEAVY_KEYS) -> DataFrame:
+    """Hashes (``_h``) of the keys that may have more than ``rows`` rows, ``most`` at most, found by a mergeable
+    frequent-items sketch: each task keeps a few counters, and only those are shuffled. The sketch never counts too
+    few, so a heavy key is missed only where more than ``most`` are heavier."""
+    top = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(most), F.lit(16 * most))
+    found = df.where(~_any_null([F.col(c) for c in on])).agg(top.alias("_t"))
+    return found.select(F.explode("_t").alias("_t")).where(F.col("_t.count") > rows).select(F.col("_t.item").alias("_h"))
+
+
+def outer_chain(frames: list[DataFrame], on: list[str], bounded: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Full outer join of several frames on the same columns, keys coalesced.
 
     Spark's full outer sort-merge join runs every hot key, and every null key, in a single task
-    and AQE may not split it. So unless the caller knows the rows per key are bounded, each step
-    is written as an inner join, which AQE splits on whichever side is hot, plus the rows of
-    either side whose key is not among the other's distinct keys. All of them read each side
-    through one reused shuffle. Rows with a null key match nothing and skip the joins.
+    and AQE may not split it. So the keys that are heavy in any frame (``heavy_keys``) are joined apart, by inner
+    joins, which AQE splits on whichever side is hot, plus the rows of either side whose key is not among the
+    other's. All other keys are joined natively; where no key is heavy, that is all there is: the table of heavy keys, a
+    few rows that are broadcast, turns out empty and AQE drops the other branch. Rows with a null key match nothing
+    and skip the joins. ``bounded`` says that the rows per key are known to be few; ``heavy_rows=0`` takes every key
+    for heavy, without sketches, so that a filter on the result reaches all scans of the frames.
     """
     if bounded:
         return reduce(lambda a, b: a.join(b, on, "outer"), frames)
     no_key = _any_null([F.col(c) for c in on])
+    keyed = [f.where(~no_key).withColumn("_h", F.xxhash64(*on)) for f in frames]
+    if not heavy_rows:
+        return _stack([_split_chain(keyed, on), *[f.where(no_key) for f in frames]])
+    heavy = F.broadcast(reduce(DataFrame.union, [heavy_keys(f, on, heavy_rows) for f in frames]).distinct())
+    light = reduce(lambda a, b: a.join(b, on, "outer"), [f.join(heavy, "_h", "left_anti").drop("_h") for f in keyed])
+    split = _split_chain([f.join(heavy, "_h", "left_semi") for f in keyed], on)
+    return _stack([light, split, *[f.where(no_key) for f in frames]])
+
+
+def _split_chain(frames: list[DataFrame], on: list[str]) -> DataFrame:
+    """Full outer join by inner joins and unmatched rows; the frames have their keys' hash in ``_h``."""
     # Joining on a hash as well as the keys makes sorting compare longs, and a hash recomputed per
     # step gives it a shuffle of its own: AQE splits a join only if the next one does not rely on
     # its partitioning.
     hashed, mark = ["_h", *on], F.xxhash64(*on)
-    keyed = [f.where(~no_key).withColumn("_h", mark) for f in frames]
-    keys = [f.select(*hashed).distinct() for f in keyed]
-    out = keyed[0]
-    for i, nxt in enumerate(keyed[1:], 1):
+    keys = [f.select(*hashed).distinct() for f in frames]
+    out = frames[0]
+    for i, nxt in enumerate(frames[1:], 1):
         known = keys[0] if i == 1 else reduce(DataFrame.union, keys[:i]).distinct()
         step = _stack([out.join(nxt, hashed, "inner"), _not_in(out, keys[i], hashed), _not_in(nxt, known, hashed)])
         out = step.drop("_h").withColumn("_h", mark)
-    return _stack([out.drop("_h"), *[f.where(no_key) for f in frames]])
+    return out.drop("_h")
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:

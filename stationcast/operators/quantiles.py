@@ -1,81 +1,114 @@
-"""Exact grouped medians that never hold a whole group in one task."""
+"""Exact grouped medians by distributed selection: no task ranks, sorts or holds a group."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 SLACK = 0.003
 ACCURACY = 4000
+#: Buckets that a bracket is cut into in a round.
+BUCKETS = 1024
+
+
+def _bucket(v: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """The place of a value in its bracket: -1 below it, ``lo`` in the first bucket and ``hi`` in the last."""
+    inf = float("inf")
+    whole = (lo > -inf) & (hi < inf)
+    # halves, since the width of two finite ends may not be finite
+    part = F.floor((v / 2 - lo / 2) / F.nullif(hi / 2 - lo / 2, F.lit(0.0)) * buckets)
+    open_end = F.when(v == lo, 0).when(v == hi, buckets - 1).otherwise(buckets // 2)
+    inside = F.when(whole, F.least(F.lit(buckets - 1), F.coalesce(part, F.lit(0)))).otherwise(open_end)
+    return F.when(v < lo, -1).otherwise(inside).cast("int")
+
+
+def _chosen(buckets: Column, rank: Column, lo: Column, hi: Column, top: Column) -> Column:
+    """The bracket of the next round (lo, hi): least and largest value of the bucket that holds the rank, and how many
+    values lie below; the part above the bracket, of which nothing is counted yet, where none does."""
+    start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+
+    def step(acc, b):
+        here = acc["lo"].isNull() & (acc["below"] + b["n"] >= rank)
+        return F.struct(
+            F.when(here | acc["lo"].isNotNull(), acc["below"]).otherwise(acc["below"] + b["n"]).alias("below"),
+            F.when(here, b["lo"]).otherwise(acc["lo"]).alias("lo"), F.when(here, b["hi"]).otherwise(acc["hi"]).alias("hi"),
+        )
+
+    found = F.aggregate(buckets, start, step)
+    beyond = F.struct(F.lit(0).cast("long").alias("below"), hi.alias("lo"), top.alias("hi"))
+    return F.when(found["lo"].isNull(), beyond).otherwise(found)
 
 
 def exact_medians(
-    df: DataFrame, keys: list[str], medians: dict[str, str], extra: tuple[Column, ...] = ()
+    df: DataFrame, keys: list[str], medians: dict[str, str], extra: tuple[Column, ...] = (), buckets: int = BUCKETS
 ) -> DataFrame:
     """Exact median of each column (source -> output name) per key, next to ``extra`` aggregates.
 
-    Spark's ``median`` buffers all distinct values of a group in one task. Here a mergeable
-    sketch first brackets each median between two values (rank error 1/4000, bracket twelve
-    times wider). Values below the bracket collapse into one counted row and values above are
-    dropped, both map-side; only the distinct values inside the bracket, about 0.6 % of a group,
-    are ranked. A bracket that misses its median would fail the job rather than answer wrongly.
+    Spark's ``median`` buffers all distinct values of a group in one task. Here a mergeable sketch first brackets each
+    median (rank error 1/4000, bracket twelve times wider). A round then cuts every bracket into ``buckets`` equal
+    parts and counts the values of each part, with its least and largest, map-side; the part that holds the
+    middle rank is the next bracket. A bracket of one value is the answer, and only those that are not go on. Two ends of a
+    bracket never share a part, so that rounds come to an end; a bracket that the sketch has set beside its
+    median is mended by the counts. A task sees partial counts, at most ``buckets`` + 1 for a median.
+
+    Runs its rounds when called; two or three on millions of values a group.
     """
     cols = list(medians)
-    # NaN, as a feed's text may spell it, is a missing value to sketch and ranking alike
+    # NaN, as a feed's text may spell it, is a missing value to sketch and counts alike
     number = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     ends = F.array(F.lit(0.5 - SLACK), F.lit(0.5 + SLACK))
-    sketch = df.groupBy(*keys).agg(*extra, *[
+    sketch = written(df.groupBy(*keys).agg(*extra, *[
         F.struct(
-            F.percentile_approx(number[c], ends, ACCURACY).alias("q"),
-            F.count(number[c]).alias("n"),
+            F.percentile_approx(number[c], ends, ACCURACY).alias("q"), F.count(number[c]).alias("n"), F.max(number[c]).alias("top"),
         ).alias(f"_s{i}")
         for i, c in enumerate(cols)
-    ])
-    brackets = sketch.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.posexplode(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])).alias("_bm", "_s"),
-    ).select(
-        *[f"_{k}" for k in keys], "_bm", F.col("_s.q")[0].alias("_lo"), F.col("_s.q")[1].alias("_hi"),
-        F.col("_s.n").alias("_n"),
-    )
-    values = df.select(
-        *keys, F.posexplode(F.array(*[number[c] for c in cols])).alias("_m", "_v")
-    ).where(F.col("_v").isNotNull())
-    cond = reduce(
-        lambda a, b: a & b,
-        [values[k].eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_m") == F.col("_bm")],
-    )
-    inside = F.col("_v") >= F.col("_lo")
-    counted = (
-        values.join(brackets, cond, "inner")
-        .where(F.col("_v") <= F.col("_hi"))
-        .groupBy(*keys, "_m", "_n", inside.alias("_in"), F.when(inside, F.col("_v")).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    w = Window.partitionBy(*keys, "_m").orderBy("_in", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(w))
-
-    def at_rank(rank, i: int):
-        here = (F.col("_m") == i) & (F.col("_cum") >= rank) & (F.col("_cum") - F.col("_c") < rank)
-        return F.max(F.when(here, F.col("_v")))
-
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    aggs = []
-    for i in range(len(cols)):
-        aggs += [at_rank(low, i).alias(f"_l{i}"), at_rank(high, i).alias(f"_h{i}"),
-                 F.max(F.when(F.col("_m") == i, F.col("_n"))).alias(f"_n{i}")]
-    picked = ranked.groupBy(*keys).agg(*aggs)
-
-    def median(i: int):
-        found = (F.col(f"_l{i}") + F.col(f"_h{i}")) / 2
-        missed = F.col(f"_n{i}").isNotNull() & found.isNull()
-        return F.when(missed, F.raise_error(F.lit("median bracket missed")).cast("double")).otherwise(found)
-
-    mids = picked.select(
-        *[F.col(k).alias(f"_{k}") for k in keys], *[median(i).alias(medians[c]) for i, c in enumerate(cols)]
+    ]), "median-sketch")
+
+    own = [f"_{k}" for k in keys]
+    n = F.col("_s.n")
+    targets = sketch.select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.posexplode(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])).alias("_bm", "_s"),
+    ).where(n > 0).select(
+        *own, "_bm", F.col("_s.q")[0].alias("_lo"), F.col("_s.q")[1].alias("_hi"), F.col("_s.top").alias("_top"), F.lit(0).cast("long").alias("_below"),
+        F.lit(True).alias("_count_below"), F.explode(F.array_distinct(F.array(F.floor((n + 1) / 2), F.floor((n + 2) / 2)))).alias("_rank"),
     )
+    values = df.select(*keys, F.posexplode(F.array(*[number[c] for c in cols])).alias("_m", "_v")).where("_v IS NOT NULL")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_m") == F.col("_bm")])
+    about = [*own, "_bm", "_rank", "_lo", "_hi", "_top", "_below", "_count_below"]
+    known: list[DataFrame] = []
+    while True:
+        inside = values.join(targets, same, "inner").where((F.col("_v") <= F.col("_hi")) & (F.col("_count_below") | (F.col("_v") >= F.col("_lo"))))
+        counted = inside.groupBy(*about, _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets).alias("_b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
+        )
+        parts = F.array_sort(F.collect_list(F.struct("_b", "n", "lo", "hi")))
+        found = counted.groupBy(*about).agg(parts.alias("_parts"))
+        # a bracket that has nothing in it or below it goes on above
+        found = targets.join(found.withColumnsRenamed({c: f"{c}_" for c in about}), reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in about]), "left")
+        empty = F.array().cast("array<struct<_b:int,n:bigint,lo:double,hi:double>>")
+        chosen = _chosen(F.coalesce("_parts", empty), F.col("_rank") - F.col("_below"), F.col("_lo"), F.col("_hi"), F.col("_top"))
+        found = found.withColumn("_c", chosen)
+        beyond = F.col("_parts").isNull() | (F.aggregate("_parts", F.lit(0).cast("long"), lambda a, b: a + b["n"]) < F.col("_rank") - F.col("_below"))
+        found = written(found.select(
+            *own, "_bm", "_rank", F.col("_c.lo").alias("_lo"), F.col("_c.hi").alias("_hi"), "_top",
+            F.when(beyond, F.lit(0).cast("long")).otherwise(F.col("_below") + F.col("_c.below")).alias("_below"), beyond.alias("_count_below"),
+        ), "median-round")
+        one = (F.col("_lo") == F.col("_hi")) & ~F.col("_count_below")
+        known.append(found.where(one).select(*own, "_bm", "_rank", F.col("_lo").alias("_v")))
+        targets = found.where(~one)
+        if targets.isEmpty():
+            break
+    mids = reduce(DataFrame.unionByName, known).groupBy(*own).agg(*[
+        # the mean of the two middle values, which are one if the number of values is odd
+        ((F.min_by(F.when(F.col("_bm") == i, F.col("_v")), F.when(F.col("_bm") == i, F.col("_rank")))
+          + F.max_by(F.when(F.col("_bm") == i, F.col("_v")), F.when(F.col("_bm") == i, F.col("_rank")))) / 2).alias(medians[c])
+        for i, c in enumerate(cols)
+    ])
     base = sketch.drop(*[f"_s{i}" for i in range(len(cols))])
-    same = reduce(lambda a, b: a & b, [base[k].eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return base.join(mids, same, "left").drop(*[f"_{k}" for k in keys])
+    match = reduce(lambda a, b: a & b, [base[k].eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return base.join(mids, match, "left").drop(*own)

@@ -12,10 +12,13 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.filters import is_empty
 from ..operators.joins import anti_trim
 from ..operators.shaping import union_all, with_tag
+from .keyfilter import add_keys, candidate_parts, has_filter
+from .scratch import written
 from .versions import RUN, current, location, path_missing, read_current, write_batch
 
 
@@ -91,6 +94,17 @@ def write_replace(df: DataFrame, path: str, by: str, lineage: str | None = None)
     write_batch(df, path, by, False, lambda rows: _writer(rows, by))
 
 
+def append_once(df: DataFrame, path: str, name: str, by: str | None = None) -> bool:
+    """Add the rows as the batch of that name. A batch that comes again, because its writer died before it could note
+    that it was done, adds nothing; one that died while writing is written anew. Answers whether it was written."""
+    return write_batch(df, path, by, False, lambda rows: _writer(rows, by), adds=True, name=name)
+
+
+def compact(spark: SparkSession, path: str, by: str | None = None) -> None:
+    """Make one batch of all that a layer has."""
+    write_full(read_layer(spark, path), path, by)
+
+
 def _keep_other_files(df: DataFrame, path: str, by: str, lineage: str) -> DataFrame:
     table = read_layer_or_none(df.sparkSession, path)
     if table is None:
@@ -101,12 +115,34 @@ def _keep_other_files(df: DataFrame, path: str, by: str, lineage: str) -> DataFr
     return df.unionByName(others.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in df.columns]))
 
 
+def _unpublished(df: DataFrame, path: str, keys: list[str], by: str | None, published) -> DataFrame:
+    """The rows whose keys are not published yet. ``published()`` are the rows that are; it is asked only for
+    the partitions whose filters may hold a key of the batch, and not at all where all keys are new."""
+    if not has_filter(df.sparkSession, path):
+        add_keys(published(), path, keys, by)
+    parts = candidate_parts(df, path, keys)
+    if not parts:
+        return df
+    gold = published()
+    return anti_trim(df, gold if by is None else of_dates(gold, by, parts), keys)
+
+
 def append_new(df: DataFrame, gold_path: str, keys: list[str], by: str | None = None) -> None:
-    """Append rows whose keys the table does not hold yet; an empty batch leaves no trace."""
+    """Append rows whose keys the table does not hold yet; an empty batch leaves no trace. Rows of the table are read
+    only where the filters of its keys (``keyfilter``) say that a key may be there."""
     if is_empty(df):
         return
-    gold = read_layer_or_none(df.sparkSession, gold_path)
-    fresh = df if gold is None else anti_trim(df, gold, keys)
+    spark = df.sparkSession
+    held = T.StructType([df.schema[c] for c in dict.fromkeys([*keys, *([by] if by else [])])])
+    try:  # with the batch's types, so that partition values compare as they were written, and no file is asked for them
+        gold = spark.read.schema(held).parquet(gold_path)
+        fresh = _unpublished(df, gold_path, keys, by, lambda: gold)
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+        fresh = df
+    fresh = written(fresh, "fresh")
+    add_keys(fresh, gold_path, keys, by)
     _writer(fresh, by).mode("append").parquet(gold_path)
 
 
@@ -134,11 +170,11 @@ def _move(spark: SparkSession, table: str, folder: str) -> None:
         spark.conf.set(tracked, before)
 
 
-def _folder_of(spark: SparkSession, table: str) -> str:
-    """A new folder beside the table's database."""
-    name, _, database = table[::-1].partition(".")
-    home = spark.catalog.getDatabase(database[::-1] or spark.catalog.currentDatabase()).locationUri
-    return f"{home.rstrip('/')}/{name[::-1]}.batches/{uuid.uuid4().hex}"
+def _home(spark: SparkSession, table: str) -> str:
+    """Where a table lies in its database's folder."""
+    database, _, name = table.rpartition(".")
+    folder = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{folder.rstrip('/')}/{name}"
 
 
 def publish(df: DataFrame, table: str, mode: str = "overwrite", keys: list[str] | None = None) -> None:
@@ -147,14 +183,18 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite", keys: list[str]
     there, so a replay adds nothing."""
     spark = df.sparkSession
     if mode == "overwrite":
-        folder = _folder_of(spark, table)
+        folder = f"{_home(spark, table)}.batches/{uuid.uuid4().hex}"
         df.write.parquet(folder)
         _move(spark, table, folder)
         return
     if is_empty(df):
         return
-    if keys and spark.catalog.tableExists(table):
-        df = anti_trim(df, spark.table(table), keys)
+    if keys:
+        filters = f"{_home(spark, table)}.batches/published"
+        if spark.catalog.tableExists(table):
+            df = _unpublished(df, filters, keys, None, lambda: spark.table(table))
+        df = written(df, "fresh")
+        add_keys(df, filters, keys, None)
     df.write.mode(mode).format("parquet").saveAsTable(table)
 
 

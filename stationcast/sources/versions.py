@@ -2,15 +2,18 @@
 
 Each write puts its files into a folder of its own, ``<layer>/_batch=<id>/[<by>=<value>/]``, and then appends one small file
 to ``<layer>.manifest``. A line of it names a partition, the batch that now holds it, and the smallest and largest
-RUN_DATE_ID in it; a whole write also takes all earlier partitions out. So a write that fails changes nothing that is
-read, all partitions of a batch appear at once, readers of the state before go on reading its files, and a read of some
-runs opens only the partitions that can hold them. One writer per layer; ``clean`` removes what is no longer named.
+RUN_DATE_ID in it; a whole write also takes all earlier partitions out, an adding one leaves what its partitions have. So
+a write that fails changes nothing that is read, all partitions of a batch appear at once, readers of the state before go on
+reading its files, and a read of some runs opens only the partitions that can hold them. A batch may have a name: the
+manifest is then the ledger in which a batch that comes again is found. One writer per layer; ``clean`` removes what is no
+longer named, and a whole write of what is read (``layers.compact``) makes one batch of many.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -19,7 +22,7 @@ from pyspark.sql import types as T
 
 RUN = "RUN_DATE_ID"
 BATCH = "_batch"
-MANIFEST = "version long, whole boolean, batch string, by string, value string, run_min long, run_max long, rows long, layout string"
+MANIFEST = "version long, whole boolean, adds boolean, batch string, by string, value string, run_min long, run_max long, rows long, layout string"
 
 
 def path_missing(exc: AnalysisException) -> bool:
@@ -38,34 +41,53 @@ def _manifest(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def current(spark: SparkSession, path: str) -> list[Row] | None:
-    """The line of each partition that is current; None for a layer without a manifest. There are as many lines as
-    partitions, which are business dates or the like."""
+    """The lines of the partitions that are current: each one's last, and those that have added to it since; None for a
+    layer without a manifest. Partitions are business dates or the like."""
     lines = _manifest(spark, path)
     if lines is None:
         return None
-    lines = lines.withColumn("since", F.lit(lines.where("whole").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]))
-    last = F.max_by(F.struct(*[c for c in lines.columns if c not in ("value", "since")]), "version")
-    return lines.where("version >= since").groupBy("value").agg(last.alias("line")).select("value", "line.*").collect()
+    since = lines.where("whole").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    held: dict[str | None, list[Row]] = {}
+    for line in sorted(lines.where(F.col("version") >= since).collect(), key=lambda r: r.version):
+        held[line.value] = [*held.get(line.value, []), line] if line.adds else [line]
+    return [line for own in held.values() for line in own]
+
+
+@contextmanager
+def _spread(spark: SparkSession):
+    """A batch of few rows in many partitions is many small files: its tasks are not merged down to one."""
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "1KB")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def write_batch(df: DataFrame, path: str, by: str | None, whole: bool, writer) -> None:
+def write_batch(df: DataFrame, path: str, by: str | None, whole: bool, writer, adds: bool = False, name: str | None = None) -> bool:
     """Writes the rows by ``writer(df)`` into a new batch and makes it current: all of the layer if ``whole``, else only
-    the partitions that it has."""
-    spark = df.sparkSession
-    batch = f"b{uuid.uuid4().hex}"
+    the partitions that it has, in place of what they had or, if it ``adds``, beside that. A batch of a ``name`` that
+    the manifest already has is not written again; the answer tells whether it was."""
+    spark, lines = df.sparkSession, _manifest(df.sparkSession, path)
+    if name is not None and lines is not None and not lines.where(F.col("batch") == name).isEmpty():
+        return False
+    batch = name or f"b{uuid.uuid4().hex}"
     folder = f"{path}/{BATCH}={batch}"
-    writer(df).mode("error").parquet(folder)
-    lines = _manifest(spark, path)
+    with _spread(spark):
+        writer(df).mode("overwrite" if name else "error").parquet(folder)
     version = 1 if lines is None else (lines.agg(F.max("version")).first()[0] or 0) + 1
     held = spark.read.schema(df.schema).parquet(folder)
     runs = (F.col(RUN) if RUN in df.columns else F.lit(None)).cast("long")
     figures = [F.min(runs).alias("run_min"), F.max(runs).alias("run_max"), F.count(F.lit(1)).alias("rows")]
-    found = (held.groupBy(F.col(by).cast("string").alias("value")) if by else held.groupBy(F.lit(None).cast("string").alias("value"))).agg(*figures).collect()
-    if not found and whole:
+    value = (F.col(by) if by else F.lit(None)).cast("string").alias("value")
+    found = held.groupBy(value).agg(*figures).collect()
+    if not found and (whole or name):
         found = [Row(value=None, run_min=None, run_max=None, rows=0)]
     if found:
-        rows = [(version, whole, batch, by, r.value, r.run_min, r.run_max, r.rows, df.schema.json()) for r in found]
+        rows = [(version, whole, adds, batch, by, r.value, r.run_min, r.run_max, r.rows, df.schema.json()) for r in found]
         spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}.manifest")
+    return True
 
 
 def _layout(lines: list[Row]) -> T.StructType:
@@ -109,22 +131,33 @@ def read_current(spark: SparkSession, path: str, lines: list[Row], start: int |
 
 def location(spark: SparkSession, path: str) -> str:
     """The folder of a layer that is one batch, or that has no manifest."""
-    batches = {r.batch for r in current(spark, path) or []}
+    batches = {r.batch for r in current(spark, path) or [] if r.rows or r.whole}
     if len(batches) > 1:
         raise ValueError(f"{path} is spread over {len(batches)} batches; write it whole to publish its files")
     return f"{path}/{BATCH}={batches.pop()}" if batches else path
 
 
-def clean(spark: SparkSession, path: str) -> int:
-    """Deletes the batches that no partition's current line names, readers of earlier states included. Returns how many."""
-    lines = current(spark, path)
+def delete(spark: SparkSession, folders: list[str]) -> int:
+    """Deletes folders, those that are there; returns how many."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        gone += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
+def clean(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Deletes the batches that were last named by a version older than the last ``keep`` ones and are not current.
+    Returns how many. Readers of a state that old lose its files."""
+    lines = _manifest(spark, path)
     if lines is None:
         return 0
-    jvm, keep, gone = spark.sparkContext._jvm, {r.batch for r in lines}, 0
+    ages = {r.batch: r.version for r in lines.groupBy("batch").agg(F.max("version").alias("version")).collect()}
+    live = {r.batch for r in current(spark, path)}
+    newest = max(ages.values(), default=0)
+    jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{BATCH}=") and name.removeprefix(f"{BATCH}=") not in keep:
-            gone += files.delete(status.getPath(), True)
-    return gone
+    listed = [s.getPath().getName() for s in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)]
+    held = {n.removeprefix(f"{BATCH}=") for n in listed if n.startswith(f"{BATCH}=")}
+    old = [b for b in held if b not in live and ages.get(b, 0) <= newest - keep]
+    return delete(spark, [f"{path}/{BATCH}={b}" for b in old])

@@ -218,3 +218,40 @@ def test_hot_station_window_is_over_days_only(spark):
     assert got.where("DATE_LAG IS NULL").count() == 1
     assert got.where("DATE_LAG > DELIVERY_DATE").count() == 9
     assert got.count() == 20000
+
+
+def test_medians_of_a_hot_meter_of_two_million_values(spark):
+    """No task of the rounds sees more than partial counts; awkward spreads of values go on until one value is left."""
+    base = spark.range(0, 2_200_000, 1, 8)
+    u = (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) + 1) / 1_000_003
+    df = base.select(
+        F.when(F.col("id") < 2_000_000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        u.alias("even"), F.pow(F.lit(10.0), u * 600 - 300).alias("wide"), F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.when(F.col("id") % 3 == 1, 2.0).otherwise(2.0 + u / 1e9)).alias("close"),
+        F.when(F.col("id") % 4 == 0, float("inf")).when(F.col("id") % 4 == 1, float("-inf")).otherwise(u).alias("ends"),
+    )
+    want = df.groupBy("k").agg(*[F.median(c).alias(f"m_{c}") for c in ("even", "wide", "close", "ends")])
+    got = exact_medians(df, ["k"], {c: f"m_{c}" for c in ("even", "wide", "close", "ends")})
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_bracket_beside_the_median_is_mended(spark, monkeypatch):
+    """Brackets too narrow, as a bad sketch would give them: the counts still find the middle."""
+    from stationcast.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "SLACK", -0.2)  # from rank 0.7 down to 0.3: an empty bracket
+    df = spark.range(1001).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 1009 / 3).alias("v"))
+    want = df.groupBy("k").agg(F.median("v").alias("m"))
+    assert rows(quantiles.exact_medians(df, ["k"], {"v": "m"})) == rows(want)
+    monkeypatch.setattr(quantiles, "SLACK", 0.0)
+    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+    assert rows(quantiles.exact_medians(df, ["k"], {"v": "m"}, buckets=4)) == rows(want)
+
+
+def test_row_numbers_come_from_partitions(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v"), F.when(F.col("id") % 10 > 0, F.col("id") % 7).alias("w")).repartition(6)
+    got = od.numbered(df, [("w", False), ("v", True)], str(tmp_path / "n"), "AT")
+    want = sorted(df.collect(), key=lambda r: (r.w is None, -(r.w or 0), r.v))
+    assert [(r.AT, r.v) for r in got.orderBy("AT").collect()] == [(i + 1, r.v) for i, r in enumerate(want)]
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert od.numbered(df.limit(0), [("v", True)], str(tmp_path / "none")).count() == 0

@@ -372,3 +372,43 @@ def test_no_reader_meets_a_missing_table(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         ly.publish(frame(9).withColumn("v", F.raise_error(F.lit("lost")).cast("int")), "moved.rows")
     assert spark.table("moved.rows").count() == 4
+
+
+def test_an_append_of_new_keys_reads_no_gold_file(spark, tmp_path):
+    """With the table's files spoiled, new keys can be appended, known ones cannot; without, the result is exact."""
+    kind = "keywords string, source string, site string, v int"
+    batch = lambda *rows: spark.createDataFrame(list(rows), kind)
+    path, keys = str(tmp_path / "gold"), ["keywords", "source"]
+    ly.append_new(batch(*[(f"k{i}", "s", f"0{i % 3}", 1) for i in range(300)], (None, "s", None, 1)), path, keys, "site")
+    held = {f: f.read_bytes() for f in (tmp_path / "gold").rglob("*.parquet")}
+    for f in held:
+        f.write_bytes(b"spoiled" * (len(held[f]) // 7 + 1))
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    try:
+        ly.append_new(batch(*[(f"new{i}", "s", "01", 2) for i in range(50)]).coalesce(1), path, keys, "site")
+        with pytest.raises(Exception):  # noqa: B017
+            ly.append_new(batch((" k7 ", "s", "09", 3)), path, keys, "site")
+    finally:
+        for f, data in held.items():
+            f.write_bytes(data)
+    ly.append_new(batch((" k7 ", "s", "09", 3), ("k8", "other", "01", 3), (None, " s", "01", 3), ("new3", "s", "05", 3)), path, keys, "site")
+    got = rows(ly.read_layer(spark, path).select("keywords", "source", "v"))
+    assert len(got) == 352 and ("k8", "other", 3) in got and sum(v == 3 for *_, v in got) == 1
+    # the same for a catalog table
+    spark.sql("DROP TABLE IF EXISTS default.keyed")
+    for rows_ in ([("a", "s", "x", 1), ("b", "s", "x", 1)], [("b ", "s", "x", 2), ("c", "s", "x", 2)], [(None, "s", "x", 3)], [(None, "s", "x", 4)]):
+        ly.publish(batch(*rows_), "default.keyed", "append", keys)
+    assert sorted((str(r.keywords), r.v) for r in spark.table("default.keyed").collect()) == [("None", 3), ("a", 1), ("b", 1), ("c", 2)]
+
+
+def test_filters_of_many_keys_miss_none(spark, tmp_path):
+    from stationcast.sources import keyfilter
+
+    df = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 4).cast("string").alias("p"))
+    for half in ("p < '2'", "p >= '2'"):
+        keyfilter.add_keys(df.where(half), str(tmp_path / "t"), ["k"], "p")
+    for i in (0, 7, 19999):
+        assert str(i % 4) in keyfilter.candidate_parts(df.where(f"k = 'k{i}'"), str(tmp_path / "t"), ["k"])
+    strangers = spark.range(2000).select(F.concat(F.lit("x"), "id").alias("k"))
+    wrong = sum(bool(keyfilter.candidate_parts(strangers.where(f"k = 'x{i}'"), str(tmp_path / "t"), ["k"])) for i in range(10))
+    assert wrong <= 1

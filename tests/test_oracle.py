@@ -1,20 +1,12 @@
 """Every registered query against its SQL at the smallest scale."""
 
-import os
-
 import pytest
 
-from checks import demand, feeds_and_shape, layers_and_streams, replays, text_and_forecast  # noqa: F401
+from checks import demand, feeds_and_shape, layers_and_streams, replays, rows_of_plans, text_and_forecast  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 from tools.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-#: About a minute each, since they write thousands of daily partitions to a local disk. One of the kind always runs;
-#: the others with ALL_QUERIES=1, and in tools/compare.py. tests/test_ingest.py covers their loads on small trees.
-SLOW = {
-    "feed_codo_stock", "feed_codo_meter", "feed_sap_loading", "feed_dodo_orders", "strm_incremental_landing", "pipe_codo_gold",
-    "pipe_sap_dodo_gold",
-}
 
 
 @pytest.fixture(scope="module")
@@ -24,14 +16,24 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    if name in SLOW and not os.environ.get("ALL_QUERIES"):
-        pytest.skip("slow; set ALL_QUERIES=1")
     note = compare(spark, con, QUERIES[name], ORACLES[name], SF)
     assert note.startswith("ok") and "types" not in note, note
 
 
+#: Fits, which SQL cannot express; tests/test_forecast.py holds them against a second fit in plain numpy.
+FITS = {"fct_fit_predict", "fct_holdout", *(f"flow_forecast_{n}" for n in ("orders", "delays", "sales", "quantity", "next_delivery"))}
+
+
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | FITS
+
+
+@pytest.mark.parametrize("name", ["fct_holdout", "fct_fit_predict", "flow_forecast_orders"])
+def test_fits_over_the_given_series(spark, name):
+    rows = QUERIES[name](spark, SF).collect()
+    assert rows
+    if name == "fct_holdout":
+        assert all(0 <= r.covered <= r.days <= 7 and r.width > 0 for r in rows)
 
 
 def test_entry_registers_everything():

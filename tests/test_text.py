@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -20,6 +23,52 @@ def test_polarity(spark, text, want):
     assert one(spark, text, tx.polarity("t")) == want
 
 
+def _scored(text, lexicon):
+    """Polarity by the contract, one word after another."""
+    from stationcast.functions.lexicon import BOOSTERS, NEGATION_FACTOR, NEGATIONS
+
+    tokens, scores = re.split("[^a-z]+", text.lower()), []
+    for i, w in enumerate(tokens):
+        if w in lexicon:
+            before = tokens[i - 1] if i else None
+            gain = BOOSTERS.get(before)
+            if gain is not None:
+                before = tokens[i - 2] if i > 1 else None
+            raw = lexicon[w] * (1.0 if gain is None else gain) * (NEGATION_FACTOR if before in NEGATIONS else 1.0)
+            scores.append(round(max(-1.0, min(1.0, raw)) * 1000 + 1e-9))
+    return sum(scores) / (len(scores) * 1000) if scores else 0.0
+
+
+def _lexicon(n):
+    letters = "abcdefghij"
+    return {"w" + "".join(letters[int(d)] for d in str(i)): round((i * 37 % 21 - 10) / 10, 1) for i in range(n)}
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 50, 5000])
+def test_polarity_of_any_lexicon(spark, n):
+    lexicon, rng = _lexicon(n), random.Random(n)
+    words = [*list(lexicon)[:200], "not", "very", "plain", "never", "so", ""]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(12))) for _ in range(150)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.polarity("t", lexicon).alias("p"))
+    for r in df.collect():
+        assert abs(r.p - _scored(r.t, lexicon)) <= 0.0501, r.t
+
+
+def test_lookup_time_does_not_grow_with_the_lexicon(spark):
+    import time
+
+    words = list(_lexicon(50))
+    df = spark.range(0, 40000, 1, 4).select(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(F.hash("id", i), F.lit(50)) + 1).cast("int"))), " ").alias("t")).cache()
+    df.count()
+    took = {}
+    for n in (50, 5000) * 3:
+        began = time.time()
+        df.select(tx.polarity("t", _lexicon(n)).alias("p")).write.format("noop").mode("overwrite").save()
+        took.setdefault(n, []).append(time.time() - began)
+    df.unpersist()
+    assert min(took[5000]) < 3 * min(took[50]) + 1
+
+
 def test_links_are_removed_before_letters(spark):
     text = "Fuel queue https://t.co/AbCdE and http://x.example/path today"
     assert one(spark, text, tx.clean_tweet("t")) == "fuel queue today"
