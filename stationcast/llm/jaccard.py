@@ -7,7 +7,8 @@
 3. Groups that share enough shingles of their prefixes, sizes allowing, are candidates. Where few groups share a
    shingle, their pairs are counted; where many do, all of them are tied to the smallest, without pairs.
 4. The candidates' connected components are families: no link leaves one. A family is expanded to its classes, dealt
-   into blocks of bounded size, and each pair of blocks is verified exactly in one task that holds the two.
+   into blocks of bounded size, and each pair of blocks is verified exactly in one task that holds the two. In a family of
+   many blocks these are of like sizes, and pairs of blocks whose sizes rule out a link are left out.
 5. A task returns, for each class, the class it hangs together with and the number of its links, never pairs.
 
 So each text counts once however many copies it has, hot shingles and hot families cost no more rows than members (times
@@ -21,11 +22,12 @@ component of documents that have no id at all is null; an empty table gives no r
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.components import components
@@ -251,6 +253,31 @@ def _verify(percent: int):
     return run
 
 
+def _blocks(members: str, shingles: str) -> Column:
+    return F.greatest(F.ceil(F.col(members) / BLOCK_CLASSES), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("long")
+
+
+def blocked(classes: DataFrame, percent: int) -> DataFrame:
+    """The classes of families of two or more, each with its block and the blocks that it is to meet.
+
+    A family of more than one block is cut by set size first: two sets can only be similar if the larger is at most
+    100 / percent times the smaller, so with classes of sizes that grow by this factor, a block meets those of its own
+    class and of the two beside it. Within a class of sizes blocks are dealt by hash."""
+    count = (F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+    whole = classes.groupBy("family").agg(*count).filter("m > 1").select("family", _blocks("m", "s").alias("whole"))
+    # a little more than the factor, so that rounding never puts two similar sets two classes apart
+    size = F.col("n") if percent >= 100 else F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * 1.000001))
+    rows = classes.join(whole, "family").withColumn("sizes", F.when(F.col("whole") == 1, 0).otherwise(size).cast("long")).drop("whole")
+    parts = rows.groupBy("family", "sizes").agg(*count).select("family", "sizes", _blocks("m", "s").alias("blocks"))
+    # a few hundred classes of sizes at most, whatever the family
+    rows = rows.join(parts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("sizes", "blocks"))).alias("by")), "family")
+    name = lambda sizes, block: F.shiftleft(sizes, 32).bitwiseOR(block)
+    near = F.filter(F.array(F.col("sizes") - 1, F.col("sizes"), F.col("sizes") + 1), lambda c: F.map_contains_key("by", c))
+    others = F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("by", c) - 1), lambda b: name(c, b))))
+    own = name(F.col("sizes"), F.pmod(F.xxhash64("cid"), F.element_at("by", F.col("sizes"))))
+    return rows.withColumns({"block": own, "others": others}).drop("by", "sizes")
+
+
 def similarity_join(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, `carry`, n_shingles, component_id (smallest document id reachable by links), n_links (similar documents,
     copies included), component (a number for each component, null without words)."""
@@ -266,13 +293,9 @@ def similarity_join(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, perc
     classes = classes.withColumn("family", F.coalesce("family", "gid")).withColumn("cid", F.monotonically_increasing_id())
     classes = written(classes.drop("group", "gid"), "jaccard-classes")
 
-    sizes = classes.filter("family IS NOT NULL").groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).filter("m > 1")
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("long")
-    members = classes.join(sizes.select("family", blocks.alias("blocks")), "family")
-    members = written(members.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks"))), "jaccard-members")
+    members = written(blocked(classes.filter("family IS NOT NULL"), percent), "jaccard-members")
     sets = written(_sets_of(docs, members, k), "jaccard-sets")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = members.select("digest", "cid", "copies", "family", "block", other.alias("other")).select(
+    dealt = members.select("digest", "cid", "copies", "family", "block", F.explode("others").alias("other")).select(
         "digest", "family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cid", "copies"
     ).join(sets, "digest").drop("digest")
     dealt = dealt.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi")

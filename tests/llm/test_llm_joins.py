@@ -90,6 +90,29 @@ def test_similarity_join_matches_brute_force(spark, monkeypatch, k, percent):
     assert jaccard.similarity_join(empty(spark)).count() == 0
 
 
+def test_blocks_of_far_sizes_do_not_meet(spark, monkeypatch):
+    """A family tied by one common line: texts of ten to two thousand shingles."""
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 40)
+    rng = random.Random(6)
+    sizes = [rng.randrange(10, 2000) for _ in range(1500)] + [100, 111, 112, 90, 80, 125]
+    rows = [(i, 7, n) for i, n in enumerate(sizes)] + [(9001, 8, 5), (9002, 8, 5000), (9003, 9, 5)]
+    for percent in (90, 80, 50, 100):
+        got = jaccard.blocked(spark.createDataFrame(rows, "cid long, family long, n long"), percent).collect()
+        family = {r.cid: r for r in got if r.family == 7}
+        assert len(family) == len(sizes) and {r.cid for r in got if r.family == 8} == {9001, 9002} and all(r.family != 9 for r in got)
+        assert len({r.block for r in got if r.family == 8}) == 1
+        held = {}
+        for r in family.values():
+            held.setdefault(r.block, []).append(r.n)
+        pairs = {(min(r.block, o), max(r.block, o)) for r in family.values() for o in r.others if o in held}
+        verified = sum(len(held[a]) * len(held[b]) if a != b else len(held[a]) * (len(held[a]) - 1) // 2 for a, b in pairs)
+        every = list(family.values())
+        for a, b in zip(every * 3, [every[rng.randrange(len(every))] for _ in range(3 * len(every))]):
+            if 100 * min(a.n, b.n) >= percent * max(a.n, b.n):
+                assert b.block in a.others and a.block in b.others
+        assert verified < {100: 0.01, 90: 0.25, 80: 0.45, 50: 0.95}[percent] * len(sizes) ** 2 / 2
+
+
 def test_linked_counts_every_pair():
     rng = np.random.default_rng(2)
     base = np.unique(rng.integers(0, 2**60, 300, dtype=np.uint64))
