@@ -1,11 +1,13 @@
 """Quality rules whose cut-offs follow each language and source.
 
 Every whole text is measured once in its row. Fixed base rules reject what is no prose anywhere (too few words, or
-mostly repeated three-word windows). For the rest, mergeable KLL quantile sketches of five ratios are built per
-(language, source); a ratio passes if it lies within [q25 - reach * spread, q75 + reach * spread], where the
+mostly repeated three-word windows). For the rest, mergeable quantile sketches of five ratios are built per
+(language, source): counts of the ratio's value in steps of 1 / `STEPS`, the same whatever the order and the tasks, that merge
+by adding. A ratio passes if it lies within [q25 - reach * spread, q75 + reach * spread], where the
 spread is the quartile distance, at least the documented `least` of that ratio. A group with fewer than `few`
 documents takes the merged sketch of its language, and that of all documents where the language has too few as
-well. The cut-offs are a table with one row per group, joined to the documents.
+well. The cut-offs are a table with one row per group, joined to the documents. Quartiles are exact to half a step;
+values of `TOP` and more count as one.
 
 Defined results: a null or empty text has no words and fails the base rules; null language or source is a value of
 its own; equal texts of a group get equal verdicts; a ratio equal to a cut-off passes; an empty table gives no rows.
@@ -17,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.support import map_arrow, written
@@ -32,8 +34,8 @@ RATIOS = {
 }
 REACH = 3.0
 FEW = 100
-#: Accuracy of the sketches: a group of up to this many documents is exact.
-SKETCH_K = 4096
+#: Steps of the sketches for a ratio of one, and the ratio at which they end: a sketch has at most their product of counts.
+STEPS, TOP = 1024, 1024
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 
@@ -100,28 +102,26 @@ def base_failed(prefix: str = "") -> Column:
     return (words < few) | (100 * repeats > MAX_REPEAT_PERCENT * words)
 
 
-def cut_offs(rows: DataFrame, prefix: str = "", few: int = FEW, reach: float = REACH, k: int = SKETCH_K) -> DataFrame:
+def cut_offs(rows: DataFrame, prefix: str = "", few: int = FEW, reach: float = REACH) -> DataFrame:
     """lang, source and an array of (low, high) per ratio, from the measured rows that pass the base rules."""
-    good = rows.filter(~base_failed(prefix)).select("lang", "source", *[v.alias(n) for n, v in ratios(prefix).items()])
-    count = F.count(F.lit(1)).alias("n")
-    sketches = lambda merge: [merge(n).alias(n) for n in RATIOS]
-    groups = written(good.groupBy("lang", "source").agg(count, *sketches(lambda n: F.kll_sketch_agg_double(n, k))), "quality-sketches")
-    merged = sketches(F.kll_merge_agg_double)
-    langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
-    whole = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *merged)
-
-    def fences(frame: DataFrame, name: str) -> DataFrame:
-        # a sketch without rows has no quantiles, and then there are no rows to judge either
-        def fence(ratio: str) -> Column:
-            q = F.kll_sketch_get_quantile_double(F.col(ratio), F.array(F.lit(0.25), F.lit(0.75)))
-            least, side = RATIOS[ratio]
-            wide = F.greatest(q[1] - q[0], F.lit(least)) * reach
-            low = q[0] - wide if side == "both" else F.lit(float("-inf"))
-            return F.struct(low.alias("low"), (q[1] + wide).alias("high"))
-
-        return frame.filter("n > 0").withColumn(name, F.array(*[fence(r) for r in RATIOS])).withColumnRenamed("n", f"n_{name}").drop(*RATIOS)
-
-    own, by_lang, by_all = fences(groups, "own"), fences(langs, "by_lang"), fences(whole, "by_all")
+    good = rows.filter(~base_failed(prefix)).select("lang", "source", F.posexplode(F.array(*ratios(prefix).values())).alias("k", "v"))
+    step = F.least(F.floor(F.col("v") * STEPS), F.lit(STEPS * TOP)).cast("long").alias("step")
+    sketches = written(good.groupBy("lang", "source", "k", step).agg(F.count(F.lit(1)).alias("n")), "quality-sketches")
+    least = F.array(*[F.lit(x) for x, _ in RATIOS.values()])
+    both = F.array(*[F.lit(side == "both") for _, side in RATIOS.values()])
+
+    def fences(group: list[str], name: str) -> DataFrame:
+        merged = sketches.groupBy(*group, "k", "step").agg(F.sum("n").alias("n"))
+        own = Window.partitionBy(*group, "k")
+        merged = merged.withColumns({"upto": F.sum("n").over(own.orderBy("step")), "total": F.sum("n").over(own)})
+        middle = lambda part: (F.min(F.when(4 * F.col("upto") >= part * F.col("total"), F.col("step"))) + 0.5) / STEPS
+        q = merged.groupBy(*group, "k").agg(middle(1).alias("q1"), middle(3).alias("q3"), F.first("total").alias("total"))
+        wide = F.greatest(F.col("q3") - F.col("q1"), F.get(least, F.col("k"))) * reach
+        low = F.when(F.get(both, F.col("k")), F.col("q1") - wide).otherwise(float("-inf"))
+        line = F.struct("k", low.alias("low"), (F.col("q3") + wide).alias("high"))
+        return q.groupBy(*group).agg(F.max("total").alias(f"n_{name}"), F.array_sort(F.collect_list(line)).alias(name))
+
+    own, by_lang, by_all = fences(["lang", "source"], "own"), fences(["lang"], "by_lang"), fences([], "by_all")
     by_lang = by_lang.withColumnRenamed("lang", "_lang")
     # every (language, source) of the rows gets a line, also one whose rows all fail the base rules
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang"))).withColumn("_one", F.lit(1)).join(by_all.withColumn("_one", F.lit(1)), "_one")

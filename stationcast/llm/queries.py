@@ -153,8 +153,11 @@ r AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words
   coalesce(n_symbols::DOUBLE / nullif(n_words, 0), 0) AS r1, coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0) AS r2, coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0) AS r3,
   coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0) AS r4, coalesce(n_upper::DOUBLE / nullif(word_chars, 0), 0) AS r5 FROM m),
 long AS (SELECT lang, source, unnest([1, 2, 3, 4, 5]) AS k, unnest([r1, r2, r3, r4, r5]) AS v FROM r WHERE NOT base_failed),
-q AS (SELECT k, lang, source, grouping(lang) AS gl, grouping(source) AS gs, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
-  FROM long GROUP BY GROUPING SETS ((k, lang, source), (k, lang), (k))),
+steps AS (SELECT k, lang, source, grouping(lang) AS gl, grouping(source) AS gs, least(floor(v * 1024), 1048576) AS step, count(*) AS c
+  FROM long GROUP BY GROUPING SETS ((k, lang, source, step), (k, lang, step), (k, step))),
+upto AS (SELECT *, sum(c) OVER (PARTITION BY k, lang, source, gl, gs ORDER BY step) AS upto, sum(c) OVER (PARTITION BY k, lang, source, gl, gs) AS n FROM steps),
+q AS (SELECT k, lang, source, gl, gs, n, (min(step) FILTER (4 * upto >= n) + 0.5::DOUBLE) / 1024 AS q1, (min(step) FILTER (4 * upto >= 3 * n) + 0.5::DOUBLE) / 1024 AS q3
+  FROM upto GROUP BY k, lang, source, gl, gs, n),
 f AS (SELECT k, lang, source, gl, gs, n, q1, q3, greatest(q3 - q1, [0.05::DOUBLE, 0.5, 0.2, 0.15, 0.05][k]) * 3 AS wide FROM q),
 cut AS (SELECT own.k, own.lang, own.source, CASE WHEN own.n >= 100 THEN own.q1 - own.wide WHEN l.n >= 100 THEN l.q1 - l.wide ELSE a.q1 - a.wide END AS low,
   CASE WHEN own.n >= 100 THEN own.q3 + own.wide WHEN l.n >= 100 THEN l.q3 + l.wide ELSE a.q3 + a.wide END AS high

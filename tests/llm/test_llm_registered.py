@@ -55,6 +55,16 @@ def test_toxicity_of_all_documents(spark):
     assert sum(p == y for p, y in held) / len(held) > 0.9 and not [1 for p, y in held if p and not y]
 
 
+def test_toxicity_finds_held_out_rows(spark):
+    """Recall on rows that were not learnt from, where there are enough to learn from."""
+    sf = "/root/testdata/sf0.1"
+    got = queries.QUERIES["op6_toxic_passages"](spark, sf).select("doc_id", "held_out", "predicted").collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
+    found, toxic = sum(p for p, y in held if y), sum(y for _, y in held)
+    assert toxic > 50 and found / toxic >= 0.9 and sum(p for p, y in held if not y) <= len(held) // 200
+
+
 def test_main_text_of_all_pages(spark):
     import html
     import re

@@ -60,6 +60,8 @@ def test_quality_verdicts(spark):
     kept = quality.kept_documents(frame(spark, rows + lone))
     assert kept.columns == frame(spark).columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
     assert quality.judge(empty(spark)).count() == 0 and quality.kept_documents(empty(spark)).count() == 0
+    fences = [sorted(map(str, quality.cut_offs(quality.measured(frame(spark, rows + lone).repartition(n), ["lang", "source"])).collect())) for n in (1, 7)]
+    assert fences[0] == fences[1] and len(fences[0]) > 4
     odd = frame(spark, rows + lone).withColumnsRenamed({"key": "_lang", "n_words": "_source", "score": "_fences"}).withColumn("_one", F.lit(1))
     assert quality.kept_documents(odd).columns == odd.columns and quality.kept_documents(odd).count() == kept.count()
     again = quality.judge(frame(spark, rows[:50] + [(1, None, None, None, 0, 0, 0.0, "k")] * 2))
