@@ -44,7 +44,7 @@ SKETCH_CHUNK = 1 << 12
 PAIRED = 32
 #: Classes, and shingles, of a block of a family.
 BLOCK_CLASSES = 1024
-BLOCK_SHINGLES = 1 << 21
+BLOCK_SHINGLES = 1 << 20
 #: Bits of the bitmap that tells which documents are fetched for verification.
 FETCH_BITS = 1 << 23
 
@@ -58,7 +58,7 @@ class _WordHashes(dict):
         import xxhash
 
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = value
         return value
