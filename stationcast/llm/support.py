@@ -33,9 +33,23 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared root."""
-    return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Deletes every folder that this driver has got from `scratch`, once the results have been written elsewhere: frames
+    that still read them end. Returns how many there were."""
+    gone, conf = 0, spark.sparkContext._jsc.hadoopConfiguration()
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:

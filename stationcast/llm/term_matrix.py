@@ -30,17 +30,18 @@ from __future__ import annotations
 import itertools
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.support import file_system, map_arrow, open_file, scratch, with_prefix_sums, written
+from stationcast.llm.tokens import PieceTable
 
 SHARD_WORDS = 1 << 22
 #: Buckets of words for each partition of the input.
@@ -65,29 +66,28 @@ class Shard:
     """Documents' terms by a dictionary of their own."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known = PieceTable()
+        self.words: list[pa.LargeStringArray] = []  # by their numbers
         self.cells: list[tuple[np.ndarray, np.ndarray]] = []
-        self.rows = self.words = 0
+        self.rows = self.uses = 0
 
     def add(self, texts: list[str], row: np.ndarray) -> None:
         """Words of texts that belong to the given rows; a row's texts may come in several calls."""
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         place = np.repeat(row, np.diff(lists.offsets.to_numpy()))
         coded = lists.flatten().dictionary_encode()
-        distinct, known = coded.dictionary.to_pylist(), self.known
-        numbers = np.fromiter(map(known.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
-        new = np.flatnonzero(numbers < 0)
-        words = [distinct[i] for i in new.tolist()]
-        if "" in words:  # beside blanks at either end the split gives empty words
-            at = words.index("")
-            new, words = np.delete(new, at), words[:at] + words[at + 1 :]
-        numbers[new] = np.arange(len(known), len(known) + len(new))
-        known.update(zip(words, range(len(known), len(known) + len(new))))
+        distinct = coded.dictionary
+        numbers = self.known.find(distinct)
+        # beside blanks at either end the split gives empty words
+        new = np.flatnonzero((numbers < 0) & (pc.binary_length(distinct).to_numpy() > 0))
+        numbers[new] = np.arange(self.known.size, self.known.size + len(new))
+        self.words.append(distinct.take(pa.array(new)))
+        self.known.add(self.words[-1])
         local = numbers[coded.indices.to_numpy()]
         here = local >= 0
         cells, counts = np.unique(place[here] << 32 | local[here], return_counts=True)
         self.cells.append((cells, counts))
-        self.words += int(here.sum())
+        self.uses += int(here.sum())
 
     def csr(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Offsets of the rows, terms and counts."""
@@ -104,9 +104,15 @@ def _csr_columns(offsets, terms, counts, kind: pa.DataType) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, t)) for x, t in ((terms, kind), (counts, pa.int32()))]
 
 
-def bucket_of(words: list[str], buckets: int) -> np.ndarray:
+def bucket_of(words: pa.LargeStringArray, buckets: int) -> np.ndarray:
     """The same on every machine."""
-    return (pd.util.hash_array(np.array(words, object), categorize=False) % np.uint64(buckets)).astype(np.int64)
+    keys, short = PieceTable.keys_of(words)
+    out = np.empty(len(words), np.uint64)
+    out[short] = keys[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ keys[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F)
+    long = np.delete(np.arange(len(words)), short)
+    out[long] = [zlib.crc32(w.encode()) for w in words.take(pa.array(long)).to_pylist()]
+    out = (out ^ out >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((out >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
 _WORDS = pa.schema({"bucket": pa.int64(), "shard": pa.string(), "words": pa.string(), "terms": pa.binary()})
@@ -123,17 +129,21 @@ def _shards(folder: str, shard_words: int, buckets: int):
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         with fs.open_output_stream(path, compression=None) as out, pa.ipc.new_file(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
             file.write_table(table, max_chunksize=4096)
-        words = list(shard.known)
-        if not words:
+        words = pa.concat_arrays(shard.words) if shard.words else pa.array([], pa.large_string())
+        if not len(words):
             yield pa.RecordBatch.from_pylist([{"bucket": 0, "shard": name, "words": "", "terms": b""}], schema=_WORDS)
             return
         of = bucket_of(words, buckets)
         order = np.argsort(of, kind="stable")
-        ordered, of, terms = np.array(words, object)[order].tolist(), of[order], order.astype(np.int32)
-        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-        rows = [{"bucket": int(of[a]), "shard": name, "words": "\n".join(ordered[a:b]), "terms": terms[a:b].tobytes()} for a, b in zip(cuts, cuts[1:])]
-        for i in range(0, len(rows), 256):
-            yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=_WORDS)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(of[order])) + 1, [len(of)]])
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts), words.take(pa.array(order))), pa.scalar("\n", pa.large_string())).cast(pa.string())
+        terms = order.astype(np.int32)
+        for i in range(0, len(joined), 256):
+            some = range(i, min(i + 256, len(joined)))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(of[order[cuts[i : i + len(some)]]]), pa.array([name] * len(some)), joined.slice(i, len(some)),
+                pa.array([terms[cuts[k] : cuts[k + 1]].tobytes() for k in some], pa.binary()),
+            ], schema=_WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, carried = Shard(), []
@@ -150,12 +160,12 @@ def _shards(folder: str, shard_words: int, buckets: int):
                         shard.add(part, np.array(rows, np.int64))
                         part, rows, size = [], [], 0
                 shard.rows += 1
-                if shard.words >= shard_words or i == batch.num_rows - 1:
+                if shard.uses >= shard_words or i == batch.num_rows - 1:
                     shard.add(part, np.array(rows, np.int64))
                     part, rows, size = [], [], 0
                     carried.append(rest.slice(begun, i + 1 - begun))
                     begun = i + 1
-                    if shard.words >= shard_words:
+                    if shard.uses >= shard_words:
                         yield from close(shard, carried)
                         shard, carried = Shard(), []
         if shard.rows:
@@ -176,9 +186,12 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = coded.indices.to_numpy().astype(np.int32)
         ends = np.cumsum(sizes)
         rows = [{"bucket": bucket, "shard": s, "terms": t, "numbers": numbers[b - n : b].tobytes()} for s, t, n, b in zip(shards, terms, sizes, ends.tolist())]
-        rows.append({"bucket": bucket, "words": coded.dictionary.to_pylist(), "n": len(coded.dictionary)})
         for i in range(0, len(rows), 256):
             yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=_NUMBERED)
+        n = len(coded.dictionary)
+        own = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), coded.dictionary.cast(pa.string()))
+        none = [pa.nulls(1, t) for t in (pa.string(), pa.binary(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([bucket]), *none, own, pa.array([n])], schema=_NUMBERED)
 
     last, held = None, ([], [], [])
     for batch in batches:

@@ -62,7 +62,7 @@ class PieceTable:
         return ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     @staticmethod
-    def _keys(pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    def keys_of(pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """The keys of pieces that are short enough, and which those are."""
         offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
         sizes = np.diff(offsets)
@@ -78,7 +78,7 @@ class PieceTable:
     def find(self, pieces: pa.LargeStringArray) -> np.ndarray:
         """The number of each piece, -1 where it is not known."""
         out = np.full(len(pieces), -1, np.int64)
-        keys, short = self._keys(pieces)
+        keys, short = self.keys_of(pieces)
         if len(short) < len(pieces):
             rest = np.delete(np.arange(len(pieces)), short)
             out[rest] = [self.long.get(p, -1) for p in pieces.take(pa.array(rest)).to_pylist()]
@@ -103,7 +103,7 @@ class PieceTable:
 
     def add(self, pieces: pa.LargeStringArray) -> None:
         """Numbers distinct pieces that are not known yet, in turn."""
-        keys, short = self._keys(pieces)
+        keys, short = self.keys_of(pieces)
         numbers = np.arange(self.size, self.size + len(pieces), dtype=np.int32)
         if 2 * (self.size + len(pieces)) > 1 << self.bits:
             held = self.numbers >= 0

@@ -78,3 +78,15 @@ def test_audit_against_all_orders_applied_in_turn(spark):
 def test_audit_of_nothing(spark):
     assert M.audit(empty(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
     assert M.build(empty(spark)).rows.count() == M.build(empty(spark)).words.count() == 0
+
+
+def test_clean_up_deletes_what_a_run_has_made(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from stationcast.llm import support
+
+    monkeypatch.setattr(support, "_MADE", [])
+    counts = M.row_totals(M.build(frame(spark, awkward()))).select("n_words").toPandas()
+    made = [Path(p.removeprefix("file://").removeprefix("file:")) for p in support._MADE]
+    assert len(made) == 4 and all(p.exists() for p in made) and len(counts)
+    assert support.clean_up(spark) == 4 and not any(p.exists() for p in made) and support.clean_up(spark) == 0
