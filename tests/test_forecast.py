@@ -239,3 +239,23 @@ print("ROWS", forecast(points).count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "ROWS 27" in done.stdout, done.stderr[-2000:]
+
+
+def test_short_series_share_a_batch_and_a_long_one_spans_several():
+    """One Arrow batch in and out holds many stations; a station cut by a batch is fitted whole, a failed one is a row."""
+    import pyarrow as pa
+
+    series = [(f"S{k:03}", D0 + timedelta(days=i), float(3 * i + k), 1.0) for k in range(50) for i in range(1 if k == 7 else 6)]
+    columns = [pa.array(x, t) for x, t in zip(zip(*series), (pa.string(), pa.date32(), pa.float64(), pa.float64()))]
+    table = pa.RecordBatch.from_arrays(columns, names=["station", "ds", "y", "w"])
+
+    def fit(station, days, y, w):
+        return fc._fit_station(station, days, y, w, 7, 0.95, 25, 730, 0.05, 1000)
+
+    out = list(fc._fit_batches(iter([table.slice(0, 100), table.slice(100, 3), table.slice(103)]), fit, 7))
+    assert len(out) == 1
+    got = out[0].to_pylist()
+    assert len(got) == 49 * 13 + 1 and [r["station"] for r in got if r["fit_error"]] == ["S007"]
+    last = {r["station"]: r for r in got}
+    assert all(abs(last[f"S{k:03}"]["yhat"] - (3 * 12 + k)) < 0.5 for k in range(50) if k != 7)
+    assert last["S049"]["y"] is None and last["S049"]["ds"] == D0 + timedelta(days=12)
