@@ -412,3 +412,18 @@ def test_filters_of_many_keys_miss_none(spark, tmp_path):
     strangers = spark.range(2000).select(F.concat(F.lit("x"), "id").alias("k"))
     wrong = sum(bool(keyfilter.candidate_parts(strangers.where(f"k = 'x{i}'"), str(tmp_path / "t"), ["k"])) for i in range(10))
     assert wrong <= 1
+
+
+def test_silver_is_written_from_bronze_files_without_a_shuffle(spark, lake, monkeypatch):
+    """The dates of the batch come from the manifest, and silver takes over bronze's partitions."""
+    truck_tree(lake)
+    write, given = ingest.write_replace, []
+    monkeypatch.setattr(ingest, "write_replace", lambda df, path, *a, **kw: (given.append((path, kw)), write(df, path, *a, **kw)))
+    ingest.codo_trucks(spark, lake, RUN, START, END)
+    bronze, silver = (path for path, _ in given)
+    assert [kw.get("dealt", False) for _, kw in given] == [False, True]
+    assert sorted(versions.newest_values(spark, bronze), key=str) == ["2023-01-05", "2023-01-08", None]
+    dates = lambda path: rows(ly.read_layer(spark, path).select("RECORD_ID", "DELIVERY_DATE"))
+    assert dates(bronze) == dates(silver) and len(dates(silver)) == 4
+    files = ly.read_layer(spark, silver).select("_metadata.file_path", F.col("DELIVERY_DATE")).distinct()
+    assert files.groupBy("file_path").count().where("count > 1").isEmpty()
