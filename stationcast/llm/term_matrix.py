@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from stationcast.llm.support import file_system, map_arrow, open_file, scratch, with_prefix_sums, written
 from stationcast.llm.tokens import PieceTable
 
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 #: Buckets of words for each partition of the input.
 BUCKETS = 4
 PIECE = 1 << 21
@@ -86,7 +86,7 @@ class Shard:
         local = numbers[coded.indices.to_numpy()]
         here = local >= 0
         cells, counts = np.unique(place[here] << 32 | local[here], return_counts=True)
-        self.cells.append((cells, counts))
+        self.cells.append((cells, counts.astype(np.int32)))
         self.uses += int(here.sum())
 
     def csr(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,6 +130,9 @@ def _shards(folder: str, shard_words: int, buckets: int):
         with fs.open_output_stream(path, compression=None) as out, pa.ipc.new_file(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
             file.write_table(table, max_chunksize=4096)
         words = pa.concat_arrays(shard.words) if shard.words else pa.array([], pa.large_string())
+        shard.known, shard.words, shard.cells = None, [], []  # the file has them
+        del table
+        pa.default_memory_pool().release_unused()
         if not len(words):
             yield pa.RecordBatch.from_pylist([{"bucket": 0, "shard": name, "words": "", "terms": b""}], schema=_WORDS)
             return
@@ -166,10 +169,14 @@ def _shards(folder: str, shard_words: int, buckets: int):
                     carried.append(rest.slice(begun, i + 1 - begun))
                     begun = i + 1
                     if shard.uses >= shard_words:
-                        yield from close(shard, carried)
-                        shard, carried = Shard(), []
+                        done, shard, kept, carried = shard, Shard(), carried, []
+                        yield from close(done, kept)
+                        del done, kept
+                        pa.default_memory_pool().release_unused()
         if shard.rows:
             yield from close(shard, carried)
+        del shard, carried
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     return run
 
@@ -204,6 +211,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 column.append(value)
     if last is not None:
         yield from close(last, *held)
+    pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
 
 def _renamed(folder: str, names: list[str]):

@@ -90,3 +90,23 @@ def test_clean_up_deletes_what_a_run_has_made(spark, tmp_path, monkeypatch):
     made = [Path(p.removeprefix("file://").removeprefix("file:")) for p in support._MADE]
     assert len(made) == 4 and all(p.exists() for p in made) and len(counts)
     assert support.clean_up(spark) == 4 and not any(p.exists() for p in made) and support.clean_up(spark) == 0
+
+
+def test_a_closed_shard_lets_go_of_its_words(monkeypatch, tmp_path):
+    """While the words of a shard go out, its dictionary and cells are not held any more."""
+    import pyarrow as pa
+
+    made = []
+
+    class Watched(M.Shard):
+        def __init__(self):
+            super().__init__()
+            made.append(self)
+
+    monkeypatch.setattr(M, "Shard", Watched)
+    docs = pa.RecordBatch.from_pydict({"c0": list(range(40)), "text": [f"a{i} b{i % 7} c a{i}" for i in range(40)]})
+    out = M._shards(str(tmp_path), 50, 4)(iter([docs]))
+    for k, _ in enumerate(out):
+        held = [s for s in made if s.known is not None or s.cells or s.words]
+        assert len(held) <= 1  # the one that is being filled
+    assert len(made) > 2 and k >= len(made) - 1 and not any(s.words for s in made)
