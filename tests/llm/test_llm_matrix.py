@@ -104,6 +104,7 @@ def test_a_closed_shard_lets_go_of_its_words(monkeypatch, tmp_path):
             made.append(self)
 
     monkeypatch.setattr(M, "Shard", Watched)
+    monkeypatch.setattr(M, "PIECE", 20)
     docs = pa.RecordBatch.from_pydict({"c0": list(range(40)), "text": [f"a{i} b{i % 7} c a{i}" for i in range(40)]})
     out = M._shards(str(tmp_path), 50, 4)(iter([docs]))
     for k, _ in enumerate(out):
