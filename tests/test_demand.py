@@ -255,3 +255,30 @@ def test_row_numbers_come_from_partitions(spark, tmp_path):
     assert [(r.AT, r.v) for r in got.orderBy("AT").collect()] == [(i + 1, r.v) for i, r in enumerate(want)]
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
     assert od.numbered(df.limit(0), [("v", True)], str(tmp_path / "none")).count() == 0
+
+
+def _stages(df):
+    """Shuffles of the plan that ran, each counted once."""
+    import re
+
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(set(re.findall(r"ShuffleQueryStage (\d+)", plan.split("== Initial Plan ==")[0])))
+
+
+def test_outer_on_deals_each_side_once_as_a_set_of_rows(spark):
+    """Copies, rows without a key and keys of one side only: one wide shuffle of a side removes copies and matches keys."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = spark.createDataFrame([(" 1 ", 1), (" 1 ", 1), ("1", 2), (None, 3), (None, 3), (None, 4), ("5", 5)], "p string, x int")
+        b = spark.createDataFrame([("1", 7), ("1", 7), ("1", 8), (None, 3), ("6", 6), ("6", 6)], "q string, y int")
+        native = a.distinct().join(b.distinct(), F.trim("p") == F.trim("q"), "outer")
+        for heavy in (jn.HEAVY_ROWS, 0):  # no key joined apart, and every key
+            got = jn.outer_on(a, b, F.trim("p"), F.trim("q"), distinct=True, heavy_rows=heavy)
+            assert rows(got) == rows(native)
+        # of each side: its counts per bucket, their total, the buckets of both, and the rows themselves
+        assert _stages(jn.outer_on(a, b, F.trim("p"), F.trim("q"), distinct=True)) <= 7
+    finally:
+        for k, x in old.items():
+            spark.conf.set(k, x)
