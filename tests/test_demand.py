@@ -282,3 +282,20 @@ def test_outer_on_deals_each_side_once_as_a_set_of_rows(spark):
     finally:
         for k, x in old.items():
             spark.conf.set(k, x)
+
+
+def test_outer_left_equals_native(spark):
+    a = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("a", None, 3), (None, None, 4), ("b", "y", 5)], "k string, m string, v int")
+    b = spark.createDataFrame([("a", "x", 10), ("a", "x", 10), ("a", None, 30), (None, None, 40), ("c", "z", 60)], "k string, m string, w int")
+    got = jn.outer_left(a, b, ["k", "m"])
+    assert got.columns == ["k", "m", "v", "w"]
+    assert rows(got) == rows(a.join(b, ["k", "m"], "outer"))
+
+
+def test_scarcity_with_orders_reads_the_meters_once(spark):
+    """No second pass over the sales to look for heavy keys; the rows of a native full outer join."""
+    orders = spark.createDataFrame([("s", "m", 1), ("s", "m", 2), (None, "m", 3)], "STATION string, MATERIAL string, COUNT_OF_NEW_ORDERS int")
+    sc = spark.createDataFrame([("s", "m", 7.0), ("t", "m", 8.0)], "STATION string, MATERIAL string, SOLD double")
+    got = codo.scarcity_with_orders(sc, orders)
+    assert rows(got) == rows(orders.join(sc, ["STATION", "MATERIAL"], "outer"))
+    assert "approx_top_k" not in got._jdf.queryExecution().optimizedPlan().toString()
