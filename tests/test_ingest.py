@@ -427,3 +427,28 @@ def test_silver_is_written_from_bronze_files_without_a_shuffle(spark, lake, monk
     assert dates(bronze) == dates(silver) and len(dates(silver)) == 4
     files = ly.read_layer(spark, silver).select("_metadata.file_path", F.col("DELIVERY_DATE")).distinct()
     assert files.groupBy("file_path").count().where("count > 1").isEmpty()
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """What is asked of a batch, whether it is empty, which keys are new, is asked of its rows once written."""
+    spark.sql("DROP TABLE IF EXISTS default.counted")
+    for add in (lambda df: ly.append_new(df, str(tmp_path / "gold"), ["k"]), lambda df: ly.publish(df, "default.counted", "append", ["k"])):
+        for _ in range(2):  # the second batch adds nothing
+            seen = spark.sparkContext.accumulator(0)
+
+            def counted(x, seen=seen):
+                seen.add(1)
+                return f"k{x}"
+
+            add(spark.range(0, 20, 1, 2).select(F.udf(counted, "string")("id").alias("k"), F.col("id").alias("v")))
+            assert seen.value == 20
+    assert spark.table("default.counted").count() == 20
+    assert spark.read.parquet(str(tmp_path / "gold")).count() == 20
+
+
+def test_anti_trim_tells_keys_apart(spark):
+    from stationcast.operators.joins import anti_trim
+
+    new = spark.createDataFrame([("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("1:a", "x"), (" a ", "c"), ("a", None)], "p string, q string")
+    gold = spark.createDataFrame([(" a", "b "), ("", "ab"), ("a", "c"), (None, "z")], "p string, q string")
+    assert rows(anti_trim(new, gold, ["p", "q"])) == rows(spark.createDataFrame([("ab", ""), (None, "ab"), ("1:a", "x"), ("a", None)], "p string, q string"))
