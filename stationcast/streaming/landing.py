@@ -19,10 +19,10 @@ def stream_landing(
 ) -> None:
     """Hand only the landing files not seen before to the sink. A batch whose sink died is handed over
     again, so a sink must be repeatable: ``append_batches`` is, and so is ``layers.write_replace``. A header that differs
-    from the contract is an error."""
+    from the contract is an error. Files may be compressed, as for the daily loads."""
     source = (
         spark.readStream.schema(feed.schema).option("header", True).option("enforceSchema", False)
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(directory)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv{,.gz,.bz2,.deflate,.zst,.lz4,.snappy}").csv(directory)
     )
     query = (
         with_lineage(source).writeStream.foreachBatch(sink)

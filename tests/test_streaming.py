@@ -32,6 +32,21 @@ def test_landing_picks_up_new_files_once(spark, tmp_path):
     assert seen == [1, 1] and read_layer(spark, out).count() == 2
 
 
+def test_landing_picks_up_compressed_files(spark, tmp_path):
+    """Plain and compressed files, each once; files of other kinds are left alone."""
+    f, root, out = sc.CODO_TRUCKS, tmp_path / "landing", str(tmp_path / "bronze")
+    line = "{0},A,PMS,1,OK,2023-01-05,05/01/2023 7:05"
+    put(root / "20230105" / f.file, f.headers, [line.format(1)])
+    put(root / "20230105" / "notes.txt", f.headers, [line.format(9)])
+    for i, codec in enumerate(("gzip", "bzip2"), 2):
+        text = spark.createDataFrame([tuple(line.format(i).split(","))], [f"c{n}" for n in range(len(f.headers))]).toDF(*f.headers)
+        text.write.options(header=True, compression=codec).csv(str(root / f"2023010{i}"))
+    add = append_batches(out, "trucks", lambda df: ingest.to_bronze(df, f, RUN), f.date_column)
+    for _ in range(2):
+        stream_landing(spark, f, str(root), str(tmp_path / "ckpt"), add)
+    assert sorted(r[0] for r in read_layer(spark, out).select("RECORD_ID").collect()) == ["1", "2", "3"]
+
+
 def _drain(df, name, mode):
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
