@@ -8,11 +8,12 @@
    shingle, their pairs are counted; where many do, all of them are tied to the smallest, without pairs.
 4. The candidates' connected components are families: no link leaves one. A family is expanded to its classes, dealt
    into blocks of bounded size, and each pair of blocks is verified exactly in one task that holds the two. In a family of
-   many blocks these are of like sizes, and pairs of blocks whose sizes rule out a link are left out.
-5. A task returns, for each class, the class it hangs together with and the number of its links, never pairs.
+   many blocks these are of like sizes, and pairs of blocks whose sizes rule out a link are left out. Such blocks are files
+   that their tasks read, so a set is shuffled and stored once, however many blocks its own meets.
+5. A task returns, for each class with a link, the class it hangs together with and the number of its links, never pairs.
 
-So each text counts once however many copies it has, hot shingles and hot families cost no more rows than members (times
-the blocks of a family), and no link between two different texts is lost.
+So each text counts once however many copies it has, hot shingles and hot families cost no more rows than members, and
+no link between two different texts is lost.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing; a text of
 fewer than k words is one shingle; rows with equal document id are separate documents that share the id; the
@@ -23,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +34,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.components import components
-from stationcast.llm.support import WORD, map_arrow, per_process, session, written
+from stationcast.llm.support import WORD, file_system, map_arrow, open_file, per_process, scratch, session, written
 
 SHINGLE_WORDS = 3
 PERCENT = 90
 #: Shingles that two similar sets must share within their prefixes.
 SHARED = 3
-#: Counters of the frequency sketch.
-SKETCH_BITS = 20
+#: Counters of the frequency sketch, the least and the most of them, and the shingles to a counter up to which they are doubled.
+SKETCH_BITS, MOST_SKETCH_BITS = 20, 24
+COUNTER_SHINGLES = 32
 SKETCH_CHUNK = 1 << 12
+#: Bytes of a word with its blank.
+WORD_BYTES = 7
 #: Groups that may share a shingle before they are tied together instead of paired.
 PAIRED = 32
 #: Classes, and shingles, of a block of a family.
@@ -93,45 +99,62 @@ def smallest_linked(percent: int) -> int:
     return n
 
 
+def sketch_bits(docs: DataFrame) -> int:
+    """The size of the sketch follows the text: with too many shingles to a counter all counters read alike, rare shingles
+    cannot be told from common ones, and prefixes of common ones tie unlike documents to one family."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(SKETCH_BITS, math.ceil(math.log2(max(size / WORD_BYTES / COUNTER_SHINGLES, 1)))), MOST_SKETCH_BITS)
+
+
 def frequencies(docs: DataFrame, k: int) -> np.ndarray:
-    """Counts of all shingles of all documents (each once a document) in 2 ** SKETCH_BITS counters. Tasks add up their own
-    documents; chunks of counters are added up as they stream past. What the driver gets has a fixed size."""
-    shift = np.uint64(64 - SKETCH_BITS)
+    """Counts of all shingles of all documents (each once a document) in 2 ** sketch_bits counters, up to 65535. Tasks add up
+    their own documents; chunks of counters are added up as they stream past. What the driver gets has a bounded size."""
+    bits, most = sketch_bits(docs), np.iinfo(np.uint16).max
+    shift, chunk_size = np.uint64(64 - bits), SKETCH_CHUNK
+
+    def packed(chunks, counters) -> pa.RecordBatch:
+        data = [zlib.compress(np.minimum(x, most).astype(np.uint16).tobytes(), 1) for x in counters]
+        return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(data, pa.binary())], ["chunk", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, waiting, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        counters, waiting, size = np.zeros(1 << bits, np.uint32), [], 0
+
+        def flush():
+            places, times = np.unique(np.concatenate(waiting), return_counts=True)
+            counters[places] += times.astype(np.uint32)
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                waiting.append((shingles(text, k) >> shift).astype(np.int64))
+                waiting.append((shingles(text, k) >> shift).astype(np.int32))
                 size += len(waiting[-1])
                 if size > 1 << 20:
-                    counters += np.bincount(np.concatenate(waiting), minlength=len(counters))
+                    flush()
                     waiting, size = [], 0
         if waiting:
-            counters += np.bincount(np.concatenate(waiting), minlength=len(counters))
-        chunks = counters.reshape(-1, SKETCH_CHUNK)
+            flush()
+        chunks = counters.reshape(-1, chunk_size)
         used = np.flatnonzero(chunks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], ["chunk", "counts"])
+        yield packed(used, (chunks[i] for i in used))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = np.frombuffer(counts, np.int64)
+                counts = np.frombuffer(zlib.decompress(counts), np.uint16).astype(np.uint32)
                 sums[chunk] = sums[chunk] + counts if chunk in sums else counts
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["chunk", "counts"])
+        yield packed(list(sums), sums.values())
 
     schema = "chunk long, counts binary"
-    total = np.zeros((1 << SKETCH_BITS) // SKETCH_CHUNK * SKETCH_CHUNK, np.int64).reshape(-1, SKETCH_CHUNK)
+    total = np.zeros((1 << bits) // chunk_size * chunk_size, np.uint16).reshape(-1, chunk_size)
     for row in map_arrow(map_arrow(docs.select("text"), count, schema).repartition("chunk"), add, schema).collect():
-        total[row.chunk] = np.frombuffer(row.counts, np.int64)
-    return np.minimum(total.reshape(-1), np.iinfo(np.int32).max).astype(np.int32)
+        total[row.chunk] = np.frombuffer(zlib.decompress(row.counts), np.uint16)
+    return total.reshape(-1)
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, `carry`, n, digest (of the set), group (digest of prefix and size), prefix for each document."""
-    shared = session(docs).sparkContext.broadcast(counts)  # of fixed size
-    shift, least = np.uint64(64 - SKETCH_BITS), smallest_linked(percent)
+    shared = session(docs).sparkContext.broadcast(counts)  # of bounded size
+    shift, least = np.uint64(65 - len(counts).bit_length()), smallest_linked(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
@@ -217,40 +240,83 @@ def roots(links: np.ndarray) -> np.ndarray:
     return out
 
 
-def _verify(percent: int):
-    """Rows sorted by (family, lo, hi) to cid, root (cid), links."""
-
-    def solve(rows: list[tuple]) -> tuple[list[int], list[int], list[int]]:
-        # rows: (block, lo, hi, cid, copies, set)
-        lo, hi = rows[0][1], rows[0][2]
-        first, second = [r for r in rows if r[0] == lo], [r for r in rows if r[0] == hi] if hi != lo else None
-        links = linked([r[5] for r in first], None if second is None else [r[5] for r in second], percent)
-        if second is not None:
-            whole = np.zeros((len(first) + len(second),) * 2, bool)
-            whole[: len(first), len(first) :] = links
-            links = whole | whole.T
-        every = first + (second or [])
-        copies = np.array([r[4] for r in every], np.int64)
-        cids = np.array([r[3] for r in every], np.int64)
-        return cids.tolist(), cids[roots(links)].tolist(), (links @ copies).tolist()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in solve(rows)], ["cid", "root", "links"])
-
+def _solve(first: list[tuple], second: list[tuple] | None, percent: int) -> pa.RecordBatch:
+    """cid, root (cid), links of the classes (cid, copies, set) of one block, or of two that meet, that have a link there."""
+    links = linked([r[2] for r in first], None if second is None else [r[2] for r in second], percent)
+    if second is not None:
+        whole = np.zeros((len(first) + len(second),) * 2, bool)
+        whole[: len(first), len(first) :] = links
+        links = whole | whole.T
+    every = first + (second or [])
+    cids, copies = (np.array([r[i] for r in every], np.int64) for i in (0, 1))
+    some = links.any(axis=1)
+    found = cids[some], cids[roots(links)][some], (links @ copies)[some]
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["cid", "root", "links"])
+
+
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(family, block), others, classes of each block, from rows sorted by (family, block)."""
+    key, meets, rows = None, None, []
+    for batch in batches:
+        for family, block, others, cid, copies, data in zip(*(c.to_pylist() for c in batch.columns)):
+            if (family, block) != key:
+                if rows:
+                    yield key, meets, rows
+                key, meets, rows = (family, block), others, []
+            rows.append((cid, copies, np.frombuffer(data, np.uint64)))
+    if rows:
+        yield key, meets, rows
+
+
+def verified(rows: DataFrame, percent: int) -> DataFrame:
+    """cid, root, links for the classes (family, block, others, cid, copies, set). Blocks that meet themselves alone are
+    verified where their rows are dealt to. All others become files, each with its own classes, and a task for some pairs of
+    blocks reads what it is to compare: rows and disk do not grow with the pairs."""
+    spark, found = session(rows), "cid long, root long, links long"
+    rows = rows.select("family", "block", "others", "cid", "copies", "set")
+    dealt = lambda df: df.repartition("family", "block").sortWithinPartitions("family", "block")
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, classes in _each_block(batches):
+            yield _solve(classes, None, percent)
+
+    single = map_arrow(dealt(rows.where(F.size("others") == 1)), alone, found)
+    folder = scratch(spark, "jaccard-blocks")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (family, block), others, classes in _each_block(batches):
+            file = f"{uuid.uuid4().hex}.arrow"  # of this attempt alone; only files of finished tasks are named
+            table = pa.table([pa.array([r[0] for r in classes], pa.int64()), pa.array([r[1] for r in classes], pa.int64()), pa.array([r[2].tobytes() for r in classes], pa.large_binary())], ["cid", "copies", "set"])
+            fs, path = file_system(folder)
+            fs.create_dir(path, recursive=True)
+            with fs.open_output_stream(f"{path}/{file}", compression=None) as out, pa.ipc.new_file(out, table.schema) as writer:
+                writer.write_table(table)
+            yield pa.RecordBatch.from_arrays([pa.array([family], pa.int64()), pa.array([block], pa.int64()), pa.array([others], pa.list_(pa.int64())), pa.array([file])], ["family", "block", "others", "file"])
+
+    blocks = map_arrow(dealt(rows.where(F.size("others") > 1)), keep, "family long, block long, others array<long>, file string")
+    blocks = written(blocks, "jaccard-block-files")
+    pairs = blocks.select("family", "file", "block", F.explode("others").alias("other")).where("other >= block")
+    pairs = pairs.join(blocks.select("family", F.col("block").alias("other"), F.col("file").alias("file2")), ["family", "other"]).select("file", "file2")
+    pairs = written(pairs, "jaccard-pairs")
+    count, tasks = pairs.count(), 4 * spark.sparkContext.defaultParallelism
+    if not count:
+        return single
+
+    def classes_of(file: str) -> list[tuple]:
+        with open_file(f"{folder}/{file}") as source:
+            table = pa.ipc.open_file(source).read_all()
+        return [(cid, copies, np.frombuffer(data, np.uint64)) for cid, copies, data in zip(*(c.to_pylist() for c in table.columns))]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, first = None, []
         for batch in batches:
-            for family, lo, hi, block, cid, copies, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if (family, lo, hi) != key:
-                    if rows:
-                        yield flush()
-                    key, rows = (family, lo, hi), []
-                rows.append((block, lo, hi, cid, copies, np.frombuffer(data, np.uint64)))
-        if rows:
-            yield flush()
+            for file, file2 in zip(*(c.to_pylist() for c in batch.columns)):
+                if file != name:
+                    name, first = file, classes_of(file)
+                yield _solve(first, None if file2 == file else classes_of(file2), percent)
 
-    return run
+    pairs = pairs.repartition(min(count, max(tasks, count // 64))).sortWithinPartitions("file")
+    return single.unionByName(map_arrow(pairs, meet, found))
 
 
 def _blocks(members: str, shingles: str) -> Column:
@@ -295,12 +361,7 @@ def similarity_join(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, perc
 
     members = written(blocked(classes.filter("family IS NOT NULL"), percent), "jaccard-members")
     sets = written(_sets_of(docs, members, k), "jaccard-sets")
-    dealt = members.select("digest", "cid", "copies", "family", "block", F.explode("others").alias("other")).select(
-        "digest", "family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cid", "copies"
-    ).join(sets, "digest").drop("digest")
-    dealt = dealt.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi")
-    found = map_arrow(dealt.select("family", "lo", "hi", "block", "cid", "copies", "set"), _verify(percent), "cid long, root long, links long")
-    found = written(found, "jaccard-links")
+    found = written(verified(sets, percent), "jaccard-links")
     labels = components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     classes = classes.join(labels, classes["cid"] == labels["node"], "left").withColumn("label", F.coalesce("label", "cid")).drop("node", "family")
@@ -316,8 +377,8 @@ def similarity_join(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, perc
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """digest, set (hashes, binary), once for each class of the members. Texts are not shuffled: a bitmap of fixed size over
-    hashes of the classes' document ids says which documents are worth a look, the digest whether it is the one."""
+    """The members with their set (hashes, binary). Texts are not shuffled: a bitmap of fixed size over hashes of the classes'
+    document ids says which documents are worth a look, the digest whether it is the one."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FETCH_BITS)) + 1
     bits = members.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
     wanted = np.zeros(FETCH_BITS // 8, np.uint8)
@@ -337,7 +398,8 @@ def _sets_of(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
             )
 
     rows = map_arrow(docs.select(place.alias("p"), "text"), run, "digest binary, set binary")
-    return rows.join(members.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.first("set").alias("set"))
+    sets = rows.join(members.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.first("set").alias("set"))
+    return members.join(sets, "digest")
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:

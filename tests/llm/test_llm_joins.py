@@ -90,6 +90,40 @@ def test_similarity_join_matches_brute_force(spark, monkeypatch, k, percent):
     assert jaccard.similarity_join(empty(spark)).count() == 0
 
 
+def test_sets_of_a_large_family_are_stored_once(spark, monkeypatch):
+    """One family of many blocks: each class lies in one block's file, whatever the number of blocks that its own meets."""
+    kept = {}
+
+    def written(df, name):
+        kept[name] = spark.createDataFrame(df.collect(), df.schema)
+        return kept[name]
+
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 8)
+    monkeypatch.setattr(jaccard, "written", written)
+    rows = near_copies(3, groups=1, copies=90)
+    sets = [x for x in dict.fromkeys(brute_sets(rows, 1))]
+    classes = [(i, 7, 1, len(x), bytearray(np.array(sorted(hash(w) & (2**63 - 1) for w in x), np.uint64).tobytes())) for i, x in enumerate(sets)]
+    members = jaccard.blocked(spark.createDataFrame(classes, "cid long, family long, copies long, n long, set binary"), 80)
+    meets = members.select(F.max(F.size("others"))).first()[0]
+    got = jaccard.verified(members, 80).groupBy("cid").agg(F.sum("links").alias("links")).collect()
+    want = [sum(100 * len(x & y) >= 80 * len(x | y) for y in sets) - 1 for x in sets]
+    assert {r.cid: r.links for r in got} == {i: n for i, n in enumerate(want) if n}
+    files = kept["jaccard-block-files"]
+    assert meets > 3 and files.count() == files.select("block").distinct().count() == members.select("block").distinct().count()
+
+
+def test_sketch_follows_the_text(spark, monkeypatch):
+    """As many shingles to a counter, whatever the text; the join is the same for either size."""
+    rows = near_copies(4)
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 12)
+    small = len(jaccard.frequencies(frame(spark, rows), 3))
+    monkeypatch.setattr(jaccard, "COUNTER_SHINGLES", 1 / 4)
+    assert jaccard.sketch_bits(empty(spark)) == 12
+    assert small == 1 << 12 < len(jaccard.frequencies(frame(spark, rows), 3)) <= 1 << jaccard.MOST_SKETCH_BITS
+    got = jaccard.similarity_join(frame(spark, rows), shingle_words=3, percent=90)
+    assert sorted((tuple(r) for r in got.drop("component").collect()), key=str) == brute_join(rows, 3, 90)
+
+
 def test_blocks_of_far_sizes_do_not_meet(spark, monkeypatch):
     """A family tied by one common line: texts of ten to two thousand shingles."""
     monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 40)
