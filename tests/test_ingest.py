@@ -452,3 +452,33 @@ def test_anti_trim_tells_keys_apart(spark):
     new = spark.createDataFrame([("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("1:a", "x"), (" a ", "c"), ("a", None)], "p string, q string")
     gold = spark.createDataFrame([(" a", "b "), ("", "ab"), ("a", "c"), (None, "z")], "p string, q string")
     assert rows(anti_trim(new, gold, ["p", "q"])) == rows(spark.createDataFrame([("ab", ""), (None, "ab"), ("1:a", "x"), ("a", None)], "p string, q string"))
+
+
+def test_published_keys_are_not_broadcast(spark):
+    """However small the files of the keys: their digests can be millions."""
+    from stationcast.operators.joins import anti_trim
+
+    new = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    left = anti_trim(new, spark.createDataFrame([("a ",), (None,)], "k string"), ["k"])
+    assert rows(left) == [("b",)]
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidate_parts_of_a_batch_that_is_published(spark, tmp_path, monkeypatch):
+    """The first keys settle a partition that holds them; others are looked up by all keys, null ones included."""
+    from stationcast.sources import keyfilter
+
+    df = spark.range(600).select(
+        F.when(F.col("id") > 0, F.concat(F.lit("k"), "id")).alias("k"), F.when(F.col("id") % 4 < 3, (F.col("id") % 4).cast("string")).alias("p")
+    )
+    path = str(tmp_path / "t")
+    keyfilter.add_keys(df, path, ["k"], "p")
+    strangers = spark.range(3).select(F.concat(F.lit("x"), "id").alias("k"))
+    for first in (1, 64, 1 << 30):
+        monkeypatch.setattr(keyfilter, "FIRST", first)
+        assert set(keyfilter.candidate_parts(df, path, ["k"])) == {"0", "1", "2", None}
+        for i in (0, 5, 7):
+            part = None if i % 4 == 3 else str(i % 4)
+            key = "k IS NULL" if not i else f"k = 'k{i}'"
+            assert part in keyfilter.candidate_parts(df.where(key), path, ["k"])
+        assert keyfilter.candidate_parts(strangers, path, ["k"]) == []
