@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
 from stationcast.operators.joins import outer_chain, outer_on
 
 SETTINGS = {
@@ -50,3 +51,16 @@ def test_outer_on_splits(spark, small_partitions):
     big, small = sides(spark)
     n, split = split_joins(outer_on(small, big.withColumnRenamed("k", "j"), F.trim("k"), F.trim("j")))
     assert n == 400001 and split >= 1
+
+
+def test_outer_chain_shuffles_no_product(spark, small_partitions):
+    """Three frames of many rows a key: what is shuffled are their rows, not those of the first two joined."""
+    frames = [spark.range(3000).select((F.col("id") % (20 + i)).alias("k"), F.col("id").alias(f"v{i}")) for i in range(3)]
+    got = outer_chain(frames, ["k"]).cache()
+    native = frames[0].join(frames[1], "k", "outer").join(frames[2], "k", "outer")
+    assert got.count() == native.count() > 2_000_000
+    assert rows(got.groupBy("k").agg(F.count("*"), F.sum("v0"), F.sum("v1"), F.sum("v2"))) == rows(
+        native.groupBy("k").agg(F.count("*"), F.sum("v0"), F.sum("v1"), F.sum("v2")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    got.unpersist()
+    assert "FullOuter" not in plan
