@@ -482,3 +482,17 @@ def test_candidate_parts_of_a_batch_that_is_published(spark, tmp_path, monkeypat
             key = "k IS NULL" if not i else f"k = 'k{i}'"
             assert part in keyfilter.candidate_parts(df.where(key), path, ["k"])
         assert keyfilter.candidate_parts(strangers, path, ["k"]) == []
+
+
+def test_layers_are_kept_in_zstandard(spark, tmp_path):
+    """Bronze, silver and gold hold the same text several times over."""
+    import pyarrow.parquet as pq
+
+    df = spark.range(50).select(F.col("id"), F.lit("d").alias("day"))
+    ly.write_full(df, str(tmp_path / "whole"))
+    ly.write_replace(df, str(tmp_path / "dated"), "day")
+    ly.append_once(df, str(tmp_path / "once"), "b", "day")
+    for layer in ("whole", "dated", "once"):
+        files = list((tmp_path / layer).rglob("*.parquet"))
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+        assert ly.read_layer(spark, str(tmp_path / layer)).count() == 50
